@@ -46,4 +46,6 @@ def add_all(columns: list[Column]) -> Column:
 
 
 def rounded(column: Column | str, digits: int = 6) -> Column:
-    return F.round(as_column(column).cast("double"), digits)
+    """Round a double after scaling it, as most engines do; `F.round` rounds its decimal text."""
+    scale = F.lit(10.0**digits)
+    return F.round(as_column(column).cast("double") * scale, 0) / scale

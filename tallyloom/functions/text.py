@@ -32,7 +32,11 @@ def squeeze(text: Column | str) -> Column:
 def human_number(value: Column | str) -> Column:
     """1.2K, 3.4M: one digit, by steps of a thousand."""
     v = as_column(value).cast("double")
-    out = F.format_string("%.1f", v)
+
+    def one_digit(x: Column) -> Column:
+        return F.call_function("format_number", x, F.lit("0.0"))
+
+    out = one_digit(v)
     for power, unit in [(1, "K"), (2, "M"), (3, "G"), (4, "T"), (5, "P")]:
-        out = F.when(F.abs(v) >= 1000.0**power, F.format_string(f"%.1f{unit}", v / 1000.0**power)).otherwise(out)
+        out = F.when(F.abs(v) >= 1000.0**power, F.concat(one_digit(v / 1000.0**power), F.lit(unit))).otherwise(out)
     return out

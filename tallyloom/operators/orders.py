@@ -187,3 +187,31 @@ def as_seller(valid: DataFrame, population: DataFrame, today: Column) -> DataFra
         F.min(F.datediff(today, "created")).alias("seller_recency"),
         F.max(F.datediff(today, "created")).alias("seller_first"),
     )
+
+
+def daily_orders_at(valid: DataFrame, ref_dates: Sequence, lookback: int) -> DataFrame:
+    """Daily grain for several reference dates at once: lines closed in [ref - lookback, ref].
+
+    Lines are first reduced to packs, then each pack is listed under the dates it belongs
+    to, so the number of scans and joins does not grow with the number of dates.
+    """
+    packs = valid.groupBy(
+        F.col("buyer_id").alias("customer_id"), F.col("created").alias("day"), "closed",
+        F.coalesce("pack_id", "order_id").alias("__pack"),
+    ).agg(F.sum("amount").alias("sales"), F.sum("items").alias("items"))
+    refs = F.array(*[date_lit(d) for d in ref_dates])
+    at = packs.withColumn(
+        "ref_date", F.explode(F.filter(refs, lambda d: F.col("closed").between(F.date_sub(d, lookback), d)))
+    )
+    per_pack = at.groupBy("customer_id", "ref_date", "day", "__pack").agg(
+        F.sum("sales").alias("sales"), F.sum("items").alias("items")
+    )
+    return per_pack.groupBy("customer_id", "ref_date", "day").agg(
+        F.sum("sales").alias("sales"), F.sum("items").alias("items"), F.count(F.lit(1)).alias("orders")
+    )
+
+
+def panel(valid: DataFrame, ref_dates: Sequence, lookback: int = 365) -> DataFrame:
+    """Population and order features at several dates as one plan: one row per (customer, date)."""
+    daily = daily_orders_at(valid, ref_dates, lookback)
+    return orders_frequency(daily, F.col("ref_date"), ["customer_id", "ref_date"])

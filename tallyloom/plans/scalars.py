@@ -111,7 +111,7 @@ def _(t):
 _INCOME = "'De R$ ' || (1000 + customer_id % 5) || '.' || (100 + customer_id % 800) || ',50 a R$ ' || (customer_id % 9) || '.400,00'"
 
 
-@query("fn_extract_max_number", f"SELECT customer_id, list_max(list_transform(regexp_extract_all(replace(replace({_INCOME}, '.', ''), ',', '.'), '[0-9]+(\\.[0-9]+)?'), x -> x::DOUBLE)) AS income FROM r_customers")
+@query("fn_extract_max_number", f"SELECT customer_id, list_max(list_transform(regexp_extract_all(replace(replace({_INCOME}, '.', ''), ',', '.'), '[0-9]+(\\.[0-9]+)?'), lambda x: x::DOUBLE)) AS income FROM r_customers")
 def _(t):
     c = F.col("customer_id")
     written = F.concat(F.lit("De R$ "), 1000 + c % 5, F.lit("."), 100 + c % 800, F.lit(",50 a R$ "), c % 9, F.lit(".400,00"))
@@ -158,10 +158,9 @@ def _(t):
     return t.orders.select("order_id", F.round("amount", 1).alias("half_up"), F.bround("amount", 0).alias("half_even"))
 
 
-@query("fn_human_format", "SELECT order_id, CASE WHEN v >= 1000 THEN printf('%.1fK', v / 1000) ELSE printf('%.1f', v) END AS label FROM (SELECT order_id, (order_id * 100 + 33)::DOUBLE AS v FROM r_orders WHERE order_id < 9000)")
+@query("fn_human_format", "SELECT order_id, CASE WHEN v >= 1000 THEN printf('%.1fK', v / 1000) ELSE printf('%.1f', v) END AS label FROM (SELECT order_id, amount::DOUBLE AS v FROM r_orders)")
 def _(t):
-    rows = t.orders.where("order_id < 9000")
-    return rows.select("order_id", text.human_number(F.col("order_id") * 100 + 33).alias("label"))
+    return t.orders.select("order_id", text.human_number("amount").alias("label"))
 
 
 _WORDS = "SELECT doc_id, string_split(text, ' ') AS w FROM documents"
@@ -169,19 +168,19 @@ _WORDS = "SELECT doc_id, string_split(text, ' ') AS w FROM documents"
 
 @query("fn_array_ops", f"""
     WITH d AS ({_WORDS})
-    SELECT doc_id, len(w) AS n, array_to_string(list_reverse(w)[1:5], ' ') AS last_words, array_to_string(list_transform(w[1:4], x -> upper(x)), ' ') AS first_words,
-           len(list_filter(w, x -> len(x) > 6)) AS long_words FROM d""")
+    SELECT doc_id, len(w) AS n, array_to_string(list_reverse(w)[1:5], ' ') AS last_words, array_to_string(list_transform(w[1:4], lambda x: lower(x)), ' ') AS first_words,
+           len(list_filter(w, lambda x: len(x) > 6)) AS long_words FROM d""")
 def _(t):
     w = F.split("text", " ")
     return t.read("documents").select(
         "doc_id", F.size(w).alias("n"), F.array_join(F.slice(F.reverse(w), 1, 5), " ").alias("last_words"),
-        F.array_join(F.transform(F.slice(w, 1, 4), F.upper), " ").alias("first_words"), F.size(F.filter(w, lambda x: F.length(x) > 6)).alias("long_words"),
+        F.array_join(F.transform(F.slice(w, 1, 4), F.lower), " ").alias("first_words"), F.size(F.filter(w, lambda x: F.length(x) > 6)).alias("long_words"),
     )
 
 
 @query("fn_pad_sequence", f"""
-    WITH d AS ({_WORDS}), l AS (SELECT doc_id, list_transform(w, x -> len(x)) AS v FROM d)
-    SELECT doc_id, array_to_string(list_concat(list_transform(range(greatest(50 - len(v), 0)), x -> 0::BIGINT), v[greatest(len(v) - 49, 1):]), ',') AS padded FROM l""")
+    WITH d AS ({_WORDS}), l AS (SELECT doc_id, list_transform(w, lambda x: len(x)) AS v FROM d)
+    SELECT doc_id, array_to_string(list_concat(list_transform(range(greatest(50 - len(v), 0)), lambda x: 0::BIGINT), v[greatest(len(v) - 49, 1):]), ',') AS padded FROM l""")
 def _(t):
     lengths = F.transform(F.split("text", " "), F.length)
     return t.read("documents").select("doc_id", arrays.pad_left(lengths, 50).alias("padded"))
