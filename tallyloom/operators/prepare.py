@@ -39,3 +39,194 @@ def remap(column: Column | str, mapping: Mapping) -> Column:
     for value, label in mapping.items():
         out = (F if out is None else out).when(column == F.lit(value), F.lit(label))
     return out
+
+
+def cast_fill(df: DataFrame, fills: Mapping[str, float]) -> DataFrame:
+    """Cast the named columns to double and fill NULLs (and NaNs) with the column's sentinel, in one projection."""
+
+    def fixed(c: str) -> Column:
+        if c not in fills:
+            return F.col(c)
+        value = F.col(c).try_cast("double")
+        return F.coalesce(F.nanvl(value, F.lit(None).cast("double")), F.lit(float(fills[c]))).alias(c)
+
+    return df.select(*[fixed(c) for c in df.columns])
+
+
+def tenure_rules(df: DataFrame, missing: float) -> DataFrame:
+    """Repairs in order: missing -> recency; negative -> first purchase in the window;
+    registration before the first buy -> first purchase in the window; then fill.
+    """
+    buy, reg, listing, sale = (f"days_from_{n}" for n in ("first_buy", "registration", "first_listing", "first_sale"))
+    out = df.withColumns({buy: F.coalesce(buy, "recency"), reg: F.coalesce(reg, "recency")})
+    out = out.withColumn(buy, F.when(F.col(buy) < 0, F.col("first_in_window")).otherwise(F.col(buy)))
+    out = out.withColumn(reg, F.when(F.col(reg) < 0, F.col(buy)).otherwise(F.col(reg)))
+    out = out.withColumn(listing, F.when(F.col(listing) < 0, missing).otherwise(F.col(listing)))
+    out = out.withColumn(reg, F.when(F.col(reg) < F.col(buy), F.col("first_in_window")).otherwise(F.col(reg)))
+    return cast_fill(out, dict.fromkeys([buy, reg, listing, sale], missing))
+
+
+def prepaid_rules(df: DataFrame, missing: float) -> DataFrame:
+    """Recency is at least the activation; negatives are missing; active flag (0 when never activated)."""
+    recency, activation = F.col("ppd_recency"), F.col("ppd_first_activation")
+    out = df.withColumn("ppd_recency", F.when(recency < activation, activation).otherwise(recency))
+    out = out.withColumns(
+        {
+            "ppd_recency": F.when(F.col("ppd_recency") >= 0, F.col("ppd_recency")),
+            "ppd_active": F.coalesce((activation >= 0).cast("double"), F.lit(0.0)),
+            "ppd_first_activation": F.when(activation >= 0, activation),
+        }
+    )
+    money = [c for c in ("has_prepaid", "ppd_sum_money", "ppd_mean_money", "ppd_min_money", "ppd_max_money") if c in df.columns]
+    return cast_fill(out, {**dict.fromkeys(money, 0.0), "ppd_recency": missing, "ppd_first_activation": missing})
+
+
+# Accepted texts of the registry, and statuses that count as married.
+GENDERS = ["MASCULINO", "FEMININO"]
+PERSON_TYPES = ["person", "company"]
+MARRIED = {"UNIAO ESTAVEL": "CASADO(A)", "DIVORCIADO(A)": "CASADO(A)", "VIUVO(A)": "CASADO(A)"}
+CIVIL_STATUSES = ["CASADO(A)", "SOLTEIRO(A)"]
+
+
+def registry_rules(df: DataFrame, missing: float, unknown: str = "NA") -> DataFrame:
+    """Allow-lists, trimmed text, ages 1 to 100, rare civil statuses merged."""
+
+    def allowed(c: Column, values: Sequence[str]) -> Column:
+        return F.when(c.isin(list(values)), c).otherwise(unknown)
+
+    status = F.trim("civil_status")
+    for old, new in MARRIED.items():
+        status = F.when(status == old, new).otherwise(status)
+    age = F.col("age").cast("double")
+    return df.withColumns(
+        {
+            "data_type": allowed(F.col("data_type"), PERSON_TYPES), "gender": allowed(F.trim("gender"), GENDERS),
+            "age": F.when((age <= 0) | (age > 100), missing).otherwise(age), "civil_status": allowed(status, CIVIL_STATUSES),
+        }
+    )
+
+
+def location_rules(df: DataFrame, states: DataFrame, site: str | None = None, other: str = "other_state") -> DataFrame:
+    """Keep the known states (per site when given), everything else becomes `other`."""
+    keys = ["location"] if site is None else [site, "location"]
+    known = states.select(*keys).distinct().withColumn("__known", F.lit(True))
+    return df.join(known, keys, "left").withColumn(
+        "location", F.when(F.col("__known"), F.col("location")).otherwise(other)
+    ).select(*df.columns)
+
+
+def reinstall_flag(df: DataFrame, missing: float) -> DataFrame:
+    """Fill the install days and flag customers whose last and first install differ."""
+    out = cast_fill(df, {"days_last_install": missing, "days_first_install": missing}).na.fill({"device": "OTHER_DEVICE"})
+    return out.withColumn("reinstalled", (F.col("days_last_install") < F.col("days_first_install")).cast("double"))
+
+
+def max_plus_one(df: DataFrame, column: str) -> DataFrame:
+    """Missing recency becomes the largest recency plus one."""
+    return df.withColumn(column, F.coalesce(F.col(column), df.agg(F.max(column) + 1).scalar()))
+
+
+def draw_missing(df: DataFrame, column: str, key: str, seed: str = "s") -> DataFrame:
+    """Fill a missing category by a draw from the observed distribution, by a hash of the key.
+
+    The distribution is one map from category to its interval in [0, 1), so there is no join.
+    """
+    from tallyloom.operators.sampling import unit_hash
+
+    counts = df.where(F.col(column).isNotNull()).groupBy(F.col(column).alias("v")).agg(F.count(F.lit(1)).alias("n"))
+    table = counts.agg(F.array_sort(F.collect_list(F.struct("v", "n"))).alias("t"))
+    # Running shares by category name; the number of categories bounds this array.
+    total = F.aggregate("t", F.lit(0).cast("long"), lambda s, x: s + x["n"])
+    ends = F.transform(
+        F.sequence(F.lit(1), F.size("t")),
+        lambda i: F.struct(
+            F.element_at("t", i)["v"].alias("v"),
+            (F.aggregate(F.slice("t", F.lit(1), i), F.lit(0).cast("long"), lambda s, x: s + x["n"]) / total).alias("end"),
+        ),
+    )
+    steps = table.select(F.when(F.size("t") > 0, ends).alias("ends")).scalar()
+    draw = df.withColumns({"__ends": steps, "__u": unit_hash(key, seed)})
+    value = F.element_at(F.filter("__ends", lambda x: F.col("__u") < x["end"]), 1)["v"]
+    return draw.withColumn(column, F.coalesce(F.col(column), value)).drop("__ends", "__u")
+
+
+def median_by_group(df: DataFrame, columns: Sequence[str], group: Sequence[str]) -> DataFrame:
+    """Fill missing numbers with the approximate median of the row's group, else of all rows."""
+    medians = df.groupBy(*group).agg(*[F.percentile_approx(c, 0.5).alias(f"__g_{c}") for c in columns])
+    whole = df.agg(F.struct(*[F.percentile_approx(c, 0.5).alias(c) for c in columns])).scalar()
+    out = df.join(medians, list(group), "left").withColumn("__all", whole)
+    return out.withColumns({c: F.coalesce(F.col(c), F.col(f"__g_{c}"), F.col("__all").getField(c)) for c in columns}).select(*df.columns)
+
+
+def clip_upper(df: DataFrame, columns: Sequence[str], q: float = 0.95, approximate: bool = False) -> DataFrame:
+    """Values above the q-quantile become the quantile; one aggregate for all columns.
+
+    The exact quantile keeps a count per distinct value; `approximate` keeps a sketch.
+    """
+
+    def quantile(c: str) -> Column:
+        value = F.col(c).cast("double")
+        return (F.percentile_approx(value, q, 100000) if approximate else F.percentile(value, q)).alias(c)
+
+    caps = df.agg(F.struct(*[quantile(c) for c in columns])).scalar()
+    out = df.withColumn("__caps", caps)
+    return out.withColumns(
+        {c: F.when(F.col(c) > F.col("__caps").getField(c), F.col("__caps").getField(c)).otherwise(F.col(c).cast("double")) for c in columns}
+    ).drop("__caps")
+
+
+def negative_to(df: DataFrame, columns: Sequence[str], missing: float) -> DataFrame:
+    return df.withColumns({c: F.when(F.col(c) < 0, missing).otherwise(F.col(c).cast("double")) for c in columns})
+
+
+def low_activity(df: DataFrame, sends: str, spend: str, limit: int) -> DataFrame:
+    """Days with few sends count as days without, and without sends there is no spend."""
+    out = df.withColumn(sends, F.when(F.col(sends) > limit, F.col(sends)).otherwise(0))
+    return out.withColumn(spend, F.when(F.col(sends) == 0, 0).otherwise(F.col(spend)))
+
+
+def fit_scale(df: DataFrame, columns: Sequence[str], robust: bool = False) -> DataFrame:
+    """Centre and spread per column as one row: mean and population std, or median and IQR."""
+    out = []
+    for c in columns:
+        v = F.col(c).cast("double")
+        if robust:
+            center, spread = F.percentile(v, 0.5), F.percentile(v, 0.75) - F.percentile(v, 0.25)
+        else:
+            center, spread = F.avg(v), F.stddev_pop(v)
+        out.append(F.struct(center.alias("center"), spread.alias("spread")).alias(c))
+    return df.agg(F.struct(*out).alias("scale"))
+
+
+def apply_scale(df: DataFrame, scale: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Apply a fitted scale, also to other rows than it was fitted on; constant columns become 0."""
+    out = df.withColumn("__scale", scale.scalar())
+
+    def scaled(c: str) -> Column:
+        s = F.col("__scale").getField(c)
+        gap = F.col(c).cast("double") - s.getField("center")
+        return F.when(s.getField("spread") == 0, gap).otherwise(F.try_divide(gap, s.getField("spread")))
+
+    return out.withColumns({c: scaled(c) for c in columns}).drop("__scale")
+
+
+def from_dummies(columns: Sequence[str]) -> Column:
+    """One-hot columns back to one code, 1 for the first column."""
+    return sum((F.col(c) * (i + 1) for i, c in enumerate(columns)), F.lit(0))
+
+
+def label_codes(df: DataFrame, column: str, at_least: int, out: str = "code") -> DataFrame:
+    """Drop labels seen fewer than `at_least` times and give the others dense codes from 1, by name."""
+    from pyspark.sql import Window
+
+    labels = df.groupBy(column).agg(F.count(F.lit(1)).alias("__n")).where(F.col("__n") >= at_least)
+    # One row per label.
+    codes = labels.select(column, F.row_number().over(Window.orderBy(column)).alias(out))
+    return df.join(codes, column)
+
+
+def class_weights(df: DataFrame, column: str, out: str = "weight") -> DataFrame:
+    """Balanced weights n / (classes * n_class), one row per class."""
+    counts = df.groupBy(column).agg(F.count(F.lit(1)).alias("n"))
+    whole = counts.agg((F.sum("n") / F.count(F.lit(1))).alias("x")).scalar()
+    return counts.select(column, (whole / F.col("n")).alias(out))

@@ -53,20 +53,30 @@ def quota_by_probability(
     rest: str = "q5", out: str = "segment",
 ) -> DataFrame:
     """Segments in turn without replacement: the best `share` by each probability, then `last_share`
-    by the last one; who is left gets `rest`. One ranking per segment, over the rows still free.
+    by the last one; who is left gets `rest`.
+
+    Each step finds the last row of its quota among the rows still free (two numbers), so the
+    result is one CASE over the input and the plan does not grow from step to step.
     """
     n = df.count()
     steps = [(name, int(n * share)) for name in probabilities] + [(last, int(n * last_share))]
-    free = df.withColumn(out, F.lit(None).cast("string"))
-    done = None
+    label, taken = F.lit(rest), F.lit(False)
+    found = []
     for name, quota in steps:
-        ranked = global_rank(free, name, key, descending=True, rank="__rank").withColumn(
-            out, F.when(F.col("__rank") <= quota, name)
-        ).drop("__rank")
-        taken = ranked.where(F.col(out).isNotNull())
-        done = taken if done is None else done.unionByName(taken)
-        free = ranked.where(F.col(out).isNull())
-    return done.unionByName(free.withColumn(out, F.lit(rest)))
+        if quota == 0:
+            continue
+        free = df.where(~taken)
+        border = global_rank(free, name, key, descending=True, rank="__rank").where(F.col("__rank") == quota).first()
+        here = F.lit(True)
+        if border is not None:
+            value = F.lit(border[name])
+            here = (F.col(name) > value) | ((F.col(name) == value) & (F.col(key) <= F.lit(border[key])))
+        here = F.coalesce(here, F.lit(False))
+        found.append((name, here & ~taken))
+        taken = taken | here
+    for name, condition in reversed(found):
+        label = F.when(condition, name).otherwise(label)
+    return df.withColumn(out, label)
 
 
 def _scaled(columns: Sequence[str]) -> list:
