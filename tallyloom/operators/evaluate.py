@@ -39,11 +39,13 @@ def pr_curve(df: DataFrame, score: str, target: str) -> DataFrame:
     )
 
 
-def mean_average_precision(df: DataFrame, score: str | Column, target: str, tie: str, descending: bool = True) -> DataFrame:
+def mean_average_precision(
+    df: DataFrame, score: str | Column, target: str, tie: str, descending: bool = True, group: Sequence[str] = ()
+) -> DataFrame:
     """Mean over the positives of (positives so far / rank)."""
     hit = F.when(F.col(target) == 1, 1).otherwise(0)
-    ranked = running_totals(df, score, tie, {"__hits": hit}, descending=descending, rank="__rank")
-    return ranked.where(F.col(target) == 1).agg(F.avg(ratio("__hits", "__rank")).alias("map"))
+    ranked = running_totals(df, score, tie, {"__hits": hit}, group=group, descending=descending, rank="__rank")
+    return ranked.where(F.col(target) == 1).groupBy(*group).agg(F.avg(ratio("__hits", "__rank")).alias("map"))
 
 
 def threshold_sweep(df: DataFrame, score: str, target: str, start: float = 0.001, step: float = 0.01, n: int = 99) -> DataFrame:

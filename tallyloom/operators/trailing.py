@@ -21,7 +21,8 @@ from tallyloom.functions.columns import day_number
 class Trailing:
     """Measure over days [anchor + start, anchor + end].
 
-    `kind`: count (days with facts), sum, min, max (of `column`), first or last (day with facts).
+    `kind`: count (days with facts), sum, min, max (of `column`), first or last (day with facts),
+    collect (array of `column` by day).
     """
 
     kind: str
@@ -49,6 +50,7 @@ def attach_trailing(
             "sum": lambda m=m: F.sum(m.column).over(frame),
             "min": lambda m=m: F.min(m.column).over(frame),
             "max": lambda m=m: F.max(m.column).over(frame),
+            "collect": lambda m=m: F.collect_list(m.column).over(frame),
             "first": lambda: F.min(day).over(frame),
             "last": lambda: F.max(day).over(frame),
         }[m.kind]()

@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ["relational", "scalars", "features", "campaigns", "segments", "metrics"]
+MODULES = ["relational", "scalars", "features", "campaigns", "segments", "metrics", "effects"]
 
 for _name in MODULES:
     import_module(f"tallyloom.plans.{_name}")
