@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyloom.config import ROW_AMOUNT_CAP
@@ -21,14 +21,12 @@ def campaign_events(tracks: DataFrame, campaign: str, bu: str, path: str = "/not
 
     A batch that ends in _CG is the control group; excluded batches are dropped.
     """
-    def part(name: str) -> Column:
-        return F.get_json_object("event_data", f"$.{name}")
-
-    batch, kind = part("batch_id"), part("event_type")
-    kept = tracks.where(
-        (F.col("bu") == bu) & F.col("path").like(path) & part("campaign_id").rlike(f"(?i){campaign}")
-        & kind.isin("sent", "shown", "open")
+    # A generator reads the payload once; column expressions would be copied into every condition.
+    rows = tracks.where((F.col("bu") == bu) & F.col("path").like(path)).select(
+        "user_id", "site", "ds", F.json_tuple("event_data", "batch_id", "event_type", "campaign_id").alias("batch", "kind", "campaign")
     )
+    batch, kind = F.col("batch"), F.col("kind")
+    kept = rows.where(F.col("campaign").rlike(f"(?i){campaign}") & kind.isin("sent", "shown", "open"))
     for name in EXCLUDED_BATCHES:
         kept = kept.where(~batch.like(rf"%\_{name}%"))
     label = F.when(batch.like(r"%\_CG"), "control").otherwise(kind)
@@ -65,16 +63,30 @@ def bought_within_a_day(sent: DataFrame, orders: DataFrame) -> DataFrame:
 
 
 def persuaded(sent: DataFrame, orders: DataFrame, coupon_days: DataFrame) -> DataFrame:
-    """Treated: openers who bought, and coupon users who were sent; control: the control group. One label each."""
+    """Treated: openers who bought, and coupon users who were sent; control: the control group. One label each.
+
+    Sends, orders and coupons are reduced to one row per customer, site and day; opening and
+    buying on the day or the day after is a two-day frame over those rows.
+    """
     key = ["customer_id", "site", "sent_date"]
-    opens = sent.where(F.col("push_type") == "open").select(*key)
-    opened = opens.unionByName(opens.withColumn("sent_date", F.date_sub("sent_date", 1))).distinct()
-    notified = sent.select(*key).distinct().join(opened, key, "left_semi")
-    buyers = bought_within_a_day(notified, orders)
-    users = sent.where(F.col("push_type") == "sent").select(*key).distinct().join(coupon_days, key, "left_semi")
-    control = sent.where(F.col("push_type") == "control").select(*key)
-    rows = buyers.unionByName(users).withColumn("grp", F.lit("TG")).unionByName(control.withColumn("grp", F.lit("CG")))
-    return rows.groupBy(*key).agg(F.max("grp").alias("grp"))
+    kind = F.col("push_type")
+    rows = sent.select(
+        *key, F.lit(1).alias("notified"), (kind == "open").cast("int").alias("open"), (kind == "sent").cast("int").alias("sent"),
+        (kind == "control").cast("int").alias("control"),
+    )
+    bought = closed_in_time(orders).select(
+        F.col("buyer_id").alias("customer_id"), "site", F.col("created").alias("sent_date"), F.lit(1).alias("bought")
+    )
+    coupon = coupon_days.select(*key, F.lit(1).alias("coupon"))
+    flags = ["notified", "open", "sent", "control", "bought", "coupon"]
+    days = rows.unionByName(bought, allowMissingColumns=True).unionByName(coupon, allowMissingColumns=True).groupBy(*key).agg(
+        *[F.coalesce(F.max(c), F.lit(0)).alias(c) for c in flags]
+    )
+    two_days = Window.partitionBy("customer_id", "site").orderBy(F.unix_date("sent_date")).rangeBetween(0, 1)
+    seen = days.withColumns({"opened": F.max("open").over(two_days), "bought": F.max("bought").over(two_days)})
+    treated = ((F.col("opened") == 1) & (F.col("bought") == 1)) | ((F.col("coupon") == 1) & (F.col("sent") == 1))
+    label = F.when(treated, "TG").when(F.col("control") == 1, "CG")
+    return seen.where(F.col("notified") == 1).select(*key, label.alias("grp")).where(F.col("grp").isNotNull())
 
 
 def covariates(persuaded_: DataFrame, orders: DataFrame, visits: DataFrame, cap: int = ROW_AMOUNT_CAP) -> DataFrame:

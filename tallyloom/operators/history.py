@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tallyloom.functions import dates
 from tallyloom.functions.columns import count_when, sum_when
 from tallyloom.operators.segments import SHARES_4, quantile_segments
+from tallyloom.session import cut_lineage
 
 # Yearly sale events as (month, day).
 SALE_EVENTS = [(5, 28), (7, 16), (12, 20)]
@@ -90,7 +91,7 @@ def _value(days: DataFrame, start: Column, end: Column) -> DataFrame:
 
 def past_segment(days: DataFrame, today: Column, months: int = 6) -> DataFrame:
     """Past value in four segments, 3 for the best and 0 for the rest."""
-    value = _value(days, F.add_months(today, -months), today)
+    value = cut_lineage(_value(days, F.add_months(today, -months), today))
     parts = quantile_segments(value, SHARES_4, "value", "customer_id", out="__q")
     return parts.select("customer_id", "value", (4 - F.substring("__q", 2, 1).cast("int")).alias("past_segment"))
 
@@ -102,7 +103,7 @@ def engage_target(population: DataFrame, days: DataFrame, today: Column, months:
         "customer_id", F.coalesce(F.col("sales").cast("double"), F.lit(0.0)).alias("money_eval"),
         F.coalesce("weeks", F.lit(0)).alias("frequency_eval"), F.coalesce("value", F.lit(0.0)).alias("engage_value"),
     )
-    return quantile_segments(rows, SHARES_4, "engage_value", "customer_id", out="true_segment")
+    return quantile_segments(cut_lineage(rows), SHARES_4, "engage_value", "customer_id", out="true_segment")
 
 
 def sum_counters(rows: DataFrame, key: str) -> DataFrame:

@@ -8,6 +8,7 @@ a greedy one and not claimed to be optimal.
 
 from __future__ import annotations
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -44,39 +45,38 @@ _PACKED = "city string, item_id long, day date, weight double, volume double, va
 def _pack_chunk(goods: pd.DataFrame, fleet: pd.DataFrame) -> pd.DataFrame:
     """Greedy packing of one chunk, day by day, oldest goods first, largest vehicle first."""
     goods = goods.sort_values(["day", "item_id"]).reset_index(drop=True)
-    goods["vehicle"] = None
-    goods["load"] = None
-    goods["assigned"] = None
     fleet = fleet.sort_values(["capacity_weight", "vehicle"], ascending=[False, True])
     trucks = list(fleet[["vehicle", "capacity_weight", "capacity_volume", "rate"]].itertuples(index=False))
     weight, volume, value = (goods[c].to_numpy() for c in ("weight", "volume", "value"))
+    days, ids = goods["day"].to_numpy(), goods["item_id"].to_numpy()
+    vehicle, load, assigned = (np.full(len(goods), None, dtype=object) for _ in range(3))
+    starts = [0, *(np.flatnonzero(days[1:] != days[:-1]) + 1).tolist(), len(goods)]
     waiting: list[int] = []
-    loads = 0
-    for day, positions in goods.groupby("day", sort=True).indices.items():
-        waiting += list(positions)
+    total_w = total_v = 0.0
+    for first, end in zip(starts, starts[1:], strict=False):
+        waiting += range(first, end)
+        total_w += float(weight[first:end].sum())
+        total_v += float(volume[first:end].sum())
         choice = 0
         while choice < len(trucks):
             truck = trucks[choice]
-            total_w, total_v = sum(weight[i] for i in waiting), sum(volume[i] for i in waiting)
             if truck.capacity_weight * MIN_FILL > total_w and truck.capacity_volume * MIN_FILL > total_v:
                 choice += 1
                 continue
-            taken, w, v, money = [], 0.0, 0.0, 0.0
+            taken, left, w, v, money = [], [], 0.0, 0.0, 0.0
             for i in waiting:
                 if w + weight[i] <= truck.capacity_weight and v + volume[i] <= truck.capacity_volume:
                     taken.append(i)
                     w, v, money = w + weight[i], v + volume[i], money + value[i]
+                else:
+                    left.append(i)
             filled = w >= truck.capacity_weight * MIN_FILL or v >= truck.capacity_volume * MIN_FILL
             if not taken or not filled or money * VALUE_SHARE < truck.rate:
                 choice += 1
                 continue
-            loads += 1
-            goods.loc[taken, "vehicle"] = truck.vehicle
-            goods.loc[taken, "load"] = f"{truck.vehicle}_{goods['item_id'].iloc[taken[0]]}_{loads}"
-            goods.loc[taken, "assigned"] = day
-            gone = set(taken)
-            waiting = [i for i in waiting if i not in gone]
-    return goods
+            vehicle[taken], load[taken], assigned[taken] = truck.vehicle, f"{truck.vehicle}_{ids[taken[0]]}", days[first]
+            waiting, total_w, total_v = left, total_w - w, total_v - v
+    return goods.assign(vehicle=vehicle, load=load, assigned=assigned)
 
 
 def pack(goods: DataFrame, fleet: DataFrame, chunk: int = 20_000, rounds: int = 2) -> DataFrame:

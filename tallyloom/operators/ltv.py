@@ -19,6 +19,7 @@ from tallyloom.functions import dates
 from tallyloom.functions.columns import ratio, rounded
 from tallyloom.operators.optimize import maximise
 from tallyloom.operators.segments import SHARES_5, quantile_segments
+from tallyloom.session import cut_lineage
 
 
 def weekly_summary(days: DataFrame, end: Column) -> DataFrame:
@@ -223,7 +224,7 @@ def output_table(scored: DataFrame, churned_: DataFrame, site: str, month: str)
 
     `scored`: customer_id, frequency, recency, age, value, purchases, p_alive, clv.
     """
-    alive = quantile_segments(scored.join(churned_, "customer_id", "left_anti"), SHARES_5, "purchases", "customer_id")
+    alive = quantile_segments(cut_lineage(scored.join(churned_, "customer_id", "left_anti")), SHARES_5, "purchases", "customer_id")
     names = {"purchases": "x_days_pred", "recency": "time_first_last", "p_alive": "p_alive_pred", "value": "sales_avg_past", "clv": "sales_pred"}
     rows = alive.select(
         "customer_id", F.col("frequency").alias("x_days_past_minus_1"), F.col("age").alias("time_first_end"),
@@ -236,4 +237,4 @@ def output_table(scored: DataFrame, churned_: DataFrame, site: str, month: str)
 def merge_scores(base: DataFrame, churn: DataFrame, growth: DataFrame, order: str) -> DataFrame:
     """Join value, churn and growth scores (missing scores count 0) and rank again in five segments."""
     rows = base.join(churn, "customer_id", "left").join(growth, "customer_id", "left").na.fill(0.0, ["churn_score", "growth_score"])
-    return quantile_segments(rows, SHARES_5, order, "customer_id", out="new_segment")
+    return quantile_segments(cut_lineage(rows), SHARES_5, order, "customer_id", out="new_segment")

@@ -188,8 +188,8 @@ def uplift_x(df: DataFrame, outcome: str, treated: str, columns: Sequence[str],
     """Imputed effects per arm, one regressor each, blended by a propensity model."""
     t, c = df.where(F.col(treated) == 1), df.where(F.col(treated) == 0)
     m1, m0 = fit(t, gbt_classifier(outcome, iterations), columns), fit(c, gbt_classifier(outcome, iterations), columns)
-    d1 = probability(m0, t, "__p").withColumn("__d", F.col(outcome) - F.col("__p")).drop("__p")
-    d0 = probability(m1, c, "__p").withColumn("__d", F.col("__p") - F.col(outcome)).drop("__p")
+    d1 = probability(m0, t, "__other").withColumn("__d", F.col(outcome) - F.col("__other")).drop("__other")
+    d0 = probability(m1, c, "__other").withColumn("__d", F.col("__other") - F.col(outcome)).drop("__other")
     tau1, tau0 = fit(d1, gbt_regressor("__d", iterations), columns), fit(d0, gbt_regressor("__d", iterations), columns)
     e = fit(df, forest_classifier(treated, 10, 4), columns)
     rows = predict(tau0, predict(tau1, probability(e, df, "__e"), "__t1"), "__t0")

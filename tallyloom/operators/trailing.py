@@ -11,7 +11,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyloom.functions.columns import day_number
@@ -40,18 +40,34 @@ def attach_trailing(
     rest = [c for c in anchors.columns if c != key]
     rows = anchors.select(key, F.col(anchor_day).alias("__day"), F.struct(*rest).alias("__anchor"))
     both = facts.unionByName(rows, allowMissingColumns=True).withColumn("__n", day_number("__day"))
-    place = Window.partitionBy(key).orderBy("__n")
-    out = {}
-    for name, m in measures.items():
-        frame = place.rangeBetween(m.start, m.end)
-        day = F.when(F.col("__fact") == 1, F.col("__day"))
-        out[name] = {
-            "count": lambda: F.count("__fact").over(frame),
-            "sum": lambda m=m: F.sum(m.column).over(frame),
-            "min": lambda m=m: F.min(m.column).over(frame),
-            "max": lambda m=m: F.max(m.column).over(frame),
-            "collect": lambda m=m: F.collect_list(m.column).over(frame),
-            "first": lambda: F.min(day).over(frame),
-            "last": lambda: F.max(day).over(frame),
-        }[m.kind]()
+    ahead = Window.partitionBy(key).orderBy("__n")
+    back = Window.partitionBy(key).orderBy(F.desc("__n"))
+    day = F.when(F.col("__fact") == 1, F.col("__day"))
+    anchor = F.col("__day")
+
+    def until(value: Column, end: int) -> Column:
+        return F.sum(value).over(ahead.rangeBetween(Window.unboundedPreceding, end))
+
+    def between(value: Column, m: Trailing) -> Column:
+        """Sum over the window as a difference of two running sums, which need no second look at a row."""
+        return F.coalesce(until(value, m.end), F.lit(0)) - F.coalesce(until(value, m.start - 1), F.lit(0))
+
+    def measure(m: Trailing) -> Column:
+        frame = ahead.rangeBetween(m.start, m.end)
+        if m.kind == "count":
+            return between(F.col("__fact").cast("long"), m)
+        if m.kind == "sum":
+            known = between(F.when(F.col(m.column).isNotNull(), 1).otherwise(0), m)
+            return F.when(known > 0, between(F.col(m.column), m))
+        if m.kind == "last":
+            last = F.max(day).over(ahead.rangeBetween(Window.unboundedPreceding, m.end))
+            return F.when(last >= F.date_add(anchor, m.start), last)
+        if m.kind == "first":
+            # Descending order turns "from here on" into a running frame.
+            first = F.min(day).over(back.rangeBetween(Window.unboundedPreceding, -m.start))
+            return F.when(first <= F.date_add(anchor, m.end), first)
+        function = {"min": F.min, "max": F.max, "collect": F.collect_list}[m.kind]
+        return function(F.col(m.column)).over(frame)
+
+    out = {name: measure(m) for name, m in measures.items()}
     return both.withColumns(out).where(F.col("__anchor").isNotNull()).select(key, "__anchor.*", *measures)

@@ -16,6 +16,7 @@ from tallyloom.operators import profile as pf
 from tallyloom.operators.sampling import bernoulli
 from tallyloom.plans.common import r6
 from tallyloom.plans.registry import query
+from tallyloom.session import cut_lineage
 from tallyloom.sources.tables import Tables
 
 
@@ -100,7 +101,7 @@ def _(t):
       WHEN row_number() OVER (ORDER BY sum(sales) DESC, customer_id) <= 2 * floor(count(*) OVER () * 0.1) + floor(count(*) OVER () * 0.2) THEN 'q3' ELSE 'q4' END AS segment FROM r_daily"""))
 def _(t):
     from tallyloom.operators.segments import SHARES_4, quantile_segments
-    block = r6(od.orders_frequency(od.daily_orders(valid(t)), end()))
+    block = cut_lineage(r6(od.orders_frequency(od.daily_orders(valid(t)), end())))
     return quantile_segments(block, SHARES_4, "money_sum", "customer_id")
 
 
