@@ -268,12 +268,17 @@ def dummy_outcome(users: DataFrame, key: str, outcome: str, estimate: Callable[[
 def sample_means(users: DataFrame, group: str, value: str, key: str, samples: int = 200, share: float = 0.1, seed: str = "m") -> DataFrame:
     """Means of repeated random samples per group, to see selection bias.
 
-    Each row is listed under the samples that draw it and added up in the same task.
+    Each row is listed under the samples that draw it and added up in the same task. One
+    hash of the key is scattered over the samples by odd multipliers.
     """
-    draws = F.filter(
-        F.sequence(F.lit(1), F.lit(samples)),
-        lambda i: F.pmod(F.xxhash64(F.lit(seed), F.col(key), i), F.lit(1_000_000)) < F.lit(int(share * 1_000_000)),
-    )
+    size = 2**31
+    base = F.pmod(key_hash(key, seed), F.lit(size))
+
+    def drawn(i: Column) -> Column:
+        factor = F.pmod(F.lit(1103515245) * (2 * i + 1), F.lit(size))
+        return F.pmod(base * factor, F.lit(size)) < F.lit(int(share * size))
+
+    draws = F.filter(F.sequence(F.lit(1).cast("long"), F.lit(samples).cast("long")), drawn)
     return users.select(group, F.col(value).alias("v"), F.explode(draws).alias("sample")).groupBy(group, "sample").agg(
         F.avg("v").alias("mean"), F.count(F.lit(1)).alias("n")
     )

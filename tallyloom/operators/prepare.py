@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyloom.functions.columns import as_column
+from tallyloom.operators.ranking import exact_quantiles
 
 
 def prefix_columns(df: DataFrame, prefix: str, exceptions: Sequence[str]) -> DataFrame:
@@ -159,16 +160,15 @@ def median_by_group(df: DataFrame, columns: Sequence[str], group: Sequence[str])
 
 
 def clip_upper(df: DataFrame, columns: Sequence[str], q: float = 0.95, approximate: bool = False) -> DataFrame:
-    """Values above the q-quantile become the quantile; one aggregate for all columns.
+    """Values above the q-quantile become the quantile, for all columns in one pass.
 
-    The exact quantile keeps a count per distinct value; `approximate` keeps a sketch.
+    The quantile is exact and interpolated; `approximate` takes it from a sketch instead.
     """
-
-    def quantile(c: str) -> Column:
-        value = F.col(c).cast("double")
-        return (F.percentile_approx(value, q, 100000) if approximate else F.percentile(value, q)).alias(c)
-
-    caps = df.agg(F.struct(*[quantile(c) for c in columns])).scalar()
+    if approximate:
+        caps = df.agg(F.struct(*[F.percentile_approx(F.col(c).cast("double"), q, 100000).alias(c) for c in columns])).scalar()
+    else:
+        found = exact_quantiles(df, columns, [q])
+        caps = found.agg(F.struct(*[F.max(F.when(F.col("feature") == c, F.col("quantiles")[0])).alias(c) for c in columns])).scalar()
     out = df.withColumn("__caps", caps)
     return out.withColumns(
         {c: F.when(F.col(c) > F.col("__caps").getField(c), F.col("__caps").getField(c)).otherwise(F.col(c).cast("double")) for c in columns}
@@ -187,15 +187,16 @@ def low_activity(df: DataFrame, sends: str, spend: str, limit: int) -> DataFrame
 
 def fit_scale(df: DataFrame, columns: Sequence[str], robust: bool = False) -> DataFrame:
     """Centre and spread per column as one row: mean and population std, or median and IQR."""
-    out = []
-    for c in columns:
-        v = F.col(c).cast("double")
-        if robust:
-            center, spread = F.percentile(v, 0.5), F.percentile(v, 0.75) - F.percentile(v, 0.25)
-        else:
-            center, spread = F.avg(v), F.stddev_pop(v)
-        out.append(F.struct(center.alias("center"), spread.alias("spread")).alias(c))
-    return df.agg(F.struct(*out).alias("scale"))
+    if robust:
+        found = exact_quantiles(df, columns, [0.25, 0.5, 0.75])
+
+        def part(c: str) -> Column:
+            q = F.max(F.when(F.col("feature") == c, F.col("quantiles")))
+            return F.struct(q[1].alias("center"), (q[2] - q[0]).alias("spread")).alias(c)
+
+        return found.agg(F.struct(*[part(c) for c in columns]).alias("scale"))
+    values = {c: F.col(c).cast("double") for c in columns}
+    return df.agg(F.struct(*[F.struct(F.avg(v).alias("center"), F.stddev_pop(v).alias("spread")).alias(c) for c, v in values.items()]).alias("scale"))
 
 
 def apply_scale(df: DataFrame, scale: DataFrame, columns: Sequence[str]) -> DataFrame:

@@ -171,6 +171,30 @@ def percent_rank_average(df: DataFrame, value: str, out: str = "pct_rank") -> Da
     return df.join(ranks, df[value].eqNullSafe(ranks["__value"]), "left").drop("__value")
 
 
+def exact_quantiles(df: DataFrame, columns: Sequence[str], shares: Sequence[float]) -> DataFrame:
+    """Interpolated quantiles of several columns: one row per column, an array with one value per share.
+
+    Distinct values are counted and added up in buckets, so no task holds all values.
+    """
+    cells = F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).cast("double").alias("value")) for c in columns])
+    counts = df.select(F.inline(cells)).where(F.col("value").isNotNull()).groupBy("feature", "value").agg(F.count(F.lit(1)).alias("__n"))
+    placed = running_totals(
+        counts, "value", F.lit(0), {"__upto": F.col("__n")}, group=["feature"], rank="__place", group_totals={"__total": "__upto"}
+    )
+
+    def at(index: Column) -> Column:
+        here = (F.col("__upto") - F.col("__n") <= index) & (index < F.col("__upto"))
+        return F.max(F.when(here, F.col("value")))
+
+    steps = [(F.col("__total") - 1) * F.lit(float(q)) for q in shares]
+    found = placed.groupBy("feature").agg(
+        *[at(F.floor(h)).alias(f"lo{i}") for i, h in enumerate(steps)], *[at(F.ceil(h)).alias(f"hi{i}") for i, h in enumerate(steps)],
+        *[F.max(h - F.floor(h)).alias(f"f{i}") for i, h in enumerate(steps)],
+    )
+    values = [F.col(f"lo{i}") + (F.col(f"hi{i}") - F.col(f"lo{i}")) * F.col(f"f{i}") for i in range(len(shares))]
+    return found.select("feature", F.array(*values).alias("quantiles"))
+
+
 def top_n(df: DataFrame, n: int, *order: Column) -> DataFrame:
     """Best n rows; plans a bounded heap per task, not a full sort."""
     return df.orderBy(*order).limit(n)

@@ -201,7 +201,8 @@ def _(t):
     return _one(t, ce.dummy_outcome(users(t), "id", "y", lambda df, y: ce.s_learner(df, y, "w", ["x"])))
 
 
-@query("ce_selection_bias")
+@query("ce_selection_bias", f"""
+    WITH {_U}, b AS (SELECT g, x, {hx('id', 'm')} % 2147483648 AS h FROM r) SELECT g, i AS sample, round(avg(x), 6) AS mean, count(*) AS n FROM b, range(1, 201) q(i) WHERE (h * ((1103515245 * (2 * i + 1)) % 2147483648)) % 2147483648 < 214748364 GROUP BY 1, 2""")
 def _(t):
     return r6(ce.sample_means(users(t), "g", "x", "id"))
 

@@ -258,7 +258,9 @@ def _(t):
     return pp.draw_missing(recency_rows(t).select("customer_id", "os"), "os", "customer_id")
 
 
-@query("imp_forest")
+@query("imp_forest", """
+    WITH b AS (SELECT customer_id, segment, CASE WHEN balance > 0 THEN balance::DOUBLE END AS v FROM r_customers), m AS (SELECT segment, quantile_disc(v, 0.5) AS m FROM b GROUP BY 1)
+    SELECT customer_id, segment, COALESCE(v, m) AS balance FROM b JOIN m USING (segment)""")
 def _(t):
     rows = t.customers.select("customer_id", "segment", F.when(F.col("balance") > 0, F.col("balance").cast("double")).alias("balance"))
     return pp.median_by_group(rows, ["balance"], ["segment"])
