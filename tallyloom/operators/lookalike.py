@@ -92,18 +92,22 @@ def blocked_nearest(
     left = rows.join(sizes, keys).select(
         "id", "vec", *keys, F.pmod(F.xxhash64("id"), F.col("rb").cast("long")).alias("__r"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("sb").cast("long") - 1)).alias("__s")
     )
+    # The seeds often come from the same frame as the rows: new names keep the two sides apart.
     right = seeds.join(sizes, keys).select(
-        "seed_id", "vec", *keys, F.explode(F.sequence(F.lit(0).cast("long"), F.col("rb").cast("long") - 1)).alias("__r"), F.pmod(F.xxhash64("seed_id"), F.col("sb").cast("long")).alias("__s")
+        F.col("seed_id").alias("__seed"), F.col("vec").alias("__seed_vec"), *[F.col(c).alias(f"__k_{c}") for c in keys],
+        F.explode(F.sequence(F.lit(0).cast("long"), F.col("rb").cast("long") - 1)).alias("__seed_r"),
+        F.pmod(F.xxhash64("seed_id"), F.col("sb").cast("long")).alias("__seed_s"),
     )
 
     def meet(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
         if a.empty or b.empty:
             return pd.DataFrame({"id": pd.Series(dtype="int64"), "seed_id": pd.Series(dtype="int64"), "distance": pd.Series(dtype="float64")})
-        b = b.sort_values("seed_id")
-        return _nearest(a["id"].to_numpy(), _matrix(a["vec"]), b["seed_id"].to_numpy(), _matrix(b["vec"]), k, metric)
+        b = b.sort_values("__seed")
+        return _nearest(a["id"].to_numpy(), _matrix(a["vec"]), b["__seed"].to_numpy(), _matrix(b["__seed_vec"]), k, metric)
 
-    place = [*keys, "__r", "__s"]
-    candidates = left.groupBy(*place).cogroup(right.groupBy(*place)).applyInPandas(meet, _OUT)
+    by_rows = left.groupBy(*keys, "__r", "__s")
+    by_seeds = right.groupBy(*[f"__k_{c}" for c in keys], "__seed_r", "__seed_s")
+    candidates = by_rows.cogroup(by_seeds).applyInPandas(meet, _OUT)
     return _merge(candidates, k)
 
 

@@ -117,13 +117,13 @@ def test_series_impact(spark):
     rng = np.random.default_rng(3)
     days = pd.date_range("2024-01-01", periods=120)
     x = rng.normal(100, 10, 120)
-    y = 5 + 0.7 * x + rng.normal(0, 0.5, 120)
+    y = 5 + 0.7 * x + rng.normal(0, 0.1, 120)
     y[90:] += 6
     df = spark.createDataFrame(pd.DataFrame({"day": days.date, "y": y, "x": x, "s": "a"}))
     cut = F.lit("2024-03-30").cast("date")
     one = ce.series_impact(df, "s", "day", "y", "x", cut, F.date_add(cut, 1)).orderBy(F.desc("day")).first()["cumulative"]
     many = ce.series_impact_many(df, "day", "y", ["x"], cut, F.date_add(cut, 1)).orderBy(F.desc("day")).first()["cumulative"]
-    assert one == pytest.approx(180, abs=6) and many == pytest.approx(one)
+    assert one == pytest.approx(180, abs=3) and many == pytest.approx(one)
 
 
 def test_beta_draws(spark):
