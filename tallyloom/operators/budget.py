@@ -22,9 +22,11 @@ def daily_spend(pays: DataFrame, coupons: DataFrame, tools: DataFrame, start: Co
 def expand(spend: DataFrame, start: str, end: str) -> DataFrame:
     """All days of the period for each site, missing days 0, and the running total."""
     days = F.sequence(F.lit(start).cast("date"), F.lit(end).cast("date"), F.expr("interval 1 day"))
-    calendar = spend.select("site").distinct().select("site", F.explode(days).alias("day"))
+    known = spend.groupBy("site").agg(F.map_from_entries(F.collect_list(F.struct("day", "amount"))).alias("__spent"))
+    rows = known.select("site", F.explode(days).alias("day"), "__spent").select(
+        "site", "day", F.coalesce(F.element_at("__spent", F.col("day")), F.lit(0).cast(spend.schema["amount"].dataType)).alias("amount")
+    )
     upto = Window.partitionBy("site").orderBy("day").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    rows = calendar.join(spend, ["site", "day"], "left").na.fill(0, ["amount"])
     return rows.withColumn("acc_amount", F.sum("amount").over(upto))
 
 

@@ -80,20 +80,22 @@ def blocked_nearest(
     `rows`: id, vec, keys; `seeds`: seed_id, vec, keys. Each key is cut into blocks of about
     `block` rows and seeds by a hash; every row block meets every seed block of its key.
     """
-    if not keys:
-        rows, seeds = rows.withColumn("__key", F.lit(0)), seeds.withColumn("__key", F.lit(0))
-        keys = ["__key"]
     keys = list(keys)
+    if keys:
 
-    def blocks(df: DataFrame, name: str) -> DataFrame:
-        return df.groupBy(*keys).agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias(name))
+        def blocks(df: DataFrame, name: str) -> DataFrame:
+            return df.groupBy(*keys).agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias(name))
 
-    sizes = blocks(rows, "rb").join(blocks(seeds, "sb"), keys)
-    left = rows.join(sizes, keys).select(
+        sizes = blocks(rows, "rb").join(blocks(seeds, "sb"), keys)
+        rows, seeds = rows.join(sizes, keys), seeds.join(sizes, keys)
+    else:
+        rb, sb = (F.lit(max(1, -(-df.count() // block))) for df in (rows, seeds))
+        rows, seeds = (df.withColumns({"rb": rb, "sb": sb}) for df in (rows, seeds))
+    left = rows.select(
         "id", "vec", *keys, F.pmod(F.xxhash64("id"), F.col("rb").cast("long")).alias("__r"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("sb").cast("long") - 1)).alias("__s")
     )
     # The seeds often come from the same frame as the rows: new names keep the two sides apart.
-    right = seeds.join(sizes, keys).select(
+    right = seeds.select(
         F.col("seed_id").alias("__seed"), F.col("vec").alias("__seed_vec"), *[F.col(c).alias(f"__k_{c}") for c in keys],
         F.explode(F.sequence(F.lit(0).cast("long"), F.col("rb").cast("long") - 1)).alias("__seed_r"),
         F.pmod(F.xxhash64("seed_id"), F.col("sb").cast("long")).alias("__seed_s"),

@@ -31,59 +31,61 @@ def purchases_shipping(
 ) -> DataFrame:
     """Carts, sellers in 30-day bins, purchases by device and condition, shipping kinds, main device.
 
-    Distinct sellers and orders are counted in steps (per seller, per order, then per
-    customer), so no distinct aggregate multiplies the rows.
+    The joined lines are read once: each line counts towards its order, its seller and its
+    cart; these are reduced to one row each, and then counted per customer. This takes the
+    place of several distinct counts and of one pass over the join for each of them.
     """
     forward = shipments.where((F.col("kind") == "forward") & F.col("shipped").between(start, end)).select(
         F.col("shipment_id").alias("order_id"), "shipment_id", "cart_id", "cart_type", "picking", "free_flag"
     )
     rows = valid.join(devices, "channel", "left").join(forward, "order_id", "left")
-    day, mobile = F.col("created"), F.col("device_kind") == "Mobile-APP"
-    key = F.col("buyer_id").alias("customer_id")
-
-    lines = rows.groupBy(key).agg(
-        count_when(F.col("grocery")).alias("grocery_lines"),
-        sum_when(F.col("device_kind") == "Desktop").alias("desktop_purchase"),
-        sum_when(F.col("device_kind") == "Mobile-WEB").alias("mobile_web_purchase"),
-        sum_when(mobile & (F.col("device_app") == "android")).alias("android_purchase"),
-        sum_when(mobile & (F.col("device_app") == "iphone")).alias("ios_purchase"),
-        sum_when(F.col("item_condition") == "new").alias("new_items"),
-        sum_when(F.col("item_condition") == "used").alias("used_items"),
-    ).withColumn("main_device", greatest_label(DEVICE_COUNTERS))
+    mobile = F.col("device_kind") == "Mobile-APP"
 
-    orders = rows.groupBy(key, "order_id").agg(
-        F.max(F.coalesce("free_flag", F.lit(0))).alias("free"),
-        F.max(F.col("shipment_id").isNull()).alias("unshipped"),
-        F.max(F.coalesce("cart_type", F.lit(0)) == 0).alias("no_cart"),
-        F.max(F.coalesce(F.col("picking") == "drop_off", F.lit(False))).alias("drop_off"),
-    ).groupBy("customer_id").agg(
-        count_when(F.col("free") >= 1).alias("orders_free_shipping"),
-        count_when(F.col("unshipped")).alias("orders_unshipped"),
-        count_when(F.col("no_cart")).alias("orders_no_cart"),
-        count_when(F.col("drop_off")).alias("orders_drop_off"),
-    )
+    def after(days: int) -> Column:
+        return F.col("created") >= F.date_sub(end, days)
+
+    lines = {
+        "grocery_lines": F.col("grocery"),
+        "desktop_purchase": F.col("device_kind") == "Desktop",
+        "mobile_web_purchase": F.col("device_kind") == "Mobile-WEB",
+        "android_purchase": mobile & (F.col("device_app") == "android"),
+        "ios_purchase": mobile & (F.col("device_app") == "iphone"),
+        "new_items": F.col("item_condition") == "new",
+        "used_items": F.col("item_condition") == "used",
+    }
+    flags = {
+        "order": [
+            F.coalesce("free_flag", F.lit(0)) >= 1, F.col("shipment_id").isNull(), F.coalesce("cart_type", F.lit(0)) == 0,
+            F.coalesce(F.col("picking") == "drop_off", F.lit(False)),
+        ],
+        "seller": [after(30), after(60) & ~after(30), after(90) & ~after(60), F.lit(False)],
+        "cart": [F.lit(False)] * 4,
+    }
+    ids = {"order": "order_id", "seller": "seller_id", "cart": "cart_id"}
+
+    def entry(kind: str) -> Column:
+        counted = [
+            (F.when(condition, 1).otherwise(0) if kind == "order" else F.lit(0)).cast("long").alias(name) for name, condition in lines.items()
+        ]
+        marks = [mark.alias(f"f{i}") for i, mark in enumerate(flags[kind])]
+        return F.struct(F.lit(kind).alias("entry"), F.col(ids[kind]).cast("long").alias("id"), *counted, *marks)
 
-    carts = rows.where(F.col("cart_id").isNotNull()).select(key, "cart_id").distinct().groupBy("customer_id").agg(
-        F.count(F.lit(1)).alias("carts")
+    entries = rows.select(F.col("buyer_id").alias("customer_id"), F.inline(F.array(*[entry(k) for k in ids])))
+    each = entries.where(F.col("id").isNotNull()).groupBy("customer_id", "entry", "id").agg(
+        *[F.sum(c).alias(c) for c in lines], *[F.max(f"f{i}").alias(f"f{i}") for i in range(4)]
     )
 
-    def after(days: int) -> Column:
-        return day >= F.date_sub(end, days)
-
-    sellers = rows.groupBy(key, "seller_id").agg(
-        F.max(after(30)).alias("d30"),
-        F.max(after(60) & ~after(30)).alias("d60"),
-        F.max(after(90) & ~after(60)).alias("d90"),
-    ).groupBy("customer_id").agg(
-        count_when(F.col("d30")).alias("sellers_30"),
-        count_when(F.col("d60")).alias("sellers_60_30"),
-        count_when(F.col("d90")).alias("sellers_90_60"),
-        F.count(F.lit(1)).alias("sellers_long"),
-    )
-    return (
-        lines.join(orders, "customer_id").join(sellers, "customer_id").join(carts, "customer_id", "left")
-        .na.fill(0, ["carts"])
-    )
+    def number(kind: str, mark: int | None = None) -> Column:
+        here = F.col("entry") == kind
+        return count_when(here if mark is None else here & F.col(f"f{mark}"))
+
+    return each.groupBy("customer_id").agg(
+        *[F.sum(c).alias(c) for c in lines],
+        number("order", 0).alias("orders_free_shipping"), number("order", 1).alias("orders_unshipped"),
+        number("order", 2).alias("orders_no_cart"), number("order", 3).alias("orders_drop_off"),
+        number("seller", 0).alias("sellers_30"), number("seller", 1).alias("sellers_60_30"),
+        number("seller", 2).alias("sellers_90_60"), number("seller").alias("sellers_long"), number("cart").alias("carts"),
+    ).withColumn("main_device", greatest_label(DEVICE_COUNTERS))
 
 
 def tenure(customers: DataFrame, first_days: DataFrame, population: DataFrame, today: Column) -> DataFrame:

@@ -105,8 +105,10 @@ def evaluate(df: DataFrame, outcome: str, treated: str, score: str, tie: str, mo
     """The five metrics of a model (or of several, one row each)."""
     summary = bucket_summary(df, outcome, treated, score, tie, model)
     if not model:
-        parts = [f(summary.withColumn("model", F.lit("model")), ["model"]) for f in (lift_top, gain, qini)]
-        return parts[0].join(parts[1], "model").join(parts[2], "model").drop("model")
+        one_row = [gain(summary).select(F.struct("*")).scalar(), qini(summary).select("qini").scalar()]
+        return lift_top(summary).withColumns({"__gain": one_row[0], "qini": one_row[1]}).select(
+            "lift_top10", "uplift_two_buckets", "uplift_top30", "__gain.*", "qini"
+        )
     return lift_top(summary, model).join(gain(summary, model), list(model)).join(qini(summary, model), list(model))
 
 
@@ -142,9 +144,9 @@ def _row_area(df: DataFrame, outcome: str, treated: str, score: Column | str) ->
 def qini_auc(df: DataFrame, outcome: str, treated: str, score: str) -> DataFrame:
     """Row-level Qini AUC: area over the diagonal, as a share of the perfect ordering's."""
     perfect_score = F.col(outcome) * (2 * F.col(treated) - 1)
-    actual = _row_area(df, outcome, treated, score).select(F.lit(1).alias("k"), (F.col("area") - F.col("last") * F.col("size") / 2).alias("a"))
-    perfect = _row_area(df, outcome, treated, perfect_score).select(F.lit(1).alias("k"), (F.col("area") - F.col("last") * F.col("size") / 2).alias("p"))
-    return actual.join(perfect, "k").select(ratio("a", "p").alias("qini_auc"))
+    over_diagonal = F.col("area") - F.col("last") * F.col("size") / 2
+    perfect = _row_area(df, outcome, treated, perfect_score).select(over_diagonal.alias("p"))
+    return _row_area(df, outcome, treated, score).select(ratio(over_diagonal, perfect.scalar()).alias("qini_auc"))
 
 
 def split_gains(df: DataFrame, features: Sequence[str], outcome: str, treated: str, bins: int = 32) -> DataFrame:

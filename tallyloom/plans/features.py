@@ -172,11 +172,11 @@ _TENURE = f"""
     LEFT JOIN (SELECT seller_id AS customer_id, min(created) AS first_sale FROM r_lines WHERE status = 'paid' GROUP BY 1) s USING (customer_id)"""
 
 
-def tenure_block(t):
+def tenure_block(t, population=None):
     customers = t.customers.select("customer_id", "registered", F.when(F.col("status") == "active", F.date_add("registered", 30)).alias("first_listing"))
     buys = t.orders.where("status = 'paid'").groupBy(F.col("buyer_id").alias("customer_id")).agg(F.min("created").alias("first_buy"))
     sales = t.order_lines.where("status = 'paid'").groupBy(F.col("seller_id").alias("customer_id")).agg(F.min("created").alias("first_sale"))
-    return pf.tenure(customers, buys.join(sales, "customer_id", "full"), pop(t), end())
+    return pf.tenure(customers, buys.join(sales, "customer_id", "full"), pop(t) if population is None else population, end())
 
 
 @query("fb_tenure", _TENURE)
@@ -320,12 +320,14 @@ def registry_block(t):
     SELECT p.customer_id, f.* EXCLUDE (customer_id), y.* EXCLUDE (customer_id), n.* EXCLUDE (customer_id)
     FROM r_population p LEFT JOIN f USING (customer_id) LEFT JOIN y USING (customer_id) LEFT JOIN n USING (customer_id)""")
 def _(t):
+    # Every block restricts its source to the population: it is written once and read by all.
+    population = cut_lineage(pop(t))
     blocks = [
         od.orders_frequency(od.daily_orders(valid(t)), end()),
-        pf.payments(t.payments, t.order_bonus, pop(t), start(), end(), "O"),
-        tenure_block(t),
+        pf.payments(t.payments, t.order_bonus, population, start(), end(), "O"),
+        tenure_block(t, population),
     ]
-    return r6(jn.join_blocks(pop(t), blocks, ["customer_id"]))
+    return r6(jn.join_blocks(population, blocks, ["customer_id"]))
 
 
 PANEL_DATES = dates.reference_dates(dt.date(1998, 12, 31), seed=7)
