@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from tallyloom.functions.columns import ratio
 from tallyloom.operators.aggregates import first_row
 from tallyloom.operators.ranking import global_rank
+from tallyloom.session import cut_lineage
 
 # Least share of a vehicle that must be filled, and share of the goods' value that pays for it.
 MIN_FILL = 0.8
@@ -86,8 +87,8 @@ def pack(goods: DataFrame, fleet: DataFrame, chunk: int = 20_000, rounds: int =
     capacity_weight, capacity_volume, rate.
     """
     names = ["city", "item_id", "day", "weight", "volume", "value"]
-    waiting = goods.select(
-        "city", F.col("item_id").cast("long").alias("item_id"), "day", *[F.col(c).cast("double").alias(c) for c in names[3:]]
+    waiting = cut_lineage(
+        goods.select("city", F.col("item_id").cast("long").alias("item_id"), "day", *[F.col(c).cast("double").alias(c) for c in names[3:]])
     )
 
     def run(pair_goods: pd.DataFrame, pair_fleet: pd.DataFrame) -> pd.DataFrame:

@@ -1,6 +1,9 @@
 """Results do not depend on layout, ties or hot keys."""
 
+import os
 import random
+import subprocess
+import sys
 
 import numpy as np
 import pandas as pd
@@ -229,3 +232,18 @@ def test_packing_keeps_its_constraints(spark, chunk):
     assert ((loads.weight_share >= 0.8 - 1e-9) | (loads.volume_share >= 0.8 - 1e-9)).all()
     assert (loads["value"] * 0.1 >= loads["rate"] - 1e-9).all()
     assert ld.load_delay(packed).agg(F.min("delay")).first()[0] >= 0
+
+
+def test_tasks_need_no_copy_of_the_package(tmp_path):
+    """Python workers started elsewhere must be able to run the functions of this package."""
+    code = (
+        "import sys; sys.path.insert(0, sys.argv[1])\n"
+        "import __spark_entry__ as e\n"
+        "from tallyloom.session import local_session\n"
+        "spark = local_session(2, 2)\n"
+        "print('rows', e.queries()['lk_knn'](spark, '/root/testdata/sf0.001').count())\n"
+    )
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    out = subprocess.run([sys.executable, "-c", code, root], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=300)
+    assert "rows" in out.stdout, out.stderr[-2000:]
