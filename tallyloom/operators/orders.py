@@ -17,13 +17,18 @@ def valid_orders(
     lines: DataFrame, period: Period = DEFAULT_PERIOD, site: str = "O", limit: int = AMOUNT_LIMIT,
     delay: int = MAX_CLOSE_DELAY_DAYS,
 ) -> DataFrame:
-    """Paid, one site, below the amount limit, closed in the period and soon after creation."""
+    """Paid, one site, below the amount limit, closed in the period and soon after creation.
+
+    The earliest creation date follows from the other two rules; stated, it can filter the
+    order headers before they are joined.
+    """
     return lines.where(
         (F.col("status") == "paid")
         & (F.col("site") == site)
         & (F.col("amount") < limit)
         & F.col("closed").between(date_lit(period.start), date_lit(period.end))
         & (F.col("created") >= F.date_sub("closed", delay))
+        & (F.col("created") >= F.date_sub(date_lit(period.start), delay))
         & ~F.col("auto_offer")
         & ~F.col("bonus")
     )
