@@ -35,7 +35,7 @@ def rows_of(columns, rows):
     return [columns[i] for i in order], sorted(out, key=lambda r: [(v is None, str(type(v)), v if v is not None else 0) for v in r])
 
 
-KINDS = {"long": "BIGINT", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR"}
+KINDS = {"boolean": "BOOLEAN", "int": "INTEGER", "long": "BIGINT", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR"}
 
 
 def compare(df, con, sql):
