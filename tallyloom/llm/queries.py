@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyloom.llm import decontaminate, language, mixing, quality, sharding
+from tallyloom.llm import decontaminate, fingerprint, language, mixing, quality, sharding, similar
 from tallyloom.llm.common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -65,3 +65,33 @@ def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register
 def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(read_table(spark, sf_dir, "documents"))
+
+
+@register
+def op6_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return similar.similar_documents(read_table(spark, sf_dir, "documents"))
+
+
+ORACLES["op6_ngram_join"] = r"""
+WITH RECURSIVE w AS (
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                      '[^\x20\x09-\x0D]+') AS words FROM documents),
+grams AS (
+    SELECT DISTINCT doc_id, array_to_string(words[pos:pos + 4], ' ') AS gram
+    FROM w, unnest(range(1, greatest(2, len(words) - 3))) AS u(pos) WHERE len(words) > 0),
+sizes AS (SELECT doc_id, count(*) AS n FROM grams GROUP BY doc_id),
+pairs AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS common FROM grams a JOIN grams b ON a.gram = b.gram AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+links AS (
+    SELECT x, y FROM pairs JOIN sizes p ON x = p.doc_id JOIN sizes q ON y = q.doc_id WHERE 100 * common >= 75 * (p.n + q.n - common)),
+reached(doc_id, node) AS (
+    SELECT doc_id, doc_id FROM w
+    UNION
+    SELECT reached.doc_id, y FROM reached JOIN links ON node = x)
+SELECT w.doc_id, CAST(coalesce(max(n), 0) AS BIGINT) AS n_shingles, min(node) AS component_id
+FROM w JOIN reached ON w.doc_id = reached.doc_id LEFT JOIN sizes ON w.doc_id = sizes.doc_id GROUP BY w.doc_id
+"""
+
+
+@register
+def op4_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint.fingerprint_documents(read_table(spark, sf_dir, "documents"))
