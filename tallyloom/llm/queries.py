@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyloom.llm import decontaminate, fingerprint, language, mixing, quality, sharding, similar
+from tallyloom.llm import decontaminate, fingerprint, language, lines, mixing, quality, sharding, similar
 from tallyloom.llm.common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -95,3 +95,36 @@ FROM w JOIN reached ON w.doc_id = reached.doc_id LEFT JOIN sizes ON w.doc_id = s
 @register
 def op4_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint.fingerprint_documents(read_table(spark, sf_dir, "documents"))
+
+
+@register
+def op1_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.remove_boilerplate(read_table(spark, sf_dir, "documents"))
+
+
+@register
+def op10_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.remove_repeats(read_table(spark, sf_dir, "documents"))
+
+
+LINES_SQL = r"""
+WITH l AS (
+    SELECT doc_id, source, i, line, sum(length(line) + 1) OVER (PARTITION BY doc_id ORDER BY i) - length(line) - 1 AS start,
+           regexp_extract_all(translate(line, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS words
+    FROM (SELECT doc_id, source, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
+                 unnest(range(len(string_split(coalesce(text, ''), chr(10))))) AS i FROM documents)),
+u AS (SELECT *, array_to_string(words, ' ') AS unit, len(words) AS n FROM l),
+@marked@
+SELECT d.doc_id, count(*) FILTER (n > 0) AS n_lines, count(*) FILTER (gone) AS n_removed,
+       coalesce(string_agg(CAST(start AS BIGINT) || '-' || CAST(start + length(line) AS BIGINT), ',' ORDER BY i) FILTER (gone), '') AS removed_spans,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT gone), '')) AS kept_sha256
+FROM documents d LEFT JOIN m ON d.doc_id = m.doc_id GROUP BY d.doc_id
+"""
+ORACLES["op1_lines"] = LINES_SQL.replace(
+    "@marked@",
+    """b AS (SELECT unit FROM u WHERE n > 0 GROUP BY unit HAVING count(DISTINCT coalesce('s' || source, 'z')) >= 10),
+m AS (SELECT u.*, n > 0 AND unit IN (SELECT unit FROM b) AS gone FROM u)""",
+)
+ORACLES["op10_repeats"] = LINES_SQL.replace(
+    "@marked@", "m AS (SELECT *, n >= 6 AND row_number() OVER (PARTITION BY unit ORDER BY doc_id, i) > 1 AS gone FROM u)"
+)
