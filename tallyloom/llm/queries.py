@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyloom.llm import decontaminate, fingerprint, language, lines, mixing, quality, sharding, similar
+from tallyloom.llm import decontaminate, fingerprint, language, lines, mixing, quality, sharding, similar, substrings
 from tallyloom.llm.common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -107,6 +107,11 @@ def op10_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.remove_repeats(read_table(spark, sf_dir, "documents"))
 
 
+@register
+def op7_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.remove_repeated(read_table(spark, sf_dir, "documents"))
+
+
 LINES_SQL = r"""
 WITH l AS (
     SELECT doc_id, source, i, line, sum(length(line) + 1) OVER (PARTITION BY doc_id ORDER BY i) - length(line) - 1 AS start,
