@@ -153,7 +153,7 @@ def fingerprint_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "
     spark = docs.sparkSession
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     ranges = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    bounds = sorted(set(rows.select(F.col("doc_id").cast("double").alias("d")).approxQuantile("d", [i / ranges for i in range(1, ranges)], 1 / (4 * ranges))))
+    bounds = sorted({0.0} | set(rows.select(F.col("doc_id").cast("double").alias("d")).approxQuantile("d", [i / ranges for i in range(1, ranges)], 1 / (4 * ranges))))  # one bound at least, for an empty table
     splits = [-float("inf"), *bounds, float("inf")]
     slot = Bucketizer(splits=splits, inputCol="__d", outputCol="__slot", handleInvalid="keep")
     dealt = slot.transform(rows.withColumn("__d", F.coalesce(F.col("doc_id").cast("double"), F.lit(float("nan")))))

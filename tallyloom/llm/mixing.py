@@ -51,7 +51,7 @@ def source_targets(sizes: DataFrame, cap: int = 3, weights: int = 3) -> DataFram
         .withColumn("upto", F.sum("target").over(upto))
         .withColumn("start", F.coalesce(F.lag("upto").over(Window.orderBy("skey")), F.lit(0.0)))
         .withColumn("last", F.row_number().over(Window.orderBy(F.desc("skey"))) == 1)
-        .select("skey", "source", "source_size", "weight", "total", "target", (F.col("start") / F.col("total")).alias("lo"), F.when(F.col("last"), 2.0).otherwise(F.col("upto") / F.col("total")).alias("hi"))
+        .select("skey", "source", "source_size", "weight", "total", "target", F.try_divide("start", "total").alias("lo"), F.when(F.col("last"), 2.0).otherwise(F.try_divide("upto", "total")).alias("hi"))
     )
 
 

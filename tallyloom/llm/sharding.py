@@ -36,39 +36,28 @@ def grow(slot_map: DataFrame, shards: int) -> DataFrame:
     """
     order = Window.orderBy(F.desc("nth"), "shard", "vslot")
     ranked = slot_map.withColumn("nth", F.row_number().over(Window.partitionBy("shard").orderBy("vslot")))
-    total = slot_map.agg(F.count("*").alias("slots"))
-    return (
-        ranked.withColumn("turn", F.row_number().over(order))
-        .join(F.broadcast(total), F.col("turn") <= F.expr(f"slots div {shards + 1}"), "left")
-        .select("vslot", F.when(F.col("slots").isNotNull(), F.lit(shards)).otherwise(F.col("shard")).alias("shard"), (F.col("version") + 1).alias("version"))
-    )
+    goes = F.row_number().over(order) <= F.expr(f"count(*) over () div {shards + 1}")
+    return ranked.select("vslot", F.when(goes, F.lit(shards)).otherwise(F.col("shard")).alias("shard"), (F.col("version") + 1).alias("version"))
 
 
-def rebalance(slot_map: DataFrame, loads: DataFrame, tolerance: float = 0.05) -> DataFrame:
-    """Next version that evens out bytes: shards above the mean hand their smallest slots to shards below it.
+def rebalance(slot_map: DataFrame, loads: DataFrame) -> DataFrame:
+    """Next version that evens out bytes: shards above the mean hand slots to shards below it.
 
-    `loads` has (vslot, bytes). A shard above mean * (1 + tolerance) gives slots away, smallest first, while it stays at
-    or above the mean. Given slots queue up by size and fill the free space of the other shards in order, by cumulative
-    bytes, without passing the mean; what fits nowhere stays where it was. All tables have at most SLOTS rows.
+    `loads` has (vslot, bytes). A shard above the mean keeps its smallest slots as far as they fit into the mean, and the
+    rest of its slots queue up. The shards below the mean line up with their free space, and the queue is laid along it by
+    cumulative bytes: a slot goes to the shard in whose space its middle falls. All tables have at most SLOTS rows.
     """
+    of_shard, everything = Window.partitionBy("shard"), Window.partitionBy()
     full = slot_map.join(loads, "vslot", "left").withColumn("bytes", F.coalesce("bytes", F.lit(0)).cast("long"))
-    per = full.groupBy("shard").agg(F.sum("bytes").alias("held"))
-    mean = per.agg(F.avg("held").alias("mean"))
-    per = per.join(F.broadcast(mean), F.col("held").isNotNull())
-    run = Window.partitionBy("shard").orderBy("bytes", "vslot").rowsBetween(Window.unboundedPreceding, 0)
-    given = (
-        full.join(F.broadcast(per), "shard")
-        .withColumn("gone", F.sum("bytes").over(run))
-        .filter((F.col("held") > F.col("mean") * (1 + tolerance)) & (F.col("held") - F.col("gone") >= F.col("mean")) & (F.col("bytes") > 0))
-        .withColumn("queue", F.sum("bytes").over(Window.orderBy(F.desc("bytes"), "vslot").rowsBetween(Window.unboundedPreceding, 0)))
-        .select("vslot", "queue", F.col("bytes").alias("size"))
-    )
-    free = (
-        per.filter("held < mean")
-        .withColumn("upto", F.sum(F.col("mean") - F.col("held")).over(Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, 0)))
-        .select(F.col("shard").alias("taker"), "upto", (F.col("upto") - (F.col("mean") - F.col("held"))).alias("start"))
-    )
-    moved = given.join(F.broadcast(free), (F.col("queue") - F.col("size") >= F.col("start")) & (F.col("queue") <= F.col("upto"))).select("vslot", "taker")
+    shards = F.size(F.collect_set("shard").over(everything))
+    full = full.withColumn("held", F.sum("bytes").over(of_shard)).withColumn("mean", F.sum("bytes").over(everything) / shards)
+    running = F.sum("bytes").over(of_shard.orderBy("bytes", "vslot").rowsBetween(Window.unboundedPreceding, 0))
+    upto_here = Window.orderBy(F.desc("bytes"), "vslot").rowsBetween(Window.unboundedPreceding, 0)
+    queue = full.withColumn("running", running).filter("running > mean and bytes > 0").select("vslot", "shard", "bytes", (F.sum("bytes").over(upto_here) - F.col("bytes") / 2).alias("middle"))
+    free = full.filter("held < mean").groupBy("shard").agg(F.max(F.col("mean") - F.col("held")).alias("room"))
+    free = free.select(F.col("shard").alias("taker"), "room", F.sum("room").over(Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, 0)).alias("stop"))
+    fits = (F.col("middle") >= F.col("stop") - F.col("room")) & (F.col("middle") < F.col("stop"))
+    moved = queue.join(F.broadcast(free), fits).select("vslot", "taker")
     return slot_map.join(moved, "vslot", "left").select("vslot", F.coalesce("taker", "shard").alias("shard"), (F.col("version") + 1).alias("version"))
 
 
