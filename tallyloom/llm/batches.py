@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-PIECE_BYTES = 4 << 20
+PIECE_BYTES = 1 << 18
 BASE = 0x9E3779B97F4A7C15 | 1
 BASE_INVERSE = pow(BASE, -1, 1 << 64)
 
@@ -72,16 +72,15 @@ class Prefix:
 def word_bounds(data: np.ndarray, offsets: np.ndarray, is_word: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(starts, stops, row) of the maximal runs of bytes with is_word[byte]; words never span rows."""
     inside = is_word[data]
-    before = np.empty(len(data) + 1, dtype=bool)
-    before[0], before[1:] = False, inside
-    heads = np.flatnonzero(inside & ~before[:-1])
-    tails = np.flatnonzero(before[1:] & ~np.append(inside[1:], False)) + 1
-    cuts = offsets[1:-1]
-    cuts = cuts[(cuts > 0) & (cuts < len(data))]
-    cuts = np.unique(cuts)
-    cuts = cuts[inside[cuts] & inside[cuts - 1]]  # a row ends and the next one begins inside a run
-    starts, stops = np.union1d(heads, cuts), np.union1d(tails, cuts)
-    return starts, stops, np.searchsorted(offsets, starts, side="right") - 1
+    opens = np.zeros(len(data) + 1, dtype=bool)  # a word cannot go on here
+    opens[offsets] = True
+    opens[1:-1] |= ~inside[:-1]
+    starts = np.flatnonzero(inside & opens[:-1])
+    opens[:-1] |= ~inside
+    opens[offsets] = True
+    stops = np.flatnonzero(inside & opens[1:]) + 1
+    of = np.searchsorted(starts, offsets)
+    return starts, stops, np.repeat(np.arange(len(offsets) - 1), np.diff(of))
 
 
 def table_of(*ranges: tuple[int, int]) -> np.ndarray:
