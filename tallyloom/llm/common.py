@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import gc
+import time
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -38,6 +39,11 @@ def small_or_shuffled(df: DataFrame, rows: int, limit: int = BROADCAST_ROWS) ->
 
 
 def release(spark: SparkSession) -> None:
-    """Let Spark delete shuffle files of plans that nothing refers to any more."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    """Let Spark delete shuffle files of plans that nothing refers to any more.
+
+    The JVM hears of frames that Python has dropped a moment later, so one collection does not find them.
+    """
+    for _ in range(4):
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(0.25)

@@ -246,14 +246,18 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW, gram: int = GRAM, doc_
     spark = docs.sparkSession
     keyed = docs.select(*key_columns(doc_id, text), F.col(text).alias("text"))
     sent = keyed.mapInArrow(_anchor_rows(window, gram), "digit long, around long, __k1 long, __k2 int, low int, high int, kind int")
-    groups = sent.repartition("digit").sortWithinPartitions("digit", "around")
-    parts = cut_lineage(groups.mapInArrow(_split_groups(window), "__k1 long, __k2 int, low int, high int, kind int"))
+    sent = sent.repartition("digit").sortWithinPartitions("digit", "around")
+    parts = cut_lineage(sent.mapInArrow(_split_groups(window), "__k1 long, __k2 int, low int, high int, kind int"))
+    del sent
     release(spark)
     # The hash partitioning of texts and of their stretches is the same, so each text moves once.
     stretches = parts.filter(f"kind = {OPEN}").groupBy(*KEY).agg(F.collect_set(F.struct("low", "high")).alias("open"))
     texts = keyed.join(stretches, KEY).select(*KEY, "text", "open")
     windows = texts.mapInArrow(_window_rows(window), "digest long, __k1 long, __k2 int, at int")
-    again = windows.repartition("digest").sortWithinPartitions("digest", *KEY, "at").mapInArrow(_repeated, "__k1 long, __k2 int, at int")
+    windows = windows.repartition("digest").sortWithinPartitions("digest", *KEY, "at")
+    again = cut_lineage(windows.mapInArrow(_repeated, "__k1 long, __k2 int, at int"))
+    del stretches, texts, windows
+    release(spark)
     last = again.select(*KEY, F.col("at").alias("low"), (F.col("at") + window).alias("high"))
     spans = parts.filter(f"kind = {SPAN}").select(*KEY, "low", "high").unionByName(last)
     spans = cut_lineage(spans.groupBy(*KEY).agg(F.collect_list(F.struct("low", "high")).alias("spans")))
