@@ -5,7 +5,8 @@ Sets of word 5-grams are kept as ascending 64-bit hashes, one order for all sets
 1. Screen. A set linked to another one misses at most a quarter of its own grams there. Every set sends its grams below a
    fixed hash bound (at least its prefix); a set goes on only if enough of what it sent is shared.
 2. Candidates. The sets that are left order what they sent by frequency; two linked sets share a gram of their prefixes.
-   A prefix gram first ties its sets to one hub; the pairs whose sets those ties do not join already are formed after that.
+   A prefix gram first ties its sets to one hub; the pairs whose sets those ties do not join already are formed after that,
+   where the places of the gram leave room for the overlap that the sizes of the two sets ask for.
 3. Trie. Candidates of a set arrive in the order of their grams, which is a depth-first walk of the tree of their sets. The
    overlap counted along a shared path is kept, and a set is left as soon as its remaining grams cannot reach the bound.
 """
@@ -16,7 +17,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyloom.llm.batches import BASE, LOWER, NOT_SPACE, Prefix, mix64, pieces, utf8_of, word_bounds
@@ -32,6 +33,8 @@ SENT_BELOW = np.uint64(int(SENT_SHARE * 2**64))
 PLACES = mix64(np.arange(1, GRAM + 1, dtype=np.uint64) * np.uint64(BASE)) | np.uint64(1)
 HUB_CHUNK = 512
 STRIDE = 64
+PAIR_BLOCK = 4096
+BINS = 256
 
 
 def gram_sets(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -237,33 +240,131 @@ def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
 
 def candidate_prefixes(sets: DataFrame) -> DataFrame:
-    """(gram, sid, n) of the prefix grams that several sets have; see step 2 of the module."""
+    """(gram, sid, n, rank, weight) of the prefix grams that several sets have; see step 2 of the module.
+
+    `rank` counts the grams of the set up to this one, from 1, those of no other set included.
+    `weight` says how common the grams of a set are: the text that others were edited from has more of their grams than
+    they have of each other's, and is the best hub.
+    """
     sent = sets.mapInArrow(_unpack, "gram long, sid long, n long, sent long")
     often = sent.groupBy("gram").agg(F.count("*").alias("df")).filter("df > 1")
     known = sent.join(often, "gram")
     late = F.shiftrightunsigned("gram", 1) >= F.lit(int(SENT_BELOW) >> 1)
-    order = Window.partitionBy("sid").orderBy(late, "df", "gram")
-    ranked = known.withColumn("nth", F.row_number().over(order)).withColumn("shared", F.count("*").over(Window.partitionBy("sid")))
+    own = Window.partitionBy("sid")
+    ranked = known.select(
+        "*", F.row_number().over(own.orderBy(late, "df", "gram")).alias("nth"), F.count("*").over(own).alias("shared"), (F.sum(F.log2("df")).over(own) / F.col("sent")).alias("weight")
+    )
     prefix = F.col("n") - F.expr(f"({ABOVE} * n + {BELOW - 1}) div {BELOW}") + 1
-    return ranked.filter(F.col("nth") <= prefix - (F.col("sent") - F.col("shared"))).select("gram", "sid", "n")
+    ranked = ranked.withColumn("rank", F.col("nth") + F.col("sent") - F.col("shared"))
+    return ranked.filter(F.col("rank") <= prefix).select("gram", "sid", "n", "rank", "weight")
+
+
+def _may_link() -> Column:
+    """Bound on a pair that shares a gram: sets of n and m grams link only if they share 3(n + m) / 7, so the first gram they
+    share leaves that many from it on in either set. It is the gram's rank in the set of n, `at` in the one of m."""
+    need = F.expr(f"({ABOVE} * (n + m) + {ABOVE + BELOW - 1}) div {ABOVE + BELOW}")
+    return (F.least("n", "m") >= need) & (F.col("n") - F.col("rank") + 1 >= need) & (F.col("m") - F.col("at") + 1 >= need)
+
+
+def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(sid, bins): how many grams of the set fall into each of BINS bins, up to 255."""
+    for batch in batches:
+        packed = batch.column("grams")
+        counts = [np.bincount(np.frombuffer(g.as_buffer(), np.uint8)[7::8], minlength=BINS) for g in packed]
+        yield pa.record_batch([batch.column("sid"), pa.array([np.minimum(c, 255).astype(np.uint8).tobytes() for c in counts], pa.binary())], names=["sid", "bins"])
+
+
+def _block_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(hub, sid) of the pairs that may link, from the rows of a gram's block, or of two of its blocks, in sequence.
+
+    Two sets share no more grams than the sum of the smaller counts of their bins; a bin that is full in both bounds nothing.
+    """
+    keys, values, held = ["gram", "i", "j"], ["side", "sid", "n", "rank", "label"], None
+
+    def pairs(group: list[np.ndarray], bins: np.ndarray) -> list[np.ndarray]:
+        side, sid, n, rank, label = group
+        within = not side.any()
+        right = np.arange(len(sid)) if within else np.flatnonzero(side == 1)
+        full = bins == 255
+        out = []
+        for a in range(len(sid)) if within else np.flatnonzero(side == 0).tolist():
+            b = right[a + 1 :] if within else right
+            need = -(-ABOVE * (n[a] + n[b]) // (ABOVE + BELOW))
+            b = b[(label[b] != label[a]) & (np.minimum(n[a], n[b]) >= need) & (n[a] - rank[a] + 1 >= need) & (n[b] - rank[b] + 1 >= need)]
+            if len(b):
+                need = -(-ABOVE * (n[a] + n[b]) // (ABOVE + BELOW))
+                most = np.minimum(bins[a], bins[b]).sum(axis=1, dtype=np.int64)
+                b = b[(most >= need) | (full[a] & full[b]).any(axis=1)]
+                out.append(np.stack([np.minimum(sid[a], sid[b]), np.maximum(sid[a], sid[b])]))
+        return out
+
+    def result(out: list[np.ndarray]) -> pa.RecordBatch:
+        both = np.unique(np.concatenate(out, axis=1), axis=1) if out else np.zeros((2, 0), np.int64)
+        return pa.record_batch([pa.array(both[0]), pa.array(both[1])], names=["hub", "sid"])
+
+    for batch in batches:
+        table = pa.Table.from_batches([batch] if held is None else [*held.to_batches(), batch]).combine_chunks()
+        key = [table[k].to_numpy() for k in keys]
+        new = np.zeros(table.num_rows, dtype=bool)
+        for c in key:
+            new[1:] |= c[1:] != c[:-1]
+        heads = np.flatnonzero(new)  # the last group may go on in the next batch
+        out, at = [], 0
+        columns = [table[v].to_numpy() for v in values]
+        body = table["bins"].combine_chunks()
+        for stop in heads.tolist():
+            if stop - at > 1:
+                out += pairs([c[at:stop] for c in columns], _bytes_of(body[at:stop]))
+            at = stop
+        held = table.slice(at)
+        yield result(out)
+    if held is not None and held.num_rows > 1:
+        yield result(pairs([held[v].to_numpy() for v in values], _bytes_of(held["bins"].combine_chunks())))
+
+
+def _bytes_of(bins: pa.Array) -> np.ndarray:
+    return np.frombuffer(b"".join(b.as_py() for b in bins), np.uint8).reshape(len(bins), BINS)
+
+
+def crossing_pairs(rows: DataFrame, sets: DataFrame) -> DataFrame:
+    """(hub, sid) of the pairs of different groups that share a prefix gram and may link by their ranks, sizes and bins.
+
+    A gram's sets are compared inside tasks, in blocks of about PAIR_BLOCK, every block with every one: what leaves a task
+    are candidates, not all pairs of a group.
+    """
+    sizes = rows.groupBy("gram").agg((F.count("*") / PAIR_BLOCK).cast("int").alias("last"))
+    full = rows.join(sizes, "gram").join(sets.mapInArrow(_signatures, "sid long, bins binary"), "sid")
+    own = F.pmod(F.hash("sid"), F.col("last") + 1)
+    dealt = full.select("*", own.alias("own"), F.explode(F.sequence(F.lit(0), "last")).alias("with"))
+    blocks = dealt.select("gram", F.least("own", "with").alias("i"), F.greatest("own", "with").alias("j"), (F.col("own") > F.col("with")).cast("int").alias("side"), "sid", "n", "rank", "label", "bins")
+    met = blocks.repartition("gram", "i", "j").sortWithinPartitions("gram", "i", "j")
+    return met.mapInArrow(_block_pairs, "hub long, sid long").distinct()
+
+
+def _stars(rows: DataFrame) -> DataFrame:
+    """(hub, sid): for each set outside the group of its grams' hubs, the hub that most of its prefix grams have."""
+    best = rows.groupBy("gram").agg(F.max(F.struct("weight", "sid", "label", "n", "rank")).alias("best"))
+    hubs = best.select("gram", F.col("best.sid").alias("hub"), F.col("best.label").alias("other"), F.col("best.n").alias("m"), F.col("best.rank").alias("at"))
+    votes = rows.join(hubs, "gram").filter((F.col("label") != F.col("other")) & _may_link()).groupBy("sid", "hub").agg(F.count("*").alias("votes"))
+    return votes.groupBy("sid").agg(F.max_by("hub", F.struct("votes", "hub")).alias("hub")).select("hub", "sid")
 
 
 def linked_sets(sets: DataFrame) -> DataFrame:
-    """(node, label) of all sets that link with another one; label is the smallest set id of the group."""
+    """(node, label) of all sets that link with another one; label is the smallest set id of the group.
+
+    Stars join the bulk of each group with one candidate for each set. A prefix gram whose sets are in one group by then
+    needs no more; for the others every pair of sets from different groups is looked at.
+    """
     spark = sets.sparkSession
     prefixes = cut_lineage(candidate_prefixes(sets))
-    hubs = prefixes.groupBy("gram").agg(F.min("sid").alias("hub"), F.count("*").alias("k")).filter("k > 1").select("gram", "hub")
-    votes = prefixes.join(hubs, "gram").filter("sid <> hub").groupBy("sid", "hub").agg(F.count("*").alias("votes"))
-    stars = votes.groupBy("sid").agg(F.max_by("hub", F.struct("votes", "hub")).alias("hub")).select("hub", "sid")
+    stars = cut_lineage(_stars(prefixes.withColumn("label", F.col("sid"))))
     links = cut_lineage(verified(stars, sets))
-    labels = components(links)
-    named = prefixes.join(labels.withColumnRenamed("node", "sid"), "sid", "left").withColumn("label", F.coalesce("label", "sid"))
+    labels = components(links).withColumnRenamed("node", "sid")
+    named = prefixes.join(labels, "sid", "left").withColumn("label", F.coalesce("label", "sid"))
     mixed = named.groupBy("gram").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low <> high").select("gram")
-    open_rows = cut_lineage(named.join(mixed, "gram"))
+    rows = cut_lineage(named.join(mixed, "gram"))
     release(spark)
-    left = open_rows.select("gram", F.col("sid").alias("hub"), F.col("n").alias("m"), F.col("label").alias("other"))
-    crossing = (F.col("hub") < F.col("sid")) & (F.col("other") != F.col("label")) & (ABOVE * F.greatest("n", "m") <= BELOW * F.least("n", "m"))
-    pairs = cut_lineage(left.join(open_rows, "gram").filter(crossing).select("hub", "sid").distinct())
+    pairs = cut_lineage(crossing_pairs(rows, sets))
     more = cut_lineage(verified(pairs, sets))
     return components(links.unionByName(more))
 
