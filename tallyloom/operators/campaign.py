@@ -90,14 +90,15 @@ def persuaded(sent: DataFrame, orders: DataFrame, coupon_days: DataFrame) -> Dat
 
 
 def covariates(persuaded_: DataFrame, orders: DataFrame, visits: DataFrame, cap: int = ROW_AMOUNT_CAP) -> DataFrame:
-    """A year of order history, the seven days after the send, and ninety days of visits."""
-    capped = F.least(F.col("amount"), F.lit(cap).cast("decimal(8,2)"))
-    days = closed_in_time(orders).groupBy(F.col("buyer_id").alias("customer_id"), F.col("created").alias("day")).agg(
+    """A year of order history, the seven days after the send, and ninety days of visits, each of the customer on the site."""
+    capped = F.least(F.col("amount"), F.lit(cap).cast("decimal(18,2)"))
+    days = closed_in_time(orders).groupBy(F.col("buyer_id").alias("customer_id"), "site", F.col("created").alias("day")).agg(
         F.sum(capped).alias("money"), F.count(F.lit(1)).alias("n")
     )
-    seen = visits.select("customer_id", "log_date").distinct()
+    seen = visits.select("customer_id", "site", "log_date").distinct()
+    key = ["customer_id", "site"]
     rows = attach_trailing(
-        persuaded_, days, "customer_id", "sent_date", "day",
+        persuaded_, days, key, "sent_date", "day",
         {
             "freq_rfm": Trailing("count", -365, -1), "first_purchase": Trailing("first", -365, -1),
             "last_purchase": Trailing("last", -365, -1), "__money": Trailing("sum", -365, -1, "money"),
@@ -106,7 +107,7 @@ def covariates(persuaded_: DataFrame, orders: DataFrame, visits: DataFrame, cap:
     )
     rows = rows.withColumn("amount_mean", ratio("__money", "__n")).drop("__money", "__n")
     return attach_trailing(
-        rows, seen, "customer_id", "sent_date", "log_date",
+        rows, seen, key, "sent_date", "log_date",
         {"last_visit": Trailing("last", -90, -1), "active_days": Trailing("count", -90, -1)},
     )
 

@@ -224,9 +224,6 @@ def r_learner(users: DataFrame, outcome: str, treated: str, covariates: Sequence
     return float(effect.solve() @ whole.mean_x())
 
 
-ESTIMATORS = ["matching", "stratification", "linear", "ipw", "x_learner", "r_learner", "s_learner", "t_learner", "biased"]
-
-
 def compare(users: DataFrame, outcome: str, treated: str, covariates: Sequence[str], score: str, key: str) -> DataFrame:
     """One table: method and effect. `score` is a given propensity."""
     linear = ols_effect(users, outcome, treated, covariates)["estimate"]

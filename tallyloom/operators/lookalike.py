@@ -18,6 +18,7 @@ from tallyloom.functions.columns import ratio
 from tallyloom.operators.evaluate import mean_average_precision
 from tallyloom.operators.ranking import global_rank
 from tallyloom.operators.sampling import hash_rank
+from tallyloom.session import cut_lineage
 
 BROADCAST_BYTES = 64 * 1024 * 1024
 BLOCK_ROWS = 20_000
@@ -45,11 +46,17 @@ def distances(rows: np.ndarray, seeds: np.ndarray, metric: str) -> np.ndarray:
 def _nearest(ids, rows: np.ndarray, seed_ids, seeds: np.ndarray, k: int, metric: str) -> pd.DataFrame:
     """k nearest seeds of each row; equal distances go to the smaller seed id (seeds come sorted by id)."""
     k = min(k, len(seeds))
+    if not k:
+        return pd.DataFrame({"id": [], "seed_id": [], "distance": []}).astype({"id": "int64", "seed_id": "int64"})
     parts = []
     step = max(1, 4_000_000 // max(len(seeds), 1))
     for start in range(0, len(rows), step):
         d = distances(rows[start : start + step], seeds, metric)
-        near = np.argsort(d, axis=1, kind="stable")[:, :k]
+        # Columns up to the k-th distance, ties included, are few; only they are sorted.
+        row, column = np.nonzero(d <= np.partition(d, k - 1, axis=1)[:, k - 1 : k])
+        order = np.lexsort((column, d[row, column], row))
+        first = np.searchsorted(row[order], np.arange(len(d)))
+        near = column[order][first[:, None] + np.arange(k)]
         parts.append(
             pd.DataFrame(
                 {"id": np.repeat(ids[start : start + step], k), "seed_id": seed_ids[near.ravel()], "distance": np.take_along_axis(d, near, 1).ravel()}
@@ -156,34 +163,58 @@ def k_curve(neighbours: DataFrame, targets: DataFrame, ks: Sequence[int]) -> Dat
     return mean_average_precision(rows, "mean", "target", "id", descending=False, group=["k"])
 
 
-def random_planes(dim: int, bits: int, tables: int, seed: int = 1) -> np.ndarray:
-    return np.random.default_rng(seed).standard_normal((tables, dim, bits))
+def _for_cells(x: np.ndarray, metric: str, longest: float, lift: bool) -> np.ndarray:
+    """Vectors whose Euclidean order agrees with the metric's.
 
-
-def sign_buckets(df: DataFrame, planes: np.ndarray, keep: Sequence[str]) -> DataFrame:
-    """One row per hash table with the bucket of the vector: the signs of its random projections."""
-    tables, _, bits = planes.shape
-    weights = 2 ** np.arange(bits)
-
-    @F.pandas_udf("array<long>")
-    def buckets(vec: pd.Series) -> pd.Series:
-        x = _matrix(vec)
-        out = np.stack([((x @ planes[t]) > 0) @ weights for t in range(tables)], axis=1)
-        return pd.Series(list(out.astype("int64")))
-
-    return df.select(*keep, F.posexplode(buckets("vec")).alias("table", "bucket"))
+    `cosine` needs unit length. For `dot` a further coordinate gives all seeds the length of the longest one (`lift`);
+    rows have 0 there, and the nearest seed is then the one with the largest inner product.
+    """
+    if metric == "cosine":
+        return x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-300)
+    if metric == "dot":
+        more = np.sqrt(np.maximum(longest**2 - (x**2).sum(1), 0)) if lift else np.zeros(len(x))
+        return np.hstack([x, more[:, None]])
+    return x
 
 
-def approximate_nearest(rows: DataFrame, seeds: DataFrame, k: int, metric: str = "cosine", bits: int = 8, tables: int = 12, seed: int = 1) -> DataFrame:
-    """Nearest seeds among those that share a bucket in at least one table.
+def approximate_nearest(
+    rows: DataFrame, seeds: DataFrame, k: int, metric: str = "cosine", pool: int | None = None, most_cells: int = 4096, draw: str = "cells"
+) -> DataFrame:
+    """k seeds of every row: the nearest ones among at least `pool` seeds (30 k by default) in the cells nearest to the row.
 
-    Rows that share no bucket with a seed have no neighbours here; use `nearest_seeds` for them.
+    Cells are the neighbourhoods of about sqrt(n) of the n seeds, at most `most_cells`, drawn by a hash; a seed is in the
+    cell of its nearest centre. A row takes cells in the order of their centres until they hold `pool` seeds, so each list
+    is complete (as long as there are k seeds) and the work for a row does not grow with the number of seeds. Centres and
+    the sizes of their cells are all that reaches the driver.
     """
-    dim = rows.select(F.size("vec").alias("d")).first()["d"]
-    planes = random_planes(dim, bits, tables, seed)
-    a = sign_buckets(rows, planes, ["id", "vec"])
-    b = sign_buckets(seeds, planes, ["seed_id", "vec"])
-    return blocked_nearest(a, b, k, metric, keys=["table", "bucket"])
+    spark = rows.sparkSession
+    norm = F.sqrt(F.aggregate("vec", F.lit(0.0), lambda t, x: t + x * x))
+    size = seeds.agg(F.count(F.lit(1)).alias("n"), F.max(norm).alias("longest")).first()
+    if not size["n"]:
+        return spark.createDataFrame([], _OUT + ", place int")
+    n_cells = max(1, min(most_cells, round(size["n"] ** 0.5)))
+    drawn = seeds.select("vec").orderBy(F.xxhash64("seed_id", F.lit(draw)), "seed_id").limit(n_cells).collect()
+    longest = float(size["longest"])
+    centres = _for_cells(np.array([r["vec"] for r in drawn], dtype=float), metric, longest, True)
+
+    @F.pandas_udf("int")
+    def own_cell(vec: pd.Series) -> pd.Series:
+        return pd.Series(distances(_for_cells(_matrix(vec), metric, longest, True), centres, "l2").argmin(1))
+
+    placed = cut_lineage(seeds.select("seed_id", "vec", own_cell("vec").alias("cell")))
+    held = np.zeros(len(centres), dtype=int)
+    for r in placed.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).collect():
+        held[r["cell"]] = r["n"]
+    wanted = max(k, pool or 30 * k)
+
+    @F.pandas_udf("array<int>")
+    def near_cells(vec: pd.Series) -> pd.Series:
+        order = distances(_for_cells(_matrix(vec), metric, longest, False), centres, "l2").argsort(axis=1, kind="stable")
+        enough = (np.cumsum(held[order], axis=1) < wanted).sum(axis=1) + 1
+        return pd.Series([cells[:m].tolist() for cells, m in zip(order, enough, strict=True)])
+
+    looked = rows.select("id", "vec", F.explode(near_cells("vec")).alias("cell"))
+    return blocked_nearest(looked, placed, k, metric, keys=["cell"])
 
 
 def gram(df: DataFrame, vector: str = "vec") -> tuple[np.ndarray, np.ndarray, int]:

@@ -90,7 +90,7 @@ def _batched(df: DataFrame, columns: Sequence[str], likelihood: Callable) -> Cal
                 weight += n.sum()
                 for i, p in enumerate(local):
                     with np.errstate(all="ignore"):
-                        sums[i] += float(np.nansum(n * likelihood(p, *arrays)))
+                        sums[i] += float(np.sum(n * likelihood(p, *arrays)))
             yield pd.DataFrame({"i": np.arange(len(local)), "s": sums, "w": weight})
 
         rows = df.mapInPandas(part, "i long, s double, w double").groupBy("i").agg(

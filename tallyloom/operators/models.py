@@ -69,20 +69,20 @@ def score_table(model: PipelineModel, df: DataFrame, key: str, threshold: float,
 
 
 def segment_regressors(
-    df: DataFrame, segment: str, key: str, label: str, columns: Sequence[str], segments: Sequence, cap: int = 500_000, cap_above: int = 600_000,
+    df: DataFrame, segment: str, key: str, label: str, columns: Sequence[str], segments: Sequence, share: float | None = None,
     iterations: int = 10, parallel: int = 4,
 ) -> tuple[dict, DataFrame]:
     """One regressor per segment, fitted in parallel threads, and its errors on held-out rows.
 
-    Segments above `cap_above` rows train on `cap` rows drawn by a hash of the key.
+    All training rows are used. With `share`, every segment trains on the keys whose hash falls into that share of [0, 1).
     """
     rows = train_test(df, key, 0.2, "segments", [segment]).persist()
 
     def one(value) -> tuple:
         part = rows.where(F.col(segment) == value)
         train = part.where(F.col("split") == "train")
-        if train.count() > cap_above:
-            train = fixed_n(train, key, cap, "cap")
+        if share is not None:
+            train = train.where(unit_hash(key, "share") < share)
         model = fit(train, gbt_regressor(label, iterations), columns)
         errors = regression_metrics(predict(model, part.where(F.col("split") == "test")), label, "prediction").first()
         return value, model, errors
@@ -103,15 +103,18 @@ def sampled_grid(space: Mapping[str, Sequence], n: int, seed: int = 1) -> list[d
 
 
 def random_search(
-    df: DataFrame, estimator: Estimator, columns: Sequence[str], evaluator: Evaluator, space: Mapping[str, Sequence], n: int, folds: int = 3,
+    df: DataFrame, estimator: Estimator, columns: Sequence[str], evaluator: Evaluator, space: Mapping[str, Sequence], n: int, key: str, folds: int = 3,
     parallel: int = 4, seed: int = 1,
 ) -> tuple[PipelineModel, DataFrame]:
-    """Cross-validated search over a sampled grid; returns the best model and the table of results."""
+    """Cross-validated search over a sampled grid; returns the best model and the table of results.
+
+    The fold of a row comes from a hash of its key, so a partition that is computed again keeps its folds.
+    """
     grid = sampled_grid(space, n, seed)
     maps = [{estimator.getParam(k): v for k, v in point.items()} for point in grid]
     search = CrossValidator(
-        estimator=Pipeline(stages=[assembler(columns), estimator]), estimatorParamMaps=maps, evaluator=evaluator, numFolds=folds, parallelism=parallel, seed=seed
-    ).fit(df)
+        estimator=Pipeline(stages=[assembler(columns), estimator]), estimatorParamMaps=maps, evaluator=evaluator, numFolds=folds, parallelism=parallel, seed=seed, foldCol="__fold"
+    ).fit(df.withColumn("__fold", F.floor(unit_hash(key, f"fold{seed}") * folds).cast("int")))
     rows = [(i, str(point), float(metric)) for i, (point, metric) in enumerate(zip(grid, search.avgMetrics, strict=True))]
     return search.bestModel, df.sparkSession.createDataFrame(rows, "trial int, params string, metric double")
 

@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyloom.functions.columns import as_column
 from tallyloom.operators.ranking import exact_quantiles
+from tallyloom.session import cut_lineage
 
 
 def prefix_columns(df: DataFrame, prefix: str, exceptions: Sequence[str]) -> DataFrame:
@@ -127,28 +128,23 @@ def max_plus_one(df: DataFrame, column: str) -> DataFrame:
     return df.withColumn(column, F.coalesce(F.col(column), df.agg(F.max(column) + 1).scalar()))
 
 
-def draw_missing(df: DataFrame, column: str, key: str, seed: str = "s") -> DataFrame:
+def draw_missing(df: DataFrame, column: str, key: str, seed: str = "s", cells: int = 1024) -> DataFrame:
     """Fill a missing category by a draw from the observed distribution, by a hash of the key.
 
-    The distribution is one map from category to its interval in [0, 1), so there is no join.
+    A category's interval of [0, 1) is its running share by name. Rows without a category meet the intervals cell by cell,
+    an equality join, so the number of categories is not bounded.
     """
     from tallyloom.operators.sampling import unit_hash
 
     counts = df.where(F.col(column).isNotNull()).groupBy(F.col(column).alias("v")).agg(F.count(F.lit(1)).alias("n"))
-    table = counts.agg(F.array_sort(F.collect_list(F.struct("v", "n"))).alias("t"))
-    # Running shares by category name; the number of categories bounds this array.
-    total = F.aggregate("t", F.lit(0).cast("long"), lambda s, x: s + x["n"])
-    ends = F.transform(
-        F.sequence(F.lit(1), F.size("t")),
-        lambda i: F.struct(
-            F.element_at("t", i)["v"].alias("v"),
-            (F.aggregate(F.slice("t", F.lit(1), i), F.lit(0).cast("long"), lambda s, x: s + x["n"]) / total).alias("end"),
-        ),
-    )
-    steps = table.select(F.when(F.size("t") > 0, ends).alias("ends")).scalar()
-    draw = df.withColumns({"__ends": steps, "__u": unit_hash(key, seed)})
-    value = F.element_at(F.filter("__ends", lambda x: F.col("__u") < x["end"]), 1)["v"]
-    return draw.withColumn(column, F.coalesce(F.col(column), value)).drop("__ends", "__u")
+    upto = running_by_range(counts, "v", F.sum("n"), "__upto")
+    total = counts.agg(F.sum("n")).scalar()
+    shares = upto.select("v", ((F.col("__upto") - F.col("n")) / total).alias("start"), (F.col("__upto") / total).alias("end"))
+    cell = lambda c: F.least(F.floor(c * cells), F.lit(cells - 1))
+    spans = shares.select("v", "start", "end", F.explode(F.sequence(cell(F.col("start")), cell(F.col("end")))).alias("__cell"))
+    rows = df.withColumn("__u", F.when(F.col(column).isNull(), unit_hash(key, seed))).withColumn("__cell", F.when(F.col("__u").isNotNull(), cell(F.col("__u"))))
+    hit = (rows["__cell"] == spans["__cell"]) & (rows["__u"] >= spans["start"]) & (rows["__u"] < spans["end"])
+    return rows.join(spans, hit, "left").select(*[F.coalesce(column, "v").alias(column) if c == column else F.col(c) for c in df.columns])
 
 
 def median_by_group(df: DataFrame, columns: Sequence[str], group: Sequence[str]) -> DataFrame:
@@ -216,14 +212,30 @@ def from_dummies(columns: Sequence[str]) -> Column:
     return sum((F.col(c) * (i + 1) for i, c in enumerate(columns)), F.lit(0))
 
 
+def running_by_range(df: DataFrame, column: str, total: Column, out: str) -> DataFrame:
+    """Running `total` (a sum or a count) over rows with different values of `column`, in its order.
+
+    Totals run inside the ranges that a range partitioning gives, and the totals of the ranges before (one row per task)
+    are added, so no task sees all rows.
+    """
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # Materialised: ranges and totals must come from one evaluation.
+    ranged = cut_lineage(df.repartitionByRange(parts, column).withColumn("__p", F.spark_partition_id()))
+    before = Window.orderBy("__p").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = ranged.groupBy("__p").agg(total.alias("__t")).select("__p", F.coalesce(F.sum("__t").over(before), F.lit(0)).alias("__ahead"))
+    inside = total.over(Window.partitionBy("__p").orderBy(column).rowsBetween(Window.unboundedPreceding, 0))
+    return ranged.withColumn("__in", inside).join(sizes, "__p").withColumn(out, F.col("__in") + F.col("__ahead")).drop("__p", "__in", "__ahead")
+
+
+def code_table(df: DataFrame, column: str, at_least: int, out: str = "code") -> DataFrame:
+    """Dense codes from 1, by name, of the labels seen at least `at_least` times; one row per label."""
+    labels = df.groupBy(column).agg(F.count(F.lit(1)).alias("__n")).where(F.col("__n") >= at_least).select(column)
+    return running_by_range(labels, column, F.count(F.lit(1)), out).withColumn(out, F.col(out).cast("int"))
+
+
 def label_codes(df: DataFrame, column: str, at_least: int, out: str = "code") -> DataFrame:
     """Drop labels seen fewer than `at_least` times and give the others dense codes from 1, by name."""
-    from pyspark.sql import Window
-
-    labels = df.groupBy(column).agg(F.count(F.lit(1)).alias("__n")).where(F.col("__n") >= at_least)
-    # One row per label.
-    codes = labels.select(column, F.row_number().over(Window.orderBy(column)).alias(out))
-    return df.join(codes, column)
+    return df.join(code_table(df, column, at_least, out), column)
 
 
 def class_weights(df: DataFrame, column: str, out: str = "weight") -> DataFrame:

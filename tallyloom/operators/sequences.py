@@ -6,12 +6,12 @@ from collections.abc import Sequence
 
 from pyspark.ml.feature import Word2Vec
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyloom.config import MAX_EVENTS
 from tallyloom.functions import arrays
-from tallyloom.operators.prepare import label_codes
+from tallyloom.operators.prepare import code_table
 from tallyloom.operators.trailing import Trailing, attach_trailing
 
 
@@ -48,24 +48,25 @@ def training_rows(events: DataFrame, purchases: DataFrame, days: int = 60, n: in
 
 def token_codes(rows: DataFrame, target: str, at_least: int = 10) -> DataFrame:
     """Dense codes from 1 of the targets that occur often enough; one row per label."""
-    return label_codes(rows.select(target), target, at_least).distinct()
+    return code_table(rows, target, at_least)
 
 
 def split_arrays(rows: DataFrame, codes: DataFrame, events: str = "events", target: str = "target", longer_than: int = 4) -> DataFrame:
     """Arrays of token codes, days and levels; unknown tokens are dropped, short sequences too.
 
-    The code table (one row per catalogue label) is one map.
+    Tokens are joined to the code table one by one, so it may have any number of labels. A sequence is at most as long as
+    `training_rows` made it; its row is named by the other columns.
     """
-    table = codes.agg(F.map_from_entries(F.collect_list(F.struct(target, "code")))).scalar()
-    known = rows.withColumn("__codes", table).withColumn(
-        "__kept", F.filter(events, lambda x: F.map_contains_key("__codes", x["token"]))
+    keys = [c for c in rows.columns if c != events]
+    opened = rows.join(codes.select(F.col(target).alias("__t"), F.col("code").alias("target_code")), F.col(target) == F.col("__t")).drop("__t")
+    tokens = opened.select(*keys, "target_code", F.posexplode(events).alias("__pos", "__x"))
+    known = tokens.join(codes.select(F.col(target).alias("__token"), "code"), F.col("__x.token") == F.col("__token"))
+    item = F.struct("__pos", "code", F.col("__x.days_diff").alias("days_diff"), F.col("__x.level").alias("level"))
+    kept = known.groupBy(*keys, "target_code").agg(F.array_sort(F.collect_list(item)).alias("__kept")).where(F.size("__kept") > longer_than)
+    return kept.select(
+        *[c for c in keys if c != target], arrays.field("__kept", "code").alias("tokens"), arrays.field("__kept", "days_diff").alias("days"),
+        arrays.field("__kept", "level").alias("levels"), "target_code",
     )
-    out = known.select(
-        *[c for c in rows.columns if c not in (events, target)],
-        F.transform("__kept", lambda x: F.element_at("__codes", x["token"])).alias("tokens"), arrays.field("__kept", "days_diff").alias("days"),
-        arrays.field("__kept", "level").alias("levels"), F.element_at("__codes", F.col(target)).alias("target_code"),
-    )
-    return out.where((F.size("tokens") > longer_than) & F.col("target_code").isNotNull())
 
 
 def vocabulary(docs: DataFrame, words: Column, size: int) -> DataFrame:
@@ -77,9 +78,13 @@ def vocabulary(docs: DataFrame, words: Column, size: int) -> DataFrame:
 
 
 def encode_pad(docs: DataFrame, key: str, words: Column, vocab: DataFrame, length: int, out: str = "ids") -> DataFrame:
-    """Known words as indices, in order, left-padded to a fixed length."""
+    """The last `length` known words as indices, in order, left-padded to a fixed length.
+
+    Words are numbered from the end and cut before they are collected, so a row is never longer than `length`.
+    """
     tokens = docs.select(key, F.posexplode(words).alias("pos", "word"))
     known = tokens.join(vocab.select("word", "index"), "word")
+    known = known.withColumn("__n", F.row_number().over(Window.partitionBy(key).orderBy(F.desc("pos")))).where(F.col("__n") <= length)
     ids = known.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("pos", "index"))).alias("__x"))
     joined = docs.select(key).join(ids, key, "left")
     values = F.coalesce(F.transform("__x", lambda x: x["index"].cast("long")), F.array().cast("array<long>"))

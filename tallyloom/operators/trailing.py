@@ -8,7 +8,7 @@ calendar, whatever the number of facts.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
@@ -32,16 +32,21 @@ class Trailing:
 
 
 def attach_trailing(
-    anchors: DataFrame, daily: DataFrame, key: str, anchor_day: str, fact_day: str, measures: Mapping[str, Trailing]
+    anchors: DataFrame, daily: DataFrame, key: str | Sequence[str], anchor_day: str, fact_day: str, measures: Mapping[str, Trailing]
 ) -> DataFrame:
-    """Add the measures to (key, anchor day) rows. Both frames have one row per key and day."""
+    """Add the measures to (key, anchor day) rows; a key is one column or several. Both frames have one row per key and day.
+
+    Counts are differences of running counts, which are exact. Sums slide over their own days only, so that a value outside
+    a window neither costs digits nor, as a NaN, spreads into it.
+    """
+    keys = [key] if isinstance(key, str) else list(key)
     values = sorted({m.column for m in measures.values() if m.column})
-    facts = daily.select(key, F.col(fact_day).alias("__day"), F.lit(1).alias("__fact"), *values)
-    rest = [c for c in anchors.columns if c != key]
-    rows = anchors.select(key, F.col(anchor_day).alias("__day"), F.struct(*rest).alias("__anchor"))
+    facts = daily.select(*keys, F.col(fact_day).alias("__day"), F.lit(1).alias("__fact"), *values)
+    rest = [c for c in anchors.columns if c not in keys]
+    rows = anchors.select(*keys, F.col(anchor_day).alias("__day"), F.struct(*rest).alias("__anchor"))
     both = facts.unionByName(rows, allowMissingColumns=True).withColumn("__n", day_number("__day"))
-    ahead = Window.partitionBy(key).orderBy("__n")
-    back = Window.partitionBy(key).orderBy(F.desc("__n"))
+    ahead = Window.partitionBy(*keys).orderBy("__n")
+    back = Window.partitionBy(*keys).orderBy(F.desc("__n"))
     day = F.when(F.col("__fact") == 1, F.col("__day"))
     anchor = F.col("__day")
 
@@ -49,7 +54,7 @@ def attach_trailing(
         return F.sum(value).over(ahead.rangeBetween(Window.unboundedPreceding, end))
 
     def between(value: Column, m: Trailing) -> Column:
-        """Sum over the window as a difference of two running sums, which need no second look at a row."""
+        """Count over the window as a difference of two running counts, which need no second look at a row."""
         return F.coalesce(until(value, m.end), F.lit(0)) - F.coalesce(until(value, m.start - 1), F.lit(0))
 
     def measure(m: Trailing) -> Column:
@@ -57,8 +62,7 @@ def attach_trailing(
         if m.kind == "count":
             return between(F.col("__fact").cast("long"), m)
         if m.kind == "sum":
-            known = between(F.when(F.col(m.column).isNotNull(), 1).otherwise(0), m)
-            return F.when(known > 0, between(F.col(m.column), m))
+            return F.sum(m.column).over(frame)
         if m.kind == "last":
             last = F.max(day).over(ahead.rangeBetween(Window.unboundedPreceding, m.end))
             return F.when(last >= F.date_add(anchor, m.start), last)
@@ -70,4 +74,4 @@ def attach_trailing(
         return function(F.col(m.column)).over(frame)
 
     out = {name: measure(m) for name, m in measures.items()}
-    return both.withColumns(out).where(F.col("__anchor").isNotNull()).select(key, "__anchor.*", *measures)
+    return both.withColumns(out).where(F.col("__anchor").isNotNull()).select(*keys, "__anchor.*", *measures)

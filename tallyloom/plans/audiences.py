@@ -186,5 +186,5 @@ def _(t):
 
 @query("sq_topk_approx")
 def _(t):
-    rows = lk.approximate_nearest(vectors(t), candidates(t), 50, "dot", bits=6, tables=8)
+    rows = lk.approximate_nearest(vectors(t), candidates(t), 50, "dot", pool=250)
     return r6(rows.select("id", F.col("seed_id").alias("item_id"), "place", (-F.col("distance")).alias("score")))

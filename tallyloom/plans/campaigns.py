@@ -120,7 +120,7 @@ def _(t):
 # ------------------------------------------------------------ push
 
 _SENT = "sent AS (SELECT DISTINCT customer_id, site, sent_date, push_type FROM r_pushes WHERE push_type IN ('sent', 'control') AND batch_id LIKE 'NEWBUYERS%' AND sent_date BETWEEN DATE '2024-01-01' AND DATE '2024-01-31')"
-_CONV = f"""{_SENT}, conv AS (SELECT DISTINCT s.customer_id, s.sent_date, s.push_type, CASE WHEN o.buyer_id IS NULL THEN 0 ELSE 1 END::BIGINT AS conversion, o.created FROM sent s
+_CONV = f"""{_SENT}, conv AS (SELECT DISTINCT s.customer_id, s.site, s.sent_date, s.push_type, CASE WHEN o.buyer_id IS NULL THEN 0 ELSE 1 END::BIGINT AS conversion, o.created FROM sent s
     LEFT JOIN r_purchases o ON o.buyer_id = s.customer_id AND o.site = s.site AND o.status = 'paid' AND o.closed BETWEEN s.sent_date AND s.sent_date + 4 AND o.created = s.sent_date)"""
 
 
@@ -129,18 +129,18 @@ def sent(t):
 
 
 def per_day(t):
-    return ps.backbone(sent(t), t.purchases, ["customer_id", "sent_date"])
+    return ps.backbone(sent(t), t.purchases, ["customer_id", "site", "sent_date"])
 
 
-@query("fb_push_backbone", f"WITH {_CONV} SELECT customer_id, sent_date::VARCHAR AS sent_date, push_type, conversion FROM (SELECT *, row_number() OVER (PARTITION BY customer_id ORDER BY created NULLS FIRST, sent_date, push_type) rn FROM conv) WHERE rn = 1")
+@query("fb_push_backbone", f"WITH {_CONV} SELECT customer_id, site, sent_date::VARCHAR AS sent_date, push_type, conversion FROM (SELECT *, row_number() OVER (PARTITION BY customer_id, site ORDER BY created NULLS FIRST, sent_date, push_type) rn FROM conv) WHERE rn = 1")
 def _(t):
     return ps.backbone(sent(t), t.purchases)
 
 
-_DAY = f"{_CONV}, bk AS (SELECT customer_id, sent_date, push_type, conversion FROM (SELECT *, row_number() OVER (PARTITION BY customer_id, sent_date ORDER BY created NULLS FIRST, push_type) rn FROM conv) WHERE rn = 1)"
+_DAY = f"{_CONV}, bk AS (SELECT customer_id, site, sent_date, push_type, conversion FROM (SELECT *, row_number() OVER (PARTITION BY customer_id, site, sent_date ORDER BY created NULLS FIRST, push_type) rn FROM conv) WHERE rn = 1)"
 
 
-@query("xp_conversion_query", f"WITH {_DAY} SELECT customer_id, sent_date::VARCHAR AS sent_date, push_type, conversion FROM bk")
+@query("xp_conversion_query", f"WITH {_DAY} SELECT customer_id, site, sent_date::VARCHAR AS sent_date, push_type, conversion FROM bk")
 def _(t):
     return per_day(t)
 
@@ -151,10 +151,10 @@ def _(t):
 
 
 @query("fb_push_history", f"""
-    WITH {_DAY}, p AS (SELECT DISTINCT customer_id, sent_date FROM r_pushes WHERE push_type IN ('sent', 'control') AND batch_id NOT LIKE 'NEWBUYERS%')
-    SELECT bk.customer_id, bk.sent_date::VARCHAR AS sent_date, round(count(*) FILTER (p.sent_date >= bk.sent_date - 15)::DOUBLE / nullif(count(*) FILTER (p.sent_date <= bk.sent_date - 16), 0), 6) AS push_ratio_15d,
+    WITH {_DAY}, p AS (SELECT DISTINCT customer_id, site, sent_date FROM r_pushes WHERE push_type IN ('sent', 'control') AND batch_id NOT LIKE 'NEWBUYERS%')
+    SELECT bk.customer_id, bk.site, bk.sent_date::VARCHAR AS sent_date, round(count(*) FILTER (p.sent_date >= bk.sent_date - 15)::DOUBLE / nullif(count(*) FILTER (p.sent_date <= bk.sent_date - 16), 0), 6) AS push_ratio_15d,
       count(*) FILTER (p.sent_date >= bk.sent_date - 7) AS push_days_7d, (bk.sent_date - max(p.sent_date) FILTER (p.sent_date >= bk.sent_date - 7))::BIGINT AS recency
-    FROM bk LEFT JOIN p ON p.customer_id = bk.customer_id AND p.sent_date BETWEEN bk.sent_date - 31 AND bk.sent_date - 1 GROUP BY bk.customer_id, bk.sent_date""")
+    FROM bk LEFT JOIN p ON p.customer_id = bk.customer_id AND p.site = bk.site AND p.sent_date BETWEEN bk.sent_date - 31 AND bk.sent_date - 1 GROUP BY bk.customer_id, bk.site, bk.sent_date""")
 def _(t):
     return r6(ps.push_history(per_day(t), t.pushes, "NEWBUYERS%"))
 
@@ -163,18 +163,18 @@ _SUMS = ", ".join(f"COALESCE(sum({e}), 0)::BIGINT AS {n}" for n, e in {"buy": "b
 
 
 @query("fb_push_behaviour", f"""
-    WITH {_DAY}, v AS (SELECT v.*, c.joined FROM r_visits v LEFT JOIN r_customers c USING (customer_id)),
-    b AS (SELECT bk.customer_id, bk.sent_date, count(log_date) AS log_days_7d, (bk.sent_date - max(log_date))::BIGINT AS recency, round(COALESCE(avg(avg_price), 0), 6) AS avg_price_7d,
+    WITH {_DAY}, v AS (SELECT v.*, c.joined FROM r_visits v LEFT JOIN r_customers c USING (customer_id, site)),
+    b AS (SELECT bk.customer_id, bk.site, bk.sent_date, count(log_date) AS log_days_7d, (bk.sent_date - max(log_date))::BIGINT AS recency, round(COALESCE(avg(avg_price), 0), 6) AS avg_price_7d,
       round(COALESCE(avg(CASE WHEN log_date BETWEEN joined AND joined + 7 THEN avg_price END), 0), 6) AS avg_price_f7d, COALESCE(sum(category_count), 0)::BIGINT AS category_count_7d,
       COALESCE(sum(CASE WHEN log_date BETWEEN joined AND joined + 7 THEN category_count END), 0)::BIGINT AS category_count_f7d, min(min_price)::DOUBLE AS min_price, max(max_price)::DOUBLE AS max_price, {_SUMS}
-      FROM bk LEFT JOIN v ON v.customer_id = bk.customer_id AND v.log_date BETWEEN bk.sent_date - 7 AND bk.sent_date - 1 GROUP BY bk.customer_id, bk.sent_date),
-    i AS (SELECT bk.customer_id, bk.sent_date, min(os_name) AS os_name, COALESCE(max(CASE WHEN app = 'A' THEN 1 ELSE 0 END), 0)::BIGINT AS app_a, COALESCE(max(CASE WHEN app = 'B' THEN 1 ELSE 0 END), 0)::BIGINT AS app_b,
+      FROM bk LEFT JOIN v ON v.customer_id = bk.customer_id AND v.site = bk.site AND v.log_date BETWEEN bk.sent_date - 7 AND bk.sent_date - 1 GROUP BY bk.customer_id, bk.site, bk.sent_date),
+    i AS (SELECT bk.customer_id, bk.site, bk.sent_date, min(os_name) AS os_name, COALESCE(max(CASE WHEN app = 'A' THEN 1 ELSE 0 END), 0)::BIGINT AS app_a, COALESCE(max(CASE WHEN app = 'B' THEN 1 ELSE 0 END), 0)::BIGINT AS app_b,
       (bk.sent_date - max(CASE WHEN app = 'A' THEN install_date END))::BIGINT AS days_last_install_a, (bk.sent_date - min(CASE WHEN app = 'A' THEN install_date END))::BIGINT AS days_first_install_a,
       (bk.sent_date - max(CASE WHEN app = 'B' THEN install_date END))::BIGINT AS days_last_install_b, (bk.sent_date - min(CASE WHEN app = 'B' THEN install_date END))::BIGINT AS days_first_install_b
-      FROM bk LEFT JOIN r_installs n ON n.customer_id = bk.customer_id AND n.install_date BETWEEN bk.sent_date - 360 AND bk.sent_date - 1 GROUP BY bk.customer_id, bk.sent_date),
-    m AS (SELECT bk.customer_id, bk.sent_date, COALESCE(sum(amount), 0)::DOUBLE AS pay_total, COALESCE(sum(amount) FILTER (segment = 'Wallet'), 0)::DOUBLE AS pay_wallet, COALESCE(sum(amount) FILTER (segment = 'Aggregator'), 0)::DOUBLE AS pay_aggregator, count(DISTINCT payment_id) AS pay_n
-      FROM bk LEFT JOIN r_wallet w ON w.buyer_id = bk.customer_id AND w.status = 'approved' AND w.move_date BETWEEN bk.sent_date - 90 AND bk.sent_date - 1 GROUP BY bk.customer_id, bk.sent_date)
-    SELECT b.* REPLACE (sent_date::VARCHAR AS sent_date), i.* EXCLUDE (customer_id, sent_date), m.* EXCLUDE (customer_id, sent_date) FROM b JOIN i USING (customer_id, sent_date) JOIN m USING (customer_id, sent_date)""")
+      FROM bk LEFT JOIN r_installs n ON n.customer_id = bk.customer_id AND n.site = bk.site AND n.install_date BETWEEN bk.sent_date - 360 AND bk.sent_date - 1 GROUP BY bk.customer_id, bk.site, bk.sent_date),
+    m AS (SELECT bk.customer_id, bk.site, bk.sent_date, COALESCE(sum(amount), 0)::DOUBLE AS pay_total, COALESCE(sum(amount) FILTER (segment = 'Wallet'), 0)::DOUBLE AS pay_wallet, COALESCE(sum(amount) FILTER (segment = 'Aggregator'), 0)::DOUBLE AS pay_aggregator, count(DISTINCT payment_id) AS pay_n
+      FROM bk LEFT JOIN r_wallet w ON w.buyer_id = bk.customer_id AND w.site = bk.site AND w.status = 'approved' AND w.move_date BETWEEN bk.sent_date - 90 AND bk.sent_date - 1 GROUP BY bk.customer_id, bk.site, bk.sent_date)
+    SELECT b.* REPLACE (sent_date::VARCHAR AS sent_date), i.* EXCLUDE (customer_id, site, sent_date), m.* EXCLUDE (customer_id, site, sent_date) FROM b JOIN i USING (customer_id, site, sent_date) JOIN m USING (customer_id, site, sent_date)""")
 def _(t):
     return r6(ps.push_behaviour(per_day(t), t.visits, t.customers, t.installs, t.wallet))
 
@@ -250,13 +250,13 @@ def _(t):
 
 
 @query("fb_campaign_covariates", f"""
-    WITH {_PERS}, oo AS (SELECT buyer_id AS customer_id, created, least(amount, 400) AS money FROM r_purchases WHERE status = 'paid' AND closed BETWEEN created AND created + 4),
-    r AS (SELECT pe.customer_id, pe.sent_date, count(DISTINCT created) AS freq_rfm, min(created) AS first_purchase, max(created) AS last_purchase, sum(money)::DOUBLE / count(*) AS amount_mean FROM pe JOIN oo ON oo.customer_id = pe.customer_id AND created BETWEEN sent_date - 365 AND sent_date - 1 GROUP BY 1, 2),
-    i AS (SELECT pe.customer_id, pe.sent_date, count(DISTINCT created) AS freq_7d, sum(money)::DOUBLE AS amount_7d FROM pe JOIN oo ON oo.customer_id = pe.customer_id AND created BETWEEN sent_date AND sent_date + 6 GROUP BY 1, 2),
-    v AS (SELECT pe.customer_id, pe.sent_date, max(log_date) AS last_visit, count(*) AS active_days FROM pe JOIN r_visits x ON x.customer_id = pe.customer_id AND log_date BETWEEN sent_date - 90 AND sent_date - 1 GROUP BY 1, 2)
+    WITH {_PERS}, oo AS (SELECT buyer_id AS customer_id, site, created, least(amount, 400) AS money FROM r_purchases WHERE status = 'paid' AND closed BETWEEN created AND created + 4),
+    r AS (SELECT pe.customer_id, pe.site, pe.sent_date, count(DISTINCT created) AS freq_rfm, min(created) AS first_purchase, max(created) AS last_purchase, sum(money)::DOUBLE / count(*) AS amount_mean FROM pe JOIN oo ON oo.customer_id = pe.customer_id AND oo.site = pe.site AND created BETWEEN sent_date - 365 AND sent_date - 1 GROUP BY 1, 2, 3),
+    i AS (SELECT pe.customer_id, pe.site, pe.sent_date, count(DISTINCT created) AS freq_7d, sum(money)::DOUBLE AS amount_7d FROM pe JOIN oo ON oo.customer_id = pe.customer_id AND oo.site = pe.site AND created BETWEEN sent_date AND sent_date + 6 GROUP BY 1, 2, 3),
+    v AS (SELECT pe.customer_id, pe.site, pe.sent_date, max(log_date) AS last_visit, count(*) AS active_days FROM pe JOIN r_visits x ON x.customer_id = pe.customer_id AND x.site = pe.site AND log_date BETWEEN sent_date - 90 AND sent_date - 1 GROUP BY 1, 2, 3)
     SELECT pe.customer_id, site, pe.sent_date::VARCHAR AS sent_date, grp, COALESCE(freq_rfm, 0) AS freq_rfm, first_purchase::VARCHAR AS first_purchase, last_purchase::VARCHAR AS last_purchase, round(amount_mean, 6) AS amount_mean,
       COALESCE(freq_7d, 0) AS freq_7d, amount_7d, last_visit::VARCHAR AS last_visit, COALESCE(active_days, 0) AS active_days
-    FROM pe LEFT JOIN r USING (customer_id, sent_date) LEFT JOIN i USING (customer_id, sent_date) LEFT JOIN v USING (customer_id, sent_date)""")
+    FROM pe LEFT JOIN r USING (customer_id, site, sent_date) LEFT JOIN i USING (customer_id, site, sent_date) LEFT JOIN v USING (customer_id, site, sent_date)""")
 def _(t):
     return r6(cp.covariates(persuaded(t), t.purchases, t.visits))
 

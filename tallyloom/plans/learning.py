@@ -44,7 +44,7 @@ def _(t):
 def _(t):
     space = {"maxDepth": [2, 3, 4], "numTrees": [5, 10], "minInstancesPerNode": [1, 5]}
     evaluator = BinaryClassificationEvaluator(labelCol="label", rawPredictionCol="__raw")
-    return ml.random_search(rows(t), ml.forest_classifier("label"), COLUMNS, evaluator, space, 3)[1]
+    return ml.random_search(rows(t), ml.forest_classifier("label"), COLUMNS, evaluator, space, 3, "customer_id")[1]
 
 
 @query("ml_classifier")

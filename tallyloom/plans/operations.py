@@ -210,10 +210,10 @@ def _(t):
 
 
 @query("ld_candidates", f"""
-    WITH {_FLEET}, {_GOODS}, w AS (SELECT city, sum(weight) weight, sum(volume) volume FROM gd WHERE day BETWEEN DATE '1998-01-01' AND DATE '1998-06-30' GROUP BY 1)
+    WITH {_FLEET}, {_GOODS}, w AS (SELECT city, sum(weight) weight, sum(volume) volume FROM gd GROUP BY 1)
     SELECT city, vehicle, capacity_weight, capacity_volume, rate, row_number() OVER (PARTITION BY city ORDER BY capacity_weight DESC, vehicle) AS choice FROM fl JOIN w USING (city) WHERE capacity_weight * 0.8::DOUBLE <= weight OR capacity_volume * 0.8::DOUBLE <= volume""")
 def _(t):
-    waiting = goods(t).where("day BETWEEN DATE '1998-01-01' AND DATE '1998-06-30'").groupBy("city").agg(F.sum("weight").alias("weight"), F.sum("volume").alias("volume"))
+    waiting = goods(t).groupBy("city").agg(F.sum("weight").alias("weight"), F.sum("volume").alias("volume"))
     return ld.candidates(waiting, fleet(t))
 
 
@@ -233,8 +233,8 @@ def _(t):
 
 
 @query("ld_pending", f"""
-    WITH {_FLEET}, {_GOODS}, s AS (SELECT city, sum(volume) v, sum(weight) w, sum(value) m FROM gd WHERE day >= DATE '2001-06-01' GROUP BY 1), l AS (SELECT city, min(capacity_volume) cv, min(capacity_weight) cw FROM fl GROUP BY 1)
+    WITH {_FLEET}, {_GOODS}, s AS (SELECT city, sum(volume) v, sum(weight) w, sum(value) m FROM gd GROUP BY 1), l AS (SELECT city, min(capacity_volume) cv, min(capacity_weight) cw FROM fl GROUP BY 1)
     SELECT city, round(v, 4) AS volume, round(w, 4) AS weight, round(m, 2) AS value, cv AS capacity_volume, cw AS capacity_weight, (v < cv * 0.8 AND w < cw * 0.8)::BIGINT AS explained FROM s JOIN l USING (city)""")
 def _(t):
-    rows = ld.pending(goods(t).where("day >= DATE '2001-06-01'"), fleet(t))
+    rows = ld.pending(goods(t), fleet(t))
     return rows.withColumns({"volume": rounded("volume", 4), "weight": rounded("weight", 4), "value": rounded("value", 2)})

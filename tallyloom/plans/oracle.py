@@ -12,7 +12,7 @@ ROLES = {
     "r_orders": """
         SELECT o_orderkey AS order_id, o_custkey AS buyer_id,
                CASE WHEN o_orderstatus = 'P' THEN 'cancelled' ELSE 'paid' END AS status,
-               CAST(o_totalprice AS DECIMAL(8,2)) AS amount, CAST(o_orderdate AS DATE) AS created,
+               CAST(o_totalprice AS DECIMAL(18,2)) AS amount, CAST(o_orderdate AS DATE) AS created,
                o_orderpriority AS channel, o_orderstatus AS status_code
         FROM orders""",
     "r_lines": """
@@ -20,7 +20,7 @@ ROLES = {
                l_linenumber AS line_no, l_partkey AS item_id,
                CASE WHEN o_orderkey % 3 <> 0 THEN o_orderkey // 2 END AS pack_id,
                CASE WHEN o_orderstatus = 'P' THEN 'cancelled' ELSE 'paid' END AS status,
-               l_linestatus AS site, CAST(l_extendedprice / 10 AS DECIMAL(8,3)) AS amount,
+               l_linestatus AS site, CAST(l_extendedprice / 10 AS DECIMAL(18,3)) AS amount,
                CAST(l_quantity AS BIGINT) AS items, CAST(o_orderdate AS DATE) AS created,
                CAST(o_orderdate AS DATE) + (l_linenumber - 1) AS closed,
                l_tax = 0.08 AS auto_offer, l_discount = 0 AS bonus, l_returnflag = 'A' AS grocery,
@@ -62,8 +62,8 @@ ROLES = {
                     WHEN '3-MEDIUM' THEN 'debit_card' WHEN '4-NOT SPECIFIED' THEN 'credit_card'
                     WHEN '5-LOW' THEN 'ticket' END AS method,
                l_linenumber AS installments,
-               CAST(l_extendedprice / 10 * (1 + l_tax) AS DECIMAL(8,3)) AS total_paid,
-               CAST(l_extendedprice / 10 AS DECIMAL(8,3)) AS price,
+               CAST(l_extendedprice / 10 * (1 + l_tax) AS DECIMAL(18,3)) AS total_paid,
+               CAST(l_extendedprice / 10 AS DECIMAL(18,3)) AS price,
                CASE WHEN l_returnflag = 'A' THEN 'N ' ELSE 'Y ' END AS marketplace,
                CASE WHEN l_quantity <> 50 THEN o_orderkey END AS order_id,
                CASE WHEN l_returnflag = 'R' THEN 'x' || l_partkey ELSE CAST(l_partkey AS VARCHAR) END AS first_digits,
@@ -81,12 +81,12 @@ ROLES = {
                DATE '1995-01-01' + CAST(c_custkey % 1500 AS INTEGER) AS registered,
                DATE '2023-11-15' + CAST(c_custkey % 75 AS INTEGER) AS joined,
                CASE WHEN c_acctbal < 0 THEN 'inactive' ELSE 'active' END AS status,
-               c_name AS nickname, c_mktsegment AS segment, CAST(c_acctbal AS DECIMAL(8,2)) AS balance,
+               c_name AS nickname, c_mktsegment AS segment, CAST(c_acctbal AS DECIMAL(18,2)) AS balance,
                c_nationkey AS nation_id
         FROM customer""",
     "r_events": """
         SELECT event_id, user_id AS customer_id, CASE WHEN user_id % 2 = 0 THEN 'F' ELSE 'O' END AS site,
-               ts, CAST(ts AS DATE) AS day, event_type, CAST(value AS DECIMAL(8,2)) AS value,
+               ts, CAST(ts AS DATE) AS day, event_type, CAST(value AS DECIMAL(18,2)) AS value,
                TRY_CAST(json_extract_string(props, '$.k') AS INTEGER) AS k, props
         FROM events""",
     "r_visits": """
@@ -126,7 +126,7 @@ ROLES = {
         FROM r_events WHERE event_type IN ('purchase', 'click')""",
     "r_coupons": """
         SELECT event_id AS payment_id, customer_id AS buyer_id, k % 8 AS campaign_id,
-               CAST((k % 4 + 1) * 5 AS DECIMAL(8,2)) AS coupon_amount
+               CAST((k % 4 + 1) * 5 AS DECIMAL(18,2)) AS coupon_amount
         FROM r_events WHERE event_type = 'purchase' AND k < 60""",
     "r_tools": """
         SELECT CAST(n_nationkey AS VARCHAR) AS tool_id, CASE WHEN n_nationkey % 2 = 0 THEN 'F' ELSE 'O' END AS site,

@@ -37,7 +37,7 @@ _BY_CHANNEL = "SELECT channel, count(*) AS n, sum(amount)::DOUBLE AS amount FROM
 def _(t):
     folder = shared_folder(t.spark, "orders-csv")
     files.write_delimited(t.orders.select("order_id", "channel", "amount"), folder)
-    back = files.read_delimited(t.spark, folder, "order_id long, channel string, amount decimal(8,2)")
+    back = files.read_delimited(t.spark, folder, "order_id long, channel string, amount decimal(18,2)")
     return back.groupBy("channel").agg(F.count("*").alias("n"), F.sum("amount").alias("amount"))
 
 
@@ -47,7 +47,7 @@ def _(t):
     rows = t.orders.select("order_id", "channel", "amount")
     files.write_delimited(rows.where("channel < '3'"), first)
     files.write_delimited(rows.where("channel >= '3'"), second)
-    back = files.read_concatenated(t.spark, [first, second], "a long, b string, c decimal(8,2)", ["order_id", "channel", "amount"])
+    back = files.read_concatenated(t.spark, [first, second], "a long, b string, c decimal(18,2)", ["order_id", "channel", "amount"])
     return back.groupBy("channel").agg(F.count("*").alias("n"), F.sum("amount").alias("amount"))
 
 
@@ -86,7 +86,7 @@ def _(t):
 def _(t):
     folder = shared_folder(t.spark, "export")
     files.write_delimited(t.orders.select("order_id", "buyer_id", "channel", "amount"), folder, sep=";")
-    return files.read_delimited(t.spark, folder, "order_id long, buyer_id long, channel string, amount decimal(8,2)", sep=";")
+    return files.read_delimited(t.spark, folder, "order_id long, buyer_id long, channel string, amount decimal(18,2)", sep=";")
 
 
 @query("sink_typed_load", """
@@ -432,7 +432,7 @@ def _(t):
 
 @query("agg_capped", "SELECT buyer_id, sum(least(amount, 400))::DOUBLE AS capped, round(sum(least(amount, 400))::DOUBLE / count(*), 6) AS capped_mean FROM r_lines GROUP BY 1")
 def _(t):
-    capped = F.least(F.col("amount"), F.lit(400).cast("decimal(8,3)"))
+    capped = F.least(F.col("amount"), F.lit(400).cast("decimal(18,3)"))
     return t.order_lines.groupBy("buyer_id").agg(F.sum(capped).alias("capped"), rounded(ratio(F.sum(capped), F.count("*"))).alias("capped_mean"))
 
 

@@ -154,26 +154,28 @@ def _(t):
     return sg.elbow(order_block(t), CLUSTER_COLUMNS, range(2, 8))
 
 
-@query("aud_top_scored", """
+_AUDIENCE = """
     WITH snap AS (SELECT customer_id, checkout + bookmark AS score FROM r_visits WHERE log_date = (SELECT max(log_date) FROM r_visits)),
-    seen AS (SELECT customer_id FROM r_pushes WHERE sent_date BETWEEN DATE '2024-01-26' - 90 AND DATE '2024-01-26' AND push_type = 'sent' AND batch_id LIKE 'OTHER%' AND event_id % 5 = 0)
-    SELECT customer_id, score FROM snap WHERE customer_id NOT IN (SELECT customer_id FROM seen) ORDER BY score DESC, customer_id LIMIT 100""")
+    seen AS (SELECT customer_id FROM r_pushes WHERE sent_date BETWEEN DATE '2024-01-26' - 7 AND DATE '2024-01-26' AND push_type = 'sent' AND batch_id LIKE 'OTHER%'),
+    free AS (SELECT customer_id, score FROM snap WHERE customer_id NOT IN (SELECT customer_id FROM seen))"""
+
+
+@query("aud_top_scored", f"{_AUDIENCE} SELECT customer_id, score FROM free ORDER BY score DESC, customer_id LIMIT 100")
 def _(t):
     return audience(t)
 
 
 def audience(t):
     snap = jn.latest_snapshot(t.visits, "log_date").select("customer_id", (F.col("checkout") + F.col("bookmark")).alias("score"))
-    sent = t.pushes.where("push_type = 'sent' AND batch_id LIKE 'OTHER%' AND event_id % 5 = 0")
-    free = jn.contacted_within(snap, sent, "customer_id", "sent_date", date_lit("2024-01-26"), 90)
+    sent = t.pushes.where("push_type = 'sent' AND batch_id LIKE 'OTHER%'")
+    free = jn.contacted_within(snap, sent, "customer_id", "sent_date", date_lit("2024-01-26"), 7)
     return rk.top_n(free, 100, F.desc("score"), F.col("customer_id"))
 
 
-@query("view_audience", "WITH snap AS (SELECT customer_id, site, checkout + bookmark AS score FROM r_visits WHERE log_date = (SELECT max(log_date) FROM r_visits)) SELECT site, count(*) AS n, max(score) AS top FROM snap GROUP BY 1")
+@query("view_audience", f"{_AUDIENCE}, best AS (SELECT * FROM free ORDER BY score DESC, customer_id LIMIT 100) SELECT score, count(*) AS n, min(customer_id) AS first_id FROM best GROUP BY 1")
 def _(t):
-    snap = jn.latest_snapshot(t.visits, "log_date").select("customer_id", "site", (F.col("checkout") + F.col("bookmark")).alias("score"))
-    snap.createOrReplaceTempView("audience_list")
-    return t.spark.sql("SELECT site, count(*) AS n, max(score) AS top FROM audience_list GROUP BY site")
+    audience(t).createOrReplaceTempView("audience_list")
+    return t.spark.sql("SELECT score, count(*) AS n, min(customer_id) AS first_id FROM audience_list GROUP BY score")
 
 
 # ------------------------------------------------------------ cleaning
@@ -327,18 +329,18 @@ def _(t):
 
 
 @query("prep_variable_set", f"""
-    WITH {campaigns._DAY}, p AS (SELECT DISTINCT customer_id, sent_date FROM r_pushes WHERE push_type IN ('sent', 'control') AND batch_id NOT LIKE 'NEWBUYERS%'),
-    h AS (SELECT bk.customer_id, bk.sent_date, count(*) FILTER (p.sent_date >= bk.sent_date - 15)::DOUBLE / nullif(count(*) FILTER (p.sent_date <= bk.sent_date - 16), 0) AS ratio, count(*) FILTER (p.sent_date >= bk.sent_date - 7) AS n7,
-      (bk.sent_date - max(p.sent_date) FILTER (p.sent_date >= bk.sent_date - 7))::BIGINT AS recency FROM bk LEFT JOIN p ON p.customer_id = bk.customer_id AND p.sent_date BETWEEN bk.sent_date - 31 AND bk.sent_date - 1 GROUP BY bk.customer_id, bk.sent_date),
-    f AS (SELECT customer_id, sent_date, COALESCE(recency, (SELECT max(recency) + 1 FROM h)) AS recency, n7, COALESCE(ratio, -1) AS ratio FROM h),
+    WITH {campaigns._DAY}, p AS (SELECT DISTINCT customer_id, site, sent_date FROM r_pushes WHERE push_type IN ('sent', 'control') AND batch_id NOT LIKE 'NEWBUYERS%'),
+    h AS (SELECT bk.customer_id, bk.site, bk.sent_date, count(*) FILTER (p.sent_date >= bk.sent_date - 15)::DOUBLE / nullif(count(*) FILTER (p.sent_date <= bk.sent_date - 16), 0) AS ratio, count(*) FILTER (p.sent_date >= bk.sent_date - 7) AS n7,
+      (bk.sent_date - max(p.sent_date) FILTER (p.sent_date >= bk.sent_date - 7))::BIGINT AS recency FROM bk LEFT JOIN p ON p.customer_id = bk.customer_id AND p.site = bk.site AND p.sent_date BETWEEN bk.sent_date - 31 AND bk.sent_date - 1 GROUP BY bk.customer_id, bk.site, bk.sent_date),
+    f AS (SELECT customer_id, site, sent_date, COALESCE(recency, (SELECT max(recency) + 1 FROM h)) AS recency, n7, COALESCE(ratio, -1) AS ratio FROM h),
     k AS (SELECT *, (rank() OVER (ORDER BY ratio) + (count(*) OVER (PARTITION BY ratio) - 1) / 2.0) / count(*) OVER () AS rk FROM f)
-    SELECT bk.customer_id, bk.sent_date::VARCHAR AS sent_date, conversion AS y, CASE push_type WHEN 'sent' THEN 1::BIGINT ELSE 0 END AS w, recency AS PUSH_recency, n7 AS PUSH_push_days_7d, round(ratio, 6) AS PUSH_push_ratio_15d, round(rk, 6)::DOUBLE AS PUSH_push_rank
-    FROM bk JOIN k USING (customer_id, sent_date)""")
+    SELECT bk.customer_id, bk.site, bk.sent_date::VARCHAR AS sent_date, conversion AS y, CASE push_type WHEN 'sent' THEN 1::BIGINT ELSE 0 END AS w, recency AS PUSH_recency, n7 AS PUSH_push_days_7d, round(ratio, 6) AS PUSH_push_ratio_15d, round(rk, 6)::DOUBLE AS PUSH_push_rank
+    FROM bk JOIN k USING (customer_id, site, sent_date)""")
 def _(t):
     from tallyloom.operators import push as ps
     backbone = campaigns.per_day(t)
     block = pp.max_plus_one(ps.push_history(backbone, t.pushes, "NEWBUYERS%"), "recency")
     block = rk.percent_rank_average(block.withColumn("push_ratio_15d", F.coalesce("push_ratio_15d", F.lit(-1.0))), "push_ratio_15d", "push_rank")
-    keys = ["customer_id", "sent_date"]
+    keys = ["customer_id", "site", "sent_date"]
     master = jn.join_one_to_one(backbone, pp.prefix_columns(block, "PUSH", keys), keys)
     return r6(master.withColumn("w", pp.remap("push_type", {"sent": 1, "control": 0})).withColumnRenamed("conversion", "y").drop("push_type"))

@@ -59,7 +59,7 @@ class Tables:
             F.col("o_orderkey").alias("order_id"),
             F.col("o_custkey").alias("buyer_id"),
             F.when(F.col("o_orderstatus") == "P", "cancelled").otherwise("paid").alias("status"),
-            F.col("o_totalprice").cast("decimal(8,2)").alias("amount"),
+            F.col("o_totalprice").cast("decimal(18,2)").alias("amount"),
             F.col("o_orderdate").cast("date").alias("created"),
             F.col("o_orderpriority").alias("channel"),
             F.col("o_orderstatus").alias("status_code"),
@@ -81,7 +81,7 @@ class Tables:
             F.when(key % 3 != 0, F.expr("o_orderkey div 2")).alias("pack_id"),
             F.when(F.col("o_orderstatus") == "P", "cancelled").otherwise("paid").alias("status"),
             F.col("l_linestatus").alias("site"),
-            (F.col("l_extendedprice") / 10).cast("decimal(8,3)").alias("amount"),
+            (F.col("l_extendedprice") / 10).cast("decimal(18,3)").alias("amount"),
             F.col("l_quantity").cast("long").alias("items"),
             created.alias("created"),
             F.date_add(created, F.col("l_linenumber") - 1).alias("closed"),
@@ -132,8 +132,8 @@ class Tables:
             F.when(F.col("o_orderstatus") == "P", "rejected").otherwise("approved").alias("status"),
             labelled("o_orderpriority", METHODS).alias("method"),
             F.col("l_linenumber").alias("installments"),
-            (price * (1 + F.col("l_tax"))).cast("decimal(8,3)").alias("total_paid"),
-            price.cast("decimal(8,3)").alias("price"),
+            (price * (1 + F.col("l_tax"))).cast("decimal(18,3)").alias("total_paid"),
+            price.cast("decimal(18,3)").alias("price"),
             F.when(F.col("l_returnflag") == "A", "N ").otherwise("Y ").alias("marketplace"),
             F.when(F.col("l_quantity") != 50, F.col("o_orderkey")).alias("order_id"),
             F.when(F.col("l_returnflag") == "R", F.concat(F.lit("x"), F.col("l_partkey").cast("string")))
@@ -170,7 +170,7 @@ class Tables:
             F.when(F.col("c_acctbal") < 0, "inactive").otherwise("active").alias("status"),
             F.col("c_name").alias("nickname"),
             F.col("c_mktsegment").alias("segment"),
-            F.col("c_acctbal").cast("decimal(8,2)").alias("balance"),
+            F.col("c_acctbal").cast("decimal(18,2)").alias("balance"),
             F.col("c_nationkey").alias("nation_id"),
         )
 
@@ -185,8 +185,8 @@ class Tables:
             "ts",
             F.col("ts").cast("date").alias("day"),
             "event_type",
-            F.col("value").cast("decimal(8,2)").alias("value"),
-            F.try_to_number(F.get_json_object("props", "$.k"), F.lit("999")).cast("int").alias("k"),
+            F.col("value").cast("decimal(18,2)").alias("value"),
+            F.get_json_object("props", "$.k").try_cast("int").alias("k"),
             "props",
         )
 
@@ -275,7 +275,7 @@ class Tables:
             F.col("event_id").alias("payment_id"),
             F.col("customer_id").alias("buyer_id"),
             (F.col("k") % 8).alias("campaign_id"),
-            ((F.col("k") % 4 + 1) * 5).cast("decimal(8,2)").alias("coupon_amount"),
+            ((F.col("k") % 4 + 1) * 5).cast("decimal(18,2)").alias("coupon_amount"),
         )
 
     @cached_property

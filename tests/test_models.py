@@ -154,9 +154,13 @@ def test_uplift_models_rank_the_responders(spark):
     assert ev.auc_ks_accuracy(scored, "uplift", "y").first()["auc"] > 0.5
 
 
-def test_segment_regressors(spark):
+def test_segment_regressors(spark, monkeypatch):
     rng = np.random.default_rng(8)
     pdf = pd.DataFrame({"id": range(600), "s": np.where(np.arange(600) % 2 == 0, "u", "v"), "x": rng.random(600)})
     pdf["y"] = np.where(pdf.s == "u", 10 * pdf.x, -10 * pdf.x)
-    models, errors = ml.segment_regressors(spark.createDataFrame(pdf), "s", "id", "y", ["x"], ["u", "v"], cap=150, cap_above=200)
+    df, seen = spark.createDataFrame(pdf), []
+    fit = ml.fit
+    monkeypatch.setattr(ml, "fit", lambda rows, *rest: seen.append(rows.count()) or fit(rows, *rest))
+    models, errors = ml.segment_regressors(df, "s", "id", "y", ["x"], ["u", "v"])
+    assert sum(seen) == ml.train_test(df, "id", 0.2, "segments", ["s"]).where("split = 'train'").count()
     assert set(models) == {"u", "v"} and all(r["mae"] < 2 for r in errors.collect())

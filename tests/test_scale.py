@@ -14,10 +14,14 @@ from tallyloom.operators import aggregates as ag
 from tallyloom.operators import causal as ce
 from tallyloom.operators import loading as ld
 from tallyloom.operators import lookalike as lk
+from tallyloom.operators import ltv
+from tallyloom.operators import prepare as pp
 from tallyloom.operators import ranking as rk
 from tallyloom.operators import sampling as sm
 from tallyloom.operators import segments as sg
 from tallyloom.operators.trailing import Trailing, attach_trailing
+from tallyloom.plans import catalog  # noqa: F401  (registers the queries)
+from tallyloom.plans.registry import BUILDERS
 
 
 @pytest.fixture(scope="module")
@@ -166,8 +170,16 @@ def test_approximate_recall(spark, vectors):
     df, _ = vectors
     seeds = df.where("id < 60").withColumnRenamed("id", "seed_id")
     exact = {(r["id"], r["seed_id"]) for r in lk.nearest_seeds(df, seeds, 5).collect()}
-    found = {(r["id"], r["seed_id"]) for r in lk.approximate_nearest(df, seeds, 5, bits=4, tables=10).collect()}
-    assert len(exact & found) / len(exact) > 0.8
+    found = {(r["id"], r["seed_id"]) for r in lk.approximate_nearest(df, seeds, 5, pool=30).collect()}
+    assert len(found) == len(exact) and len(exact & found) / len(exact) > 0.8
+
+
+@pytest.mark.parametrize("name,exact,seed", [("lk_lsh", "lk_knn", "seed_id"), ("sq_topk_approx", "sq_topk_retrieval", "item_id")])
+def test_registered_neighbours_are_complete(spark, name, exact, seed):
+    """The registered queries themselves: as many rows as the exact lists have, and at least 80% of those."""
+    pairs = lambda q: {(r["id"], r[seed]) for r in BUILDERS[q](spark, "/root/testdata/sf0.01").collect()}
+    found, full = pairs(name), pairs(exact)
+    assert len(found) == len(full) and len(found & full) / len(full) > 0.8
 
 
 def test_hot_bucket_is_split(spark):
@@ -247,3 +259,47 @@ def test_tasks_need_no_copy_of_the_package(tmp_path):
     env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
     out = subprocess.run([sys.executable, "-c", code, root], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=300)
     assert "rows" in out.stdout, out.stderr[-2000:]
+
+
+def test_trailing_with_two_sites_and_bad_values(spark):
+    """Keys of several columns; what lies outside a window neither costs digits nor spreads."""
+    import datetime as dt
+
+    day = lambda n: dt.date(2024, 1, 1) + dt.timedelta(n)
+    facts = [(1, "a", day(0), 1e16), (1, "a", day(50), 5.3), (1, "b", day(51), 7.0), (2, "a", day(0), float("nan")), (2, "a", day(55), 2.5), (2, "b", day(58), None)]
+    anchors = [(1, "a", day(60)), (1, "b", day(60)), (2, "a", day(60)), (2, "b", day(60))]
+    f = spark.createDataFrame(facts, "id long, site string, day date, v double")
+    a = spark.createDataFrame(anchors, "id long, site string, at date")
+    measures = {"s": Trailing("sum", -20, -1, "v"), "n": Trailing("count", -20, -1), "last": Trailing("last", -20, -1)}
+    got = {(r["id"], r["site"]): (r["s"], r["n"], r["last"]) for r in attach_trailing(a, f, ["id", "site"], "at", "day", measures).collect()}
+    assert got == {(1, "a"): (5.3, 1, day(50)), (1, "b"): (7.0, 1, day(51)), (2, "a"): (2.5, 1, day(55)), (2, "b"): (None, 1, day(58))}
+
+
+def test_many_categories(spark):
+    """100,000 labels: codes by name, and draws that follow the running shares."""
+    df = spark.range(200_000).select("id", F.format_string("v%06d", F.col("id") % 100_000).alias("c"))
+    codes = pp.code_table(df, "c", 2)
+    assert codes.count() == 100_000 and codes.filter("code <> cast(substring(c, 2) as int) + 1").count() == 0
+    holes = df.withColumn("c", F.when(F.col("id") % 10 != 0, F.col("c")))
+    filled = pp.draw_missing(holes, "c", "id")
+    assert filled.count() == 200_000 and filled.filter("c is null").count() == 0
+    assert filled.join(holes.withColumnRenamed("c", "old"), "id").filter("old is not null and old <> c").count() == 0
+
+
+def test_unbounded_likelihood_is_never_best(spark):
+    df = spark.createDataFrame([(1.0, 1), (-1.0, 1)], "x double, __n long")
+    value = ltv._batched(df, ["x"], lambda p, x: np.log(x * p[0]))([np.array([1.0])])
+    assert value == [-float("inf")]
+
+
+def test_large_amounts(spark, tmp_path):
+    from tallyloom.sources.tables import Tables
+
+    for name, row in {
+        "orders": "1L AS o_orderkey, 1L AS o_custkey, 'O' AS o_orderstatus, 2500000.25D AS o_totalprice, DATE'1998-02-02' AS o_orderdate, '1-URGENT' AS o_orderpriority",
+        "events": "1L AS event_id, 4L AS user_id, TIMESTAMP'2024-01-01 00:00:00' AS ts, 'view' AS event_type, 3000000.5D AS value, '{\"k\": 1000}' AS props",
+    }.items():
+        spark.sql(f"SELECT {row}").write.parquet(str(tmp_path / f"{name}.parquet"))
+    t = Tables(spark, str(tmp_path))
+    assert float(t.orders.first()["amount"]) == 2500000.25
+    assert (float(t.events.first()["value"]), t.events.first()["k"]) == (3000000.5, 1000)
