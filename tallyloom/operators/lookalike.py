@@ -159,7 +159,7 @@ def k_curve(neighbours: DataFrame, targets: DataFrame, ks: Sequence[int]) -> Dat
     """Mean average precision of the mean-distance score for several k, from one neighbour table."""
     upto = Window.partitionBy("id").orderBy("place").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     means = neighbours.withColumn("mean", F.avg("distance").over(upto)).where(F.col("place").isin(list(ks)))
-    rows = means.select("id", F.col("place").alias("k"), "mean").join(targets, "id")
+    rows = cut_lineage(means.select("id", F.col("place").alias("k"), "mean").join(targets, "id"))
     return mean_average_precision(rows, "mean", "target", "id", descending=False, group=["k"])
 
 
@@ -281,7 +281,8 @@ def feature_search(rows: DataFrame, seeds: DataFrame, subsets: Sequence[Sequence
 
 def seed_recall(scored: DataFrame, score: str, target: str, tie: str, n: int, descending: bool = False) -> DataFrame:
     """Recall of the positives and share of the population among the n best rows."""
-    ranked = global_rank(scored, score, tie, descending=descending, rank="__rank")
+    # The ranking reads its input several times, and here that is a neighbour search.
+    ranked = global_rank(cut_lineage(scored), score, tie, descending=descending, rank="__rank")
     best = F.col("__rank") <= n
     positive = F.col(target) == 1
     return ranked.agg(

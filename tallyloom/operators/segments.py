@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from tallyloom.operators.ranking import global_rank, ntile
 from tallyloom.operators.sampling import named_split
+from tallyloom.session import cut_lineage
 
 # Shares of the ranked population; the last segment takes the rest.
 SHARES_4 = [0.1, 0.1, 0.2]
@@ -58,14 +59,15 @@ def quota_by_probability(
     Each step finds the last row of its quota among the rows still free (two numbers), so the
     result is one CASE over the input and the plan does not grow from step to step.
     """
-    n = df.count()
+    narrow = cut_lineage(df.select(key, *dict.fromkeys([*probabilities, last])))
+    n = narrow.count()
     steps = [(name, int(n * share)) for name in probabilities] + [(last, int(n * last_share))]
     label, taken = F.lit(rest), F.lit(False)
     found = []
     for name, quota in steps:
         if quota == 0:
             continue
-        free = df.where(~taken)
+        free = narrow.where(~taken)
         border = global_rank(free, name, key, descending=True, rank="__rank").where(F.col("__rank") == quota).first()
         here = F.lit(True)
         if border is not None:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tallyloom.functions.columns import add_all, as_column, count_when, ratio, sum_when
 from tallyloom.operators.ranking import ntile, running_totals
+from tallyloom.session import cut_lineage
 
 
 def class_transform(outcome: Column | str, treated: Column | str) -> Column:
@@ -102,8 +103,8 @@ def qini(summary: DataFrame, model: Sequence[str] = (), negative_effect: bool =
 
 
 def evaluate(df: DataFrame, outcome: str, treated: str, score: str, tie: str, model: Sequence[str] = ()) -> DataFrame:
-    """The five metrics of a model (or of several, one row each)."""
-    summary = bucket_summary(df, outcome, treated, score, tie, model)
+    """The five metrics of a model (or of several, one row each), all from one table of ten buckets."""
+    summary = cut_lineage(bucket_summary(df, outcome, treated, score, tie, model))
     if not model:
         one_row = [gain(summary).select(F.struct("*")).scalar(), qini(summary).select("qini").scalar()]
         return lift_top(summary).withColumns({"__gain": one_row[0], "qini": one_row[1]}).select(

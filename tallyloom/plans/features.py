@@ -12,15 +12,15 @@ from tallyloom.functions.columns import date_lit, rounded
 from tallyloom.operators import history as hs
 from tallyloom.operators import joins as jn
 from tallyloom.operators import orders as od
+from tallyloom.operators import prepare as pp
 from tallyloom.operators import profile as pf
 from tallyloom.operators.sampling import bernoulli
 from tallyloom.plans.common import r6
-from tallyloom.plans.registry import query
+from tallyloom.plans.registry import PARTS, query
 from tallyloom.session import cut_lineage
 from tallyloom.sources.tables import Tables
 
 
-
 def start():
     return date_lit(DEFAULT_PERIOD.start)
 
@@ -38,7 +38,8 @@ def valid(t: Tables):
 
 
 def pop(t: Tables):
-    return od.population(valid(t))
+    """Buyers of the period; the table that a query has materialised, if any."""
+    return t.shared_population if t.shared_population is not None else od.population(valid(t))
 
 
 # ------------------------------------------------------------ orders
@@ -315,19 +316,29 @@ def registry_block(t):
 # ------------------------------------------------------------ master, panel
 
 
-@query("fb_master_at_date", f"""
-    WITH f AS ({frequency_sql("r_daily", D, "customer_id")}), y AS ({_PAYMENTS}), n AS ({_TENURE})
-    SELECT p.customer_id, f.* EXCLUDE (customer_id), y.* EXCLUDE (customer_id), n.* EXCLUDE (customer_id)
-    FROM r_population p LEFT JOIN f USING (customer_id) LEFT JOIN y USING (customer_id) LEFT JOIN n USING (customer_id)""")
+MASTER_BLOCKS = {
+    "target": "fb_target", "interpurchase": "fb_interpurchase", "seller": "fb_seller", "orders": "fb_orders_frequency", "price": "fb_asp",
+    "shipping": "fb_purchases_shipping", "payments": "fb_payments", "cards": "fb_cards", "location": "fb_location", "tenure": "fb_tenure",
+    "installs": "fb_installs", "second_app": "fb_installs_second_app", "visits": "fb_visits", "assets": "fb_asset_status",
+    "prepaid": "fb_prepaid", "registry": "fb_registry",
+}
+
+
+def _master_sql() -> str:
+    """Every block's own SQL, its columns prefixed, joined to the population."""
+    parts = ", ".join(f"{k} AS (SELECT COLUMNS('(.*)') AS '{k}_\\1' FROM ({PARTS[n][1]}))" for k, n in MASTER_BLOCKS.items())
+    columns = ", ".join(f"{k}.* EXCLUDE ({k}_customer_id)" for k in MASTER_BLOCKS)
+    joins = " ".join(f"LEFT JOIN {k} ON {k}_customer_id = p.customer_id" for k in MASTER_BLOCKS)
+    return f"WITH {parts} SELECT p.customer_id, {columns} FROM r_population p {joins}"
+
+
+@query("fb_master_at_date", _master_sql())
 def _(t):
-    # Every block restricts its source to the population: it is written once and read by all.
-    population = cut_lineage(pop(t))
-    blocks = [
-        od.orders_frequency(od.daily_orders(valid(t)), end()),
-        pf.payments(t.payments, t.order_bonus, population, start(), end(), "O"),
-        tenure_block(t, population),
-    ]
-    return r6(jn.join_blocks(population, blocks, ["customer_id"]))
+    """All blocks and the target of the date, one row per customer of the population."""
+    t.shared_population = cut_lineage(pop(t))  # every block restricts its source to it: written once, read by all
+    blocks = [PARTS[n][0](t) for n in MASTER_BLOCKS.values()]
+    named = [pp.prefix_columns(b, k, ["customer_id"]) for k, b in zip(MASTER_BLOCKS, blocks, strict=True)]
+    return jn.join_blocks(t.shared_population, named, ["customer_id"])
 
 
 PANEL_DATES = dates.reference_dates(dt.date(1998, 12, 31), seed=7)

@@ -13,6 +13,8 @@ from tallyloom.sources.tables import Tables
 
 BUILDERS: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
+#: Builders and SQL as registered, for queries made of other ones.
+PARTS: dict[str, tuple[Callable[[Tables], DataFrame], str]] = {}
 
 
 def presentable(df: DataFrame) -> DataFrame:
@@ -43,6 +45,7 @@ def query(name: str, sql: str | None = None):
         BUILDERS[name] = lambda spark, folder: presentable(build(Tables(spark, folder)))
         if sql is not None:
             ORACLES[name] = oracle(sql)
+            PARTS[name] = (build, sql)
         return build
 
     return register

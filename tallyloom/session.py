@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -23,6 +25,13 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8) -> SparkS
     )
 
 
+def _local_folder() -> str:
+    """Folder of a local session, removed when the program ends."""
+    folder = tempfile.mkdtemp(prefix="tallyloom-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    return folder
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Materialise in the shared checkpoint folder of the session.
 
@@ -36,7 +45,7 @@ def cut_lineage(df: DataFrame) -> DataFrame:
         if folder is None:
             if not context.master.startswith("local"):
                 raise RuntimeError("set spark.checkpoint.dir to a shared folder")
-            folder = tempfile.mkdtemp(prefix="tallyloom-checkpoint-")
+            folder = _local_folder()
         context.setCheckpointDir(folder)
     return df.checkpoint(eager=True)
 
@@ -47,5 +56,5 @@ def shared_folder(spark: SparkSession, name: str) -> str:
     if base is None:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a shared folder")
-        base = tempfile.mkdtemp(prefix="tallyloom-")
+        base = _local_folder()
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"

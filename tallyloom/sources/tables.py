@@ -45,6 +45,7 @@ class Tables:
     def __init__(self, spark: SparkSession, folder: str):
         self.spark = spark
         self.folder = folder.rstrip("/")
+        self.shared_population: DataFrame | None = None
 
     def path(self, name: str) -> str:
         return f"{self.folder}/{name}.parquet"
