@@ -29,6 +29,9 @@ def training_rows(events: DataFrame, purchases: DataFrame, days: int = 60, n: in
     """
     counts = events.groupBy("customer_id", "day", "token").agg(F.sum("views").alias("views")).where(F.col("views") > 0)
     item = F.struct("token", view_level(F.col("views")).alias("level"))
+    # The last n items of a day are picked before they are collected: a robot's day is no longer than anyone's.
+    place = F.row_number().over(Window.partitionBy("customer_id", "day").orderBy(F.desc(item)))
+    counts = counts.withColumn("__place", place).where(F.col("__place") <= n)
     daily = counts.groupBy("customer_id", "day").agg(F.array_sort(F.collect_list(item)).alias("items"))
     daily = daily.select("customer_id", "day", F.struct("day", arrays.last_n("items", n).alias("items")).alias("items"))
     bought = purchases.select("customer_id", F.col("day").alias("bought"), F.col("token").alias("target")).distinct()
