@@ -9,6 +9,7 @@ from tallyloom.config import FILL_RECENCY
 from tallyloom.operators.aggregates import window_grid
 
 HORIZON = 60
+# Payment segments, and counters of the visits table.
 SEGMENTS = {
     "account_fund": "Account Fund", "wallet": "Wallet", "aggregator": "Aggregator", "point": "Point",
     "point_device": "Point Device Sale",

@@ -224,7 +224,7 @@ def prepaid(
 
 
 def asset_status(population: DataFrame, assets: DataFrame, today: Column) -> DataFrame:
-    """'investing' when the customer invests since before the date."""
+    """'investing' when the customer invests since before the date. Both names are fixed values."""
     known = assets.where(F.col("since") <= today).groupBy("customer_id").agg(
         F.max(F.col("asset_status") == "investing").alias("__investing")
     )

@@ -135,6 +135,9 @@ def _(t):
     return r6(od.interpurchase(days, pop(t), end(), short_days=200))
 
 
+_DEVICES = "['desktop_purchase', 'mobile_web_purchase', 'android_purchase', 'ios_purchase']"
+
+
 @query("fb_purchases_shipping", f"""
     WITH f AS (SELECT * FROM r_shipments WHERE kind = 'forward' AND shipped BETWEEN {D0} AND {D}),
     p AS (SELECT v.*, d.device_kind, d.device_app, f.shipment_id, f.cart_id, f.cart_type, f.picking, f.free_flag
@@ -149,8 +152,7 @@ def _(t):
       count(DISTINCT CASE WHEN COALESCE(free_flag, 0) >= 1 THEN order_id END) AS orders_free_shipping, count(DISTINCT CASE WHEN shipment_id IS NULL THEN order_id END) AS orders_unshipped,
       count(DISTINCT CASE WHEN COALESCE(cart_type, 0) = 0 THEN order_id END) AS orders_no_cart, count(DISTINCT CASE WHEN picking = 'drop_off' THEN order_id END) AS orders_drop_off
       FROM p GROUP BY 1)
-    SELECT *, CASE greatest(desktop_purchase, mobile_web_purchase, android_purchase, ios_purchase) WHEN desktop_purchase THEN 'desktop_purchase'
-      WHEN mobile_web_purchase THEN 'mobile_web_purchase' WHEN android_purchase THEN 'android_purchase' WHEN ios_purchase THEN 'ios_purchase' END AS main_device FROM a""")
+    SELECT a.*, {_DEVICES}[list_position({_DEVICES.replace("'", "")}, list_max({_DEVICES.replace("'", "")}))] AS main_device FROM a""")
 def _(t):
     return pf.purchases_shipping(valid(t), t.devices, t.shipments, start(), end())
 

@@ -163,13 +163,13 @@ def _(t):
 
 
 @query("tbl_latest_complete", """
-    WITH f AS (SELECT created, CASE status_code WHEN 'F' THEN 'clusters.pkl' WHEN 'O' THEN 'model.pkl' ELSE 'features.csv' END AS file FROM r_orders)
+    WITH f AS (SELECT created, CASE status_code WHEN 'F' THEN 'groups.bin' WHEN 'O' THEN 'rules.bin' ELSE 'columns.txt' END AS file FROM r_orders)
     SELECT max(created)::VARCHAR AS folder_date FROM
     (SELECT created FROM f GROUP BY 1 HAVING count(DISTINCT file) = 3)""")
 def _(t):
-    file = F.when(F.col("status_code") == "F", "clusters.pkl").when(F.col("status_code") == "O", "model.pkl").otherwise("features.csv")
+    file = F.when(F.col("status_code") == "F", "groups.bin").when(F.col("status_code") == "O", "rules.bin").otherwise("columns.txt")
     paths = t.orders.select(F.concat(F.lit("store/models/"), F.col("created").cast("string"), F.lit("/"), file).alias("path"))
-    return files.latest_complete(paths, ["clusters.pkl", "model.pkl", "features.csv"])
+    return files.latest_complete(paths, ["groups.bin", "rules.bin", "columns.txt"])
 
 
 # ------------------------------------------------------------ filters and projections
