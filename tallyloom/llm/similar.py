@@ -5,8 +5,8 @@ Sets of word 5-grams are kept as ascending 64-bit hashes, one order for all sets
 1. Screen. A set linked to another one misses at most a quarter of its own grams there. Every set sends its grams below a
    fixed hash bound (at least its prefix); a set goes on only if enough of what it sent is shared.
 2. Candidates. The sets that are left order what they sent by frequency; two linked sets share a gram of their prefixes.
-   A prefix gram first ties its sets to one hub; the pairs whose sets those ties do not join already are formed after that,
-   where the places of the gram leave room for the overlap that the sizes of the two sets ask for.
+   A prefix gram first ties its sets to one hub, where the places of the gram leave room for the overlap that the sizes of
+   the two sets ask for. Sets of a gram that those ties do not join meet in blocks inside tasks.
 3. Trie. Candidates of a set arrive in the order of their grams, which is a depth-first walk of the tree of their sets. The
    overlap counted along a shared path is kept, and a set is left as soon as its remaining grams cannot reach the bound.
 """
@@ -33,7 +33,7 @@ SENT_BELOW = np.uint64(int(SENT_SHARE * 2**64))
 PLACES = mix64(np.arange(1, GRAM + 1, dtype=np.uint64) * np.uint64(BASE)) | np.uint64(1)
 HUB_CHUNK = 512
 STRIDE = 64
-PAIR_BLOCK = 4096
+PAIR_BLOCK = 2048
 BINS = 256
 
 
@@ -266,79 +266,79 @@ def _may_link() -> Column:
     return (F.least("n", "m") >= need) & (F.col("n") - F.col("rank") + 1 >= need) & (F.col("m") - F.col("at") + 1 >= need)
 
 
-def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(sid, bins): how many grams of the set fall into each of BINS bins, up to 255."""
-    for batch in batches:
-        packed = batch.column("grams")
-        counts = [np.bincount(np.frombuffer(g.as_buffer(), np.uint8)[7::8], minlength=BINS) for g in packed]
-        yield pa.record_batch([batch.column("sid"), pa.array([np.minimum(c, 255).astype(np.uint8).tobytes() for c in counts], pa.binary())], names=["sid", "bins"])
+def _bins(grams: list[np.ndarray]) -> np.ndarray:
+    """How many grams of each set fall into each of BINS bins, up to 255."""
+    return np.stack([np.minimum(np.bincount(g.astype(np.int64) & (BINS - 1), minlength=BINS), 255) for g in grams]).astype(np.uint8)
 
 
-def _block_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(hub, sid) of the pairs that may link, from the rows of a gram's block, or of two of its blocks, in sequence.
+def _block_links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(u, v): links of a block of sets, or of two blocks, that join different groups; as few as join them.
 
     Two sets share no more grams than the sum of the smaller counts of their bins; a bin that is full in both bounds nothing.
+    What that leaves is counted on the whole sets.
     """
-    keys, values, held = ["gram", "i", "j"], ["side", "sid", "n", "rank", "label"], None
+    keys, held = ["lead", "i", "j"], None
 
-    def pairs(group: list[np.ndarray], bins: np.ndarray) -> list[np.ndarray]:
-        side, sid, n, rank, label = group
+    def links(group: pa.Table) -> tuple[list[int], list[int]]:
+        side, sid, n, rank, label = (group[c].to_numpy() for c in ("side", "sid", "n", "rank", "label"))
+        grams = [np.frombuffer(g.as_buffer(), ">u8").astype(np.uint64) for c in group["grams"].chunks for g in c]
+        bins = _bins(grams)
+        full = bins == 255
+        label = np.unique(label, return_inverse=True)[1]
         within = not side.any()
         right = np.arange(len(sid)) if within else np.flatnonzero(side == 1)
-        full = bins == 255
-        out = []
+        us, vs = [], []
         for a in range(len(sid)) if within else np.flatnonzero(side == 0).tolist():
             b = right[a + 1 :] if within else right
             need = -(-ABOVE * (n[a] + n[b]) // (ABOVE + BELOW))
-            b = b[(label[b] != label[a]) & (np.minimum(n[a], n[b]) >= need) & (n[a] - rank[a] + 1 >= need) & (n[b] - rank[b] + 1 >= need)]
-            if len(b):
-                need = -(-ABOVE * (n[a] + n[b]) // (ABOVE + BELOW))
-                most = np.minimum(bins[a], bins[b]).sum(axis=1, dtype=np.int64)
-                b = b[(most >= need) | (full[a] & full[b]).any(axis=1)]
-                out.append(np.stack([np.minimum(sid[a], sid[b]), np.maximum(sid[a], sid[b])]))
-        return out
-
-    def result(out: list[np.ndarray]) -> pa.RecordBatch:
-        both = np.unique(np.concatenate(out, axis=1), axis=1) if out else np.zeros((2, 0), np.int64)
-        return pa.record_batch([pa.array(both[0]), pa.array(both[1])], names=["hub", "sid"])
+            ok = (label[b] != label[a]) & (np.minimum(n[a], n[b]) >= need) & (n[a] - rank[a] + 1 >= need) & (n[b] - rank[b] + 1 >= need)
+            b, need = b[ok], need[ok]
+            most = np.minimum(bins[a], bins[b]).sum(axis=1, dtype=np.int64)
+            ok = (most >= need) | (full[a] & full[b]).any(axis=1)
+            for c, wanted in zip(b[ok].tolist(), need[ok].tolist()):
+                if label[c] == label[a]:
+                    continue
+                at = np.minimum(np.searchsorted(grams[a], grams[c]), n[a] - 1)
+                if int((grams[a][at] == grams[c]).sum()) >= wanted:
+                    us.append(int(sid[a]))
+                    vs.append(int(sid[c]))
+                    label[label == label[c]] = label[a]
+        return us, vs
+
+    def result(found: list[tuple[list[int], list[int]]]) -> pa.RecordBatch:
+        return pa.record_batch([pa.array([x for f in found for x in f[k]], pa.int64()) for k in (0, 1)], names=["u", "v"])
 
     for batch in batches:
-        table = pa.Table.from_batches([batch] if held is None else [*held.to_batches(), batch]).combine_chunks()
-        key = [table[k].to_numpy() for k in keys]
+        table = pa.Table.from_batches([batch] if held is None else [*held.to_batches(), batch])
         new = np.zeros(table.num_rows, dtype=bool)
-        for c in key:
+        for k in keys:
+            c = table[k].to_numpy()
             new[1:] |= c[1:] != c[:-1]
-        heads = np.flatnonzero(new)  # the last group may go on in the next batch
-        out, at = [], 0
-        columns = [table[v].to_numpy() for v in values]
-        body = table["bins"].combine_chunks()
-        for stop in heads.tolist():
+        found, at = [], 0
+        for stop in np.flatnonzero(new).tolist():  # the last group may go on in the next batch
             if stop - at > 1:
-                out += pairs([c[at:stop] for c in columns], _bytes_of(body[at:stop]))
+                found.append(links(table.slice(at, stop - at)))
             at = stop
         held = table.slice(at)
-        yield result(out)
+        yield result(found)
     if held is not None and held.num_rows > 1:
-        yield result(pairs([held[v].to_numpy() for v in values], _bytes_of(held["bins"].combine_chunks())))
-
-
-def _bytes_of(bins: pa.Array) -> np.ndarray:
-    return np.frombuffer(b"".join(b.as_py() for b in bins), np.uint8).reshape(len(bins), BINS)
+        yield result([links(held)])
 
 
-def crossing_pairs(rows: DataFrame, sets: DataFrame) -> DataFrame:
-    """(hub, sid) of the pairs of different groups that share a prefix gram and may link by their ranks, sizes and bins.
+def crossing_links(rows: DataFrame, sets: DataFrame) -> DataFrame:
+    """(u, v): links between sets of different groups that share a prefix gram.
 
-    A gram's sets are compared inside tasks, in blocks of about PAIR_BLOCK, every block with every one: what leaves a task
-    are candidates, not all pairs of a group.
+    Grams with the same smallest set go together: its sets meet once for all of them, in blocks of about PAIR_BLOCK, every
+    block with every one. Sets are compared inside tasks, and only links leave them.
     """
-    sizes = rows.groupBy("gram").agg((F.count("*") / PAIR_BLOCK).cast("int").alias("last"))
-    full = rows.join(sizes, "gram").join(sets.mapInArrow(_signatures, "sid long, bins binary"), "sid")
+    leads = rows.groupBy("gram").agg(F.min("sid").alias("lead"))
+    members = cut_lineage(rows.join(leads, "gram").groupBy("lead", "sid").agg(F.min("rank").alias("rank"), F.max("n").alias("n"), F.max("label").alias("label")))
+    sizes = members.groupBy("lead").agg((F.count("*") / PAIR_BLOCK).cast("int").alias("last"))
     own = F.pmod(F.hash("sid"), F.col("last") + 1)
-    dealt = full.select("*", own.alias("own"), F.explode(F.sequence(F.lit(0), "last")).alias("with"))
-    blocks = dealt.select("gram", F.least("own", "with").alias("i"), F.greatest("own", "with").alias("j"), (F.col("own") > F.col("with")).cast("int").alias("side"), "sid", "n", "rank", "label", "bins")
-    met = blocks.repartition("gram", "i", "j").sortWithinPartitions("gram", "i", "j")
-    return met.mapInArrow(_block_pairs, "hub long, sid long").distinct()
+    dealt = members.join(sizes, "lead").select("*", own.alias("own"), F.explode(F.sequence(F.lit(0), "last")).alias("with"))
+    blocks = dealt.select("lead", F.least("own", "with").alias("i"), F.greatest("own", "with").alias("j"), (F.col("own") > F.col("with")).cast("int").alias("side"), "sid", "n", "rank", "label")
+    met = blocks.join(sets.select("sid", "grams"), "sid").repartition("lead", "i", "j").sortWithinPartitions("lead", "i", "j")
+    return met.mapInArrow(_block_links, "u long, v long")
 
 
 def _stars(rows: DataFrame) -> DataFrame:
@@ -364,8 +364,7 @@ def linked_sets(sets: DataFrame) -> DataFrame:
     mixed = named.groupBy("gram").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low <> high").select("gram")
     rows = cut_lineage(named.join(mixed, "gram"))
     release(spark)
-    pairs = cut_lineage(crossing_pairs(rows, sets))
-    more = cut_lineage(verified(pairs, sets))
+    more = cut_lineage(crossing_links(rows, sets))
     return components(links.unionByName(more))
 
 
