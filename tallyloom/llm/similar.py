@@ -4,7 +4,8 @@ Sets of word 5-grams are kept as ascending 64-bit hashes, one order for all sets
 
 1. Screen. A set linked to another one misses at most a quarter of its own grams there. Every set sends its grams below a
    fixed hash bound (at least its prefix); a set goes on only if enough of what it sent is shared.
-2. Candidates. The sets that are left order what they sent by frequency; two linked sets share a gram of their prefixes.
+2. Candidates. The sets that are left order what they sent: grams below the bound by frequency, which is known for them, then
+   the others by hash; two linked sets share a gram of their prefixes.
    A prefix gram first ties its sets to one hub, where the places of the gram leave room for the overlap that the sizes of
    the two sets ask for. Sets of a gram that those ties do not join meet in blocks inside tasks.
 3. Trie. Candidates of a set arrive in the order of their grams, which is a depth-first walk of the tree of their sets. The
@@ -180,13 +181,20 @@ def _full_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(gram, sid, n, sent) of the grams that each set sends."""
+    """(gram, sid, n, sent, upto) of the grams that each set sends.
+
+    `upto` is how many grams of the set lie below the hash bound; for a gram at or above it, the gram's place in the set.
+    """
     for batch in batches:
         sent = batch.column("sent").to_numpy()
         body = b"".join(g.as_py()[: 8 * s] for g, s in zip(batch.column("grams"), sent.tolist()))
-        grams = np.frombuffer(body, ">u8").astype(np.uint64).view(np.int64)
-        columns = [pa.array(np.repeat(batch.column(c).to_numpy(), sent)) for c in ("sid", "n", "sent")]
-        yield pa.record_batch([pa.array(grams), *columns], names=["gram", "sid", "n", "sent"])
+        grams = np.frombuffer(body, ">u8").astype(np.uint64)
+        row = np.repeat(np.arange(len(sent)), sent)
+        place = np.arange(len(row)) - np.repeat(np.cumsum(sent) - sent, sent) + 1
+        below = grams < SENT_BELOW
+        upto = np.where(below, np.bincount(row[below], minlength=len(sent))[row], place)
+        columns = [pa.array(batch.column(c).to_numpy()[row]) for c in ("sid", "n", "sent")]
+        yield pa.record_batch([pa.array(grams.view(np.int64)), *columns, pa.array(upto)], names=["gram", "sid", "n", "sent", "upto"])
 
 
 def _walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -242,20 +250,22 @@ def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 def candidate_prefixes(sets: DataFrame) -> DataFrame:
     """(gram, sid, n, rank, weight) of the prefix grams that several sets have; see step 2 of the module.
 
-    `rank` counts the grams of the set up to this one, from 1, those of no other set included.
+    `rank` counts the grams of the set up to this one, from 1, those of no other set included. Grams below the hash bound are
+    sent by all their sets and go by `df`. One at or above it may be in sets that do not send it, so `df` says nothing there:
+    such grams follow by hash alone, as `gram_sets` has them, and the prefix is always among what a set sends.
     `weight` says how common the grams of a set are: the text that others were edited from has more of their grams than
     they have of each other's, and is the best hub.
     """
-    sent = sets.mapInArrow(_unpack, "gram long, sid long, n long, sent long")
+    sent = sets.mapInArrow(_unpack, "gram long, sid long, n long, sent long, upto long")
     often = sent.groupBy("gram").agg(F.count("*").alias("df")).filter("df > 1")
     known = sent.join(often, "gram")
     late = F.shiftrightunsigned("gram", 1) >= F.lit(int(SENT_BELOW) >> 1)
     own = Window.partitionBy("sid")
     ranked = known.select(
-        "*", F.row_number().over(own.orderBy(late, "df", "gram")).alias("nth"), F.count("*").over(own).alias("shared"), (F.sum(F.log2("df")).over(own) / F.col("sent")).alias("weight")
+        "*", F.row_number().over(own.orderBy(late, "df", "gram")).alias("nth"), F.count_if(~late).over(own).alias("shared"), (F.sum(F.log2("df")).over(own) / F.col("sent")).alias("weight")
     )
     prefix = F.col("n") - F.expr(f"({ABOVE} * n + {BELOW - 1}) div {BELOW}") + 1
-    ranked = ranked.withColumn("rank", F.col("nth") + F.col("sent") - F.col("shared"))
+    ranked = ranked.withColumn("rank", F.when(late, F.col("upto")).otherwise(F.col("nth") + F.col("upto") - F.col("shared")))
     return ranked.filter(F.col("rank") <= prefix).select("gram", "sid", "n", "rank", "weight")
 
 

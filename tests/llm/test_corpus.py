@@ -276,6 +276,25 @@ def test_similar_many_candidates(spark):
     assert tuples(out, "doc_id", "n_shingles", "component_id") == Counter((r[0], len(s), least[g]) for r, s, g in zip(rows, sets, group))
 
 
+def test_similar_short_sets(spark):
+    """Pairs of 6 to 60 words, each of its own words, where one text has a longer or shorter tail: sets whose prefix reaches above the bound."""
+    rng = random.Random(11)
+    rows = []
+    for n in range(6, 61):
+        for k in range(8):
+            words = [f"p{n}x{k}w{j}" for j in range(n)]
+            tail = rng.randint(1, max(1, (n - 4) // 3 + 1))
+            other = words[:-tail] if k % 2 else words + [f"p{n}x{k}t{j}" for j in range(tail)]
+            rows += [(len(rows), " ".join(words)), (len(rows) + 1, " ".join(other))]
+    sets, group = jaccard_groups(rows)
+    least = {}
+    for g, r in zip(group, rows):
+        least.setdefault(g, r[0])
+    assert 300 < sum(least[g] != r[0] for g, r in zip(group, rows)) < 440
+    out = similar.similar_documents(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert tuples(out, "doc_id", "n_shingles", "component_id") == Counter((r[0], len(s), least[g]) for r, s, g in zip(rows, sets, group))
+
+
 def test_components(spark):
     rng = random.Random(2)
     edges = [(rng.randrange(300), rng.randrange(300)) for _ in range(200)] + [(1000 + k, 1001 + k) for k in range(40)] + [(7, 7)]
