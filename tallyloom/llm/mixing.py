@@ -92,12 +92,20 @@ def schedule(targets: DataFrame, slots: int) -> DataFrame:
     return drawn.withColumn("nth", nth).join(ahead, ["skey", "chunk"]).select("k", "skey", (F.col("ahead") + F.col("nth") - 1).alias("rank"))
 
 
+def placed_rows(rows: DataFrame) -> DataFrame:
+    """(skey, bucket, place, size, at) of the rows of `streams` with words; `at` counts the words ahead in the source's stream."""
+    heads = rows.groupBy("skey", "bucket").agg(F.sum("size").alias("words"))
+    heads = heads.select("skey", "bucket", F.coalesce(F.sum("words").over(Window.partitionBy("skey").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("ahead"))
+    return rows.filter("size > 0").join(heads, ["skey", "bucket"]).select("skey", "bucket", "place", "size", (F.col("ahead") + F.col("inside")).alias("at"))
+
+
 def mix_rows(docs: DataFrame, cap: int = 3, block: int | None = None, doc_id: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
     """`streams` with source_size, target and taken: the words that the mix takes of each row, repeats counted.
 
     `block` is the length of a block in words; by default total words / 65,536, from 1 to 2,048, so that rounding to
-    whole blocks stays small next to a target. A source's block is drawn at most `cap` times, hence no row gives more than
-    `cap` times its size. Rows without words give nothing.
+    whole blocks stays small next to the targets of a small corpus; in a large one, sources of few blocks miss theirs (see
+    `whole_rows`). A source's block is drawn at most `cap` times, hence no row gives more than `cap` times its size. Rows
+    without words give nothing.
     """
     rows = streams(docs, doc_id, text, source)
     sizes = rows.groupBy("skey", "source").agg(F.sum("size").alias("source_size"))
@@ -114,9 +122,7 @@ def mix_rows(docs: DataFrame, cap: int = 3, block: int | None = None, doc_id: st
         .groupBy("skey", (F.col("rank") % F.col("blocks")).alias("block"))
         .agg(F.count("*").alias("uses"))
     )
-    heads = rows.groupBy("skey", "bucket").agg(F.sum("size").alias("words"))
-    heads = heads.select("skey", "bucket", F.coalesce(F.sum("words").over(Window.partitionBy("skey").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("ahead"))
-    placed = rows.filter("size > 0").join(heads, ["skey", "bucket"]).select("skey", "bucket", "place", "size", (F.col("ahead") + F.col("inside")).alias("at"))
+    placed = placed_rows(rows)
     pieces = placed.select("*", F.explode(F.sequence(F.expr(f"at div {block}"), F.expr(f"(at + size - 1) div {block}"))).alias("block"))
     overlap = F.least(F.col("at") + F.col("size"), (F.col("block") + 1) * block) - F.greatest("at", F.col("block") * block)
     taken = pieces.withColumn("overlap", overlap).join(drawn, ["skey", "block"]).groupBy("skey", "bucket", "place").agg(F.sum(F.col("overlap") * F.col("uses")).alias("taken"))
@@ -136,13 +142,36 @@ def mix_documents(docs: DataFrame, cap: int = 3, block: int | None = None, doc_i
     return mix_rows(docs, cap, block, doc_id, text, source).select("doc_id", "source", "size", "source_size", "target", "taken")
 
 
+def whole_rows(docs: DataFrame, cap: int = 3, doc_id: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
+    """`streams` with source_size, target and taken, where every source meets its target to half a word, however small it is.
+
+    A source's blocks are single words: it has as many slots as its target has words, and slot r takes word r modulo
+    source_size of its stream. So the stream is taken a whole number of times and then once more up to a word. No points are
+    drawn, because they give the slots of the sources an order, which rows do not have.
+    """
+    rows = streams(docs, doc_id, text, source)
+    sizes = rows.groupBy("skey", "source").agg(F.sum("size").alias("source_size"))
+    slots = F.least(F.round("target").cast("long"), F.col("source_size") * cap)
+    targets = cut_lineage(source_targets(sizes, cap)).select("skey", "source_size", "target", F.coalesce(slots, F.lit(0)).alias("slots"))
+    rounds = F.when(F.col("source_size") > 0, F.expr("slots div source_size")).otherwise(0)
+    upto = F.col("slots") - rounds * F.col("source_size")
+    taken = rounds * F.col("size") + F.greatest(F.lit(0), F.least(F.col("size"), upto - F.col("at")))
+    at = placed_rows(rows).select("skey", "bucket", "place", "at")
+    return (
+        rows.join(targets, "skey")
+        .join(at, ["skey", "bucket", "place"], "left")
+        .withColumn("taken", F.when(F.col("size") > 0, taken).otherwise(0).cast("long"))
+        .drop("at", "slots")
+    )
+
+
 def mixed_corpus(docs: DataFrame, cap: int = 3, doc_id: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
     """The documents as the mix repeats them, with the input's columns.
 
-    A document comes as often as its taken words hold it, rounded to the nearest count: 0 to `cap` times. Repeated rows
-    share what their copies take. A document without words has no weight in the mix and stays once.
+    A document comes as often as its taken words hold it (see `whole_rows`), rounded to the nearest count: 0 to `cap` times.
+    Repeated rows share what their copies take. A document without words has no weight in the mix and stays once.
     """
-    per = mix_rows(docs, cap, None, doc_id, text, source).groupBy(*KEY).agg(F.sum("taken").alias("__taken"), F.sum("size").alias("__size"))
+    per = whole_rows(docs, cap, doc_id, text, source).groupBy(*KEY).agg(F.sum("taken").alias("__taken"), F.sum("size").alias("__size"))
     times = F.when(F.col("__size") > 0, F.floor(F.col("__taken") / F.col("__size") + 0.5)).otherwise(1).cast("int")
     counts = per.select(*KEY, times.alias("__times")).filter("__times > 0")
     keyed = docs.select("*", *key_columns(doc_id, text))

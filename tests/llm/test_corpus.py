@@ -222,6 +222,16 @@ def test_mixing(spark, docs, empty):
     assert mixing.mix_documents(docs.filter("text is null or text = ''")).agg(F.sum("taken")).head()[0] == 0
 
 
+def test_small_sources_of_a_large_corpus(spark):
+    """Sources of 300 to 5,000 words next to 20 million: each comes as often as its target says, to half a document."""
+    sizes = {"a": (40, 500_000), "b": (10, 30), "c": (50, 20), "d": (250, 20), "e": (1, 70)}
+    rows = [(k * 1000 + i, s, n) for k, (s, (docs, n)) in enumerate(sizes.items()) for i in range(docs)]
+    docs = spark.createDataFrame(rows, "doc_id long, source string, n int").repartition(8).select("doc_id", F.expr("repeat('w ', n)").alias("text"), "source")
+    expected = water_levels({s: docs * n for s, (docs, n) in sizes.items()})
+    got = {r["source"]: r["count"] for r in mixing.mixed_corpus(docs).groupBy("source").count().collect()}
+    assert all(abs(got.get(s, 0) * n - expected[s]) <= n / 2 + 1 for s, (_, n) in sizes.items())
+
+
 def test_targets_hit_the_cap(spark):
     sizes = {"a": 1000, "b": 10, "c": 5, "d": 400, "e": 0, None: 20}
     rows = spark.createDataFrame([(f"s{k}" if k else "z", k, v) for k, v in sizes.items()], "skey string, source string, source_size long")
