@@ -21,6 +21,7 @@ from tallyloom.llm.batches import pieces, utf8_of
 TRAIN_BYTES = 24_576
 TRAIN_ROWS = 96
 ROW_BYTES = 2_048
+PIECE = 256
 CHUNK = 2_048
 CLASSES = 64
 PAD, BREAK, OTHER = CLASSES - 1, 0, 27
@@ -117,21 +118,24 @@ def train(docs: DataFrame, train_bytes: int = TRAIN_BYTES, doc_id: str = "doc_id
     """Automata from at most `train_bytes` of text per language, of about TRAIN_ROWS labelled rows that are not held out.
 
     Rows are drawn by a hash of the id with the chance TRAIN_ROWS / rows of the language and give at most ROW_BYTES
-    characters each. Languages are few: one row each reaches the driver. None without labelled text.
+    characters each, from a place that a hash of the id draws, so that common openings do not stand for the texts. The bytes are
+    filled by turns, PIECE characters of every row before any gives more. Languages are few. None without labelled text.
     """
     rows = docs.filter(F.col(doc_id).isNotNull() & F.col(lang).isNotNull() & (F.length(text) > 0) & ~held_out(doc_id))
     counts = rows.groupBy(F.col(lang).alias("lang")).agg(F.count("*").alias("n"))
     draw = F.pmod(F.xxhash64(F.col(doc_id), F.lit("draw")), F.lit(1_000_000)) / 1e6
+    place = F.pmod(F.xxhash64(F.col(doc_id), F.lit("place")), F.greatest(F.length(text) - ROW_BYTES, F.lit(0)) + 1) + 1
     picked = (
-        rows.select(F.col(lang).alias("lang"), draw.alias("draw"), F.substring(text, 1, ROW_BYTES).alias("text"))
+        rows.select(F.col(lang).alias("lang"), draw.alias("draw"), F.substring(F.col(text), place.cast("int"), F.lit(ROW_BYTES)).alias("text"))
         .join(counts, "lang")
         .filter(F.col("draw") < F.lit(float(TRAIN_ROWS)) / F.col("n"))
         .select("lang", "draw", "text")
         .collect()
     )
     samples: dict[str, bytes] = {}
-    for r in sorted(picked, key=lambda r: (r[0], r[1], r[2])):
-        samples[r[0]] = (samples.get(r[0], b"") + b" " + r[2].encode())[:train_bytes]
+    turns = [(r[0], at, r[1], r[2][at : at + PIECE]) for r in picked for at in range(0, len(r[2]), PIECE)]
+    for name, _, _, part in sorted(turns):
+        samples[name] = (samples.get(name, b"") + b" " + part.encode())[:train_bytes]
     if not samples:
         return None
     languages = sorted(samples)

@@ -135,6 +135,17 @@ def test_language_learns(spark):
     assert (out.lang == out.lang_pred).mean() > 0.97
 
 
+def test_language_learns_behind_openings(spark):
+    """All texts open with the same 2,500 characters; what tells the languages apart comes after them."""
+    rng = random.Random(4)
+    words = {k: ["".join(rng.choice("abcdefghijklmnopqrst") for _ in range(6)) for _ in range(60)] for k in ("aa", "bb", "cc")}
+    opening = ("licence terms apply to all of this " * 80)[:2500]
+    rows = [(i, opening + " " + " ".join(rng.choice(words[k]) for _ in range(1000)), k) for i, k in enumerate(["aa", "bb", "cc"] * 80)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    out = language.identify(docs).join(docs.select("doc_id", "lang"), "doc_id").filter("held_out").toPandas()
+    assert len(out) > 30 and (out.lang == out.lang_pred).all()
+
+
 def test_fingerprints(docs, empty):
     out = fingerprint.fingerprint_documents(docs)
     order = sorted(ROWS, key=lambda r: (r[0] is None, -(r[0] or 0), r[1] or ""))
