@@ -28,6 +28,18 @@ def first_map(spark: SparkSession, shards: int, slots: int = SLOTS) -> DataFrame
     )
 
 
+def write_map(slot_map: DataFrame, folder: str) -> int:
+    """Store a map under its version in a shared folder and return the version; a stored version is never replaced."""
+    version = slot_map.agg(F.max("version")).head()[0]
+    slot_map.coalesce(1).write.mode("error").parquet(f"{folder.rstrip('/')}/v{version}")
+    return version
+
+
+def read_map(spark: SparkSession, folder: str, version: int) -> DataFrame:
+    """A map that `write_map` stored."""
+    return spark.read.parquet(f"{folder.rstrip('/')}/v{version}")
+
+
 def grow(slot_map: DataFrame, shards: int) -> DataFrame:
     """Next version with one more shard, number `shards`: each old shard hands over its last slots.
 
@@ -61,9 +73,11 @@ def rebalance(slot_map: DataFrame, loads: DataFrame) -> DataFrame:
     return slot_map.join(moved, "vslot", "left").select("vslot", F.coalesce("taker", "shard").alias("shard"), (F.col("version") + 1).alias("version"))
 
 
-def shard_documents(docs: DataFrame, shards: int = 24, slots: int = SLOTS, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def shard_documents(docs: DataFrame, shards: int = 24, slots: int = SLOTS, doc_id: str = "doc_id", text: str = "text", slot_map: DataFrame | None = None) -> DataFrame:
     """Shard of every document under the law `key`: the id and the number of shards decide.
 
+    With a stored `slot_map` of the same `shards` and `slots` the id and that map decide, and the law is `map`.
+
     Returns doc_id, size (UTF-8 bytes + 8; null text: 8), text_crc32 (null text: crc of nothing, 0), law, shard,
     slot (place within the shard, gapless from 0), grown_shard (shard with one more shard), vslot, slot_bytes and
     map_version. Places are the rows of earlier slots of the shard plus the place inside the virtual slot, ordered by
@@ -78,7 +92,7 @@ def shard_documents(docs: DataFrame, shards: int = 24, slots: int = SLOTS, doc_i
         slot_of(doc_id, slots).alias("vslot"),
     )
     rows = cut_lineage(rows)
-    owner = first_map(docs.sparkSession, shards, slots)
+    owner = first_map(docs.sparkSession, shards, slots) if slot_map is None else slot_map
     later = grow(owner, shards).select("vslot", F.col("shard").alias("grown_shard"))
     loads = rows.groupBy("vslot").agg(F.count("*").alias("n"), F.sum("size").alias("slot_bytes"))
     before = Window.partitionBy("shard").orderBy("vslot").rowsBetween(Window.unboundedPreceding, -1)
@@ -86,7 +100,7 @@ def shard_documents(docs: DataFrame, shards: int = 24, slots: int = SLOTS, doc_i
     inside = F.row_number().over(Window.partitionBy("vslot").orderBy("doc_id", "size", "text_crc32"))
     placed = rows.withColumn("inside", inside)
     return placed.join(F.broadcast(table), "vslot").select(
-        "doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", (F.col("ahead") + F.col("inside") - 1).alias("slot"), "grown_shard",
+        "doc_id", "size", "text_crc32", F.lit("key" if slot_map is None else "map").alias("law"), "shard", (F.col("ahead") + F.col("inside") - 1).alias("slot"), "grown_shard",
         "vslot", "slot_bytes", F.col("version").alias("map_version"),
     )
 

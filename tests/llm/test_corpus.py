@@ -202,6 +202,18 @@ def test_slot_maps(spark, docs):
     assert even.agg(F.max("version")).head()[0] == 2
 
 
+def test_stored_slot_map(spark, docs, tmp_path):
+    first = sharding.first_map(spark, 5, 64)
+    even = sharding.rebalance(first, sharding.slot_loads(docs, 64))
+    folder = f"file://{tmp_path}"
+    assert [sharding.write_map(m, folder) for m in (first, even)] == [1, 2]
+    stored = sharding.read_map(spark, folder, 2)
+    owner = {r["vslot"]: r["shard"] for r in even.collect()}
+    rows = sharding.shard_documents(docs, 5, 64, slot_map=stored).collect()
+    assert len(rows) == len(ROWS) and all(r["shard"] == owner[r["vslot"]] and r["map_version"] == 2 and r["law"] == "map" for r in rows)
+    assert any(r["shard"] != r["vslot"] * 5 // 64 for r in rows)
+
+
 def water_levels(sizes, cap=3):
     weight = {k: i % 3 + 1 for i, k in enumerate(sorted(sizes, key=lambda s: (s is None, s or "")))}
     total, capped = sum(sizes.values()), set()
