@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tallyloom.llm import decontaminate, fingerprint, language, lines, mixing, quality, sharding, similar, substrings
+from tallyloom.llm import decontaminate, fingerprint, language, lines, mixing, packing, quality, sharding, similar, substrings
 from tallyloom.llm.common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -145,6 +146,14 @@ def op7_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.remove_repeated(read_table(spark, sf_dir, "documents"))
 
 
+@register
+def op11_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    pieces = packing.pack_documents(read_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset", "curve")
+
+
 LINES_SQL = r"""
 WITH l AS (
     SELECT doc_id, source, i, line, sum(length(line) + 1) OVER (PARTITION BY doc_id ORDER BY i) - length(line) - 1 AS start,
