@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.llm import decontaminate, fingerprint, language, lines, mixing, packing, quality, sharding, similar, substrings
+from tallyloom.llm import decontaminate, fingerprint, language, lines, mixing, packing, quality, sharding, similar, spelling, substrings
 from tallyloom.llm.common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -154,6 +154,46 @@ def op11_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset", "curve")
 
 
+@register
+def op12_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_variants(read_table(spark, sf_dir, "documents"))
+
+
+ORACLES["op12_spelling"] = r"""
+WITH RECURSIVE bits AS (
+    SELECT list(v ORDER BY i) AS crc
+    FROM (SELECT i, list_reduce(list_prepend(i, [0, 0, 0, 0, 0, 0, 0, 0]), lambda c, k: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END) AS v
+          FROM range(256) AS r(i))),
+runs AS (
+    SELECT coalesce(CAST(doc_id AS VARCHAR), '') AS id, count(*) AS copies,
+           unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-z\x{C0}-\x{FF}]+')) AS run
+    FROM documents GROUP BY doc_id, text),
+keyed AS (SELECT id, run, sum(copies) AS times, hex(encode(id || ':' || run)) AS body FROM runs WHERE length(run) >= 7 GROUP BY id, run),
+hashed AS (
+    SELECT run, times, xor(4294967295, list_reduce(
+        list_prepend(4294967295, list_transform(range(0, length(body) // 2), lambda i: CAST('0x' || substr(body, CAST(2 * i + 1 AS INT), 2) AS BIGINT))),
+        lambda c, b: xor(c // 256, crc[CAST(xor(c % 256, b) + 1 AS INT)]))) AS h
+    FROM keyed, bits),
+results AS (
+    SELECT CASE WHEN h % 31 = 0 THEN substring(run, 1, h % length(run)) || substring(run, h % length(run) + 2) ELSE run END AS word, times FROM hashed),
+words AS (SELECT word, CAST(sum(times) AS BIGINT) AS n FROM results WHERE length(word) >= 7 GROUP BY word HAVING sum(times) >= 2),
+holes AS (SELECT word, n, i, substring(word, 1, i) || substring(word, i + 2) AS hole FROM words, unnest(range(0, length(word))) AS u(i)),
+near AS (
+    SELECT DISTINCT a.word, b.word AS other, b.n FROM holes a JOIN holes b ON a.hole = b.hole AND a.i = b.i AND a.word <> b.word
+    UNION SELECT a.word, b.word, b.n FROM holes a JOIN words b ON a.hole = b.word
+    UNION SELECT b.word, a.word, a.n FROM holes a JOIN words b ON a.hole = b.word),
+ranked AS (SELECT *, count(*) OVER (PARTITION BY word) AS n_near, row_number() OVER (PARTITION BY word ORDER BY n DESC, encode(other)) AS nth FROM near),
+forms AS (
+    SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN r.n >= 10 * w.n THEN other END AS form, CASE WHEN r.n >= 10 * w.n THEN r.n END AS form_n
+    FROM words w LEFT JOIN ranked r ON w.word = r.word AND nth = 1),
+chain(word, root, form) AS (
+    SELECT word, word, form FROM forms
+    UNION ALL
+    SELECT chain.word, forms.word, forms.form FROM chain JOIN forms ON chain.form = forms.word)
+SELECT f.word, f.form, c.root, f.n, f.n_near, f.form_n FROM forms f JOIN chain c ON f.word = c.word AND c.form IS NULL
+"""
+
+
 LINES_SQL = r"""
 WITH l AS (
     SELECT doc_id, source, i, line, sum(length(line) + 1) OVER (PARTITION BY doc_id ORDER BY i) - length(line) - 1 AS start,
