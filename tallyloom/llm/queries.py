@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.llm import decontaminate, fingerprint, language, lines, mixing, packing, quality, sharding, similar, spelling, substrings
+from tallyloom.llm import decontaminate, divergence, fingerprint, language, lines, mixing, packing, quality, sharding, similar, spelling, substrings
 from tallyloom.llm.common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -194,6 +194,44 @@ SELECT f.word, f.form, c.root, f.n, f.n_near, f.form_n FROM forms f JOIN chain c
 """
 
 
+@register
+def op13_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.source_divergence(read_table(spark, sf_dir, "documents"))
+
+
+ORACLES["op13_divergence"] = r"""
+WITH d AS (
+    SELECT row_number() OVER () AS i, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+           regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                              '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS words FROM documents),
+w AS (SELECT i, lang, source, unnest(words) AS term FROM d),
+kept AS (SELECT lang, term FROM w GROUP BY lang, term HAVING count(DISTINCT i) >= 10),
+v AS (SELECT lang, count(*) AS v FROM kept GROUP BY lang),
+groups AS (SELECT DISTINCT lang, source FROM d),
+counted AS (SELECT lang, source, term, count(*) AS c FROM w SEMI JOIN kept USING (lang, term) GROUP BY ALL),
+cells AS (
+    SELECT g.lang, g.source, k.term, CAST(coalesce(c, 0) AS HUGEINT) AS c
+    FROM groups g JOIN kept k ON g.lang = k.lang LEFT JOIN counted x ON x.lang = g.lang AND x.source = g.source AND x.term = k.term),
+shares AS (
+    SELECT lang, source, term, c, 1 + 1000000000 * (c + 2) // (sum(c) OVER (PARTITION BY lang, source) + 2 * v) AS p,
+           1 + 1000000000 * (sum(c) OVER (PARTITION BY lang, term) + 2) // (sum(c) OVER (PARTITION BY lang) + 2 * v) AS q
+    FROM cells JOIN v USING (lang)),
+sums AS (
+    SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p)) AS value
+    FROM shares a JOIN shares b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+pairs AS (
+    SELECT g.lang, g.source, 'pair' AS part, h.source AS item, CAST(coalesce(value, 0) AS BIGINT) AS value
+    FROM groups g JOIN groups h ON g.lang = h.lang AND g.source <> h.source
+    LEFT JOIN sums s ON s.lang = g.lang AND s.source = g.source AND s.item = h.source),
+terms AS (
+    SELECT lang, source, 'term' AS part, term AS item, CAST((p - q) * (p - q) // (p + q) AS BIGINT) AS value FROM shares WHERE c > 0 AND p > q),
+ranked AS (
+    SELECT *, CAST(row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, encode(item)) AS INTEGER) AS rank
+    FROM (SELECT * FROM pairs UNION ALL SELECT * FROM terms))
+SELECT * FROM ranked WHERE part = 'pair' OR rank <= 10
+"""
+
+
 LINES_SQL = r"""
 WITH l AS (
     SELECT doc_id, source, i, line, sum(length(line) + 1) OVER (PARTITION BY doc_id ORDER BY i) - length(line) - 1 AS start,
