@@ -16,27 +16,46 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyloom.llm.batches import LOWER, mix64, pieces, table_of, utf8_of, word_bounds
-from tallyloom.llm.common import ascii_lower
+from tallyloom.llm.batches import LOWER, mix64, pieces, table_of, utf8_of
 from tallyloom.session import shared_folder
 
 MIN_DOCS = 10
 TOP = 10
 SCALE = 1_000_000_000
-SHARD_KEYS = 1024
+SHARD_KEYS = 4096
+KEYS_A_BUCKET = 2
 TURN_BYTES = 48 << 20
-SLOTS_HELD = 1 << 23
-SHARDS_A_BLOCK = 4
-#: Fixed value: runs of these bytes are terms; in text, runs of A-Z, a-z and everything outside ASCII.
-TERM = "[^\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+"
+SLOTS_HELD = 1 << 24
+PART_BYTES = 1 << 21
+#: Fixed value: runs of these bytes are terms, that is of A-Z, a-z and everything outside ASCII.
 TERM_BYTES = table_of((0x41, 0x5A), (0x61, 0x7A), (0x80, 0xFF))
 _LOW_BYTES = np.array([(1 << 8 * k) - 1 for k in range(8)] + [(1 << 64) - 1], dtype=np.uint64)
 
 
+def eights_of(data: np.ndarray) -> np.ndarray:
+    """The eight bytes from each place on as one number; zeros follow the end."""
+    return np.ndarray((len(data) + 1,), dtype="<u8", buffer=np.concatenate([data, np.zeros(8, np.uint8)]), strides=(1,))
+
+
+def coded_terms(data: np.ndarray, offsets: np.ndarray) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """(different terms, term of each occurrence, row of each occurrence) of the rows of a byte array."""
+    text = LOWER[data]
+    inside = TERM_BYTES[text]
+    begins = inside.copy()
+    begins[1:] &= ~inside[:-1]
+    rows_at = offsets[:-1][offsets[:-1] < offsets[-1]]
+    begins[rows_at] = inside[rows_at]
+    first = np.flatnonzero(begins[inside])
+    body = text[inside]
+    bounds = np.append(first, len(body)).astype(np.int64)
+    terms = pa.Array.from_buffers(pa.large_binary(), len(first), [None, pa.py_buffer(bounds), pa.py_buffer(body)]).dictionary_encode()
+    row = np.searchsorted(offsets, np.flatnonzero(begins), side="right") - 1
+    return terms.dictionary, terms.indices.to_numpy().astype(np.int64), row
+
+
 def term_hashes(data: np.ndarray, starts: np.ndarray, stops: np.ndarray, seed: np.ndarray) -> np.ndarray:
     """64-bit hash of each stretch of bytes, eight bytes a step; `seed` is one number for each stretch."""
-    padded = np.concatenate([data, np.zeros(8, np.uint8)])
-    eights = np.ndarray((len(data) + 1,), dtype="<u8", buffer=padded, strides=(1,))
+    eights = eights_of(data)
     sizes = stops - starts
     found = mix64(seed.astype(np.uint64) ^ mix64(sizes.astype(np.uint64)))
     live = np.flatnonzero(sizes > 0)
@@ -61,36 +80,50 @@ def placed(hashes: np.ndarray, size: np.ndarray | int, displacement: np.ndarray
     return np.where(np.asarray(displacement) < 0, -1 - np.asarray(displacement), moved.astype(np.int64))
 
 
+def shard_of(hashes: np.ndarray, shards: int) -> np.ndarray:
+    return ((hashes >> np.uint64(40)) % np.uint64(shards)).astype(np.int64)
+
+
 def bucket_of(hashes: np.ndarray, buckets: np.ndarray | int) -> np.ndarray:
     return ((hashes >> np.uint64(8)) % np.asarray(buckets, np.uint64)).astype(np.int64)
 
 
 def build_hash(hashes: np.ndarray) -> np.ndarray:
-    """Displacements that send n different hashes to the slots 0 to n - 1, one for each of ceil(n / 3) buckets."""
+    """Displacements that send n different hashes to the slots 0 to n - 1, one for each bucket.
+
+    Full buckets come first. All open buckets of one size try the same displacement; each is placed when its slots are free and
+    no bucket before it wants one of them.
+    """
     n = len(hashes)
-    shift = np.zeros(-(-n // 3), np.int32)
+    shift = np.zeros(-(-n // KEYS_A_BUCKET), np.int32)
     bucket = bucket_of(hashes, len(shift))
-    order = np.argsort(bucket, kind="stable")
-    edges = np.searchsorted(bucket[order], np.arange(len(shift) + 1))
-    sizes = np.diff(edges)
+    sizes = np.bincount(bucket, minlength=len(shift))
     free = np.ones(n, dtype=bool)
-    for b in np.argsort(-sizes, kind="stable"):
-        own = hashes[order[edges[b] : edges[b + 1]]]
-        if len(own) == 1:
-            break
-        d = 0
-        while True:
-            at = placed(own, n, d)
-            if free[at].all() and len(set(at.tolist())) == len(own):
-                break
+    for size in range(int(sizes.max(initial=0)), 1, -1):
+        open_ = np.flatnonzero(sizes[bucket] == size)
+        keys, owner, d = hashes[open_], bucket[open_], 0
+        while len(keys):
+            at = placed(keys, n, d)
+            claim = np.full(n, len(shift))
+            np.minimum.at(claim, at, owner)
+            fits = free[at] & (claim[at] == owner) & _meets_no_own(at, owner)
+            done = (np.bincount(owner, weights=fits, minlength=len(shift)) == size)[owner]
+            free[at[done]] = False
+            shift[owner[done]] = d
+            keys, owner = keys[~done], owner[~done]
             d += 1
-        free[at] = False
-        shift[b] = d
-    alone = np.flatnonzero(sizes == 1)
-    shift[alone] = -1 - np.flatnonzero(free)[: len(alone)]
+    single = np.flatnonzero(sizes == 1)
+    shift[single] = -1 - np.flatnonzero(free)[: len(single)]
     return shift
 
 
+def _meets_no_own(at: np.ndarray, owner: np.ndarray) -> np.ndarray:
+    """Marks of the keys that no other key of their bucket meets."""
+    pair = at << 32 | owner
+    _, back, times = np.unique(pair, return_inverse=True, return_counts=True)
+    return times[back] == 1
+
+
 def _shard_hashes(seed: int, shards: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -98,7 +131,7 @@ def _shard_hashes(seed: int, shards: int) -> Callable[[Iterator[pa.RecordBatch]]
             codes = batch["lang"].dictionary_encode()
             seeds = lang_seeds(codes.dictionary.to_pylist(), seed)[codes.indices.to_numpy()] if len(batch["lang"]) else np.zeros(0, np.uint64)
             hashes = term_hashes(data, offsets[:-1], offsets[1:], seeds)
-            shard = (hashes >> np.uint64(40)) % np.uint64(shards)
+            shard = shard_of(hashes, shards)
             yield pa.record_batch([batch["lang"], batch["term"], pa.array(shard.astype(np.int32)), pa.array(hashes.view(np.int64))], names=["lang", "term", "shard", "hash"])
 
     return run
@@ -154,10 +187,9 @@ class Hashes:
         slots = np.full(len(starts), -1, np.int64)
         if not len(self.slot_lang):
             return slots
-        longest = int(np.diff(self.key_at).max())
-        live = np.flatnonzero((lang >= 0) & (stops - starts <= longest))
+        live = np.flatnonzero((lang >= 0) & (stops - starts <= np.diff(self.key_at).max()))
         hashes = term_hashes(data, starts[live], stops[live], self.seeds[lang[live]])
-        shard = ((hashes >> np.uint64(40)) % np.uint64(self.shards)).astype(np.int64)
+        shard = shard_of(hashes, self.shards)
         filled = self.size[shard] > 0
         live, hashes, shard = live[filled], hashes[filled], shard[filled]
         shift = self.shift[self.first_bucket[shard] + bucket_of(hashes, self.buckets[shard])]
@@ -165,51 +197,61 @@ class Hashes:
         sizes = stops[live] - starts[live]
         same = (self.slot_lang[slot] == lang[live]) & (self.key_at[slot + 1] - self.key_at[slot] == sizes)
         live, slot, sizes = live[same], slot[same], sizes[same]
-        if not len(live):
-            return slots
-        ends = np.cumsum(sizes)
-        within = np.arange(ends[-1]) - np.repeat(ends - sizes, sizes)
-        equal = data[np.repeat(starts[live], sizes) + within] == self.keys[np.repeat(self.key_at[slot], sizes) + within]
-        same = np.logical_and.reduceat(equal, ends - sizes)
-        slots[live[same]] = slot[same]
+        text, keys = eights_of(data), eights_of(self.keys)
+        equal, open_, step = np.ones(len(live), dtype=bool), np.flatnonzero(sizes > 0), 0
+        while len(open_):
+            low = _LOW_BYTES[np.minimum(sizes[open_] - step, 8)]
+            equal[open_] &= (text[starts[live[open_]] + step] ^ keys[self.key_at[slot[open_]] + step]) & low == 0
+            step += 8
+            open_ = open_[(sizes[open_] > step) & equal[open_]]
+        slots[live[equal]] = slot[equal]
         return slots
 
 
 def _recount(shared) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = Hashes(shared.value)
-        codes = hashes.codes()
+        by_lang = np.argsort(hashes.slot_lang, kind="stable")
+        lang_at = np.searchsorted(hashes.slot_lang[by_lang], np.arange(len(hashes.langs) + 1))
+        place = np.empty(len(by_lang), np.int64)  # of a slot among those of its language
+        place[by_lang] = np.arange(len(by_lang)) - lang_at[hashes.slot_lang[by_lang]]
+        codes = hashes.codes()[by_lang]
         dense: dict[tuple[str, str], np.ndarray] = {}
 
         def flush() -> Iterator[pa.RecordBatch]:
             for (lang, source), counts in dense.items():
+                own = codes[lang_at[hashes.lang_no[lang]] :]
                 used = np.flatnonzero(counts)
                 for a in range(0, len(used), 1 << 16):
                     part = used[a : a + (1 << 16)]
-                    lists = [pa.array([x], pa.list_(pa.int64())) for x in (codes[part], counts[part])]
+                    lists = [pa.array([x], pa.list_(pa.int64())) for x in (own[part], counts[part])]
                     yield pa.record_batch([pa.array([lang]), pa.array([source]), *lists], names=["lang", "source", "codes", "counts"])
             dense.clear()
 
         for batch in batches:
             data, offsets = utf8_of(batch["text"])
             groups = list(zip(batch["lang"].to_pylist(), batch["source"].to_pylist()))
-            for a, b in pieces(offsets):
-                text = LOWER[data[offsets[a] : offsets[b]]]
-                starts, stops, row = word_bounds(text, offsets[a : b + 1] - offsets[a], TERM_BYTES)
-                lang = np.array([hashes.lang_no.get(g[0], -1) for g in groups[a:b]], np.int64)
-                slot = hashes.find(text, starts, stops, lang[row])
-                row, slot = row[slot >= 0], slot[slot >= 0]
+            for a, b in pieces(offsets, PART_BYTES):
+                terms, term, row = coded_terms(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])
                 number: dict[tuple[str, str], int] = {}
                 of = np.array([number.setdefault(g, len(number)) for g in groups[a:b]], np.int64)
-                joint, counts = np.unique(of[row] << 40 | slot, return_counts=True)
-                edges = np.searchsorted(joint >> 40, np.arange(len(number) + 1))
-                for group, i, j in zip(number, edges, edges[1:]):
-                    if i < j and group not in dense:
-                        if dense and (len(dense) + 1) * len(codes) > SLOTS_HELD:
+                # the occurrences of each term in each group of this part, then one look-up for each
+                joint, counts = np.unique(of[row] << 32 | term, return_counts=True)
+                group, term = joint >> 32, joint & 0xFFFFFFFF
+                lang = np.array([hashes.lang_no.get(g[0], -1) for g in number], np.int64)
+                body, bounds = utf8_of(terms)
+                slot = hashes.find(body, bounds[term], bounds[term + 1], lang[group])
+                group, slot, counts = group[slot >= 0], slot[slot >= 0], counts[slot >= 0]
+                edges = np.searchsorted(group, np.arange(len(number) + 1))
+                for (g, k), i, j in zip(number.items(), edges, edges[1:]):
+                    if i == j:
+                        continue
+                    if g not in dense:
+                        size = int(lang_at[lang[k] + 1] - lang_at[lang[k]])
+                        if sum(map(len, dense.values())) + size > SLOTS_HELD:
                             yield from flush()
-                        dense[group] = np.zeros(len(codes), np.int64)
-                    if i < j:
-                        dense[group][joint[i:j] & ((1 << 40) - 1)] += counts[i:j]
+                        dense[g] = np.zeros(size, np.int64)
+                    dense[g][place[slot[i:j]]] += counts[i:j]
         yield from flush()
 
     return run
@@ -267,10 +309,24 @@ def _scored(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
 SCORED = pa.schema([("lang", pa.string()), ("source", pa.string()), ("item", pa.string()), ("code", pa.int64()), ("value", pa.int64())])
 
 
+def _term_documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Documents of each term and language, added up within a few megabytes of text."""
+    for batch in batches:
+        data, offsets = utf8_of(batch["text"])
+        for a, b in pieces(offsets, PART_BYTES):
+            terms, term, row = coded_terms(data[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])
+            langs = batch["lang"].slice(a, b - a).dictionary_encode()
+            lang = langs.indices.to_numpy().astype(np.int64)
+            each = np.unique(row << 32 | term)
+            joint, n = np.unique(lang[each >> 32] << 32 | each & 0xFFFFFFFF, return_counts=True)
+            names = terms.take(pa.array(joint & 0xFFFFFFFF)).cast(pa.binary()).cast(pa.string())
+            yield pa.record_batch([langs.dictionary.take(pa.array(joint >> 32)), names, pa.array(n)], names=["lang", "term", "n_docs"])
+
+
 def kept_terms(docs: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
     """(lang, term) of the terms in at least `min_docs` documents of a language. `docs` has lang and text without nulls."""
-    each = docs.select("lang", F.explode(F.array_distinct(F.regexp_extract_all(ascii_lower(F.col("text")), F.lit(f"({TERM})"), F.lit(1)))).alias("term"))
-    return each.groupBy("lang", "term").agg(F.count(F.lit(1)).alias("n_docs")).filter(F.col("n_docs") >= min_docs).select("lang", "term")
+    parts = docs.select("lang", "text").mapInArrow(_term_documents, "lang string, term string, n_docs long")
+    return parts.groupBy("lang", "term").agg(F.sum("n_docs").alias("n_docs")).filter(F.col("n_docs") >= min_docs).select("lang", "term")
 
 
 def perfect_hashes(kept: DataFrame, shard_keys: int = SHARD_KEYS) -> tuple[DataFrame, int, int]:
@@ -335,7 +391,7 @@ def source_divergence(
     groups.join(totals, ["lang", "source"], "left").join(sizes, "lang", "left").fillna(0, ["total", "n_terms"]).write.parquet(folder)
     groups = spark.read.parquet(folder)
 
-    cells = counts.withColumn("block", (F.shiftright("code", 32) / SHARDS_A_BLOCK).cast("int"))
+    cells = counts.withColumn("block", F.shiftright("code", 32))
     blocks = cells.select("lang", "block").distinct()
     empty = lambda name: F.lit(None).cast("long").alias(name)
     heads = blocks.join(groups, "lang").select("lang", "block", "source", empty("code"), empty("count"), "total", "n_terms")
