@@ -35,7 +35,7 @@ def bucket_count(df: DataFrame) -> int:
 
 
 def _with_bucket(df: DataFrame, source: str, cuts: Sequence[float], target: str) -> DataFrame:
-    splits = [-math.inf, *cuts, math.inf]
+    splits = [-math.inf, *(cuts or [0.0]), math.inf]  # an empty input has no cuts
     return Bucketizer(splits=splits, inputCol=source, outputCol=target, handleInvalid="keep").transform(df)
 
 
