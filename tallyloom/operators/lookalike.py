@@ -163,58 +163,166 @@ def k_curve(neighbours: DataFrame, targets: DataFrame, ks: Sequence[int]) -> Dat
     return mean_average_precision(rows, "mean", "target", "id", descending=False, group=["k"])
 
 
-def _for_cells(x: np.ndarray, metric: str, longest: float, lift: bool) -> np.ndarray:
-    """Vectors whose Euclidean order agrees with the metric's.
-
-    `cosine` needs unit length. For `dot` a further coordinate gives all seeds the length of the longest one (`lift`);
-    rows have 0 there, and the nearest seed is then the one with the largest inner product.
-    """
+def _as_products(x: np.ndarray, metric: str, query: bool) -> np.ndarray:
+    """Vectors whose inner products order as the metric does, large for near."""
     if metric == "cosine":
         return x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-300)
     if metric == "dot":
-        more = np.sqrt(np.maximum(longest**2 - (x**2).sum(1), 0)) if lift else np.zeros(len(x))
-        return np.hstack([x, more[:, None]])
-    return x
+        return x
+    if metric == "l2":
+        more = np.ones((len(x), 1)) if query else -(x**2).sum(1, keepdims=True) / 2
+        return np.hstack([x, more])
+    raise ValueError(f"no index for metric {metric}")
 
 
-def approximate_nearest(
-    rows: DataFrame, seeds: DataFrame, k: int, metric: str = "cosine", pool: int | None = None, most_cells: int = 4096, draw: str = "cells"
-) -> DataFrame:
-    """k seeds of every row: the nearest ones among at least `pool` seeds (30 k by default) in the cells nearest to the row.
+def _meet(rows: DataFrame, items: DataFrame, key: str, block: int, function, schema: str) -> DataFrame:
+    """`function` on every block of rows and block of items of a key; blocks have about `block` rows, however hot the key is."""
+
+    def sized(df: DataFrame, name: str) -> DataFrame:
+        return df.groupBy(key).agg(F.ceil(F.count(F.lit(1)) / block).cast("long").alias(name))
+
+    sizes = sized(rows, "__rb").join(sized(items, "__sb"), key)
+    left = rows.join(sizes, key).select("*", F.pmod(F.xxhash64("id"), "__rb").alias("__r"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("__sb") - 1)).alias("__s"))
+    right = items.join(sizes, key).select("*", F.pmod(F.xxhash64("seed_id"), "__sb").alias("__s"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("__rb") - 1)).alias("__r"))
+    names = [key, "__r", "__s"]
+    right = right.toDF(*[f"__i_{c}" for c in right.columns])
+    return left.groupBy(*names).cogroup(right.groupBy(*[f"__i_{c}" for c in names])).applyInPandas(function, schema)
 
-    Cells are the neighbourhoods of about sqrt(n) of the n seeds, at most `most_cells`, drawn by a hash; a seed is in the
-    cell of its nearest centre. A row takes cells in the order of their centres until they hold `pool` seeds, so each list
-    is complete (as long as there are k seeds) and the work for a row does not grow with the number of seeds. Centres and
-    the sizes of their cells are all that reaches the driver.
+
+class ProductIndex:
+    """Exact nearest items by inner product without comparing most pairs of full vectors.
+
+    Items lie in cells, ranges of their lengths cut into neighbourhoods of drawn centres. A cell has a radius r around its centre
+    c, so no item in it has a product with q above q.c + |q| r (Cauchy-Schwarz). An item is its centre and a residual, coded with
+    one byte for each axis; the length e of what the code leaves out bounds the error of a product by |q| e.
+
+    A row first looks at the cells of the largest bounds until they hold `pool` items; the k-th largest lower bound there is its
+    mark. It then looks at every other cell whose bound reaches the mark, so a probe stops only when no better item can follow.
+    Items whose upper bound reaches the k-th largest lower bound are compared by their full vectors. `reach` below 1 takes that
+    share of the radius: fewer cells, and a list that may miss items.
+
+    The driver holds the centres, radii and counts of at most `most_cells` cells.
     """
-    spark = rows.sparkSession
-    norm = F.sqrt(F.aggregate("vec", F.lit(0.0), lambda t, x: t + x * x))
-    size = seeds.agg(F.count(F.lit(1)).alias("n"), F.max(norm).alias("longest")).first()
-    if not size["n"]:
-        return spark.createDataFrame([], _OUT + ", place int")
-    n_cells = max(1, min(most_cells, round(size["n"] ** 0.5)))
-    drawn = seeds.select("vec").orderBy(F.xxhash64("seed_id", F.lit(draw)), "seed_id").limit(n_cells).collect()
-    longest = float(size["longest"])
-    centres = _for_cells(np.array([r["vec"] for r in drawn], dtype=float), metric, longest, True)
-
-    @F.pandas_udf("int")
-    def own_cell(vec: pd.Series) -> pd.Series:
-        return pd.Series(distances(_for_cells(_matrix(vec), metric, longest, True), centres, "l2").argmin(1))
-
-    placed = cut_lineage(seeds.select("seed_id", "vec", own_cell("vec").alias("cell")))
-    held = np.zeros(len(centres), dtype=int)
-    for r in placed.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).collect():
-        held[r["cell"]] = r["n"]
-    wanted = max(k, pool or 30 * k)
-
-    @F.pandas_udf("array<int>")
-    def near_cells(vec: pd.Series) -> pd.Series:
-        order = distances(_for_cells(_matrix(vec), metric, longest, False), centres, "l2").argsort(axis=1, kind="stable")
-        enough = (np.cumsum(held[order], axis=1) < wanted).sum(axis=1) + 1
-        return pd.Series([cells[:m].tolist() for cells, m in zip(order, enough, strict=True)])
-
-    looked = rows.select("id", "vec", F.explode(near_cells("vec")).alias("cell"))
-    return blocked_nearest(looked, placed, k, metric, keys=["cell"])
+
+    def __init__(self, items: DataFrame, metric: str = "dot", most_cells: int = 4096, ranges: int = 4, draw: str = "cells"):
+        self.metric, self.items = metric, items
+        length = F.sqrt(F.aggregate("vec", F.lit(0.0), lambda t, x: t + x * x))
+        n = items.count()
+        self.size = n
+        if not n:
+            return
+        cuts = items.select(F.percentile_approx(length, [i / ranges for i in range(1, ranges)], 1000).alias("c")).first()["c"]
+        wanted = max(1, min(most_cells, round(n**0.5)))
+        drawn = items.select("vec").orderBy(F.xxhash64("seed_id", F.lit(draw)), "seed_id").limit(wanted).collect()
+        points = _as_products(np.array([r["vec"] for r in drawn], dtype=float), metric, False)
+        edges = np.array(sorted(set(cuts)))
+        n_points = len(points)
+
+        def coded(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for batch in batches:
+                if not len(batch):
+                    continue
+                raw = _matrix(batch["vec"])
+                x = _as_products(raw, metric, False)
+                band = np.searchsorted(edges, np.linalg.norm(raw, axis=1), side="right")
+                near = distances(x, points, "l2").argmin(1)
+                rest = x - points[near]
+                scale = np.maximum(np.abs(rest).max(axis=1, keepdims=True) / 127, 1e-300)
+                code = np.rint(rest / scale).astype(np.int8)
+                left = np.linalg.norm(rest - scale * code, axis=1)
+                yield pd.DataFrame(
+                    {"seed_id": batch["seed_id"], "cell": band * n_points + near, "code": [c.tobytes() for c in code], "scale": scale[:, 0], "left": left,
+                     "far": np.linalg.norm(rest, axis=1)}
+                )
+
+        codes = items.select("seed_id", "vec").mapInPandas(coded, "seed_id long, cell long, code binary, scale double, left double, far double")
+        self.codes = cut_lineage(codes)
+        cells = self.codes.groupBy("cell").agg(F.max("far").alias("radius"), F.count(F.lit(1)).alias("n")).orderBy("cell").toPandas()
+        self.cells = cells["cell"].to_numpy()
+        self.centres = points[self.cells % n_points]
+        self.radius, self.held = cells["radius"].to_numpy(), cells["n"].to_numpy()
+
+    def _probes(self, rows: DataFrame, k: int, pool: int, reach: float, marks: DataFrame | None) -> DataFrame:
+        """(id, vec, cell, mark) of the cells that rows look at: the first ones, or those that reach the rows' marks."""
+        cells, centres, radius, held, metric = self.cells, self.centres, self.radius, self.held, self.metric
+
+        def part(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for batch in batches:
+                for start in range(0, len(batch), 1024):
+                    some = batch.iloc[start : start + 1024]
+                    q = _as_products(_matrix(some["vec"]), metric, True)
+                    bound = q @ centres.T + np.linalg.norm(q, axis=1)[:, None] * radius * reach
+                    if "mark" in some:
+                        row, cell = np.nonzero(bound + 1e-9 * (1 + np.abs(bound)) >= some["mark"].to_numpy()[:, None])
+                        mark = some["mark"].to_numpy()[row]
+                    else:
+                        order = np.argsort(-bound, axis=1, kind="stable")
+                        first = np.cumsum(held[order], axis=1) - held[order] < pool
+                        row, nth = np.nonzero(first)
+                        cell, mark = order[row, nth], np.full(len(row), -np.inf)
+                    yield pd.DataFrame({"id": some["id"].to_numpy()[row], "vec": some["vec"].to_numpy()[row], "cell": cells[cell], "mark": mark})
+
+        rows = rows.select("id", "vec") if marks is None else rows.select("id", "vec").join(marks, "id")
+        return rows.mapInPandas(part, "id long, vec array<double>, cell long, mark double")
+
+    def _bounds(self, probes: DataFrame, k: int, block: int, only_low: bool) -> DataFrame:
+        """(id, seed_id, low, high): items of the probed cells whose upper bound reaches the mark and the k-th lower bound here."""
+        metric, centre = self.metric, {int(c): x for c, x in zip(self.cells, self.centres)}
+
+        def meet(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
+            if a.empty or b.empty:
+                return pd.DataFrame({"id": [], "seed_id": [], "low": [], "high": []}).astype({"id": "int64", "seed_id": "int64"})
+            x = np.frombuffer(b"".join(b["__i_code"]), np.int8).reshape(len(b), -1) * b["__i_scale"].to_numpy()[:, None] + centre[int(a["cell"].iloc[0])]
+            out = []
+            for start in range(0, len(a), max(1, 4_000_000 // len(b))):
+                some = a.iloc[start : start + max(1, 4_000_000 // len(b))]
+                q = _as_products(_matrix(some["vec"]), metric, True)
+                length = np.linalg.norm(q, axis=1)[:, None]
+                value, error = q @ x.T, length * b["__i_left"].to_numpy() + 1e-9 * length
+                low, high = value - error, value + error
+                mark = some["mark"].to_numpy()
+                if len(b) > k:
+                    mark = np.maximum(mark, np.partition(low, -k, axis=1)[:, -k])
+                row, item = np.nonzero((low if only_low else high) >= mark[:, None])
+                out.append(pd.DataFrame({"id": some["id"].to_numpy()[row], "seed_id": b["__i_seed_id"].to_numpy()[item], "low": low[row, item], "high": high[row, item]}))
+            return pd.concat(out)
+
+        return _meet(probes, self.codes.select("seed_id", "cell", "code", "scale", "left"), "cell", block, meet, "id long, seed_id long, low double, high double")
+
+    def candidates(self, rows: DataFrame, k: int, pool: int | None = None, reach: float = 1.0, block: int = BLOCK_ROWS) -> DataFrame:
+        """(id, seed_id): the pairs whose full vectors must be compared. With `reach` 1 they hold every row's k nearest items."""
+        best_low = Window.partitionBy("id").orderBy(F.desc("low"), "seed_id")
+        first = self._bounds(self._probes(rows, k, max(k, pool or 2 * k), reach, None), k, block, True)
+        kth = first.withColumn("nth", F.row_number().over(best_low)).where(F.col("nth") <= k).groupBy("id")
+        marks = cut_lineage(kth.agg(F.when(F.count(F.lit(1)) == k, F.min("low")).otherwise(F.lit(float("-inf"))).alias("mark")))
+        found = cut_lineage(self._bounds(self._probes(rows, k, 0, reach, marks), k, block, False))
+        last = found.withColumn("nth", F.row_number().over(best_low)).where(F.col("nth") == k).select("id", F.col("low").alias("least"))
+        return found.join(last, "id", "left").where(F.col("least").isNull() | (F.col("high") >= F.col("least"))).select("id", "seed_id")
+
+    def nearest(self, rows: DataFrame, k: int, pool: int | None = None, reach: float = 1.0, block: int = BLOCK_ROWS) -> DataFrame:
+        """k nearest items of every row: id, seed_id, distance, place. Rows and items have one row for each id."""
+        if not self.size:
+            return rows.sparkSession.createDataFrame([], _OUT + ", place int")
+        metric = self.metric
+
+        @F.pandas_udf("double")
+        def distance(a: pd.Series, b: pd.Series) -> pd.Series:
+            x, y = _matrix(a), _matrix(b)
+            if metric == "cosine":
+                x, y = _as_products(x, metric, True), _as_products(y, metric, False)
+            product = np.einsum("ij,ij->i", x, y)
+            return pd.Series(1 - product if metric == "cosine" else -product if metric == "dot" else np.linalg.norm(x - y, axis=1))
+
+        pairs = self.candidates(rows, k, pool, reach, block).join(rows.select("id", "vec"), "id")
+        items = self.items.select("seed_id", F.col("vec").alias("item"))
+        compared = pairs.join(items, "seed_id").select("id", "seed_id", distance("vec", "item").alias("distance"))
+        place = Window.partitionBy("id").orderBy("distance", "seed_id")
+        return compared.withColumn("place", F.row_number().over(place)).where(F.col("place") <= k)
+
+
+def indexed_nearest(rows: DataFrame, seeds: DataFrame, k: int, metric: str = "cosine", pool: int | None = None, reach: float = 1.0, most_cells: int = 4096) -> DataFrame:
+    """k nearest seeds of every row from a `ProductIndex`: id, seed_id, distance, place."""
+    return ProductIndex(seeds, metric, most_cells).nearest(rows, k, pool, reach)
 
 
 def gram(df: DataFrame, vector: str = "vec") -> tuple[np.ndarray, np.ndarray, int]:

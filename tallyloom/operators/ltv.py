@@ -91,14 +91,15 @@ def _batched(df: DataFrame, columns: Sequence[str], likelihood: Callable) -> Cal
                 for i, p in enumerate(local):
                     with np.errstate(all="ignore"):
                         sums[i] += float(np.sum(n * likelihood(p, *arrays)))
-            yield pd.DataFrame({"i": np.arange(len(local)), "s": sums, "w": weight})
+            # NaN would arrive as NULL, and a sum skips those
+            yield pd.DataFrame({"i": np.arange(len(local)), "s": np.where(np.isnan(sums), -np.inf, sums), "w": weight})
 
         rows = df.mapInPandas(part, "i long, s double, w double").groupBy("i").agg(
             F.sum("s").alias("s"), F.sum("w").alias("w")
         ).collect()
         out = [-math.inf] * len(local)
         for r in rows:
-            out[r["i"]] = r["s"] / r["w"] if r["w"] and math.isfinite(r["s"]) else -math.inf
+            out[r["i"]] = r["s"] / r["w"] if r["w"] and r["s"] is not None and math.isfinite(r["s"]) else -math.inf
         return out
 
     return objective

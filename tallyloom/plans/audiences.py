@@ -80,9 +80,9 @@ def _(t):
     return r6(lk.k_curve(rounded_near, targets(t), _KS))
 
 
-@query("lk_lsh")
+@query("lk_lsh", f"WITH {_COS} SELECT id, seed_id, abs(round(distance, 6)) AS distance, place FROM nn WHERE place <= 10")
 def _(t):
-    return r6(lk.approximate_nearest(vectors(t), seeds(t), 10))
+    return r6(lk.indexed_nearest(vectors(t), seeds(t), 10)).withColumn("distance", F.abs("distance"))
 
 
 @query("lk_reduce")
@@ -184,7 +184,7 @@ def _(t):
     return r6(rows.select("id", F.col("seed_id").alias("item_id"), "place", (-F.col("distance")).alias("score")))
 
 
-@query("sq_topk_approx")
+@query("sq_topk_approx", f"WITH {_DOT} SELECT id, seed_id AS item_id, place, round(score, 6) AS score FROM nn WHERE place <= 50")
 def _(t):
-    rows = lk.approximate_nearest(vectors(t), candidates(t), 50, "dot", pool=250)
+    rows = lk.indexed_nearest(vectors(t), candidates(t), 50, "dot")
     return r6(rows.select("id", F.col("seed_id").alias("item_id"), "place", (-F.col("distance")).alias("score")))

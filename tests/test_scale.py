@@ -20,8 +20,9 @@ from tallyloom.operators import ranking as rk
 from tallyloom.operators import sampling as sm
 from tallyloom.operators import segments as sg
 from tallyloom.operators.trailing import Trailing, attach_trailing
-from tallyloom.plans import catalog  # noqa: F401  (registers the queries)
+from tallyloom.plans import audiences, catalog  # noqa: F401  (registers the queries)
 from tallyloom.plans.registry import BUILDERS
+from tallyloom.sources.tables import Tables
 
 
 @pytest.fixture(scope="module")
@@ -166,20 +167,54 @@ def test_large_seed_sets_are_not_broadcast(spark, vectors):
     assert small.count() == 900
 
 
-def test_approximate_recall(spark, vectors):
+@pytest.mark.parametrize("metric", ["cosine", "dot", "l2"])
+def test_index_gives_the_exact_lists(spark, vectors, metric):
+    df, matrix = vectors
+    items = df.where("id < 160").withColumnRenamed("id", "seed_id")
+    index = lk.ProductIndex(items, metric, most_cells=9)
+    got = sorted((r["id"], r["place"], r["seed_id"]) for r in index.nearest(df, 5, block=37).collect())
+    full = np.argsort(lk.distances(matrix, matrix[:160], metric), axis=1, kind="stable")[:, :5]
+    assert got == sorted((i, p + 1, int(full[i, p])) for i in range(300) for p in range(5))
+    assert index.candidates(df, 5).count() < 300 * 160 / 4
+
+
+def test_index_stops_at_its_bounds(spark):
+    """Items in tight clusters: probes leave cells unseen, and a smaller reach sees fewer still."""
+    rng = np.random.default_rng(6)
+    middle = rng.normal(size=(20, 8)) * 10
+    x = np.repeat(middle, 30, axis=0) + rng.normal(size=(600, 8)) * 0.05
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "id long, vec array<double>")
+    index = lk.ProductIndex(df.withColumnRenamed("id", "seed_id"), "l2", most_cells=25)
+    rows = df.where("id % 10 = 0")
+    marks = rows.select("id").withColumn("mark", F.lit(float("-inf")))
+    every = index._probes(rows, 5, 0, 1.0, marks).count()
+    near = index._bounds(index._probes(rows, 5, 10, 1.0, None), 5, 1000, True).groupBy("id").agg(F.expr("sort_array(collect_list(low), false)[4]").alias("mark"))
+    looked = index._probes(rows, 5, 0, 1.0, near).count()
+    assert index._probes(rows, 5, 0, 0.5, near).count() < looked < 0.6 * every
+    full = np.argsort(lk.distances(x[::10], x, "l2"), axis=1, kind="stable")[:, :5]
+    got = {(r["id"], r["seed_id"]) for r in index.nearest(rows, 5).collect()}
+    assert got == {(10 * i, int(j)) for i in range(60) for j in full[i]}
+
+
+def test_index_of_few_items(spark, vectors):
     df, _ = vectors
-    seeds = df.where("id < 60").withColumnRenamed("id", "seed_id")
-    exact = {(r["id"], r["seed_id"]) for r in lk.nearest_seeds(df, seeds, 5).collect()}
-    found = {(r["id"], r["seed_id"]) for r in lk.approximate_nearest(df, seeds, 5, pool=30).collect()}
-    assert len(found) == len(exact) and len(exact & found) / len(exact) > 0.8
+    items = df.withColumnRenamed("id", "seed_id")
+    assert lk.indexed_nearest(df, items.where("seed_id < 3"), 5).count() == 900
+    assert lk.indexed_nearest(df, items.limit(0), 5).count() == 0 and lk.indexed_nearest(df.limit(0), items, 5).count() == 0
 
 
-@pytest.mark.parametrize("name,exact,seed", [("lk_lsh", "lk_knn", "seed_id"), ("sq_topk_approx", "sq_topk_retrieval", "item_id")])
-def test_registered_neighbours_are_complete(spark, name, exact, seed):
-    """The registered queries themselves: as many rows as the exact lists have, and at least 80% of those."""
-    pairs = lambda q: {(r["id"], r[seed]) for r in BUILDERS[q](spark, "/root/testdata/sf0.01").collect()}
+@pytest.mark.parametrize("scale", ["sf0.01", "sf0.1"])
+@pytest.mark.parametrize("name,exact,seed,k,metric", [("lk_lsh", "lk_knn", "seed_id", 10, "cosine"), ("sq_topk_approx", "sq_topk_retrieval", "item_id", 50, "dot")])
+def test_registered_neighbours_are_complete(spark, name, exact, seed, k, metric, scale):
+    """The registered queries themselves: as many rows as the exact lists have, at least 90% of those, and full vectors of less than half of all pairs."""
+    folder = f"/root/testdata/{scale}"
+    pairs = lambda q: {(r["id"], r[seed]) for r in BUILDERS[q](spark, folder).collect()}
     found, full = pairs(name), pairs(exact)
-    assert len(found) == len(full) and len(found & full) / len(full) > 0.8
+    assert len(found) == len(full) and len(found & full) / len(full) >= 0.9
+    t = Tables(spark, folder)
+    items = audiences.seeds(t) if seed == "seed_id" else audiences.candidates(t)
+    n_rows, n_items = audiences.vectors(t).count(), items.count()
+    assert lk.ProductIndex(items, metric).candidates(audiences.vectors(t), k).count() < n_rows * n_items / 2
 
 
 def test_hot_bucket_is_split(spark):
