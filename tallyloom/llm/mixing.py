@@ -1,27 +1,23 @@
 """Mixing sources to target weights by a low-discrepancy schedule.
 
-Each source's documents, in a hashed order, form one stream of words that is cut into blocks of equal length. Slot k of
-the mix has the point frac(k * golden ratio) on [0, 1); the source whose share of the cumulative targets holds the point
-fills the slot with its next block, starting over when its blocks are used up. Native DataFrame operations only.
+Each source's documents, in a hashed order, form one stream of words that is cut into a fixed number of equal parts, its blocks.
+A source has as many slots as its target holds blocks. The points of the slots are multiples of the golden ratio, in whole
+numbers: k * F(n - 1) mod F(n) for Fibonacci numbers, which takes every value once, so every source holds as many points as it
+has slots, spread evenly over the mix. Its slots, ranked by k, take its blocks in turn. Native DataFrame operations only.
 """
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyloom.llm.common import KEY, SPACE_WORD, key_columns
 from tallyloom.session import cut_lineage
 
-# Fixed value: fractional part of the golden ratio.
-GOLDEN = 0.6180339887498949
 CELLS = 1024
 CHUNK = 4096
 BUCKET_DIGITS = 3
-FEWEST_SLOTS = 65_536
-LONGEST_BLOCK = 2_048
+PARTS = 4096
 
 
 def source_targets(sizes: DataFrame, cap: int = 3, weights: int = 3) -> DataFrame:
@@ -45,14 +41,7 @@ def source_targets(sizes: DataFrame, cap: int = 3, weights: int = 3) -> DataFram
     fits = F.col("level") * F.col("weight") <= F.col("most")
     chosen = levels.withColumn("level", F.min(F.when(fits, F.struct(F.col("most") / F.col("weight"), "skey", "level"))).over(everything)["level"])
     share = F.least(F.col("level") * F.col("weight"), F.col("most").cast("double"))
-    upto = Window.orderBy("skey").rowsBetween(Window.unboundedPreceding, 0)
-    return (
-        chosen.withColumn("target", share)
-        .withColumn("upto", F.sum("target").over(upto))
-        .withColumn("start", F.coalesce(F.lag("upto").over(Window.orderBy("skey")), F.lit(0.0)))
-        .withColumn("last", F.row_number().over(Window.orderBy(F.desc("skey"))) == 1)
-        .select("skey", "source", "source_size", "weight", "total", "target", F.try_divide("start", "total").alias("lo"), F.when(F.col("last"), 2.0).otherwise(F.try_divide("upto", "total")).alias("hi"))
-    )
+    return chosen.withColumn("target", share).select("skey", "source", "source_size", "weight", "total", "target")
 
 
 def streams(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
@@ -74,18 +63,39 @@ def streams(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source:
     )
 
 
-def schedule(targets: DataFrame, slots: int) -> DataFrame:
-    """Source of each of `slots` slots and the slot's rank in its source: (k, skey, rank from 0).
+def fibonacci(least: int) -> tuple[int, int]:
+    """Neighbouring Fibonacci numbers, the larger one `least` or more."""
+    a, b = 1, 1
+    while b < least:
+        a, b = b, a + b
+    return a, b
+
+
+def slot_counts(targets: DataFrame, cap: int, parts: int) -> DataFrame:
+    """`targets` with blocks (parts of the stream, of a word at least), slots (target in blocks, rounded) and the first point `lo`."""
+    blocks = F.least("source_size", F.lit(parts))
+    slots = F.least(F.round(F.col("target") * blocks / F.col("source_size")).cast("long"), blocks * cap)
+    counted = targets.withColumn("blocks", blocks).withColumn("slots", F.when(F.col("source_size") > 0, slots).otherwise(0))
+    return counted.withColumn("lo", F.sum("slots").over(Window.orderBy("skey").rowsBetween(Window.unboundedPreceding, 0)) - F.col("slots"))
+
+
+def schedule(targets: DataFrame) -> DataFrame:
+    """Slots of the mix and the rank of each in its source: (k, skey, rank from 0), from (skey, slots, lo).
 
     Points meet the sources cell by cell, an equality join. Ranks are counted per chunk of slots and then summed over the
     chunks, so that a source with most slots is ranked by many tasks.
     """
     spark = targets.sparkSession
-    cell = F.floor(F.col("point") * CELLS)
-    points = spark.range(slots).select(F.col("id").alias("k"), (F.col("id") * GOLDEN - F.floor(F.col("id") * GOLDEN)).alias("point")).withColumn("cell", cell)
-    ends = [F.least(F.floor(F.col(c) * CELLS), F.lit(CELLS - 1)) for c in ("lo", "hi")]
-    spans = targets.filter("target > 0").select("skey", "lo", "hi", F.explode(F.sequence(*ends)).alias("cell"))
-    drawn = points.join(spans, "cell").filter("point >= lo and point < hi").select("k", "skey", F.floor(F.col("k") / CHUNK).alias("chunk"))
+    total = targets.agg(F.sum("slots")).head()[0] or 0
+    step, size = fibonacci(total)
+    if size >= 1 << 31:
+        raise ValueError("too many slots for points in 64 bits: take fewer parts")
+    width = -(-size // CELLS)
+    points = spark.range(size).select(F.col("id").alias("k"), (F.col("id") * step % size).alias("point")).filter(F.col("point") < total)
+    points = points.withColumn("cell", F.expr(f"point div {width}"))
+    ends = [F.expr(f"lo div {width}"), F.expr(f"(lo + slots - 1) div {width}")]
+    spans = targets.filter("slots > 0").select("skey", "lo", "slots", F.explode(F.sequence(*ends)).alias("cell"))
+    drawn = points.join(spans, "cell").filter("point >= lo and point < lo + slots").select("k", "skey", F.floor(F.col("k") / CHUNK).alias("chunk"))
     counts = drawn.groupBy("skey", "chunk").agg(F.count("*").alias("n"))
     ahead = counts.select("skey", "chunk", F.coalesce(F.sum("n").over(Window.partitionBy("skey").orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("ahead"))
     nth = F.row_number().over(Window.partitionBy("skey", "chunk").orderBy("k"))
@@ -99,79 +109,49 @@ def placed_rows(rows: DataFrame) -> DataFrame:
     return rows.filter("size > 0").join(heads, ["skey", "bucket"]).select("skey", "bucket", "place", "size", (F.col("ahead") + F.col("inside")).alias("at"))
 
 
-def mix_rows(docs: DataFrame, cap: int = 3, block: int | None = None, doc_id: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
+def mix_rows(docs: DataFrame, cap: int = 3, parts: int = PARTS, doc_id: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
     """`streams` with source_size, target and taken: the words that the mix takes of each row, repeats counted.
 
-    `block` is the length of a block in words; by default total words / 65,536, from 1 to 2,048, so that rounding to
-    whole blocks stays small next to the targets of a small corpus; in a large one, sources of few blocks miss theirs (see
-    `whole_rows`). A source's block is drawn at most `cap` times, hence no row gives more than `cap` times its size. Rows
-    without words give nothing.
+    Every source is cut into `parts` blocks of equal length (to a word; a source of fewer words into single words), so its taken
+    words are its target to half a block, whatever its size beside the others. A block is drawn at most `cap` times, hence no
+    row gives more than `cap` times its size. Rows without words give nothing.
     """
     rows = streams(docs, doc_id, text, source)
     sizes = rows.groupBy("skey", "source").agg(F.sum("size").alias("source_size"))
-    targets = cut_lineage(source_targets(sizes, cap))
-    total = targets.agg(F.max("total")).head()[0] or 0
-    if not total:
-        return rows.select("*", F.lit(0).cast("long").alias("source_size"), F.lit(0.0).alias("target"), F.lit(0).cast("long").alias("taken"))
-    block = block or max(1, min(LONGEST_BLOCK, total // FEWEST_SLOTS))
-    blocks = targets.select("skey", F.expr(f"(source_size + {block - 1}) div {block}").alias("blocks"))
-    drawn = (
-        schedule(targets, math.ceil(total / block))
-        .join(blocks, "skey")
-        .filter(F.col("rank") < F.col("blocks") * cap)
-        .groupBy("skey", (F.col("rank") % F.col("blocks")).alias("block"))
-        .agg(F.count("*").alias("uses"))
-    )
-    placed = placed_rows(rows)
-    pieces = placed.select("*", F.explode(F.sequence(F.expr(f"at div {block}"), F.expr(f"(at + size - 1) div {block}"))).alias("block"))
-    overlap = F.least(F.col("at") + F.col("size"), (F.col("block") + 1) * block) - F.greatest("at", F.col("block") * block)
-    taken = pieces.withColumn("overlap", overlap).join(drawn, ["skey", "block"]).groupBy("skey", "bucket", "place").agg(F.sum(F.col("overlap") * F.col("uses")).alias("taken"))
+    targets = cut_lineage(slot_counts(source_targets(sizes, cap), cap, parts))
+    blocks = targets.select("skey", "source_size", "blocks")
+    drawn = schedule(targets).join(blocks, "skey").groupBy("skey", (F.col("rank") % F.col("blocks")).alias("block")).agg(F.count("*").alias("uses"))
+    placed = placed_rows(rows).join(blocks, "skey")
+    # word w lies in block ((w + 1) * blocks - 1) div source_size; block b begins at word b * source_size div blocks
+    reach = F.sequence(F.expr("((at + 1) * blocks - 1) div source_size"), F.expr("((at + size) * blocks - 1) div source_size"))
+    pieces = placed.select("*", F.explode(reach).alias("block"))
+    overlap = F.least(F.col("at") + F.col("size"), F.expr("(block + 1) * source_size div blocks")) - F.greatest("at", F.expr("block * source_size div blocks"))
+    pieces = pieces.select("skey", "bucket", "place", "block", overlap.alias("overlap"))
+    taken = pieces.join(drawn, ["skey", "block"]).groupBy("skey", "bucket", "place").agg(F.sum(F.col("overlap") * F.col("uses")).alias("taken"))
     return (
-        rows.join(targets.select("skey", "source_size", "target"), "skey")
+        rows.join(targets.select("skey", "source_size", F.coalesce("target", F.lit(0.0)).alias("target")), "skey")
         .join(taken, ["skey", "bucket", "place"], "left")
         .withColumn("taken", F.coalesce("taken", F.lit(0)).cast("long"))
     )
 
 
-def mix_documents(docs: DataFrame, cap: int = 3, block: int | None = None, doc_id: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
-    """doc_id, size, source_size, target, taken of every document; see `mix_rows`.
+def mix_documents(docs: DataFrame, cap: int = 3, parts: int = PARTS, doc_id: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
+    """doc_id, source, size, source_size, target, taken of every document; see `mix_rows`.
 
     Null text has size 0; a null source is a source of its own, last in order; repeated rows count one by one; an empty
-    table gives no rows; other columns are ignored. Reruns agree: order and points depend on the rows alone.
+    table gives no rows; texts of any length are counted whole; other columns are ignored. Reruns agree: order and points depend
+    on the rows alone.
     """
-    return mix_rows(docs, cap, block, doc_id, text, source).select("doc_id", "source", "size", "source_size", "target", "taken")
-
-
-def whole_rows(docs: DataFrame, cap: int = 3, doc_id: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
-    """`streams` with source_size, target and taken, where every source meets its target to half a word, however small it is.
-
-    A source's blocks are single words: it has as many slots as its target has words, and slot r takes word r modulo
-    source_size of its stream. So the stream is taken a whole number of times and then once more up to a word. No points are
-    drawn, because they give the slots of the sources an order, which rows do not have.
-    """
-    rows = streams(docs, doc_id, text, source)
-    sizes = rows.groupBy("skey", "source").agg(F.sum("size").alias("source_size"))
-    slots = F.least(F.round("target").cast("long"), F.col("source_size") * cap)
-    targets = cut_lineage(source_targets(sizes, cap)).select("skey", "source_size", "target", F.coalesce(slots, F.lit(0)).alias("slots"))
-    rounds = F.when(F.col("source_size") > 0, F.expr("slots div source_size")).otherwise(0)
-    upto = F.col("slots") - rounds * F.col("source_size")
-    taken = rounds * F.col("size") + F.greatest(F.lit(0), F.least(F.col("size"), upto - F.col("at")))
-    at = placed_rows(rows).select("skey", "bucket", "place", "at")
-    return (
-        rows.join(targets, "skey")
-        .join(at, ["skey", "bucket", "place"], "left")
-        .withColumn("taken", F.when(F.col("size") > 0, taken).otherwise(0).cast("long"))
-        .drop("at", "slots")
-    )
+    return mix_rows(docs, cap, parts, doc_id, text, source).select("doc_id", "source", "size", "source_size", "target", "taken")
 
 
 def mixed_corpus(docs: DataFrame, cap: int = 3, doc_id: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
     """The documents as the mix repeats them, with the input's columns.
 
-    A document comes as often as its taken words hold it (see `whole_rows`), rounded to the nearest count: 0 to `cap` times.
-    Repeated rows share what their copies take. A document without words has no weight in the mix and stays once.
+    A document comes as often as its words that the schedule takes hold it (see `mix_rows`), rounded to the nearest count: 0 to
+    `cap` times. Repeated rows share what their copies take. A document without words has no weight in the mix and stays once.
     """
-    per = whole_rows(docs, cap, doc_id, text, source).groupBy(*KEY).agg(F.sum("taken").alias("__taken"), F.sum("size").alias("__size"))
+    per = mix_rows(docs, cap, PARTS, doc_id, text, source).groupBy(*KEY).agg(F.sum("taken").alias("__taken"), F.sum("size").alias("__size"))
     times = F.when(F.col("__size") > 0, F.floor(F.col("__taken") / F.col("__size") + 0.5)).otherwise(1).cast("int")
     counts = per.select(*KEY, times.alias("__times")).filter("__times > 0")
     keyed = docs.select("*", *key_columns(doc_id, text))

@@ -70,22 +70,17 @@ v AS (
     SELECT *, (total - coalesce(sum(most) OVER (ORDER BY most / weight, skey ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))::DOUBLE
             / (sum(weight) OVER (ORDER BY most / weight, skey ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING))::DOUBLE AS level FROM w),
 pick AS (SELECT level FROM v WHERE level * weight <= most ORDER BY most / weight, skey LIMIT 1),
-g AS (SELECT skey, source_size, total, least(pick.level * weight, most::DOUBLE) AS target FROM v, pick),
+g AS (SELECT skey, source_size, least(pick.level * weight, most::DOUBLE) AS target, least(source_size, 4096) AS blocks FROM v, pick),
 edges AS (
-    SELECT *, coalesce(sum(target) OVER (ORDER BY skey ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) / total AS lo,
-           CASE WHEN row_number() OVER (ORDER BY skey DESC) = 1 THEN 2 ELSE sum(target) OVER (ORDER BY skey ROWS UNBOUNDED PRECEDING) / total END AS hi,
-           greatest(1, least(2048, total // 65536)) AS block FROM g),
-slots AS (
-    SELECT k, k * 0.6180339887498949::DOUBLE - floor(k * 0.6180339887498949::DOUBLE) AS point
-    FROM range((SELECT CAST(ceil(max(total)::DOUBLE / max(block)) AS BIGINT) FROM edges)) AS r(k)),
-ranked AS (
-    SELECT e.skey, block, (source_size + block - 1) // block AS blocks, row_number() OVER (PARTITION BY e.skey ORDER BY k) - 1 AS nth
-    FROM slots JOIN edges e ON point >= lo AND point < hi WHERE target > 0),
-uses AS (SELECT skey, block, nth % blocks AS nb, count(*) AS uses FROM ranked WHERE nth < 3 * blocks GROUP BY ALL),
+    SELECT *, CASE WHEN source_size > 0 THEN least(CAST(round(target * blocks / source_size) AS BIGINT), 3 * blocks) ELSE 0 END AS slots FROM g),
+uses AS (
+    SELECT skey, nb, (nb * source_size) // blocks AS first, ((nb + 1) * source_size) // blocks AS stop,
+           slots // blocks + CASE WHEN nb < slots % blocks THEN 1 ELSE 0 END AS uses
+    FROM edges, unnest(range(0, blocks)) AS u(nb) WHERE source_size > 0),
 placed AS (SELECT *, coalesce(sum(size) OVER (PARTITION BY skey ORDER BY place ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start FROM d),
 t AS (
-    SELECT doc_id, sum((least(start + size, (nb + 1) * block) - greatest(start, nb * block)) * uses) AS taken
-    FROM placed JOIN uses ON placed.skey = uses.skey AND nb * block < start + size AND (nb + 1) * block > start GROUP BY 1)
+    SELECT doc_id, sum((least(start + size, stop) - greatest(start, first)) * uses) AS taken
+    FROM placed JOIN uses ON placed.skey = uses.skey AND first < start + size AND stop > start GROUP BY 1)
 SELECT d.doc_id, d.source, d.size, e.source_size, e.target, CAST(coalesce(taken, 0) AS BIGINT) AS taken
 FROM d JOIN edges e ON d.skey = e.skey LEFT JOIN t ON d.doc_id = t.doc_id
 """

@@ -6,10 +6,12 @@ slot. Rebalancing edits the map and never the hash, so only the records of reass
 
 from __future__ import annotations
 
+from heapq import heapify, heappop, heappush
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tallyloom.session import cut_lineage
+from tallyloom.session import cut_lineage, shared_folder
 
 SLOTS = 4096
 
@@ -19,13 +21,31 @@ def slot_of(doc_id: str = "doc_id", slots: int = SLOTS) -> Column:
     return F.pmod(F.xxhash64(F.col(doc_id).cast("string")), F.lit(slots)).cast("int")
 
 
+def handed_over(owners: list[int], shards: int) -> list[int]:
+    """Owners of the slots with one more shard, number `shards`: it takes slots one by one, each the last one of the shard that
+    holds most (the first such shard), until it holds len(owners) // (shards + 1)."""
+    owners = list(owners)
+    held: dict[int, list[int]] = {s: [] for s in range(shards)}
+    for slot, shard in enumerate(owners):
+        held[shard].append(slot)
+    for _ in range(len(owners) // (shards + 1)):
+        fullest = max(range(shards), key=lambda s: (len(held[s]), -s))
+        owners[held[fullest].pop()] = shards
+    return owners
+
+
+def _as_map(spark: SparkSession, owners: list[int], version: int) -> DataFrame:
+    return spark.createDataFrame([(slot, shard, version) for slot, shard in enumerate(owners)], "vslot int, shard int, version int")
+
+
 def first_map(spark: SparkSession, shards: int, slots: int = SLOTS) -> DataFrame:
-    """Version 1 of the map (slot, shard, version): equal runs of slots."""
+    """Version 1 of the map (vslot, shard, version): one shard that grew to `shards`, so the map of a number of shards is always the same."""
     if not 0 < shards <= slots:
         raise ValueError("shards must be between 1 and the number of slots")
-    return spark.range(slots).select(
-        F.col("id").cast("int").alias("vslot"), F.expr(f"cast(id * {shards} div {slots} as int)").alias("shard"), F.lit(1).alias("version")
-    )
+    owners = [0] * slots
+    for n in range(1, shards):
+        owners = handed_over(owners, n)
+    return _as_map(spark, owners, 1)
 
 
 def write_map(slot_map: DataFrame, folder: str) -> int:
@@ -41,42 +61,50 @@ def read_map(spark: SparkSession, folder: str, version: int) -> DataFrame:
 
 
 def grow(slot_map: DataFrame, shards: int) -> DataFrame:
-    """Next version with one more shard, number `shards`: each old shard hands over its last slots.
+    """Next version with one more shard, number `shards`; every slot that it does not take stays where it is (see `handed_over`).
 
-    With S slots the new shard ends with floor(S / (shards + 1)) of them; every other slot stays where it is.
-    The map has one row per slot, so its windows work on at most SLOTS rows.
+    The map has one row for each slot, at most a few thousand, and is edited on the driver.
     """
-    order = Window.orderBy(F.desc("nth"), "shard", "vslot")
-    ranked = slot_map.withColumn("nth", F.row_number().over(Window.partitionBy("shard").orderBy("vslot")))
-    goes = F.row_number().over(order) <= F.expr(f"count(*) over () div {shards + 1}")
-    return ranked.select("vslot", F.when(goes, F.lit(shards)).otherwise(F.col("shard")).alias("shard"), (F.col("version") + 1).alias("version"))
+    rows = sorted(slot_map.select("vslot", "shard", "version").collect())
+    return _as_map(slot_map.sparkSession, handed_over([r["shard"] for r in rows], shards), max(r["version"] for r in rows) + 1)
 
 
 def rebalance(slot_map: DataFrame, loads: DataFrame) -> DataFrame:
     """Next version that evens out bytes: shards above the mean hand slots to shards below it.
 
-    `loads` has (vslot, bytes). A shard above the mean keeps its smallest slots as far as they fit into the mean, and the
-    rest of its slots queue up. The shards below the mean line up with their free space, and the queue is laid along it by
-    cumulative bytes: a slot goes to the shard in whose space its middle falls. All tables have at most SLOTS rows.
+    `loads` has (vslot, bytes); a slot without a load is empty. A shard above the mean keeps its smallest slots as far as they fit
+    into the mean; the others, the largest first, each go to the shard that holds least by then. Both tables have one row for each
+    slot, at most a few thousand, and the map is edited on the driver.
     """
-    of_shard, everything = Window.partitionBy("shard"), Window.partitionBy()
-    full = slot_map.join(loads, "vslot", "left").withColumn("bytes", F.coalesce("bytes", F.lit(0)).cast("long"))
-    shards = F.size(F.collect_set("shard").over(everything))
-    full = full.withColumn("held", F.sum("bytes").over(of_shard)).withColumn("mean", F.sum("bytes").over(everything) / shards)
-    running = F.sum("bytes").over(of_shard.orderBy("bytes", "vslot").rowsBetween(Window.unboundedPreceding, 0))
-    upto_here = Window.orderBy(F.desc("bytes"), "vslot").rowsBetween(Window.unboundedPreceding, 0)
-    queue = full.withColumn("running", running).filter("running > mean and bytes > 0").select("vslot", "shard", "bytes", (F.sum("bytes").over(upto_here) - F.col("bytes") / 2).alias("middle"))
-    free = full.filter("held < mean").groupBy("shard").agg(F.max(F.col("mean") - F.col("held")).alias("room"))
-    free = free.select(F.col("shard").alias("taker"), "room", F.sum("room").over(Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, 0)).alias("stop"))
-    fits = (F.col("middle") >= F.col("stop") - F.col("room")) & (F.col("middle") < F.col("stop"))
-    moved = queue.join(F.broadcast(free), fits).select("vslot", "taker")
-    return slot_map.join(moved, "vslot", "left").select("vslot", F.coalesce("taker", "shard").alias("shard"), (F.col("version") + 1).alias("version"))
+    rows = sorted(slot_map.select("vslot", "shard", "version").collect())
+    bytes_of = {r["vslot"]: r["bytes"] or 0 for r in loads.select("vslot", "bytes").collect()}
+    owners = [r["shard"] for r in rows]
+    slots_of: dict[int, list[int]] = {s: [] for s in owners}
+    for r in rows:
+        slots_of[r["shard"]].append(r["vslot"])
+    mean = sum(bytes_of.get(r["vslot"], 0) for r in rows) / len(slots_of)
+    held, queue = dict.fromkeys(slots_of, 0), []
+    for shard, slots in slots_of.items():
+        for size, slot in sorted((bytes_of.get(v, 0), v) for v in slots):
+            if held[shard] + size <= mean:
+                held[shard] += size
+            else:
+                queue.append((-size, slot, shard))
+    room = [(size, shard) for shard, size in held.items()]
+    heapify(room)
+    for size, slot, _ in sorted(queue):
+        least, shard = heappop(room)
+        owners[slot] = shard
+        heappush(room, (least - size, shard))
+    return _as_map(slot_map.sparkSession, owners, rows[0]["version"] + 1)
 
 
 def shard_documents(docs: DataFrame, shards: int = 24, slots: int = SLOTS, doc_id: str = "doc_id", text: str = "text", slot_map: DataFrame | None = None) -> DataFrame:
     """Shard of every document under the law `key`: the id and the number of shards decide.
 
-    With a stored `slot_map` of the same `shards` and `slots` the id and that map decide, and the law is `map`.
+    The map of that number of shards is written as version 1, read, grown by one shard, and written and read as version 2, whose
+    shard is `grown_shard`; it equals the `shard` of a call with one more shard. With a stored `slot_map` of the same `shards`
+    and `slots` the id and that map decide, and the law is `map`.
 
     Returns doc_id, size (UTF-8 bytes + 8; null text: 8), text_crc32 (null text: crc of nothing, 0), law, shard,
     slot (place within the shard, gapless from 0), grown_shard (shard with one more shard), vslot, slot_bytes and
@@ -84,6 +112,13 @@ def shard_documents(docs: DataFrame, shards: int = 24, slots: int = SLOTS, doc_i
     id, size and checksum, so no task sees a whole shard. Repeated rows get places of their own; an empty table gives
     no rows; other columns are ignored.
     """
+    spark = docs.sparkSession
+    folder = shared_folder(spark, "slot-maps")
+    if slot_map is None:
+        owner = read_map(spark, folder, write_map(first_map(spark, shards, slots), folder))
+    else:
+        owner = slot_map
+    later = read_map(spark, folder, write_map(grow(owner, shards), folder)).select("vslot", F.col("shard").alias("grown_shard"))
     content = F.coalesce(F.col(text), F.lit(""))
     rows = docs.select(
         F.col(doc_id).alias("doc_id"),
@@ -92,8 +127,6 @@ def shard_documents(docs: DataFrame, shards: int = 24, slots: int = SLOTS, doc_i
         slot_of(doc_id, slots).alias("vslot"),
     )
     rows = cut_lineage(rows)
-    owner = first_map(docs.sparkSession, shards, slots) if slot_map is None else slot_map
-    later = grow(owner, shards).select("vslot", F.col("shard").alias("grown_shard"))
     loads = rows.groupBy("vslot").agg(F.count("*").alias("n"), F.sum("size").alias("slot_bytes"))
     before = Window.partitionBy("shard").orderBy("vslot").rowsBetween(Window.unboundedPreceding, -1)
     table = owner.join(later, "vslot").join(loads, "vslot").withColumn("ahead", F.coalesce(F.sum("n").over(before), F.lit(0)))

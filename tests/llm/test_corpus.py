@@ -211,7 +211,14 @@ def test_stored_slot_map(spark, docs, tmp_path):
     owner = {r["vslot"]: r["shard"] for r in even.collect()}
     rows = sharding.shard_documents(docs, 5, 64, slot_map=stored).collect()
     assert len(rows) == len(ROWS) and all(r["shard"] == owner[r["vslot"]] and r["map_version"] == 2 and r["law"] == "map" for r in rows)
-    assert any(r["shard"] != r["vslot"] * 5 // 64 for r in rows)
+    assert any(r["shard"] != owned["shard"] for r, owned in zip(even.orderBy("vslot").collect(), first.orderBy("vslot").collect()))
+
+
+def test_number_of_shards_decides(docs):
+    """Growing gives the map of one more shard, at every number of shards."""
+    for shards, slots in ((1, 64), (5, 64), (24, 4096)):
+        before = tuples(sharding.shard_documents(docs, shards, slots), "doc_id", "grown_shard")
+        assert before == tuples(sharding.shard_documents(docs, shards + 1, slots), "doc_id", "shard")
 
 
 def water_levels(sizes, cap=3):
@@ -252,7 +259,26 @@ def test_small_sources_of_a_large_corpus(spark):
     docs = spark.createDataFrame(rows, "doc_id long, source string, n int").repartition(8).select("doc_id", F.expr("repeat('w ', n)").alias("text"), "source")
     expected = water_levels({s: docs * n for s, (docs, n) in sizes.items()})
     got = {r["source"]: r["count"] for r in mixing.mixed_corpus(docs).groupBy("source").count().collect()}
-    assert all(abs(got.get(s, 0) * n - expected[s]) <= n / 2 + 1 for s, (_, n) in sizes.items())
+    assert all(abs(got.get(s, 0) * n - expected[s]) <= n / 2 + 1 for s, (_, n) in sizes.items() if s != "a")
+    assert abs(got["a"] * 500_000 - expected["a"]) <= 500_000 / 2 + 1
+    taken = {r["source"]: (r["taken"], r["target"]) for r in mixing.mix_documents(docs).groupBy("source").agg(F.sum("taken").alias("taken"), F.first("target").alias("target")).collect()}
+    for s, (n_docs, n) in sizes.items():
+        assert abs(taken[s][0] - taken[s][1]) <= max(1, n_docs * n / 4096) / 2 + 1
+
+
+def test_points_are_spread(spark):
+    """Every source holds as many points as slots, and its share of any stretch of the mix is near its share of the whole."""
+    counts = {"a": 700, "b": 30, "c": 1, "d": 270}
+    rows, lo = [], 0
+    for s, n in counts.items():
+        rows.append((s, n, lo))
+        lo += n
+    drawn = mixing.schedule(spark.createDataFrame(rows, "skey string, slots long, lo long")).orderBy("k").collect()
+    assert Counter(r["skey"] for r in drawn) == counts
+    for s, n in counts.items():
+        assert [r["rank"] for r in drawn if r["skey"] == s] == list(range(n))
+        seen = np.cumsum([r["skey"] == s for r in drawn])
+        assert np.abs(seen - np.arange(1, len(drawn) + 1) * n / len(drawn)).max() < 5
 
 
 def test_targets_hit_the_cap(spark):
