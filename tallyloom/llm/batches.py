@@ -69,6 +69,29 @@ class Prefix:
         return mix64((self.sums[stops] - self.sums[starts]) * self.back[starts] + (stops - starts).astype(np.uint64))
 
 
+LOW_BYTES = np.array([(1 << 8 * k) - 1 for k in range(8)] + [(1 << 64) - 1], dtype=np.uint64)
+
+
+def eights_of(data: np.ndarray) -> np.ndarray:
+    """The eight bytes from each place on as one number; zeros follow the end."""
+    return np.ndarray((len(data) + 1,), dtype="<u8", buffer=np.concatenate([data, np.zeros(8, np.uint8)]), strides=(1,))
+
+
+def stretch_hashes(data: np.ndarray, starts: np.ndarray, stops: np.ndarray, seed: np.ndarray) -> np.ndarray:
+    """64-bit hash of each stretch of bytes, eight bytes a step; `seed` is one number for each stretch."""
+    eights = eights_of(data)
+    sizes = stops - starts
+    found = mix64(seed.astype(np.uint64) ^ mix64(sizes.astype(np.uint64)))
+    live = np.flatnonzero(sizes > 0)
+    step = 0
+    while len(live):
+        left = np.minimum(sizes[live] - step, 8)
+        found[live] = mix64(found[live] ^ mix64(eights[starts[live] + step] & LOW_BYTES[left]))
+        step += 8
+        live = live[sizes[live] > step]
+    return found
+
+
 def word_bounds(data: np.ndarray, offsets: np.ndarray, is_word: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(starts, stops, row) of the maximal runs of bytes with is_word[byte]; words never span rows."""
     inside = is_word[data]

@@ -16,7 +16,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyloom.llm.batches import LOWER, mix64, pieces, table_of, utf8_of
+from tallyloom.llm.batches import LOW_BYTES, LOWER, eights_of, mix64, pieces, stretch_hashes, table_of, utf8_of
 from tallyloom.session import shared_folder
 
 MIN_DOCS = 10
@@ -29,12 +29,6 @@ SLOTS_HELD = 1 << 24
 PART_BYTES = 1 << 21
 #: Fixed value: runs of these bytes are terms, that is of A-Z, a-z and everything outside ASCII.
 TERM_BYTES = table_of((0x41, 0x5A), (0x61, 0x7A), (0x80, 0xFF))
-_LOW_BYTES = np.array([(1 << 8 * k) - 1 for k in range(8)] + [(1 << 64) - 1], dtype=np.uint64)
-
-
-def eights_of(data: np.ndarray) -> np.ndarray:
-    """The eight bytes from each place on as one number; zeros follow the end."""
-    return np.ndarray((len(data) + 1,), dtype="<u8", buffer=np.concatenate([data, np.zeros(8, np.uint8)]), strides=(1,))
 
 
 def coded_terms(data: np.ndarray, offsets: np.ndarray) -> tuple[pa.Array, np.ndarray, np.ndarray]:
@@ -53,25 +47,10 @@ def coded_terms(data: np.ndarray, offsets: np.ndarray) -> tuple[pa.Array, np.nda
     return terms.dictionary, terms.indices.to_numpy().astype(np.int64), row
 
 
-def term_hashes(data: np.ndarray, starts: np.ndarray, stops: np.ndarray, seed: np.ndarray) -> np.ndarray:
-    """64-bit hash of each stretch of bytes, eight bytes a step; `seed` is one number for each stretch."""
-    eights = eights_of(data)
-    sizes = stops - starts
-    found = mix64(seed.astype(np.uint64) ^ mix64(sizes.astype(np.uint64)))
-    live = np.flatnonzero(sizes > 0)
-    step = 0
-    while len(live):
-        left = np.minimum(sizes[live] - step, 8)
-        found[live] = mix64(found[live] ^ mix64(eights[starts[live] + step] & _LOW_BYTES[left]))
-        step += 8
-        live = live[sizes[live] > step]
-    return found
-
-
 def lang_seeds(langs: list[str], seed: int) -> np.ndarray:
     """One seed for each language, from its name alone."""
     data, offsets = utf8_of(pa.array(langs, pa.string()))
-    return term_hashes(data, offsets[:-1], offsets[1:], np.full(len(langs), seed, np.uint64))
+    return stretch_hashes(data, offsets[:-1], offsets[1:], np.full(len(langs), seed, np.uint64))
 
 
 def placed(hashes: np.ndarray, size: np.ndarray | int, displacement: np.ndarray | int) -> np.ndarray:
@@ -130,7 +109,7 @@ def _shard_hashes(seed: int, shards: int) -> Callable[[Iterator[pa.RecordBatch]]
             data, offsets = utf8_of(batch["term"])
             codes = batch["lang"].dictionary_encode()
             seeds = lang_seeds(codes.dictionary.to_pylist(), seed)[codes.indices.to_numpy()] if len(batch["lang"]) else np.zeros(0, np.uint64)
-            hashes = term_hashes(data, offsets[:-1], offsets[1:], seeds)
+            hashes = stretch_hashes(data, offsets[:-1], offsets[1:], seeds)
             shard = shard_of(hashes, shards)
             yield pa.record_batch([batch["lang"], batch["term"], pa.array(shard.astype(np.int32)), pa.array(hashes.view(np.int64))], names=["lang", "term", "shard", "hash"])
 
@@ -188,7 +167,7 @@ class Hashes:
         if not len(self.slot_lang):
             return slots
         live = np.flatnonzero((lang >= 0) & (stops - starts <= np.diff(self.key_at).max()))
-        hashes = term_hashes(data, starts[live], stops[live], self.seeds[lang[live]])
+        hashes = stretch_hashes(data, starts[live], stops[live], self.seeds[lang[live]])
         shard = shard_of(hashes, self.shards)
         filled = self.size[shard] > 0
         live, hashes, shard = live[filled], hashes[filled], shard[filled]
@@ -200,7 +179,7 @@ class Hashes:
         text, keys = eights_of(data), eights_of(self.keys)
         equal, open_, step = np.ones(len(live), dtype=bool), np.flatnonzero(sizes > 0), 0
         while len(open_):
-            low = _LOW_BYTES[np.minimum(sizes[open_] - step, 8)]
+            low = LOW_BYTES[np.minimum(sizes[open_] - step, 8)]
             equal[open_] &= (text[starts[live[open_]] + step] ^ keys[self.key_at[slot[open_]] + step]) & low == 0
             step += 8
             open_ = open_[(sizes[open_] > step) & equal[open_]]

@@ -245,6 +245,20 @@ ORACLES["op1_lines"] = LINES_SQL.replace(
     """b AS (SELECT unit FROM u WHERE n > 0 GROUP BY unit HAVING count(DISTINCT coalesce('s' || source, 'z')) >= 10),
 m AS (SELECT u.*, n > 0 AND unit IN (SELECT unit FROM b) AS gone FROM u)""",
 )
-ORACLES["op10_repeats"] = LINES_SQL.replace(
-    "@marked@", "m AS (SELECT *, n >= 6 AND row_number() OVER (PARTITION BY unit ORDER BY doc_id, i) > 1 AS gone FROM u)"
-)
+ORACLES["op10_repeats"] = r"""
+WITH s AS (SELECT doc_id, string_split(regexp_replace(coalesce(text, ''), '([.!?][\x20\x09-\x0D]|\n)', concat('\1', chr(1)), 'g'), chr(1)) AS parts FROM documents),
+l AS (
+    SELECT doc_id, i, part, sum(length(part)) OVER (PARTITION BY doc_id ORDER BY i) - length(part) AS start,
+           regexp_extract_all(translate(part, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS words
+    FROM (SELECT doc_id, unnest(parts) AS part, unnest(range(len(parts))) AS i FROM s)),
+u AS (
+    SELECT *, len(words) AS n, row_number() OVER (PARTITION BY doc_id ORDER BY i) AS nth,
+           row_number() OVER (PARTITION BY array_to_string(words, ' ') ORDER BY doc_id, i) > 1 AS repeated
+    FROM l WHERE len(words) > 0),
+g AS (SELECT *, nth - row_number() OVER (PARTITION BY doc_id, repeated ORDER BY nth) AS run FROM u),
+m AS (SELECT doc_id, i, repeated AND sum(n) OVER (PARTITION BY doc_id, repeated, run) >= 16 AS gone FROM g)
+SELECT d.doc_id, count(*) FILTER (gone) AS n_removed, count(m.i) AS n_units,
+       coalesce(string_agg(CAST(start AS BIGINT) || '-' || CAST(start + length(part) AS BIGINT), ',' ORDER BY l.i) FILTER (gone), '') AS removed_spans,
+       sha256(coalesce(string_agg(part, '' ORDER BY l.i) FILTER (gone IS NULL OR NOT gone), '')) AS kept_sha256
+FROM documents d LEFT JOIN l ON d.doc_id = l.doc_id LEFT JOIN m ON l.doc_id = m.doc_id AND l.i = m.i GROUP BY d.doc_id
+"""
