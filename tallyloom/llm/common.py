@@ -27,6 +27,24 @@ def key_columns(doc_id: str = "doc_id", text: str = "text") -> list[Column]:
 KEY = ["__k1", "__k2"]
 
 
+def free_names(docs: DataFrame, *names: str) -> list[str]:
+    """The names, each with as many underscores after it as keep it apart from the columns of `docs`."""
+    taken, out = {c.lower() for c in docs.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
+def joined_by_key(docs: DataFrame, others: DataFrame, how: str = "inner", doc_id: str = "doc_id", text: str = "text") -> tuple[DataFrame, list[str]]:
+    """`docs` joined with a table of KEY by the rows' keys, whatever the columns of `docs` are called, and the names of the keys in it."""
+    names = free_names(docs, *KEY)
+    keyed = docs.select("*", *[c.alias(n) for c, n in zip(key_columns(doc_id, text), names)])
+    return keyed.join(others.withColumnsRenamed(dict(zip(KEY, names))), names, how), names
+
+
 def ascii_lower(text: Column) -> Column:
     """A-Z to a-z and nothing else; `lower` alone would also change letters outside ASCII."""
     plain = F.octet_length(text) == F.char_length(text)

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyloom.llm.common import KEY, ascii_lower, key_columns, small_or_shuffled
+from tallyloom.llm.common import KEY, ascii_lower, joined_by_key, key_columns, small_or_shuffled
 from tallyloom.session import cut_lineage
 
 # Fixed value: what separates words once A-Z is lower case.
@@ -119,8 +119,9 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, g
 
 
 def clean_documents(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, gram: int = GRAM, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """The documents without any hit, with the input's columns."""
+    """The documents without any hit, with the input's columns, whatever their names. A null or empty text has no hit; rows that
+    repeat id and text all stay or all go; an empty table gives no rows."""
     _, hits = contaminated_spans(docs, benchmark, window, gram, doc_id, text)
     bad = cut_lineage(hits.select(*KEY).distinct())
-    keyed = docs.select("*", *key_columns(doc_id, text))
-    return keyed.join(small_or_shuffled(bad, bad.count()), KEY, "left_anti").select(*docs.columns)
+    kept, names = joined_by_key(docs, small_or_shuffled(bad, bad.count()), "left_anti", doc_id, text)
+    return kept.drop(*names)

@@ -169,14 +169,15 @@ def identify(docs: DataFrame, train_bytes: int = TRAIN_BYTES, doc_id: str = "doc
     rows = docs.select(F.col(doc_id).alias("doc_id"), held_out(doc_id).alias("held_out"), letters.alias("letters"), F.col(text).alias("text"))
     if model is None:
         return rows.select("doc_id", "held_out", F.lit(UNKNOWN).alias("lang_pred"), F.lit(0.0).alias("score"))
-    sent = docs.sparkSession.sparkContext.broadcast(model)  # at most 2 * TRAIN_BYTES * CLASSES numbers per language
+    sent = docs.sparkSession.sparkContext.broadcast(vars(model))  # plain arrays, at most 2 * TRAIN_BYTES * CLASSES numbers per language
 
     def predicted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = np.array([*sent.value.languages, UNKNOWN], dtype=object)
+        automata = Model(**sent.value)
+        names = np.array([*automata.languages, UNKNOWN], dtype=object)
         for batch in batches:
             data, offsets = utf8_of(batch.column("text"))
             for i, j in pieces(offsets):
-                best, share = sent.value.predict(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i])
+                best, share = automata.predict(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i])
                 known = batch.column("letters")[i:j].to_numpy(zero_copy_only=False)
                 found = pa.array(names[np.where(known, best, -1)], pa.string())
                 yield pa.record_batch([*batch.slice(i, j - i).select(["doc_id", "held_out"]).columns, found, pa.array(np.where(known, share, 0.0))], names=["doc_id", "held_out", "lang_pred", "score"])

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyloom.llm.common import KEY, SPACE_WORD, key_columns
+from tallyloom.llm.common import KEY, SPACE_WORD, free_names, joined_by_key, key_columns
 from tallyloom.session import cut_lineage
 
 CELLS = 1024
@@ -153,6 +153,8 @@ def mixed_corpus(docs: DataFrame, cap: int = 3, doc_id: str = "doc_id", text: st
     """
     per = mix_rows(docs, cap, PARTS, doc_id, text, source).groupBy(*KEY).agg(F.sum("taken").alias("__taken"), F.sum("size").alias("__size"))
     times = F.when(F.col("__size") > 0, F.floor(F.col("__taken") / F.col("__size") + 0.5)).otherwise(1).cast("int")
-    counts = per.select(*KEY, times.alias("__times")).filter("__times > 0")
-    keyed = docs.select("*", *key_columns(doc_id, text))
-    return keyed.join(counts, KEY).select(*docs.columns, F.explode(F.sequence(F.lit(1), F.col("__times"))).alias("__copy")).drop("__copy")
+    times_name, copy_name = free_names(docs, "__times", "__copy")
+    counts = per.select(*KEY, times.alias(times_name)).filter(F.col(times_name) > 0)
+    found, names = joined_by_key(docs, counts, "inner", doc_id, text)
+    copies = F.explode(F.sequence(F.lit(1), F.col(times_name)))
+    return found.select("*", copies.alias(copy_name)).drop(times_name, copy_name, *names)

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyloom.llm.batches import NOT_SPACE, Prefix, pieces, utf8_of, word_bounds
+from tallyloom.llm.common import free_names
 
 SAMPLE_ROWS = 4096
 DIMENSIONS = 48
@@ -139,13 +140,14 @@ def with_score(docs: DataFrame, model: Model, name: str = "score", text: str = "
     """The documents with a column `name`, the score of the whole text (null text: as empty). One pass, no shuffle."""
     if name in docs.columns:
         raise ValueError(f"the documents have a column {name} already")
-    sent = docs.sparkSession.sparkContext.broadcast(model)  # at most SAMPLE_ROWS vectors
+    sent = docs.sparkSession.sparkContext.broadcast(vars(model))  # plain arrays, at most SAMPLE_ROWS vectors
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        voters = Model(**sent.value)
         for batch in batches:
             data, offsets = utf8_of(batch.column(text))
             for i, j in pieces(offsets):
-                score = sent.value.score(shape_terms(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i]))
+                score = voters.score(shape_terms(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i]))
                 yield pa.record_batch([*batch.slice(i, j - i).columns, pa.array(score, pa.float64())], names=[*batch.schema.names, name])
 
     return docs.mapInArrow(scored, T.StructType([*docs.schema.fields, T.StructField(name, T.DoubleType())]))
@@ -159,6 +161,8 @@ def score_documents(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id",
 
 
 def accepted(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """The documents whose score reaches THRESHOLD, with the input's columns."""
+    """The documents whose score reaches THRESHOLD, with the input's columns, whatever their names. Texts are scored whole, null as
+    empty; repeated rows all stay or all go; an empty table gives no rows."""
     model = train(docs, labels, doc_id=doc_id, text=text)
-    return with_score(docs, model, "__score", text).filter(F.col("__score") >= THRESHOLD).select(*docs.columns)
+    name = free_names(docs, "__score")[0]
+    return with_score(docs, model, name, text).filter(F.col(name) >= THRESHOLD).drop(name)

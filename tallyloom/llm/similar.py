@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyloom.llm.batches import BASE, LOWER, NOT_SPACE, Prefix, mix64, pieces, utf8_of, word_bounds
-from tallyloom.llm.common import KEY, key_columns, release
+from tallyloom.llm.common import KEY, joined_by_key, key_columns, release
 from tallyloom.llm.graph import components
 from tallyloom.session import cut_lineage
 
@@ -428,9 +428,11 @@ def similar_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text
 def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """One document of each group, the one with the smallest id (a null id only if there is no other), with the input's columns.
 
-    Documents without words are in no group and stay. Rows that repeat id and text are one document.
+    Documents without words are in no group and stay. Rows that repeat id and text are one document. Other columns may have any
+    names; an empty table gives no rows.
     """
     rows = grouped(docs, doc_id, text)
     first = rows.filter("n_shingles > 0").groupBy("g1", "g2").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", *KEY)).alias("row")).select(*[f"row.{k}" for k in KEY])
     kept = cut_lineage(first.unionByName(rows.filter("n_shingles = 0").select(*KEY).distinct()))
-    return docs.select("*", *key_columns(doc_id, text)).join(kept, KEY).dropDuplicates(KEY).select(*docs.columns)
+    found, names = joined_by_key(docs, kept, "inner", doc_id, text)
+    return found.dropDuplicates(names).drop(*names)

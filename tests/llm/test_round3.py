@@ -11,7 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 from test_corpus import ROWS, SCHEMA, lower
 
-from tallyloom.llm import divergence, packing, queries, spelling
+from tallyloom.llm import decontaminate, divergence, mixing, packing, quality, queries, similar, spelling
 
 VOCABULARY = pytest.importorskip("public_tokenizers").path("word_bpe_49k.json")
 
@@ -223,3 +223,16 @@ def test_totals_beyond_64_bits_of_product():
 
 def test_registered():
     assert {"op11_packing", "op12_spelling", "op13_divergence"} <= set(queries.QUERIES)
+
+
+def test_names_of_the_operators_own_columns(spark):
+    """Columns that are called like the operators' helpers come through the stages as they are."""
+    labels = spark.createDataFrame([(1, 1), (2, 1), (3, 0), (4, 1)], "doc_id long, quality int")
+    bench = spark.createDataFrame([(1, "one two three four five six seven eight nine ten eleven")], "item_id long, text string")
+    names = ["__k1", "__k2", "__K1_", "__score", "__times", "__copy", "row", "times"]
+    rows = [(i, f"text number {i} of a few words that differ {'x' * i}", f"s{i % 2}") for i in range(12)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").withColumns({c: F.lit(c) for c in names})
+    for stage in (lambda d: quality.accepted(d, labels), similar.one_of_each, lambda d: decontaminate.clean_documents(d, bench), mixing.mixed_corpus):
+        out = stage(docs)
+        assert out.columns == docs.columns
+        assert out.count() > 0 and out.filter("__k1 <> '__k1' OR __score <> '__score'").count() == 0
