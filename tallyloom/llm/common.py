@@ -8,6 +8,8 @@ import time
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallyloom.session import shared_folder
+
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 # Fixed value: runs of these characters separate the words of a text.
 SPACE_WORD = r"[^\x20\x09-\x0D]+"
@@ -27,6 +29,13 @@ def key_columns(doc_id: str = "doc_id", text: str = "text") -> list[Column]:
 KEY = ["__k1", "__k2"]
 
 
+def materialised(df: DataFrame, name: str) -> DataFrame:
+    """`df` written once as a table in the shared folder of the session, and read."""
+    folder = shared_folder(df.sparkSession, name)
+    df.write.parquet(folder)
+    return df.sparkSession.read.parquet(folder)
+
+
 def free_names(docs: DataFrame, *names: str) -> list[str]:
     """The names, each with as many underscores after it as keep it apart from the columns of `docs`."""
     taken, out = {c.lower() for c in docs.columns}, []

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyloom.llm.batches import LOWER, NOT_SPACE, mix64, pieces, stretch_hashes, utf8_of, word_bounds
-from tallyloom.llm.common import KEY, key_columns
+from tallyloom.llm.common import KEY, key_columns, materialised
 from tallyloom.session import cut_lineage
 
 MIN_SITES = 10
@@ -70,7 +70,8 @@ def _units(sentences: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.
             for i, j in pieces(offsets):
                 row, *found = units_of(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i], sentences)
                 of = pa.array(row + i)
-                yield pa.record_batch([*[batch.column(k).take(of) for k in rest], *map(pa.array, found)], names=[*rest, "start", "stop", "n", "d1", "d2", "nth"])
+                columns = [pa.array(x if x.dtype != np.int64 or k in (3, 4) else x.astype(np.int32)) for k, x in enumerate(found)]
+                yield pa.record_batch([*[batch.column(k).take(of) for k in rest], *columns], names=[*rest, "start", "stop", "n", "d1", "d2", "nth"])
 
     return run
 
@@ -79,7 +80,7 @@ def line_units(docs: DataFrame, *keep: str, doc_id: str = "doc_id", text: str =
     """One narrow row per unit with words: keys of the document row, `keep`, start, stop, n (words), d1, d2, nth. Materialised."""
     rows = docs.select(F.col(doc_id).alias("doc_id"), *[F.col(k).cast("string").alias(k) for k in keep], *key_columns(doc_id, text), F.col(text).alias("text"))
     kinds = ", ".join(f"{k} {t}" for k, t in rows.dtypes if k != "text")
-    return cut_lineage(rows.mapInArrow(_units(sentences), f"{kinds}, start long, stop long, n long, d1 long, d2 long, nth long"))
+    return materialised(rows.mapInArrow(_units(sentences), f"{kinds}, start int, stop int, n int, d1 long, d2 long, nth int"), "line-units")
 
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -186,8 +187,9 @@ def remove_repeats(docs: DataFrame, min_run: int = MIN_RUN, doc_id: str = "doc_i
     whole; other columns are ignored; an empty table has no rows.
     """
     units = line_units(docs, doc_id=doc_id, text=text, sentences=True)
-    rank = F.struct(F.col("doc_id").isNull(), "doc_id", *KEY, "start")
+    rank = F.struct(F.col("doc_id").isNull(), "doc_id", KEY[0], "start")
     first = units.groupBy("d1", "d2").agg(F.min(rank).alias("first"), F.count("*").alias("times")).filter("times > 1").select("d1", "d2", "first")
+    first = materialised(first, "line-firsts")  # a join of two plain tables is split where a digest is hot
     repeated = units.join(first, ["d1", "d2"]).filter(rank != F.col("first"))
     spans = repeated.groupBy(*KEY).agg(F.collect_set(F.struct("nth", "n", "start", "stop")).alias("spans"))
     totals = units.groupBy(*KEY).agg((F.max("nth") + 1).alias("n_units"))
