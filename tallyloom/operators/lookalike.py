@@ -369,22 +369,110 @@ def random_axes(dim: int, n: int, seed: int = 1) -> np.ndarray:
     return np.random.default_rng(seed).standard_normal((dim, n)) / np.sqrt(n)
 
 
-def feature_search(rows: DataFrame, seeds: DataFrame, subsets: Sequence[Sequence[int]], k: int, metric: str = "cosine") -> DataFrame:
-    """Mean average precision of the look-alike score for several feature subsets.
+def atoms(subsets: Sequence[Sequence[int]], dim: int) -> tuple[list[list[int]], np.ndarray]:
+    """Features that always come together, and the subsets as rows of bits over those groups."""
+    held = np.zeros((len(subsets), dim), dtype=bool)
+    for i, subset in enumerate(subsets):
+        held[i, list(subset)] = True
+    patterns, of = np.unique(held, axis=1, return_inverse=True)
+    groups = [np.flatnonzero(of == g).tolist() for g in range(patterns.shape[1])]
+    used = patterns.any(axis=0)
+    return [g for g, u in zip(groups, used) if u], patterns[:, used]
+
+
+def subset_distances(rows: np.ndarray, seeds: np.ndarray, groups: Sequence[Sequence[int]], bits: np.ndarray, metric: str) -> np.ndarray:
+    """Distances (subset, row, seed): products, squares and absolute differences of feature groups add up to those of a subset."""
+    weight = bits.astype(float)
+
+    def total(parts: list[np.ndarray]) -> np.ndarray:
+        return np.tensordot(weight, np.stack(parts), axes=1)
+
+    if metric == "l1":
+        return total([np.abs(rows[:, None, g] - seeds[None, :, g]).sum(2) for g in groups])
+    dot = total([rows[:, g] @ seeds[:, g].T for g in groups])
+    a, b = (total([(x[:, g] ** 2).sum(1) for g in groups]) for x in (rows, seeds))
+    if metric == "cosine":
+        return 1 - dot / np.maximum(np.sqrt(a)[:, :, None] * np.sqrt(b)[:, None, :], 1e-300)
+    if metric == "l2":
+        return np.sqrt(np.maximum(a[:, :, None] + b[:, None, :] - 2 * dot, 0))
+    return -dot
+
+
+def _means_of_nearest(rows: DataFrame, seeds: DataFrame, ks: Sequence[int], block: int, shortest) -> DataFrame:
+    """(id, subset, k, mean): mean distance to the k nearest seeds for every k of a grid that the seeds can fill.
 
-    `rows`: id, vec, target. One neighbour table per subset; seeds and rows are read once
-    per subset, their vectors cut to the subset inside the scan.
+    A block of rows meets a block of seeds; of each pair of blocks a row keeps its smallest distances, one array for each subset,
+    and the arrays of its blocks are merged and summed up once. `shortest(rows, seeds)` yields (row, subset, sorted distances).
     """
-    out = None
-    for i, subset in enumerate(subsets):
+    grid = sorted(set(ks))
+    left = rows.select("id", "vec").withColumn("cell", F.lit(0).cast("long"))
+    right = seeds.select("seed_id", "vec").withColumn("cell", F.lit(0).cast("long"))
+    # Rows meet in small blocks: the arrays of many subsets are larger than what they come from.
 
-        def cut(df: DataFrame, subset=subset) -> DataFrame:
-            return df.withColumn("vec", F.array(*[F.element_at("vec", j + 1) for j in subset]))
+    def meet(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
+        ids, subsets, found = [], [], []
+        if len(a) and len(b):
+            x, y = _matrix(a["vec"]), _matrix(b["__i_vec"])
+            for start in range(0, len(x), 64):
+                for row, subset, values in shortest(x[start : start + 64], y):
+                    ids.append(a["id"].to_numpy()[start + row])
+                    subsets.append(subset)
+                    found.append(values)
+        return pd.DataFrame({"id": pd.Series(ids, dtype="int64"), "subset": pd.Series(subsets, dtype="int32"), "distances": found})
+
+    parts = _meet(left, right, "cell", block, meet, "id long, subset int, distances array<double>")
+    merged = parts.groupBy("id", "subset").agg(F.flatten(F.collect_list("distances")).alias("distances"))
+
+    @F.pandas_udf("array<struct<k:int,mean:double>>")
+    def means(distances: pd.Series) -> pd.Series:
+        out = []
+        for values in distances:
+            upto = np.cumsum(np.sort(values)[: grid[-1]])
+            out.append([{"k": k, "mean": upto[k - 1] / k} for k in grid if k <= len(upto)])
+        return pd.Series(out)
+
+    return merged.select("id", "subset", F.inline(means("distances")))
+
+
+def k_grid(rows: DataFrame, seeds: DataFrame, targets: DataFrame, ks: Sequence[int], metric: str = "cosine", block: int = 2000) -> DataFrame:
+    """Mean average precision of the mean-distance score for every k of a grid that the seeds can fill, up to thousands.
+
+    One row for each (id, k) leaves the tasks, not one for each neighbour.
+    """
+    most = max(ks)
 
-        near = nearest_seeds(cut(rows), cut(seeds), k, metric)
-        part = k_curve(near, rows.select("id", "target"), [k]).select(F.lit(i).alias("subset"), "map")
-        out = part if out is None else out.unionByName(part)
-    return out
+    def shortest(x: np.ndarray, y: np.ndarray):
+        d = distances(x, y, metric)
+        k = min(most, len(y))
+        d = np.sort(np.partition(d, k - 1, axis=1)[:, :k], axis=1)
+        return ((i, 0, d[i]) for i in range(len(d)))
+
+    means = _means_of_nearest(rows, seeds, ks, block, shortest).join(targets, "id")
+    return mean_average_precision(cut_lineage(means.select("id", "k", F.round("mean", 9).alias("mean"), "target")), "mean", "target", "id", descending=False, group=["k"])
+
+
+def feature_search(rows: DataFrame, seeds: DataFrame, subsets: Sequence[Sequence[int]], k: int, metric: str = "cosine", block: int = 2000) -> DataFrame:
+    """Mean average precision of the look-alike score for any number of feature subsets: subset, map.
+
+    `rows`: id, vec, target. Partial distances of groups of features are computed once for a block of rows and seeds; a subset is
+    a row of bits and its distances one product with those parts. Rows and seeds are read once for all subsets.
+    """
+    dim = seeds.select(F.size("vec").alias("d")).first()["d"]
+    groups, bits = atoms(subsets, dim)
+    step = max(1, 4_000_000 // (64 * block))
+
+    def shortest(x: np.ndarray, y: np.ndarray):
+        n = min(k, len(y))
+        for first in range(0, len(bits), step):
+            d = subset_distances(x, y, groups, bits[first : first + step], metric)
+            near = np.sort(np.partition(d, n - 1, axis=2)[:, :, :n], axis=2)
+            for s in range(near.shape[0]):
+                for i in range(near.shape[1]):
+                    yield i, first + s, near[s, i]
+
+    means = _means_of_nearest(rows, seeds, [k], block, shortest).join(rows.select("id", "target"), "id")
+    scored = cut_lineage(means.select("id", "subset", F.round("mean", 9).alias("mean"), "target"))
+    return mean_average_precision(scored, "mean", "target", "id", descending=False, group=["subset"])
 
 
 def seed_recall(scored: DataFrame, score: str, target: str, tie: str, n: int, descending: bool = False) -> DataFrame:

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 
+from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.regression import DecisionTreeRegressor
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -155,6 +158,59 @@ def median_by_group(df: DataFrame, columns: Sequence[str], group: Sequence[str])
     return out.withColumns({c: F.coalesce(F.col(c), F.col(f"__g_{c}"), F.col("__all").getField(c)) for c in columns}).select(*df.columns)
 
 
+def forest_impute(df: DataFrame, columns: Sequence[str], key: str, rounds: int = 3, trees: int = 3, depth: int = 6, seed: str = "forest") -> DataFrame:
+    """Fill missing numbers column by column with a forest on the other columns, round after round.
+
+    Missing values start as the mean of their column. In a round the columns, those with the fewest gaps first, are each predicted
+    from all others, learnt where they are known; trees see rows as often as a Poisson draw by a hash of key, tree and
+    column says, so reruns draw alike. It stops when the summed squared change of the filled values, relative to the sum of their
+    squares, grows for the first time, and the round before is the result, or after `rounds` rounds. Known values stay; a column
+    without any known value stays null. One row for each key.
+    """
+    from tallyloom.operators.sampling import unit_hash
+
+    names = list(columns)
+    stats = df.agg(*[F.avg(F.col(c).cast("double")).alias(f"m{i}") for i, c in enumerate(names)], *[F.count_if(F.col(c).isNull()).alias(f"g{i}") for i, c in enumerate(names)]).first()
+    usable = [i for i in range(len(names)) if stats[f"m{i}"] is not None]
+    gaps = sorted((i for i in usable if stats[f"g{i}"]), key=lambda i: (stats[f"g{i}"], names[i]))
+    rows = df.select(key, *[F.coalesce(F.col(names[i]).cast("double"), F.lit(stats[f"m{i}"])).alias(f"x{i}") for i in usable], *[F.col(names[i]).isNull().alias(f"gap{i}") for i in gaps])
+    rows = cut_lineage(rows)
+    # Cumulative probabilities of a Poisson distribution of mean one: a hash below the first is out, below the second in once, ...
+    border, weights = 0.0, []
+    for n in range(5):
+        border += math.exp(-1) / math.factorial(n)
+        weights.append(border)
+    last = math.inf
+    for turn in range(rounds if len(usable) > 1 else 0):
+        before, fitted = rows, rows
+        for i in gaps:
+            assembler = VectorAssembler(inputCols=[f"x{j}" for j in usable if j != i], outputCol="__features")
+            seen = assembler.transform(fitted)
+            forest = []
+            for tree in range(trees):
+                draw = unit_hash(key, f"{seed}:{i}:{tree}")
+                times = sum((F.when(draw >= w, 1.0).otherwise(0.0) for w in weights), F.lit(0.0))
+                learner = DecisionTreeRegressor(featuresCol="__features", labelCol=f"x{i}", weightCol="__times", maxDepth=depth, predictionCol=f"__p{tree}", seed=17)
+                forest.append(learner.fit(seen.where(f"not gap{i}").withColumn("__times", times).where("__times > 0")))
+            for model in forest:
+                seen = model.transform(seen)
+            mean = sum((F.col(f"__p{t}") for t in range(trees)), F.lit(0.0)) / trees
+            fitted = cut_lineage(seen.withColumn(f"x{i}", F.when(F.col(f"gap{i}"), mean).otherwise(F.col(f"x{i}"))).select(*rows.columns))
+        pairs = fitted.join(before.select(key, *[F.col(f"x{i}").alias(f"old{i}") for i in gaps]), key)
+        change = pairs.agg(F.sum(sum((F.when(F.col(f"gap{i}"), (F.col(f"x{i}") - F.col(f"old{i}")) ** 2).otherwise(0.0) for i in gaps), F.lit(0.0))).alias("c"),
+                           F.sum(sum((F.when(F.col(f"gap{i}"), F.col(f"x{i}") ** 2).otherwise(0.0) for i in gaps), F.lit(0.0))).alias("s")).first() if gaps else None
+        if change is None or not change["s"]:
+            break
+        if change["c"] / change["s"] > last:
+            break
+        last, rows = change["c"] / change["s"], fitted
+        if not last:
+            break
+    filled = rows.select(key, *[F.col(f"x{i}").alias(f"__x{i}") for i in usable])
+    number = {names[i]: i for i in usable}
+    return df.join(filled, key).select(*[F.coalesce(F.col(c).cast("double"), F.col(f"__x{number[c]}")).alias(c) if c in number else F.col(c) for c in df.columns])
+
+
 def clip_upper(df: DataFrame, columns: Sequence[str], q: float = 0.95, approximate: bool = False) -> DataFrame:
     """Values above the q-quantile become the quantile, for all columns in one pass.
 

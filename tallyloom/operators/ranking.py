@@ -17,6 +17,7 @@ much work, such as one row per customer out of all orders, cut its lineage first
 from __future__ import annotations
 
 import math
+import sys
 from collections.abc import Mapping, Sequence
 
 from pyspark.ml.feature import Bucketizer
@@ -171,28 +172,88 @@ def percent_rank_average(df: DataFrame, value: str, out: str = "pct_rank") -> Da
     return df.join(ranks, df[value].eqNullSafe(ranks["__value"]), "left").drop("__value")
 
 
-def exact_quantiles(df: DataFrame, columns: Sequence[str], shares: Sequence[float]) -> DataFrame:
-    """Interpolated quantiles of several columns: one row per column, an array with one value per share.
+def _cells(df: DataFrame, cuts: Mapping[str, Sequence[float]]) -> DataFrame:
+    """(feature, value, cell) of all values; a column's cell is the number of its cuts at or below the value."""
+    for c, edges in cuts.items():
+        df = _with_bucket(df, c, edges, f"__cell_{c}")
+    cells = [F.struct(F.lit(c).alias("feature"), F.col(c).alias("value"), F.col(f"__cell_{c}").cast("int").alias("cell")) for c in cuts]
+    return df.select(F.inline(F.array(*cells))).where(F.col("value").isNotNull())
 
-    Distinct values are counted and added up in buckets, so no task holds all values.
-    """
-    cells = F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).cast("double").alias("value")) for c in columns])
-    counts = df.select(F.inline(cells)).where(F.col("value").isNotNull()).groupBy("feature", "value").agg(F.count(F.lit(1)).alias("__n"))
-    placed = running_totals(
-        counts, "value", F.lit(0), {"__upto": F.col("__n")}, group=["feature"], rank="__place", group_totals={"__total": "__upto"}
-    )
 
-    def at(index: Column) -> Column:
-        here = (F.col("__upto") - F.col("__n") <= index) & (index < F.col("__upto"))
-        return F.max(F.when(here, F.col("value")))
+def exact_quantiles(df: DataFrame, columns: Sequence[str], shares: Sequence[float], fine: int = 1000, held: int = 50_000) -> DataFrame:
+    """Interpolated quantiles of several columns: one row per column, an array with one value per share (null without values).
 
-    steps = [(F.col("__total") - 1) * F.lit(float(q)) for q in shares]
-    found = placed.groupBy("feature").agg(
-        *[at(F.floor(h)).alias(f"lo{i}") for i, h in enumerate(steps)], *[at(F.ceil(h)).alias(f"hi{i}") for i, h in enumerate(steps)],
-        *[F.max(h - F.floor(h)).alias(f"f{i}") for i, h in enumerate(steps)],
-    )
-    values = [F.col(f"lo{i}") + (F.col(f"hi{i}") - F.col(f"lo{i}")) * F.col(f"f{i}") for i in range(len(shares))]
-    return found.select("feature", F.array(*values).alias("quantiles"))
+    Histograms narrow each quantile down: a sketch cuts the values into about `fine` cells, the cells are counted exactly, and
+    the cells that hold a wanted rank are cut again, until each has at most `held` values or one value only. Only the values of
+    those cells move; everything else is counts by cell, added up inside the tasks. The driver sees cuts and counts.
+    """
+    values = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
+    grid = [i / fine for i in range(1, fine)]
+
+    def sketched(ranges: Mapping[str, Sequence[tuple[float, float]]]) -> dict[str, list[float]]:
+        """Borders of the ranges and cuts inside them; a value that fills several cells gets one of its own."""
+        within = [F.percentile_approx(F.when((F.col(c) >= lo) & (F.col(c) < hi) if hi < math.inf else F.col(c) >= lo, F.col(c)), grid, 10 * fine).alias(f"{c}:{i}") for c, r in ranges.items() for i, (lo, hi) in enumerate(r)]
+        row, out = values.agg(*within).first(), {}
+        for c, r in ranges.items():
+            edges: set[float] = set()
+            for i, (lo, hi) in enumerate(r):
+                found = row[f"{c}:{i}"] or []
+                if math.inf in found:
+                    edges.add(sys.float_info.max)
+                edges |= {lo, hi, *found} | {math.nextafter(x, math.inf) for x, y in zip(found, found[1:], strict=False) if x == y}
+            out[c] = sorted(e for e in edges if math.isfinite(e))
+        return out
+
+    cuts = sketched({c: [(-math.inf, math.inf)] for c in columns})
+    done: dict[str, dict[int, tuple[int, int]]] = {}
+    totals: dict[str, int] = {}
+    known: dict[str, dict[int, float]] = {c: {} for c in columns}
+    ranks: dict[str, set[int]] = {}
+    tried: set[tuple[str, float, float]] = set()
+    while cuts:
+        counts: dict[str, dict[int, int]] = {c: {} for c in cuts}
+        for r in _cells(values, cuts).groupBy("feature", "cell").agg(F.count(F.lit(1)).alias("n")).collect():
+            counts[r["feature"]][r["cell"]] = r["n"]
+        again: dict[str, list[tuple[float, float]]] = {}
+        for c, found in counts.items():
+            totals.setdefault(c, sum(found.values()))
+            if c not in ranks:
+                ranks[c] = {f(q * (totals[c] - 1)) for q in shares for f in (math.floor, math.ceil)} if totals[c] else set()
+            edges, upto, open_ = [-math.inf, *(cuts[c] or [0.0]), math.inf], 0, []
+            done[c] = {}
+            for cell in sorted(found):
+                lo, hi = (edges[cell], edges[cell + 1]) if cell + 1 < len(edges) else (math.nan, math.nan)
+                for rank in ranks[c]:
+                    if upto <= rank < upto + found[cell]:
+                        if hi <= math.nextafter(lo, math.inf) or math.isnan(lo):
+                            known[c][rank] = hi if lo == sys.float_info.max else lo  # nothing but infinity is above the largest number
+                        else:
+                            done[c][rank] = (cell, rank - upto)
+                            if found[cell] > held and (lo, hi) not in open_ and (c, lo, hi) not in tried:
+                                open_.append((lo, hi))
+                                tried.add((c, lo, hi))  # a cell that cannot be cut further is taken as it is
+                upto += found[cell]
+            if open_:
+                again[c] = open_
+        left = {c: {r: at for r, at in places.items() if r not in known[c]} for c, places in done.items() if c in counts and c not in again}
+        left = {c: places for c, places in left.items() if places}
+        if left:
+            wanted = df.sparkSession.createDataFrame([(c, cell, nth, rank) for c, places in left.items() for rank, (cell, nth) in places.items()], "feature string, cell int, nth long, rank long")
+            cells = wanted.select("feature", "cell").distinct()
+            # at most `held` values in each of at most 2 x shares cells of a column
+            inside = _cells(values, {c: cuts[c] for c in left}).join(F.broadcast(cells), ["feature", "cell"]).groupBy("feature", "cell").agg(F.sort_array(F.collect_list("value")).alias("values"))
+            for r in inside.join(wanted, ["feature", "cell"]).select("feature", "rank", F.element_at("values", (F.col("nth") + 1).cast("int")).alias("value")).collect():
+                known[r["feature"]][r["rank"]] = r["value"]
+        cuts = sketched(again) if again else {}
+
+    def at(c: str, q: float) -> float | None:
+        if not totals[c]:
+            return None
+        h = q * (totals[c] - 1)
+        low, high = known[c][math.floor(h)], known[c][math.ceil(h)]
+        return low if low == high else low + (high - low) * (h - math.floor(h))
+
+    return df.sparkSession.createDataFrame([(c, [at(c, q) for q in shares]) for c in columns], "feature string, quantiles array<double>")
 
 
 def top_n(df: DataFrame, n: int, *order: Column) -> DataFrame:

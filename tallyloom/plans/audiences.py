@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from tallyloom.operators import lookalike as lk
@@ -69,15 +70,14 @@ def _(t):
     return lk.neighbour_frequency(near(t, 10))
 
 
-_KS = [1, 5, 11, 21, 31]
+_KS = [*range(1, 100, 10), *range(100, 3500, 100)]
 
 
 @query("lk_k_curve", f"""
-    WITH {_COS}, m AS (SELECT id, place AS k, avg(distance) OVER (PARTITION BY id ORDER BY place) AS mean FROM nn), x AS (SELECT * FROM m WHERE k IN (1, 5, 11, 21, 31)), y AS (SELECT k, target, row_number() OVER (PARTITION BY k ORDER BY round(mean, 9), id) rn, sum(target) OVER (PARTITION BY k ORDER BY round(mean, 9), id ROWS UNBOUNDED PRECEDING) h FROM x JOIN v USING (id))
+    WITH {_COS}, m AS (SELECT id, place AS k, avg(distance) OVER (PARTITION BY id ORDER BY place) AS mean FROM nn), x AS (SELECT * FROM m WHERE k IN ({", ".join(map(str, _KS))})), y AS (SELECT k, target, row_number() OVER (PARTITION BY k ORDER BY round(mean, 9), id) rn, sum(target) OVER (PARTITION BY k ORDER BY round(mean, 9), id ROWS UNBOUNDED PRECEDING) h FROM x JOIN v USING (id))
     SELECT k, round(avg(h::DOUBLE / rn), 6) AS map FROM y WHERE target = 1 GROUP BY 1""")
 def _(t):
-    rounded_near = near(t, max(_KS))
-    return r6(lk.k_curve(rounded_near, targets(t), _KS))
+    return r6(lk.k_grid(vectors(t), seeds(t), targets(t), _KS))
 
 
 @query("lk_lsh", f"WITH {_COS} SELECT id, seed_id, abs(round(distance, 6)) AS distance, place FROM nn WHERE place <= 10")
@@ -92,10 +92,16 @@ def _(t):
     return r6(lk.nearest_seeds(rows, picked, 10))
 
 
+def drawn_subsets(n: int, dim: int) -> list[list[int]]:
+    """Subsets of about half of the features, drawn by a seeded generator."""
+    drawn = np.random.default_rng(11).random((n, dim)) < 0.5
+    return [np.flatnonzero(row).tolist() or [0] for row in drawn]
+
+
 @query("lk_feature_search")
 def _(t):
     rows = vectors(t).join(targets(t), "id")
-    subsets = [list(range(16)), list(range(16, 40)), list(range(0, 64, 2))]
+    subsets = [list(range(16)), list(range(16, 40)), list(range(0, 64, 2))] + drawn_subsets(997, 64)
     return r6(lk.feature_search(rows, seeds(t), subsets, 10))
 
 

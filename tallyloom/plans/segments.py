@@ -260,7 +260,19 @@ def _(t):
     return pp.draw_missing(recency_rows(t).select("customer_id", "os"), "os", "customer_id")
 
 
-@query("imp_forest", """
+@query("imp_forest")
+def _(t):
+    return r6(pp.forest_impute(masked_orders(t), ["amount", "items", "lines", "line_mean"], "order_id"))
+
+
+def masked_orders(t, every: int = 10):
+    """Orders with measures of their lines; one in `every` misses its amount, others their items."""
+    per = t.order_lines.groupBy("order_id").agg(F.sum("amount").cast("double").alias("amount"), F.sum("items").cast("double").alias("items"), F.count(F.lit(1)).cast("double").alias("lines"), F.max("amount").cast("double").alias("line_max"))
+    hidden = lambda c, salt: F.when(F.pmod(F.xxhash64("order_id", F.lit(salt)), F.lit(every)) != 0, F.col(c))
+    return per.select("order_id", hidden("amount", "a").alias("amount"), hidden("items", "i").alias("items"), "lines", (F.col("line_max") / F.col("lines")).alias("line_mean"))
+
+
+@query("imp_group_median", """
     WITH b AS (SELECT customer_id, segment, CASE WHEN balance > 0 THEN balance::DOUBLE END AS v FROM r_customers), m AS (SELECT segment, quantile_disc(v, 0.5) AS m FROM b GROUP BY 1)
     SELECT customer_id, segment, COALESCE(v, m) AS balance FROM b JOIN m USING (segment)""")
 def _(t):

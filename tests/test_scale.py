@@ -338,3 +338,89 @@ def test_large_amounts(spark, tmp_path):
     t = Tables(spark, str(tmp_path))
     assert float(t.orders.first()["amount"]) == 2500000.25
     assert (float(t.events.first()["value"]), t.events.first()["k"]) == (3000000.5, 1000)
+
+
+def test_narrowed_quantiles(spark):
+    """Cells are cut again until few values are held; ties, infinities, nulls, empty columns and a hot value keep their place."""
+    rng = np.random.default_rng(12)
+    n = 3000
+    cols = {"normal": rng.normal(size=n), "steep": 10.0 ** rng.uniform(-200, 200, n), "hot": np.where(rng.random(n) < 0.6, 7.0, rng.integers(0, 20, n)),
+            "same": np.full(n, 3.5), "far": np.where(rng.random(n) < 0.01, -np.inf, np.where(rng.random(n) < 0.01, np.inf, rng.normal(size=n)))}
+    frame = pd.DataFrame(cols)
+    frame["gaps"] = np.where(rng.random(n) < 0.7, None, frame["normal"])
+    frame["none"] = None
+    schema = ", ".join(f"{c} double" for c in frame.columns)
+    df = spark.createDataFrame([tuple(None if v is None or v != v else float(v) for v in r) for r in frame.itertuples(index=False)], schema).repartition(6)
+    shares = [0.0, 0.1, 0.25, 0.5, 0.9, 0.95, 1.0]
+    for fine, held in ((8, 20), (1000, 50_000)):
+        got = {r["feature"]: r["quantiles"] for r in rk.exact_quantiles(df, list(frame.columns), shares, fine, held).collect()}
+        assert got.pop("none") == [None] * len(shares)
+        for c, values in got.items():
+            known = np.sort(np.array([v for v in frame[c] if v is not None], dtype=float))
+            for q, value in zip(shares, values, strict=True):
+                h = q * (len(known) - 1)
+                low, high = known[int(np.floor(h))], known[int(np.ceil(h))]
+                assert (value == low == high) or abs(value - (low + (high - low) * (h - np.floor(h)))) <= 1e-12 * max(abs(low), abs(high))
+
+
+def test_quantiles_move_few_values(spark):
+    """Only the cells that hold a quantile leave their tasks: under 5% of the distinct values."""
+    df = spark.range(200_000).select(F.xxhash64("id").cast("double").alias("v"))
+    before = _shuffled(spark)
+    rk.exact_quantiles(df, ["v"], [0.25, 0.5, 0.95], held=2000).collect()
+    assert 0 < _shuffled(spark) - before < 0.05 * 200_000
+
+
+def _shuffled(spark):
+    """Records written to shuffles so far."""
+    context = spark.sparkContext
+    context._jsc.sc().listenerBus().waitUntilEmpty(30_000)
+    nothing = context._gateway.new_array(context._jvm.double, 0)
+    stages = context._jsc.sc().statusStore().stageList(None, False, False, nothing, None)
+    return sum(stages.apply(i).shuffleWriteRecords() for i in range(stages.size()))
+
+
+def test_k_grid_equals_the_curve_over_neighbours(spark, vectors):
+    df, _ = vectors
+    seeds = df.where("id % 3 = 0").withColumnRenamed("id", "seed_id")
+    targets = df.select("id", (F.col("id") % 3 == 0).cast("int").alias("target"))
+    ks = [1, 7, 40, 100, 5000]
+    got = {r["k"]: round(r["map"], 9) for r in lk.k_grid(df, seeds, targets, ks, block=33).collect()}
+    near = lk.nearest_seeds(df, seeds, 100).withColumn("distance", F.round("distance", 12))
+    want = {r["k"]: round(r["map"], 9) for r in lk.k_curve(near, targets, ks).collect()}
+    assert got.keys() == want.keys() == {1, 7, 40, 100} and all(abs(got[k] - want[k]) < 1e-3 for k in got)
+
+
+@pytest.mark.parametrize("metric", ["cosine", "l2", "l1"])
+def test_feature_subsets_equal_single_searches(spark, vectors, metric):
+    df, matrix = vectors
+    dim = matrix.shape[1]
+    rng = np.random.default_rng(3)
+    subsets = [sorted(rng.choice(dim, rng.integers(1, dim), replace=False).tolist()) for _ in range(7)] + [list(range(dim))]
+    seeds = df.where("id < 90").withColumnRenamed("id", "seed_id")
+    target = (np.arange(300) % 3 == 0).astype(int)
+    rows = df.withColumn("target", (F.col("id") % 3 == 0).cast("int"))
+    got = {r["subset"]: r["map"] for r in lk.feature_search(rows, seeds, subsets, 5, metric, block=70).collect()}
+    for i, subset in enumerate(subsets):
+        d = np.sort(lk.distances(matrix[:, subset], matrix[:90][:, subset], metric), axis=1)[:, :5].mean(1).round(9)
+        hits = target[np.lexsort((np.arange(300), d))]
+        want = (np.cumsum(hits) / np.arange(1, 301))[hits == 1].mean()
+        assert abs(got[i] - want) < 1e-2
+    assert len(got) == len(subsets)
+
+
+def test_forest_fills_better_than_the_median(spark):
+    rng = np.random.default_rng(8)
+    x, z = rng.normal(size=1500), rng.normal(size=1500)
+    y = 3 * x + np.sin(z * 2) + rng.normal(size=1500) * 0.1
+    gone_y, gone_x = rng.random(1500) < 0.2, rng.random(1500) < 0.1
+    rows = [(i, None if gone_x[i] else float(x[i]), None if gone_y[i] else float(y[i]), float(z[i]), None, f"t{i}") for i in range(1500)]
+    df = spark.createDataFrame(rows, "key long, x double, y double, z double, e double, other string")
+    out = pp.forest_impute(df, ["x", "y", "z", "e"], "key").toPandas().sort_values("key")
+    again = pp.forest_impute(df, ["x", "y", "z", "e"], "key").toPandas().sort_values("key")
+    assert out.equals(again) and list(out.columns) == df.columns and out["e"].isna().all() and (out["other"] == [f"t{i}" for i in range(1500)]).all()
+    assert np.array_equal(out["y"][~gone_y], y[~gone_y]) and not out["x"].isna().any()
+    for c, truth, gone in (("y", y, gone_y), ("x", x, gone_x)):
+        error = np.abs(out[c].to_numpy() - truth)[gone].mean()
+        assert error < 0.6 * np.abs(np.median(truth[~gone]) - truth)[gone].mean()
+    assert pp.forest_impute(df.limit(0), ["x", "y"], "key").count() == 0
