@@ -75,10 +75,13 @@ def daily_orders(valid: DataFrame) -> DataFrame:
     )
 
 
-def capped_price(daily: DataFrame, cap: int = ASP_CAP) -> DataFrame:
+def capped_day_price(cap: int = ASP_CAP) -> Column:
     """Mean day sales, where a day above `cap` per item counts as cap times its items."""
-    sales = F.when(ratio("sales", "items") > cap, cap * F.col("items").cast("double")).otherwise(F.col("sales").cast("double"))
-    return daily.groupBy("customer_id").agg(F.avg(sales).alias("asp_capped"))
+    return F.avg(F.when(ratio("sales", "items") > cap, cap * F.col("items").cast("double")).otherwise(F.col("sales").cast("double")))
+
+
+def capped_price(daily: DataFrame, cap: int = ASP_CAP) -> DataFrame:
+    return daily.groupBy("customer_id").agg(capped_day_price(cap).alias("asp_capped"))
 
 
 def _bins(today: Column) -> list[Column]:
@@ -166,14 +169,16 @@ def interpurchase(purchase_days: DataFrame, population: DataFrame, today: Column
     `purchase_days` has one row per (customer_id, day). A short interval lies between two
     purchases of the last `short_days` days.
     """
-    previous = F.lag("day").over(Window.partitionBy("customer_id").orderBy("day"))
+    return population.join(intervals(purchase_days, today, short_days, ["customer_id"]), "customer_id", "left")
+
+
+def intervals(purchase_days: DataFrame, today: Column, short_days: int, keys: Sequence[str]) -> DataFrame:
+    """Measures of the intervals between the days of each key."""
+    previous = F.lag("day").over(Window.partitionBy(*keys).orderBy("day"))
     days = purchase_days.withColumn("__previous", previous)
     gap = F.datediff("day", "__previous")
     in_short = F.col("__previous") >= F.date_sub(today, short_days)
-    block = days.groupBy("customer_id").agg(
-        *interval_measures("long", gap), *interval_measures("short", F.when(in_short, gap))
-    )
-    return population.join(block, "customer_id", "left")
+    return days.groupBy(*keys).agg(*interval_measures("long", gap), *interval_measures("short", F.when(in_short, gap)))
 
 
 def target(valid: DataFrame) -> DataFrame:

@@ -94,8 +94,12 @@ def tenure(customers: DataFrame, first_days: DataFrame, population: DataFrame, t
     `customers`: customer_id, registered, first_listing; `first_days`: customer_id, first_buy, first_sale.
     """
     rows = customers.join(population, "customer_id", "left_semi").join(first_days, "customer_id", "left")
+    return rows.select("customer_id", *tenure_measures(today))
+
+
+def tenure_measures(today: Column) -> list[Column]:
     names = {"registered": "registration", "first_listing": "first_listing", "first_buy": "first_buy", "first_sale": "first_sale"}
-    return rows.select("customer_id", *[F.datediff(today, c).alias(f"days_from_{n}") for c, n in names.items()])
+    return [F.datediff(today, c).alias(f"days_from_{n}") for c, n in names.items()]
 
 
 def payments(pays: DataFrame, bonus: DataFrame, population: DataFrame, start: Column, end: Column, site: str, limit: int = 10000) -> DataFrame:
@@ -165,14 +169,19 @@ def visits(daily: DataFrame, population: DataFrame, today: Column) -> DataFrame:
     """Recency, first visit and active days of the last 90 and 30 days, and bookmarks."""
     day = F.col("log_date")
     rows = daily.where(day.between(F.date_sub(today, 90), today)).join(population, "customer_id", "left_semi")
-    recent = day >= F.date_sub(today, 30)
-    age = F.datediff(today, day)
-    return rows.groupBy("customer_id").agg(
+    return rows.groupBy("customer_id").agg(*visit_measures(today))
+
+
+def visit_measures(today: Column) -> list[Column]:
+    """Measures of the visit days of the last 90 days."""
+    recent = F.col("log_date") >= F.date_sub(today, 30)
+    age = F.datediff(today, "log_date")
+    return [
         F.min(age).alias("recency_90d"), F.max(age).alias("first_90d"),
         F.min(F.when(recent, age)).alias("recency_30d"), F.max(F.when(recent, age)).alias("first_30d"),
         sum_when(recent).alias("active_days_30d"), F.count(F.lit(1)).alias("active_days_90d"),
         sum_when(recent, "bookmark").alias("bookmarks_30d"),
-    )
+    ]
 
 
 def location(valid: DataFrame, shipments: DataFrame, addresses: DataFrame, start: Column, end: Column) -> DataFrame:
@@ -212,7 +221,12 @@ def prepaid(
     card = cards_.where(F.col("created") <= today).groupBy("account_id").agg(
         F.max("created").alias("created"), F.min("activated").alias("activated")
     )
-    return active.join(card, "account_id").join(money, "account_id", "left").groupBy("customer_id").agg(
+    return active.join(card, "account_id").join(money, "account_id", "left").groupBy("customer_id").agg(*prepaid_measures(today))
+
+
+def prepaid_measures(today: Column) -> list[Column]:
+    """Measures over a customer's accounts, each with its card dates and the sums of its withdrawals."""
+    return [
         F.lit(1).alias("has_prepaid"),
         F.datediff(today, F.max("created")).alias("ppd_recency"),
         F.sum("s").alias("ppd_sum_money"),
@@ -220,7 +234,7 @@ def prepaid(
         F.min("lo").alias("ppd_min_money"),
         F.max("hi").alias("ppd_max_money"),
         F.datediff(today, F.min("activated")).alias("ppd_first_activation"),
-    )
+    ]
 
 
 def asset_status(population: DataFrame, assets: DataFrame, today: Column) -> DataFrame:
@@ -243,11 +257,15 @@ def school_level(school: Column) -> Column:
 def registry(links: DataFrame, persons: DataFrame, population: DataFrame, today: Column) -> DataFrame:
     """Type, school level, gender, income, age in calendar years, profession, civil status."""
     rows = links.join(population, "customer_id", "left_semi").join(persons, ["doc_type", "doc_number"])
-    return rows.select(
-        "customer_id", "data_type", school_level(F.col("school")).alias("school"), "gender",
+    return rows.select("customer_id", *registry_measures(today))
+
+
+def registry_measures(today: Column) -> list[Column]:
+    return [
+        F.col("data_type"), school_level(F.col("school")).alias("school"), F.col("gender"),
         text.max_number("income_text").alias("income"), (F.year(today) - F.year("birth_date")).alias("age"),
-        "profession", "civil_status",
-    )
+        F.col("profession"), F.col("civil_status"),
+    ]
 
 
 def monthly_active(activity: DataFrame, months: list[str], apps: list[str]) -> DataFrame:

@@ -6,12 +6,13 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from tallyloom.config import DEFAULT_PERIOD
+from tallyloom.config import DEFAULT_PERIOD, SAMPLE_SIZE
 from tallyloom.functions import dates
 from tallyloom.functions.columns import date_lit, rounded
 from tallyloom.operators import history as hs
 from tallyloom.operators import joins as jn
 from tallyloom.operators import orders as od
+from tallyloom.operators import panel as pn
 from tallyloom.operators import prepare as pp
 from tallyloom.operators import profile as pf
 from tallyloom.operators.sampling import bernoulli
@@ -175,16 +176,16 @@ _TENURE = f"""
     LEFT JOIN (SELECT seller_id AS customer_id, min(created) AS first_sale FROM r_lines WHERE status = 'paid' GROUP BY 1) s USING (customer_id)"""
 
 
-def tenure_block(t, population=None):
+def tenure_sources(t):
     customers = t.customers.select("customer_id", "registered", F.when(F.col("status") == "active", F.date_add("registered", 30)).alias("first_listing"))
     buys = t.orders.where("status = 'paid'").groupBy(F.col("buyer_id").alias("customer_id")).agg(F.min("created").alias("first_buy"))
     sales = t.order_lines.where("status = 'paid'").groupBy(F.col("seller_id").alias("customer_id")).agg(F.min("created").alias("first_sale"))
-    return pf.tenure(customers, buys.join(sales, "customer_id", "full"), pop(t) if population is None else population, end())
+    return customers, buys.join(sales, "customer_id", "full")
 
 
 @query("fb_tenure", _TENURE)
 def _(t):
-    return tenure_block(t)
+    return pf.tenure(*tenure_sources(t), pop(t), end())
 
 
 _PAYMENTS = f"""
@@ -268,23 +269,26 @@ def _(t):
     SELECT customer_id, 1::BIGINT AS has_prepaid, ({D} - created)::BIGINT AS ppd_recency, s::DOUBLE AS ppd_sum_money, round(s::DOUBLE / n, 6) AS ppd_mean_money, lo::DOUBLE AS ppd_min_money, hi::DOUBLE AS ppd_max_money,
       ({D} - activated)::BIGINT AS ppd_first_activation FROM acc JOIN c USING (account_id) LEFT JOIN w USING (account_id) WHERE customer_id IN (SELECT customer_id FROM r_population)""")
 def _(t):
-    return r6(prepaid_block(t))
+    return r6(pf.prepaid(*prepaid_sources(t), pop(t), start(), end()))
 
 
-def prepaid_block(t):
+def prepaid_sources(t):
     tags = F.when(F.col("segment").like("%U%"), "prod,web").otherwise("test")
     accounts = t.customers.select("customer_id", (F.col("customer_id") * 3).alias("account_id"), "status", tags.alias("tags"))
     account = (F.col("buyer_id") * 3).alias("account_id")
     withdrawals = t.orders.select(account, F.when(F.col("status_code") == "F", "approved").otherwise("other").alias("status"), F.col("created").alias("day"), "amount")
     cards = t.orders.where("channel = '1-URGENT'").select(account, "created", F.date_add("created", 5).alias("activated"))
-    return pf.prepaid(accounts, withdrawals, cards, pop(t), start(), end())
+    return accounts, withdrawals, cards
 
 
 @query("fb_asset_status", f"""
     SELECT p.customer_id, CASE WHEN c.segment = 'MACHINERY' AND c.registered <= {D} THEN 'investing' ELSE 'not_investing' END AS asset_status FROM r_population p LEFT JOIN r_customers c USING (customer_id)""")
 def _(t):
-    assets = t.customers.select("customer_id", F.when(F.col("segment") == "MACHINERY", "investing").otherwise("left").alias("asset_status"), F.col("registered").alias("since"))
-    return pf.asset_status(pop(t), assets, end())
+    return pf.asset_status(pop(t), asset_source(t), end())
+
+
+def asset_source(t):
+    return t.customers.select("customer_id", F.when(F.col("segment") == "MACHINERY", "investing").otherwise("left").alias("asset_status"), F.col("registered").alias("since"))
 
 
 _SCHOOLS = {"AUTOMOBILE": "MESTRADO COMPLETO", "BUILDING": "SUPERIOR INCOMPLETO", "FURNITURE": "ENSINO MÉDIO COMPLETO", "HOUSEHOLD": "FUNDAMENTAL COMPLETO", "MACHINERY": "NONE"}
@@ -297,10 +301,10 @@ _SCHOOLS = {"AUTOMOBILE": "MESTRADO COMPLETO", "BUILDING": "SUPERIOR INCOMPLETO"
       'job ' || nation_id AS profession, CASE nation_id % 4 WHEN 0 THEN 'VIUVO(A)' WHEN 1 THEN 'SOLTEIRO(A)' WHEN 2 THEN 'CASADO(A) ' ELSE 'OUTRO' END AS civil_status
     FROM r_customers JOIN r_population USING (customer_id)""")
 def _(t):
-    return registry_block(t)
+    return pf.registry(*registry_sources(t), pop(t), end())
 
 
-def registry_block(t):
+def registry_sources(t):
     from tallyloom.sources.tables import labelled
     key = F.col("customer_id")
     doc = [F.when(key % 2 == 0, "A").otherwise("B").alias("doc_type"), (key * 7).alias("doc_number")]
@@ -312,7 +316,7 @@ def registry_block(t):
         F.concat(F.lit("job "), F.col("nation_id").cast("string")).alias("profession"),
         F.when(n == 0, "VIUVO(A)").when(n == 1, "SOLTEIRO(A)").when(n == 2, "CASADO(A) ").otherwise("OUTRO").alias("civil_status"),
     )
-    return pf.registry(t.customers.select("customer_id", *doc), persons, pop(t), end())
+    return t.customers.select("customer_id", *doc), persons
 
 
 # ------------------------------------------------------------ master, panel
@@ -356,7 +360,7 @@ def _(t):
 _WIDE_VALID = """SELECT * FROM r_lines WHERE status = 'paid' AND site = 'O' AND amount < 10000 AND created >= closed - 4 AND NOT auto_offer AND NOT bonus"""
 
 
-@query("fb_panel", f"""
+@query("fb_panel_orders", f"""
     WITH refs AS (SELECT ref_date FROM (VALUES {", ".join(f"(DATE '{d}')" for d in PANEL_DATES)}) v(ref_date)),
     daily AS (SELECT buyer_id AS customer_id, ref_date, created AS day, sum(amount) AS sales, sum(items)::BIGINT AS items, count(DISTINCT COALESCE(pack_id, order_id)) AS orders
       FROM ({_WIDE_VALID}) l JOIN refs ON l.closed BETWEEN ref_date - 365 AND ref_date GROUP BY 1, 2, 3),
@@ -367,6 +371,105 @@ def _(t):
     return r6(od.panel(od.valid_orders(t.order_lines, span), PANEL_DATES))
 
 
+#: The event tables lie 25 years after the orders; their days are moved so that both meet at the panel's dates.
+EVENT_SHIFT = (dt.date(2024, 2, 10) - dt.date(1998, 12, 31)).days
+
+
+def panel_at(t: Tables, grid: pn.Grid, sample: int = SAMPLE_SIZE, event_shift: int = EVENT_SHIFT):
+    """Master table of every date of the grid. The valid lines of all windows and the population are written once."""
+    span = od.Period(min(grid.dates) - dt.timedelta(days=grid.lookback), max(grid.dates) + dt.timedelta(days=grid.ahead))
+    lines = cut_lineage(od.valid_orders(t.order_lines, span).select(
+        "buyer_id", "seller_id", "order_id", "pack_id", "amount", "items", "created", "closed", "grocery", "item_condition", "channel"))
+    population = cut_lineage(pn.population_at(lines, grid, sample))
+    customers = population.select("customer_id").distinct()
+    bought = pn.of_customers(lines, customers, "buyer_id")
+    pays = pn.of_customers(t.payments, customers, "buyer_id")
+    visits, installs, devices = (
+        pn.of_customers(rows, customers).withColumn(day, F.date_sub(day, event_shift))
+        for rows, day in ((t.visits, "log_date"), (t.installs, "install_date"), (t.app_devices, "created")))
+    return pn.join_panel(population, {
+        "target": pn.target_block(bought, grid), "interpurchase": pn.interval_block(bought, grid, short_days=200),
+        "seller": pn.seller_block(pn.of_customers(lines, customers, "seller_id"), grid), "orders": pn.order_block(bought, grid),
+        "shipping": pn.shipping_block(bought, t.devices, t.shipments, grid), "payments": pn.payment_block(pays, t.order_bonus, grid, "O"),
+        "cards": pn.card_block(pays, t.cards, grid, "O", "Brand#1", CARD_LEVELS),
+        "location": pn.location_block(bought, t.shipments, t.addresses, grid), "tenure": pn.tenure_block(population, *tenure_sources(t)),
+        "": pn.install_block(installs, devices, grid, {"installs": "A", "second_app": "B"}), "visits": pn.visit_block(visits, grid),
+        "assets": pn.asset_block(population, asset_source(t)), "prepaid": pn.prepaid_block(*prepaid_sources(t), grid),
+        "registry": pn.registry_block(population, *registry_sources(t)),
+    })
+
+
+def _panel_sql(days) -> str:
+    """Each block by joins of its table with the dates; no window is shared with the Spark plan."""
+    k, r = "customer_id, ref_date", "ref_date"
+    start_, shift = "(ref_date - 365)", EVENT_SHIFT
+    lg = "JOIN refs ON"
+    blocks = {
+        "target": f"SELECT buyer_id AS customer_id, ref_date, count(DISTINCT created) AS freq_target, sum(amount)::DOUBLE AS amount_target FROM wide {lg} closed BETWEEN {r} + 1 AND {r} + 90 GROUP BY 1, 2",
+        "interpurchase": f"SELECT {k}, {_ipt('long', 'l')}, {_ipt('short', 's')} FROM (SELECT {k}, (day - p)::BIGINT AS l, CASE WHEN p >= {r} - 200 THEN (day - p)::BIGINT END AS s "
+                         f"FROM (SELECT *, lag(day) OVER (PARTITION BY {k} ORDER BY day) AS p FROM (SELECT DISTINCT buyer_id AS customer_id, ref_date, closed AS day FROM pv))) GROUP BY 1, 2",
+        "seller": f"SELECT seller_id AS customer_id, ref_date, sum(amount)::DOUBLE AS seller_sales, min({r} - created)::BIGINT AS seller_recency, max({r} - created)::BIGINT AS seller_first FROM pv GROUP BY 1, 2",
+        "orders": frequency_sql("daily", r, k).replace("FROM daily", ", round(sum(CASE WHEN sales::DOUBLE / items > 350 THEN 350.0::DOUBLE * items ELSE sales::DOUBLE END) / count(*), 6) AS asp_capped FROM daily"),
+        "shipping": f"""SELECT a.*, {_DEVICES}[list_position({_DEVICES.replace("'", "")}, list_max({_DEVICES.replace("'", "")}))] AS main_device FROM (
+            SELECT buyer_id AS customer_id, ref_date, count(DISTINCT cart_id) AS carts, count(*) FILTER (grocery) AS grocery_lines,
+              count(DISTINCT seller_id) FILTER (created >= {r} - 30) AS sellers_30, count(DISTINCT seller_id) FILTER (created >= {r} - 60 AND created < {r} - 30) AS sellers_60_30,
+              count(DISTINCT seller_id) FILTER (created >= {r} - 90 AND created < {r} - 60) AS sellers_90_60, count(DISTINCT seller_id) AS sellers_long,
+              count(*) FILTER (device_kind = 'Desktop') AS desktop_purchase, count(*) FILTER (device_kind = 'Mobile-WEB') AS mobile_web_purchase,
+              count(*) FILTER (device_kind = 'Mobile-APP' AND device_app = 'android') AS android_purchase, count(*) FILTER (device_kind = 'Mobile-APP' AND device_app = 'iphone') AS ios_purchase,
+              count(*) FILTER (item_condition = 'new') AS new_items, count(*) FILTER (item_condition = 'used') AS used_items,
+              count(DISTINCT order_id) FILTER (free_flag >= 1) AS orders_free_shipping, count(DISTINCT order_id) FILTER (shipment_id IS NULL) AS orders_unshipped,
+              count(DISTINCT order_id) FILTER (COALESCE(cart_type, 0) = 0) AS orders_no_cart, count(DISTINCT order_id) FILTER (picking = 'drop_off') AS orders_drop_off
+            FROM pv v LEFT JOIN r_devices d ON d.channel = v.channel LEFT JOIN r_shipments s ON s.shipment_id = v.order_id AND s.kind = 'forward' AND s.shipped BETWEEN {start_} AND {r} GROUP BY 1, 2) a""",
+        "payments": f"""SELECT p.buyer_id AS customer_id, ref_date, round(avg(CASE WHEN installments > 1 THEN installments END), 6) AS avg_installments, max(installments)::BIGINT AS max_installments,
+            count(*) FILTER (total_paid::DOUBLE / price::DOUBLE = 1 AND installments > 1) AS without_interest, count(*) FILTER (total_paid::DOUBLE / price::DOUBLE > 1 AND installments > 1) AS with_interest,
+            count(*) FILTER (lower(method) = 'ticket') AS sum_ticket, count(*) FILTER (method = 'account_money') AS sum_account, count(*) FILTER (method = 'debit_card') AS sum_debit, count(*) FILTER (method = 'credit_card') AS sum_credit
+            FROM r_payments p JOIN r_order_bonus b ON b.order_id = p.order_id AND NOT bonus_flag {lg} move_date BETWEEN {start_} AND {r}
+            WHERE trim(site) = 'O' AND trim(marketplace) = 'Y' AND status = 'approved' AND total_paid < 10000 GROUP BY 1, 2""",
+        "cards": f"""SELECT p.buyer_id AS customer_id, ref_date, count(*) FILTER (method = 'debit_card') AS debit_pay, count(*) FILTER (method = 'credit_card') AS credit_pay, count(*) FILTER (method = 'account_money') AS account_pay,
+            max(CASE WHEN c.country <> 'Brand#1' THEN 1 ELSE 0 END)::BIGINT AS foreign_card,
+            max(CASE WHEN c.category IN ('SMALL', 'STANDARD') THEN 1 WHEN c.category = 'ECONOMY' THEN 2 WHEN c.category IN ('PROMO', 'LARGE') THEN 3 ELSE 0 END)::BIGINT AS card_level,
+            max(CASE WHEN c.card_type = 'PREPAID' THEN 1 ELSE 0 END)::BIGINT AS prepaid_card
+            FROM r_payments p LEFT JOIN r_cards c ON c.bin = TRY_CAST(p.first_digits AS BIGINT) AND c.card_type = 'CREDIT' {lg} move_date BETWEEN {start_} AND {r}
+            WHERE trim(site) = 'O' AND status = 'approved' AND tpv_flag = 1 GROUP BY 1, 2""",
+        "location": f"""SELECT {k}, location, zip_code, most_seen FROM (SELECT *, row_number() OVER (PARTITION BY {k} ORDER BY most_seen DESC, location NULLS FIRST, zip_code NULLS FIRST) AS rn FROM (
+            SELECT buyer_id AS customer_id, ref_date, strip_accents(lower(state_name)) AS location, TRY_CAST(zip_code AS BIGINT) AS zip_code, count(*) AS most_seen
+            FROM pv JOIN r_shipments s ON s.shipment_id = pv.order_id AND s.kind = 'forward' AND s.shipped BETWEEN {start_} AND {r} LEFT JOIN r_addresses USING (address_id) GROUP BY 1, 2, 3, 4)) WHERE rn = 1""",
+        "tenure": f"""SELECT {k}, ({r} - registered)::BIGINT AS days_from_registration, ({r} - CASE WHEN status = 'active' THEN registered + 30 END)::BIGINT AS days_from_first_listing,
+            ({r} - first_buy)::BIGINT AS days_from_first_buy, ({r} - first_sale)::BIGINT AS days_from_first_sale FROM pop JOIN r_customers USING (customer_id)
+            LEFT JOIN (SELECT buyer_id AS customer_id, min(created) AS first_buy FROM r_orders WHERE status = 'paid' GROUP BY 1) USING (customer_id)
+            LEFT JOIN (SELECT seller_id AS customer_id, min(created) AS first_sale FROM r_lines WHERE status = 'paid' GROUP BY 1) USING (customer_id)""",
+        "visits": f"""SELECT {k}, min({r} - d)::BIGINT AS recency_90d, max({r} - d)::BIGINT AS first_90d, min({r} - d) FILTER (d >= {r} - 30)::BIGINT AS recency_30d, max({r} - d) FILTER (d >= {r} - 30)::BIGINT AS first_30d,
+            count(*) FILTER (d >= {r} - 30) AS active_days_30d, count(*) AS active_days_90d, COALESCE(sum(bookmark) FILTER (d >= {r} - 30), 0)::BIGINT AS bookmarks_30d
+            FROM (SELECT customer_id, bookmark, log_date - {shift} AS d FROM r_visits) {lg} d BETWEEN {r} - 90 AND {r} GROUP BY 1, 2""",
+        "assets": f"SELECT {k}, CASE WHEN segment = 'MACHINERY' AND registered <= {r} THEN 'investing' ELSE 'not_investing' END AS asset_status FROM pop LEFT JOIN r_customers USING (customer_id)",
+        "prepaid": f"""SELECT customer_id, c.ref_date, 1::BIGINT AS has_prepaid, (c.ref_date - c.created)::BIGINT AS ppd_recency, s::DOUBLE AS ppd_sum_money, round(s::DOUBLE / n, 6) AS ppd_mean_money, lo::DOUBLE AS ppd_min_money, hi::DOUBLE AS ppd_max_money,
+            (c.ref_date - activated)::BIGINT AS ppd_first_activation FROM r_customers
+            JOIN (SELECT buyer_id, ref_date, max(created) AS created, min(created + 5) AS activated FROM r_orders {lg} created <= {r} WHERE channel = '1-URGENT' GROUP BY 1, 2) c ON c.buyer_id = customer_id
+            LEFT JOIN (SELECT buyer_id, ref_date, sum(amount) AS s, count(*) AS n, min(amount) AS lo, max(amount) AS hi FROM r_orders {lg} created BETWEEN {start_} - 180 AND {start_} WHERE status_code = 'F' GROUP BY 1, 2) w
+              ON w.buyer_id = customer_id AND w.ref_date = c.ref_date
+            WHERE status = 'active' AND segment LIKE '%U%'""",
+        "registry": f"SELECT {k}, x.* EXCLUDE (customer_id) REPLACE (age + (year({r}) - 1998) AS age) FROM pop JOIN ({PARTS['fb_registry'][1].replace('r_population', '(SELECT DISTINCT customer_id FROM pop)')}) x USING (customer_id)",
+    }
+    for name, app in (("installs", "A"), ("second_app", "B")):
+        blocks[name] = f"""SELECT {k}, min({r} - d)::BIGINT AS days_last_install, max({r} - d)::BIGINT AS days_first_install, max(os) AS device FROM (
+            SELECT customer_id, install_date - {shift} AS d, os_name AS os FROM r_installs WHERE app = '{app}'
+            UNION ALL SELECT customer_id, created - {shift}, platform FROM r_app_devices WHERE app = '{app}' AND status = 'ACTIVE') {lg} d <= {r} GROUP BY 1, 2"""
+    parts = ", ".join(f"{n} AS (SELECT COLUMNS('(.*)') AS '{n}_\\1' FROM ({text}))" for n, text in blocks.items())
+    columns = ", ".join(f"{n}.* EXCLUDE ({n}_customer_id, {n}_ref_date)" for n in blocks)
+    found = " ".join(f"LEFT JOIN {n} ON {n}_customer_id = p.customer_id AND {n}_ref_date = p.ref_date" for n in blocks)
+    return f"""
+    WITH refs AS (SELECT ref_date FROM (VALUES {", ".join(f"(DATE '{d}')" for d in days)}) v(ref_date)), wide AS ({_WIDE_VALID}),
+    pv AS (SELECT * FROM wide {lg} closed BETWEEN {start_} AND {r}), pop AS (SELECT DISTINCT buyer_id AS customer_id, ref_date FROM pv),
+    daily AS (SELECT buyer_id AS customer_id, ref_date, created AS day, sum(amount) AS sales, sum(items)::BIGINT AS items, count(DISTINCT COALESCE(pack_id, order_id)) AS orders FROM pv GROUP BY 1, 2, 3), {parts}
+    SELECT p.customer_id, p.ref_date::VARCHAR AS ref_date, {columns} FROM pop p {found}"""
+
+
+@query("fb_panel", _panel_sql(PANEL_DATES))
+def _(t):
+    """All blocks and the target at all dates; up to 300,000 customers a date, which the oracle's tables never reach."""
+    return r6(panel_at(t, pn.Grid(PANEL_DATES)))
+
+
 # ------------------------------------------------------------ purchase history
 
 

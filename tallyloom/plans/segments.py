@@ -14,7 +14,7 @@ from tallyloom.operators import sampling as sm
 from tallyloom.operators import segments as sg
 from tallyloom.plans import campaigns, features
 from tallyloom.plans.common import r6
-from tallyloom.plans.registry import query
+from tallyloom.plans.registry import PARTS, query
 
 
 def hx(key: str, seed: str = "s") -> str:
@@ -195,7 +195,7 @@ def _(t):
     b AS (SELECT *, CASE WHEN b < 0 THEN first_in_window ELSE b END AS b2 FROM a), c AS (SELECT *, CASE WHEN r < 0 THEN b2 ELSE r END AS r2 FROM b)
     SELECT customer_id, b2::DOUBLE AS days_from_first_buy, (CASE WHEN r2 < b2 THEN first_in_window ELSE r2 END)::DOUBLE AS days_from_registration, COALESCE(CASE WHEN l < 0 THEN -10 ELSE l END, -10)::DOUBLE AS days_from_first_listing, COALESCE(s, -10)::DOUBLE AS days_from_first_sale FROM c""")
 def _(t):
-    rows = order_block(t).select("customer_id", "recency", "first_in_window").join(features.tenure_block(t), "customer_id")
+    rows = order_block(t).select("customer_id", "recency", "first_in_window").join(PARTS["fb_tenure"][0](t), "customer_id")
     return pp.tenure_rules(rows, FILL_RECENCY).drop("recency", "first_in_window")
 
 
@@ -214,7 +214,7 @@ def _(t):
       (CASE WHEN 1998 - year(registered - 9000) <= 0 OR 1998 - year(registered - 9000) > 100 THEN -10 ELSE 1998 - year(registered - 9000) END)::DOUBLE AS age,
       CASE nation_id % 4 WHEN 0 THEN 'CASADO(A)' WHEN 1 THEN 'SOLTEIRO(A)' WHEN 2 THEN 'CASADO(A)' ELSE 'NA' END AS civil_status FROM r_customers JOIN r_population USING (customer_id)""")
 def _(t):
-    return pp.registry_rules(features.registry_block(t), FILL_RECENCY).select("customer_id", "data_type", "gender", "age", "civil_status")
+    return pp.registry_rules(PARTS["fb_registry"][0](t), FILL_RECENCY).select("customer_id", "data_type", "gender", "age", "civil_status")
 
 
 @query("pp_location_rules", "SELECT o.order_id, CASE WHEN a.address_id IS NULL OR n.n_regionkey > 2 THEN 'other_state' ELSE strip_accents(lower(a.state_name)) END AS location FROM r_orders o LEFT JOIN r_shipments s ON s.shipment_id = o.order_id LEFT JOIN r_addresses a USING (address_id) LEFT JOIN nation n ON n.n_nationkey = a.address_id")
