@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -11,7 +12,8 @@ from tallyloom.config import DRIFT_CATEGORICAL, DRIFT_SIGMAS, OUTLIER_SIGMAS
 from tallyloom.functions import stats
 from tallyloom.functions.columns import count_when, ratio
 from tallyloom.operators.prepare import split_by_type
-from tallyloom.operators.ranking import running_totals
+from tallyloom.operators.ranking import value_cells
+from tallyloom.session import cut_lineage
 
 
 def variable_types(df: DataFrame, leave_out: Sequence[str]) -> tuple[list[str], list[str]]:
@@ -65,22 +67,116 @@ def t_scores(both: DataFrame, columns: Sequence[str], group: Sequence[str] = ())
     return sums.select(*group, "feature", "n0", "n1", t.alias("t"))
 
 
-def ks_scores(both: DataFrame, columns: Sequence[str], group: Sequence[str] = ()) -> DataFrame:
-    """Two-sample Kolmogorov-Smirnov distance of every feature.
+KS_CELLS = 256
+#: At most this many cuts of a feature reach the driver's plan; more clusters share them.
+KS_CUTS = 4096
 
-    Equal values are counted first; the running counts use bucketed sums, so a feature is
-    not one task.
+
+def _null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str, small: bool = False) -> DataFrame:
+    """Join in which a NULL key finds a NULL key; the right side's keys go."""
+    renamed = right.withColumnsRenamed({k: f"__r_{k}" for k in keys})
+    same = F.lit(True)
+    for k in keys:
+        same = same & F.col(k).eqNullSafe(F.col(f"__r_{k}"))
+    return left.join(F.broadcast(renamed) if small else renamed, same, how).drop(*[f"__r_{k}" for k in keys])
+
+
+def _ks_cuts(both: DataFrame, columns: Sequence[str], group: Sequence[str], cells: int) -> dict[str, list[float]]:
+    """Cuts of every feature from one mergeable sketch for each cluster, set and feature; a value that fills several cells gets its own."""
+    shares = [i / cells for i in range(1, cells)]
+    sketches = long_values(both, columns, [*group, "__set"]).groupBy(*group, "__set", "feature").agg(
+        F.percentile_approx("value", shares, 20 * cells).alias("cuts")
+    )
+    out: dict[str, set[float]] = {c: set() for c in columns}
+    for row in sketches.select("feature", "cuts").toLocalIterator():
+        found = row["cuts"]
+        out[row["feature"]] |= set(found) | {math.nextafter(x, math.inf) for x, y in zip(found, found[1:], strict=False) if x == y}
+    cuts = {}
+    for c, edges in out.items():
+        ordered = sorted(e for e in edges if math.isfinite(e))
+        cuts[c] = ordered[:: len(ordered) // KS_CUTS + 1]
+    return cuts
+
+
+def _ks_bounds(values: DataFrame, group: Sequence[str]) -> DataFrame:
+    """One row per cluster, feature and cell: counts before the cell and in all, the distance at its end, and how far it could go inside.
+
+    All values of a cell lie after those of the cells before it. The distance at the end of a cell is exact. Inside, the share of
+    one set can have grown by the whole cell before the share of the other grows at all, which bounds the distance there.
     """
-    long = long_values(both, columns, [*group, "__set"])
-    counts = long.groupBy(*group, "feature", "value").agg(
-        count_when(F.col("__set") == 0).alias("a"), count_when(F.col("__set") == 1).alias("b")
+    counts = values.groupBy(*group, "feature", "cell").agg(
+        count_when(F.col("__set") == 0).alias("a"), count_when(F.col("__set") == 1).alias("b"),
+        F.min("value").alias("lo"), F.max("value").alias("hi"),
+    )
+    # Rows per cluster and feature are bounded by the cuts, so these windows are small.
+    whole = Window.partitionBy(*group, "feature")
+    upto = whole.orderBy("cell").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    totals = counts.select("*", F.sum("a").over(upto).alias("ca"), F.sum("b").over(upto).alias("cb"),
+                           F.sum("a").over(whole).alias("na"), F.sum("b").over(whole).alias("nb"))
+    before = totals.withColumns({"a0": F.col("ca") - F.col("a"), "b0": F.col("cb") - F.col("b")})
+    end = F.abs(ratio("ca", "na") - ratio("cb", "nb"))
+    reach = F.greatest(ratio("ca", "na") - ratio("b0", "nb"), ratio("cb", "nb") - ratio("a0", "na"))
+    known = before.withColumns({"end": end, "reach": F.when(F.col("lo") < F.col("hi"), reach).otherwise(end)})
+    return known.withColumn("low", F.max("end").over(whole))
+
+
+def _in_cells(both: DataFrame, columns: Sequence[str], group: Sequence[str], cells: int) -> DataFrame:
+    return value_cells(both, _ks_cuts(both, columns, group, cells), [*group, "__set"])
+
+
+def ks_bounds(both: DataFrame, columns: Sequence[str], group: Sequence[str] = (), cells: int = KS_CELLS) -> DataFrame:
+    """Two numbers that hold the two-sample KS distance of every feature between them, from counts by cell alone."""
+    bounds = _ks_bounds(_in_cells(both, columns, group, cells), group)
+    return bounds.groupBy(*group, "feature").agg(
+        F.max("end").alias("ks_low"), F.max(F.greatest("end", "reach")).alias("ks_high"), F.max("na").alias("n0"), F.max("nb").alias("n1")
+    )
+
+
+def ks_scores(both: DataFrame, columns: Sequence[str], group: Sequence[str] = (), cells: int = KS_CELLS) -> DataFrame:
+    """Two-sample Kolmogorov-Smirnov distance of every feature, per cluster when `group` names one; exact.
+
+    Sketches cut the values into cells, the cells are counted, and only values of cells that can hold a larger distance than
+    the ends of all cells are moved and counted one by one, each cell by itself. These are few where the distance has a peak,
+    and most where it is flat, as for two sets that are alike. The input is read three times; cut its lineage first when it is the result of a join.
+    A distance is NULL where a set has no value. NaN counts as the largest value.
+    """
+    values = _in_cells(both, columns, group, cells)
+    bounds = cut_lineage(_ks_bounds(values, group))  # a row per cluster, feature and cell
+    keys = [*group, "feature", "cell"]
+    open_ = bounds.where(F.col("reach") > F.col("low")).select(*keys, "a0", "b0", "na", "nb")
+    inside = _null_safe(values, open_, keys, "inner", small=True).groupBy(*keys, "value").agg(
+        count_when(F.col("__set") == 0).alias("a"), count_when(F.col("__set") == 1).alias("b"),
+        *[F.any_value(c).alias(c) for c in ("a0", "b0", "na", "nb")],
+    )
+    upto = Window.partitionBy(*keys).orderBy("value").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ca, cb = F.col("a0") + F.sum("a").over(upto), F.col("b0") + F.sum("b").over(upto)
+    found = inside.select(*group, "feature", F.abs(F.try_divide(ca.cast("double"), "na") - F.try_divide(cb.cast("double"), "nb")).alias("d"))
+    best = found.groupBy(*group, "feature").agg(F.max("d").alias("d"))
+    ends = bounds.groupBy(*group, "feature").agg(F.max("end").alias("end"), F.max("na").alias("n0"), F.max("nb").alias("n1"))
+    return _null_safe(ends, best, [*group, "feature"], "left").select(*group, "feature", F.greatest("end", "d").alias("ks"), "n0", "n1")
+
+
+def cluster_report(both: DataFrame, continuous: Sequence[str], categorical: Sequence[str], group: Sequence[str]) -> DataFrame:
+    """Drift of every variable in every cluster: t, KS distance or weighted difference of shares, and whether it drifted there.
+
+    Whether a t is far out is judged among the variables of its own cluster.
+    """
+    keys = [*group, "feature"]
+    t = flag_continuous(t_scores(both, continuous, group), group)
+    ks = ks_scores(both, continuous, group).select(*keys, "ks")
+    first = _null_safe(t, ks, keys, "left").select(*keys, F.lit("continuous").alias("kind"), "n0", "n1", "t", "ks", "drifted")
+    second = flag_categorical(categorical_scores(both, categorical, group)).select(
+        *keys, F.lit("categorical").alias("kind"), "weighted_difference", "drifted"
     )
-    rows = running_totals(
-        counts, "value", F.lit(0), {"ca": F.col("a"), "cb": F.col("b")}, group=[*group, "feature"], rank="place",
-        group_totals={"na": "ca", "nb": "cb"},
+    return first.unionByName(second, allowMissingColumns=True)
+
+
+def excluded_variables(report: DataFrame, group: Sequence[str]) -> DataFrame:
+    """The drifted variables of every cluster, by name; an empty list where none did. A list is bounded by the variables."""
+    return report.groupBy(*group).agg(
+        F.array_sort(F.collect_list(F.when(F.col("drifted"), F.col("feature")))).alias("excluded"),
+        count_when(F.col("drifted")).alias("n_excluded"), F.count(F.lit(1)).alias("n_variables"),
     )
-    distance = F.max(F.abs(ratio("ca", "na") - ratio("cb", "nb")))
-    return rows.groupBy(*group, "feature").agg(distance.alias("ks"), F.max("na").alias("n0"), F.max("nb").alias("n1"))
 
 
 def p_values(scores: DataFrame) -> list[dict]:

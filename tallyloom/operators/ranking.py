@@ -172,12 +172,13 @@ def percent_rank_average(df: DataFrame, value: str, out: str = "pct_rank") -> Da
     return df.join(ranks, df[value].eqNullSafe(ranks["__value"]), "left").drop("__value")
 
 
-def _cells(df: DataFrame, cuts: Mapping[str, Sequence[float]]) -> DataFrame:
+def value_cells(df: DataFrame, cuts: Mapping[str, Sequence[float]], keep: Sequence[str] = ()) -> DataFrame:
     """(feature, value, cell) of all values; a column's cell is the number of its cuts at or below the value."""
+    df = df.select(*keep, *[F.col(c).cast("double").alias(c) for c in cuts])
     for c, edges in cuts.items():
         df = _with_bucket(df, c, edges, f"__cell_{c}")
     cells = [F.struct(F.lit(c).alias("feature"), F.col(c).alias("value"), F.col(f"__cell_{c}").cast("int").alias("cell")) for c in cuts]
-    return df.select(F.inline(F.array(*cells))).where(F.col("value").isNotNull())
+    return df.select(*keep, F.inline(F.array(*cells))).where(F.col("value").isNotNull())
 
 
 def exact_quantiles(df: DataFrame, columns: Sequence[str], shares: Sequence[float], fine: int = 1000, held: int = 50_000) -> DataFrame:
@@ -212,7 +213,7 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], shares: Sequence[floa
     tried: set[tuple[str, float, float]] = set()
     while cuts:
         counts: dict[str, dict[int, int]] = {c: {} for c in cuts}
-        for r in _cells(values, cuts).groupBy("feature", "cell").agg(F.count(F.lit(1)).alias("n")).collect():
+        for r in value_cells(values, cuts).groupBy("feature", "cell").agg(F.count(F.lit(1)).alias("n")).collect():
             counts[r["feature"]][r["cell"]] = r["n"]
         again: dict[str, list[tuple[float, float]]] = {}
         for c, found in counts.items():
@@ -241,7 +242,7 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], shares: Sequence[floa
             wanted = df.sparkSession.createDataFrame([(c, cell, nth, rank) for c, places in left.items() for rank, (cell, nth) in places.items()], "feature string, cell int, nth long, rank long")
             cells = wanted.select("feature", "cell").distinct()
             # at most `held` values in each of at most 2 x shares cells of a column
-            inside = _cells(values, {c: cuts[c] for c in left}).join(F.broadcast(cells), ["feature", "cell"]).groupBy("feature", "cell").agg(F.sort_array(F.collect_list("value")).alias("values"))
+            inside = value_cells(values, {c: cuts[c] for c in left}).join(F.broadcast(cells), ["feature", "cell"]).groupBy("feature", "cell").agg(F.sort_array(F.collect_list("value")).alias("values"))
             for r in inside.join(wanted, ["feature", "cell"]).select("feature", "rank", F.element_at("values", (F.col("nth") + 1).cast("int")).alias("value")).collect():
                 known[r["feature"]][r["rank"]] = r["value"]
         cuts = sketched(again) if again else {}

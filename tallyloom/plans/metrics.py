@@ -11,6 +11,7 @@ from tallyloom.operators import sampling as sm
 from tallyloom.operators import uplift as up
 from tallyloom.plans.common import r6
 from tallyloom.plans.registry import query
+from tallyloom.session import cut_lineage
 from tallyloom.sources import keyed
 
 # A score with ties, a binary outcome and two arms for every order.
@@ -276,7 +277,7 @@ def _(t):
     c AS (SELECT feature, sum(a) OVER w AS ca, sum(b) OVER w AS cb, sum(a) OVER (PARTITION BY feature) AS na, sum(b) OVER (PARTITION BY feature) AS nb FROM d WINDOW w AS (PARTITION BY feature ORDER BY v))
     SELECT feature, round(max(abs(ca::DOUBLE / na - cb::DOUBLE / nb)), 6) AS ks, max(na)::BIGINT AS n0, max(nb)::BIGINT AS n1 FROM c GROUP BY 1""")
 def _(t):
-    return r6(dr.ks_scores(both(t), _NUM))
+    return r6(dr.ks_scores(cut_lineage(both(t)), _NUM))
 
 
 def _cat(group: str = "") -> str:
@@ -298,9 +299,35 @@ def _(t):
     return a.unionByName(b)
 
 
-@query("dr_by_cluster", f"WITH {_L}, x AS ({' UNION ALL '.join(_stats(c, 'channel, ') for c in _NUM)}) SELECT channel, feature, n0, n1, round({_T}, 6) AS t FROM x")
+_CLUSTER_CAT = ["l_returnflag", "l_linestatus"]
+_CLUSTER = f"""{_L}, x AS ({' UNION ALL '.join(_stats(c, 'channel, ') for c in _NUM)}), tt AS (SELECT channel, feature, n0, n1, {_T} AS t FROM x),
+    v AS ({' UNION ALL '.join(f"SELECT channel, '{c}' AS feature, {c}::DOUBLE AS v, st FROM lines" for c in _NUM)}),
+    d AS (SELECT channel, feature, v, count(*) FILTER (st = 0) a, count(*) FILTER (st = 1) b FROM v GROUP BY 1, 2, 3),
+    kc AS (SELECT channel, feature, sum(a) OVER w::DOUBLE / sum(a) OVER (PARTITION BY channel, feature) AS fa, sum(b) OVER w::DOUBLE / sum(b) OVER (PARTITION BY channel, feature) AS fb
+      FROM d WINDOW w AS (PARTITION BY channel, feature ORDER BY v)),
+    ks AS (SELECT channel, feature, max(abs(fa - fb)) AS ks FROM kc GROUP BY 1, 2),
+    cv AS ({' UNION ALL '.join(f"SELECT channel, '{c}' AS feature, {c} AS v, st FROM lines" for c in _CLUSTER_CAT)}),
+    cd AS (SELECT channel, feature, v, count(*) FILTER (st = 0) a, count(*) FILTER (st = 1) b FROM cv GROUP BY 1, 2, 3),
+    cp AS (SELECT channel, feature, a, b, a::DOUBLE / sum(a) OVER (PARTITION BY channel, feature) AS p, b::DOUBLE / sum(b) OVER (PARTITION BY channel, feature) AS q FROM cd),
+    cs AS (SELECT channel, feature, COALESCE(sum(abs(p - q) * q) FILTER (a > 0 AND b > 0), 0) AS wd FROM cp GROUP BY 1, 2),
+    m AS (SELECT channel, avg(t) AS mt, stddev_samp(t) AS st FROM tt GROUP BY 1),
+    report AS (SELECT tt.channel, tt.feature, 'continuous' AS kind, n0, n1, round(t, 6) AS t, round(ks, 6) AS ks, NULL::DOUBLE AS weighted_difference, (t > mt + 2 * st OR t < mt - 2 * st)::BIGINT AS drifted
+      FROM tt JOIN m USING (channel) JOIN ks ON ks.channel = tt.channel AND ks.feature = tt.feature
+      UNION ALL SELECT channel, feature, 'categorical', NULL, NULL, NULL, NULL, round(wd, 6), (wd > 0.05)::BIGINT FROM cs)"""
+
+
+def cluster_report(t):
+    return dr.cluster_report(cut_lineage(both(t)), _NUM, _CLUSTER_CAT, ["channel"])
+
+
+@query("dr_by_cluster", f"WITH {_CLUSTER} SELECT * FROM report")
+def _(t):
+    return r6(cluster_report(t))
+
+
+@query("dr_exclude_by_cluster", f"WITH {_CLUSTER} SELECT channel, COALESCE(string_agg(feature, ',' ORDER BY feature) FILTER (drifted = 1), '') AS excluded, count(*) FILTER (drifted = 1) AS n_excluded, count(*) AS n_variables FROM report GROUP BY 1")
 def _(t):
-    return r6(dr.t_scores(both(t), _NUM, ["channel"]))
+    return dr.excluded_variables(cluster_report(t), ["channel"])
 
 
 @query("dr_histogram", f"""
