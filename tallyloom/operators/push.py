@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tallyloom.functions.columns import ratio
 from tallyloom.operators.aggregates import first_row
+from tallyloom.operators.newcomers import SEGMENTS
 from tallyloom.operators.trailing import Trailing, attach_trailing
 
 KEY = ["customer_id", "site"]
@@ -68,6 +69,7 @@ def push_behaviour(
 
     Each source is reduced to one row per customer and day first; joining the sources
     line by line would multiply the sums. All of them are of the customer on the site of the send.
+    Payments are those of the five segments; one that was recorded several times counts once, by its newest record.
     """
     keys = backbone_.select(*KEY, "sent_date").distinct()
     joined = customers.select(*KEY, "joined")
@@ -117,9 +119,13 @@ def push_behaviour(
         F.datediff("sent_date", "__last_a").alias("days_last_install_a"), F.datediff("sent_date", "__first_a").alias("days_first_install_a"),
         F.datediff("sent_date", "__last_b").alias("days_last_install_b"), F.datediff("sent_date", "__first_b").alias("days_first_install_b"),
     )
-    pay_days = pays.where(F.col("status") == "approved").groupBy(F.col("buyer_id").alias("customer_id"), "site", "move_date").agg(
+    counted = pays.where((F.col("status") == "approved") & F.col("segment").isin(*SEGMENTS.values()))
+    one_each = counted.groupBy(F.col("buyer_id").alias("customer_id"), "site", "payment_id").agg(
+        F.max(F.struct("move_date", "amount", "segment")).alias("__pay")
+    ).select(*KEY, "payment_id", "__pay.*")
+    pay_days = one_each.groupBy(*KEY, "move_date").agg(
         F.sum("amount").alias("total"), F.sum(F.when(F.col("segment") == "Wallet", F.col("amount"))).alias("wallet"),
-        F.sum(F.when(F.col("segment") == "Aggregator", F.col("amount"))).alias("aggregator"), F.count_distinct("payment_id").alias("n"),
+        F.sum(F.when(F.col("segment") == "Aggregator", F.col("amount"))).alias("aggregator"), F.count("payment_id").alias("n"),
     )
     money = attach_trailing(
         keys, pay_days, KEY, "sent_date", "move_date",

@@ -172,8 +172,11 @@ _SUMS = ", ".join(f"COALESCE(sum({e}), 0)::BIGINT AS {n}" for n, e in {"buy": "b
       (bk.sent_date - max(CASE WHEN app = 'A' THEN install_date END))::BIGINT AS days_last_install_a, (bk.sent_date - min(CASE WHEN app = 'A' THEN install_date END))::BIGINT AS days_first_install_a,
       (bk.sent_date - max(CASE WHEN app = 'B' THEN install_date END))::BIGINT AS days_last_install_b, (bk.sent_date - min(CASE WHEN app = 'B' THEN install_date END))::BIGINT AS days_first_install_b
       FROM bk LEFT JOIN r_installs n ON n.customer_id = bk.customer_id AND n.site = bk.site AND n.install_date BETWEEN bk.sent_date - 360 AND bk.sent_date - 1 GROUP BY bk.customer_id, bk.site, bk.sent_date),
-    m AS (SELECT bk.customer_id, bk.site, bk.sent_date, COALESCE(sum(amount), 0)::DOUBLE AS pay_total, COALESCE(sum(amount) FILTER (segment = 'Wallet'), 0)::DOUBLE AS pay_wallet, COALESCE(sum(amount) FILTER (segment = 'Aggregator'), 0)::DOUBLE AS pay_aggregator, count(DISTINCT payment_id) AS pay_n
-      FROM bk LEFT JOIN r_wallet w ON w.buyer_id = bk.customer_id AND w.site = bk.site AND w.status = 'approved' AND w.move_date BETWEEN bk.sent_date - 90 AND bk.sent_date - 1 GROUP BY bk.customer_id, bk.site, bk.sent_date)
+    once AS (SELECT buyer_id, site, payment_id, max_by(amount, move_date) AS amount, max_by(segment, move_date) AS segment, max(move_date) AS move_date FROM r_wallet
+      WHERE status = 'approved' AND segment IN ('Account Fund', 'Wallet', 'Aggregator', 'Point', 'Point Device Sale') GROUP BY ALL),
+    m AS (SELECT bk.customer_id, bk.site, bk.sent_date, COALESCE(sum(amount), 0)::DOUBLE AS pay_total, COALESCE(sum(amount) FILTER (segment = 'Wallet'), 0)::DOUBLE AS pay_wallet,
+      COALESCE(sum(amount) FILTER (segment = 'Aggregator'), 0)::DOUBLE AS pay_aggregator, count(payment_id) AS pay_n
+      FROM bk LEFT JOIN once ON buyer_id = bk.customer_id AND once.site = bk.site AND move_date BETWEEN bk.sent_date - 90 AND bk.sent_date - 1 GROUP BY ALL)
     SELECT b.* REPLACE (sent_date::VARCHAR AS sent_date), i.* EXCLUDE (customer_id, site, sent_date), m.* EXCLUDE (customer_id, site, sent_date) FROM b JOIN i USING (customer_id, site, sent_date) JOIN m USING (customer_id, site, sent_date)""")
 def _(t):
     return r6(ps.push_behaviour(per_day(t), t.visits, t.customers, t.installs, t.wallet))
