@@ -124,9 +124,12 @@ def nearest_seeds(rows: DataFrame, seeds: DataFrame, k: int, metric: str = "cosi
     """k nearest seeds of every row: id, seed_id, distance, place. Exact.
 
     Seeds are sent to all tasks when their measured size is below `limit_bytes`; above it
-    rows and seeds meet block by block.
+    rows and seeds meet block by block. Both ways give the same rows: copies of a row's id share one list, and a
+    repeated seed id is an error.
     """
-    size = seeds.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("vec")).alias("d")).first()
+    size = seeds.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("vec")).alias("d"), F.count_distinct("seed_id").alias("ids")).first()
+    if size["ids"] != size["n"]:
+        raise ValueError("seed_id is not unique")
     if not size["n"]:
         return rows.sparkSession.createDataFrame([], _OUT + ", place int")
     if size["n"] * (size["d"] + 1) * 8 > limit_bytes:
@@ -138,11 +141,9 @@ def nearest_seeds(rows: DataFrame, seeds: DataFrame, k: int, metric: str = "cosi
         seed_ids, matrix = shared.value
         for batch in batches:
             if len(batch):
-                found = _nearest(batch["id"].to_numpy(), _matrix(batch["vec"]), seed_ids, matrix, k, metric)
-                found["place"] = np.tile(np.arange(1, min(k, len(matrix)) + 1), len(batch))
-                yield found
+                yield _nearest(batch["id"].to_numpy(), _matrix(batch["vec"]), seed_ids, matrix, k, metric)
 
-    return rows.select("id", "vec").mapInPandas(part, _OUT + ", place int")
+    return _merge(rows.select("id", "vec").mapInPandas(part, _OUT), k)
 
 
 def mean_distance(neighbours: DataFrame, k: int) -> DataFrame:

@@ -190,8 +190,9 @@ _GOODS = "gd AS (SELECT n_name AS city, o.created AS day, o.items::DOUBLE AS wei
 
 def fleet(t):
     vehicles = t.read("region").select(F.col("r_name").alias("vehicle"), ((F.col("r_regionkey") + 1) * 2000.0).alias("capacity_weight"), ((F.col("r_regionkey") + 1) * 40.0).alias("capacity_volume"))
-    names = F.array(*[F.struct(F.lit(r["vehicle"]).alias("vehicle"), F.lit(float(r["capacity_weight"])).alias("w")) for r in vehicles.orderBy("vehicle").collect()])
-    priced = t.read("nation").select(F.concat("n_name", F.lit(" ")).alias("city"), "n_nationkey", F.inline(names)).where(~((F.col("n_nationkey") % 5 == 0) & F.col("vehicle").like("%0")))
+    every = vehicles.agg(F.collect_list(F.struct("vehicle", F.col("capacity_weight").alias("w")))).scalar()  # one entry per region
+    cities = t.read("nation").select(F.concat("n_name", F.lit(" ")).alias("city"), "n_nationkey").withColumn("every", every)
+    priced = cities.select("city", "n_nationkey", F.inline("every")).where(~((F.col("n_nationkey") % 5 == 0) & F.col("vehicle").like("%0")))
     rates = priced.select("city", "vehicle", (F.col("w") / 10 + F.col("n_nationkey")).alias("rate"))
     return ld.vehicle_rates(vehicles, rates.unionByName(rates.withColumn("rate", F.col("rate") + 5)))
 

@@ -424,3 +424,15 @@ def test_forest_fills_better_than_the_median(spark):
         error = np.abs(out[c].to_numpy() - truth)[gone].mean()
         assert error < 0.6 * np.abs(np.median(truth[~gone]) - truth)[gone].mean()
     assert pp.forest_impute(df.limit(0), ["x", "y"], "key").count() == 0
+
+
+def test_both_ways_to_the_nearest_seeds_agree_on_repeated_ids(spark):
+    draw = random.Random(2)
+    rows = spark.createDataFrame([(i % 30, [draw.random(), draw.random()]) for i in range(40)], "id long, vec array<double>")
+    seeds = spark.createDataFrame([(i, [draw.random(), draw.random()]) for i in range(12)], "seed_id long, vec array<double>")
+    sent = sorted(map(tuple, lk.nearest_seeds(rows, seeds, 3, "l2").collect()))
+    met = sorted(map(tuple, lk.nearest_seeds(rows, seeds, 3, "l2", limit_bytes=0).collect()))
+    assert len(sent) == 90 and [r[:2] + r[3:] for r in sent] == [r[:2] + r[3:] for r in met]
+    assert all(abs(a[2] - b[2]) < 1e-9 for a, b in zip(sent, met, strict=True))
+    with pytest.raises(ValueError):
+        lk.nearest_seeds(rows, seeds.unionAll(seeds), 3)
