@@ -9,6 +9,7 @@ from tallyloom.operators import drift as dr
 from tallyloom.operators import evaluate as ev
 from tallyloom.operators import sampling as sm
 from tallyloom.operators import uplift as up
+from tallyloom.operators import uplift_tree as ut
 from tallyloom.plans.common import r6
 from tallyloom.plans.registry import query
 from tallyloom.session import cut_lineage
@@ -230,10 +231,34 @@ def _(t):
     return r6(up.qini_auc(scored(t), "y", "w", "score"))
 
 
+def arms(t):
+    """Order lines with an outcome and two arms."""
+    paid, arm = (F.col("status") == "paid").cast("int"), (F.col("buyer_id") % 2).cast("int")
+    return t.order_lines.select("order_id", "line_no", paid.alias("y"), arm.alias("w"), "amount", "items", F.dayofyear("created").alias("season"))
+
+
+_ARM_FEATURES = ["amount", "items", "line_no", "season"]
+
+
+def arm_tree(rows):
+    return ut.grow(rows, _ARM_FEATURES, "y", "w", F.concat_ws("|", "order_id", "line_no"))
+
+
 @query("up_tree")
 def _(t):
-    rows = t.order_lines.select((F.col("status") == "paid").cast("int").alias("y"), (F.col("buyer_id") % 2).cast("int").alias("w"), "amount", "items", "line_no")
-    return up.split_gains(rows, ["amount", "items", "line_no"], "y", "w")
+    rows = arms(t)
+    return ut.predict(rows, arm_tree(rows)).select("order_id", "line_no", "leaf", "uplift")
+
+
+@query("up_tree_leaves")
+def _(t):
+    rows = arms(t)
+    return ut.leaf_table(rows, arm_tree(rows))
+
+
+@query("up_tree_gains")
+def _(t):
+    return up.split_gains(arms(t), ["amount", "items", "line_no"], "y", "w")
 
 
 # ------------------------------------------------------------ drift
