@@ -7,6 +7,7 @@ bounded size, also when one hash bucket holds a large part of the rows.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator, Sequence
 
 import numpy as np
@@ -16,8 +17,8 @@ from pyspark.sql import functions as F
 
 from tallyloom.functions.columns import ratio
 from tallyloom.operators.evaluate import mean_average_precision
-from tallyloom.operators.ranking import global_rank
-from tallyloom.operators.sampling import hash_rank
+from tallyloom.operators.ranking import bucket_count, global_rank
+from tallyloom.operators.sampling import HASH_RANGE, key_hash
 from tallyloom.session import cut_lineage
 
 BROADCAST_BYTES = 64 * 1024 * 1024
@@ -489,12 +490,27 @@ def seed_recall(scored: DataFrame, score: str, target: str, tie: str, n: int, de
 
 
 def sample_profile(df: DataFrame, category: str, key: str, n: int, samples: int = 30, seed: str = "p") -> DataFrame:
-    """Mean count of each category over repeated samples of n rows without replacement."""
-    out = None
-    for i in range(samples):
-        part = hash_rank(df.select(category, key), key, f"{seed}{i}", rank="__rank").where(F.col("__rank") <= n).groupBy(category).agg(F.count(F.lit(1)).alias("n"))
-        out = part if out is None else out.unionByName(part)
-    return out.groupBy(category).agg((F.sum("n") / F.lit(samples)).alias("mean_count"))
+    """Mean count of each category over repeated samples of n rows without replacement.
+
+    Every row is drawn for all samples at once. Hashes are uniform, so only those below a bound that n rows
+    reach with near certainty are kept and ranked; if a sample falls short, the bound is raised.
+    """
+    rows = df.select(category, key)
+    size = rows.count()
+    wanted = min(n, size)
+    reach = wanted + 6 * math.sqrt(wanted) + 10
+    while True:
+        bound = min(HASH_RANGE, math.ceil(HASH_RANGE * reach / max(size, 1)))
+        drawn = rows.select(category, key, F.explode(F.sequence(F.lit(0), F.lit(samples - 1))).alias("__sample"))
+        drawn = drawn.withColumn("__hash", key_hash(key, F.concat(F.lit(seed), F.col("__sample").cast("string"))))
+        drawn = cut_lineage(drawn.where(F.col("__hash") < bound))
+        found = drawn.groupBy("__sample").agg(F.count(F.lit(1)).alias("n")).agg(F.count(F.lit(1)).alias("k"), F.min("n").alias("n")).first()
+        if bound == HASH_RANGE or (found["k"] == samples and found["n"] >= wanted):
+            break
+        reach *= 2
+    parts = bucket_count(drawn)
+    ranked = global_rank(drawn, "__hash", key, ["__sample"], rank="__rank", cuts=[bound * i / parts for i in range(1, parts)])
+    return ranked.where(F.col("__rank") <= n).groupBy(category).agg((F.count(F.lit(1)) / F.lit(samples)).alias("mean_count"))
 
 
 def discard_unknown(df: DataFrame, missing: dict[str, object]) -> DataFrame:

@@ -12,12 +12,12 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyloom.functions import dates
 from tallyloom.functions.columns import ratio, rounded
-from tallyloom.operators.optimize import maximise
+from tallyloom.operators.optimize import Curve, curve, maximise, stencil
 from tallyloom.operators.segments import SHARES_5, quantile_segments
 from tallyloom.session import cut_lineage
 
@@ -76,7 +76,7 @@ def hyp2f1(a: np.ndarray, b: np.ndarray, c: np.ndarray, z: np.ndarray) -> np.nda
 
 
 def _batched(df: DataFrame, columns: Sequence[str], likelihood: Callable) -> Callable[[list[np.ndarray]], list[float]]:
-    """Objective that sums a vectorised log-likelihood over all partitions, for several points in one job."""
+    """Mean of a vectorised log-likelihood over all partitions, for several points in one job."""
 
     def objective(points: list[np.ndarray]) -> list[float]:
         local = [np.asarray(p, dtype=float) for p in points]
@@ -105,6 +105,42 @@ def _batched(df: DataFrame, columns: Sequence[str], likelihood: Callable) -> Cal
     return objective
 
 
+@dataclass(frozen=True)
+class Fit:
+    """Parameters, their standard errors, the mean log-likelihood, and the jobs it took."""
+
+    parameters: list[float]
+    errors: list[float]
+    loglik: float
+    customers: int
+    jobs: int
+
+
+def fit_likelihood(df: DataFrame, columns: Sequence[str], likelihood: Callable, start: Sequence[float], iterations: int = 40, penalty: float = 0.0) -> Fit:
+    """Positive parameters by Newton steps on their logarithms; gradient and Hessian come from the same aggregate as the value.
+
+    Standard errors are those of the observed information, carried over from the logarithms. A direction in which
+    the likelihood is flat has an infinite error.
+    """
+    means = _batched(df, columns, likelihood)
+    customers = int(df.agg(F.sum("__n")).first()[0] or 0)
+
+    def objective(points: list[np.ndarray]) -> tuple[Curve, list[float]]:
+        around = stencil(points[0])
+        every = [*around, *points[1:]]
+        values = [v - penalty * float(np.sum(np.exp(p) ** 2)) for v, p in zip(means(every), every, strict=True)]
+        with np.errstate(all="ignore"):
+            return curve(values[: len(around)], len(points[0])), values[len(around) :]
+
+    found, at, jobs = maximise(objective, np.log(start), iterations)
+    parameters = np.exp(found)
+    errors = np.full(len(found), math.inf)
+    information = -at.hessian * customers
+    if np.all(np.isfinite(information)) and np.all(np.linalg.eigvalsh(information) > 0):
+        errors = parameters * np.sqrt(np.diag(np.linalg.inv(information)))
+    return Fit([float(x) for x in parameters], [float(x) for x in errors], at.value, customers, jobs)
+
+
 def purchase_loglik(p: np.ndarray, x: np.ndarray, s: np.ndarray, age: np.ndarray) -> np.ndarray:
     r, alpha, a, b = np.exp(p)
     head = log_gamma(r + x) - log_gamma(np.array(r)) + r * np.log(alpha)
@@ -128,6 +164,7 @@ class PurchaseModel:
     alpha: float
     a: float
     b: float
+    fit: Fit | None = None
 
 
 @dataclass(frozen=True)
@@ -135,6 +172,7 @@ class ValueModel:
     p: float
     q: float
     v: float
+    fit: Fit | None = None
 
 
 def fit_purchases(summary: DataFrame, penalty: float = 0.0, retry: float = 0.1, iterations: int = 40) -> PurchaseModel:
@@ -142,23 +180,17 @@ def fit_purchases(summary: DataFrame, penalty: float = 0.0, retry: float = 0.1,
 
     The triples are bounded by the weeks of history, and much fewer than customers.
     """
-    triples = summary.groupBy("frequency", "recency", "age").agg(F.count(F.lit(1)).alias("__n")).persist()
+    columns = ["frequency", "recency", "age"]
+    triples = summary.groupBy(*columns).agg(F.count(F.lit(1)).alias("__n")).persist()
     try:
-        raw = _batched(triples, ["frequency", "recency", "age"], purchase_loglik)
-
-        def run(weight: float) -> np.ndarray:
-            def objective(points: list[np.ndarray]) -> list[float]:
-                return [v - weight * float(np.sum(np.exp(p) ** 2)) for v, p in zip(raw(points), points, strict=True)]
-
-            scale = float(triples.agg(F.avg("age")).first()[0] or 1.0)
-            return maximise(objective, np.log([1.0, max(scale / 4, 1.0), 1.0, 2.0]), iterations)[0]
-
-        found = run(penalty)
-        if not np.all(np.isfinite(found)) or np.any(np.abs(found) > 12):
-            found = run(retry)
+        scale = float(triples.agg(F.avg("age")).first()[0] or 1.0)
+        start = [1.0, max(scale / 4, 1.0), 1.0, 2.0]
+        found = fit_likelihood(triples, columns, purchase_loglik, start, iterations, penalty)
+        if not np.all(np.isfinite(found.parameters)) or np.any(np.abs(np.log(found.parameters)) > 12):
+            found = fit_likelihood(triples, columns, purchase_loglik, start, iterations, retry)
     finally:
         triples.unpersist()
-    return PurchaseModel(*[float(x) for x in np.exp(found)])
+    return PurchaseModel(*found.parameters, fit=found)
 
 
 def positive_values(summary: DataFrame) -> DataFrame:
@@ -172,11 +204,17 @@ def fit_values(summary: DataFrame, frequency: str = "frequency", shift: int = 1,
     rows = positive_values(summary).select((F.col(frequency) + shift).alias("x"), "value", F.lit(1).alias("__n")).persist()
     try:
         mean = float(rows.agg(F.avg("value")).first()[0])
-        objective = _batched(rows, ["x", "value"], value_loglik)
-        found = maximise(objective, np.log([2.0, 3.0, mean]), iterations)[0]
+        found = fit_likelihood(rows, ["x", "value"], value_loglik, [2.0, 3.0, mean], iterations)
     finally:
         rows.unpersist()
-    return ValueModel(*[float(x) for x in np.exp(found)])
+    return ValueModel(*found.parameters, fit=found)
+
+
+def parameter_table(spark: SparkSession, names: Sequence[str], fit: Fit) -> DataFrame:
+    """One row: the parameters, their standard errors (`se_...`), the mean log-likelihood and the number of customers."""
+    columns = ", ".join([f"{n} double" for n in names] + [f"se_{n} double" for n in names])
+    row = (*fit.parameters, *fit.errors, fit.loglik, fit.customers)
+    return spark.createDataFrame([row], f"{columns}, loglik double, customers long")
 
 
 # ------------------------------------------------------------ predictions

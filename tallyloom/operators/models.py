@@ -197,3 +197,11 @@ def uplift_x(df: DataFrame, outcome: str, treated: str, columns: Sequence[str],
     e = fit(df, forest_classifier(treated, 10, 4), columns)
     rows = predict(tau0, predict(tau1, probability(e, df, "__e"), "__t1"), "__t0")
     return rows.withColumn("uplift", F.col("__e") * F.col("__t0") + (1 - F.col("__e")) * F.col("__t1")).drop("__e", "__t1", "__t0")
+
+
+def uplift_meta(df: DataFrame, outcome: str, treated: str, columns: Sequence[str], iterations: int = 10) -> DataFrame:
+    """The S, T and X learners side by side, all with boosted trees: `uplift_s`, `uplift_t`, `uplift_x`."""
+    rows = df
+    for letter, learner in (("s", uplift_solo), ("t", uplift_two_models), ("x", uplift_x)):
+        rows = learner(rows, outcome, treated, columns, iterations=iterations).withColumnRenamed("uplift", f"uplift_{letter}")
+    return rows

@@ -18,9 +18,10 @@ from tallyloom.operators.ranking import bucket_count, global_rank
 HASH_RANGE = 2**32
 
 
-def key_hash(key: Column | str, seed: str = "s") -> Column:
-    """Uniform integer in [0, 2**32) from a key and a seed."""
-    text = F.concat(F.lit(f"{seed}|"), as_column(key).cast("string"))
+def key_hash(key: Column | str, seed: Column | str = "s") -> Column:
+    """Uniform integer in [0, 2**32) from a key and a seed; a seed may differ from row to row."""
+    start = F.concat(seed.cast("string"), F.lit("|")) if isinstance(seed, Column) else F.lit(f"{seed}|")
+    text = F.concat(start, as_column(key).cast("string"))
     return F.conv(F.substring(F.md5(text.cast("binary")), 1, 8), 16, 10).cast("long")
 
 

@@ -257,7 +257,7 @@ def _(t):
 @query("ltv_btyd_fit")
 def _(t):
     m = ltv.fit_purchases(summary(t), iterations=15)
-    return t.spark.createDataFrame([(m.r, m.alpha, m.a, m.b)], "r double, alpha double, a double, b double")
+    return ltv.parameter_table(t.spark, ["r", "alpha", "a", "b"], m.fit)
 
 
 _PA = "pa AS (SELECT *, 1 / (1 + 1.8::DOUBLE / (4.0 + frequency) * pow((60.0 + age) / (60.0 + recency), 1.5::DOUBLE + frequency)) AS p_alive FROM rfm)"
@@ -274,7 +274,7 @@ def _(t):
 @query("ltv_gg_fit")
 def _(t):
     m = ltv.fit_values(summary(t), iterations=15)
-    return t.spark.createDataFrame([(m.p, m.q, m.v)], "p double, q double, v double")
+    return ltv.parameter_table(t.spark, ["p", "q", "v"], m.fit)
 
 
 _GG = "3.0::DOUBLE * (5000.0 + (frequency + 1) * v2) / (3.0 * (frequency + 1) + 3.0)"

@@ -117,7 +117,7 @@ def _(t):
 
 @query("up_meta_s_t_x")
 def _(t):
-    return ml.uplift_x(rows(t), "label", "w", COLUMNS, 3).select("customer_id", "w", "label", "uplift")
+    return ml.uplift_meta(rows(t), "label", "w", COLUMNS, 3).select("customer_id", "w", "label", "uplift_s", "uplift_t", "uplift_x")
 
 
 @query("up_class_model")

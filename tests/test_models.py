@@ -9,6 +9,7 @@ from tallyloom.operators import causal as ce
 from tallyloom.operators import evaluate as ev
 from tallyloom.operators import ltv
 from tallyloom.operators import models as ml
+from tallyloom.operators import optimize
 from tallyloom.operators import uplift as up
 from tallyloom.operators.moments import collect_moments, ols
 
@@ -35,6 +36,9 @@ def test_purchase_model_recovers_parameters(spark):
     model = ltv.fit_purchases(spark.createDataFrame(pdf), iterations=40)
     assert model.r == pytest.approx(1.5, rel=0.15) and model.alpha == pytest.approx(6.0, rel=0.15)
     assert model.a / (model.a + model.b) == pytest.approx(2.5 / 8.5, rel=0.1)
+    for found, error, true in zip(model.fit.parameters, model.fit.errors, (1.5, 6.0, 2.5, 6.0), strict=True):
+        assert 0 < error < true and abs(found - true) < 2 * error
+    assert model.fit.customers == 20000 and model.fit.jobs <= 20
 
 
 def test_predictions_match_simulation(spark):
@@ -53,6 +57,21 @@ def test_value_model_recovers_parameters(spark):
     m = rng.gamma(p * x, 1 / nu) / x
     model = ltv.fit_values(spark.createDataFrame(pd.DataFrame({"frequency": x - 1, "value": m})))
     assert (model.p, model.q, model.v) == (pytest.approx(p, rel=0.2), pytest.approx(q, rel=0.2), pytest.approx(v, rel=0.35))
+    for found, error, true in zip(model.fit.parameters, model.fit.errors, (p, q, v), strict=True):
+        assert 0 < error < true and abs(found - true) < 2 * error
+    assert model.fit.jobs <= 20
+
+
+def test_curves_and_errors_of_a_known_likelihood(spark):
+    """Exponential waiting times: the rate is 1 / mean, its standard error rate / sqrt(n)."""
+    x = np.random.default_rng(12).exponential(2.0, 500)
+    df = spark.createDataFrame(pd.DataFrame({"x": x, "__n": 1}))
+    fit = ltv.fit_likelihood(df, ["x"], lambda p, x: p[0] - np.exp(p[0]) * x, [5.0])
+    assert fit.parameters[0] == pytest.approx(1 / x.mean(), rel=1e-6)
+    assert fit.errors[0] == pytest.approx(1 / x.mean() / np.sqrt(500), rel=1e-4) and fit.customers == 500
+    a = np.array([[2.0, 0.5], [0.5, 1.0]])
+    found = optimize.curve([float(-0.5 * p @ a @ p + p[0]) for p in optimize.stencil(np.array([0.3, -0.2]))], 2)
+    assert np.allclose(found.hessian, -a, atol=1e-6) and np.allclose(found.gradient, [1 - 0.5, 0.05], atol=1e-9)
 
 
 @pytest.fixture(scope="module")
@@ -151,6 +170,10 @@ def test_uplift_models_rank_the_responders(spark):
         scored = build(df, "y", "w", ["a", "b"])
         high, low = (scored.where(c).agg(F.avg("uplift")).first()[0] for c in ("a > 0.6", "a < 0.4"))
         assert high - low > 0.3
+    meta = ml.uplift_meta(df, "y", "w", ["a", "b"]).withColumn("responds", (F.col("a") > 0.5).cast("int")).persist()
+    for letter in "stx":
+        assert ev.auc_ks_accuracy(meta.withColumn("p", F.col(f"uplift_{letter}")), "p", "responds").first()["auc"] > 0.9, letter
+    assert meta.count() == n and {r["w"] for r in meta.select("w").distinct().collect()} == {0, 1}
     assert ev.auc_ks_accuracy(scored, "uplift", "y").first()["auc"] > 0.5
 
 

@@ -1,5 +1,6 @@
 """Results do not depend on layout, ties or hot keys."""
 
+import hashlib
 import os
 import random
 import subprocess
@@ -260,6 +261,47 @@ def test_quota_segments_match_sequential_picks(spark):
     assert got.to_dict() == want
 
 
+@pytest.mark.parametrize("kind", ["plain", "ties", "text keys", "gaps"])
+def test_quota_borders_by_narrowing(spark, monkeypatch, kind):
+    """Rows beyond the bound: joint histograms of bands, then only the open rows; the same segments as picks in turn."""
+    rng = np.random.default_rng(14)
+    n = 40_000
+    pdf = pd.DataFrame({"id": rng.permutation(n), **{c: rng.random(n) for c in "abcdz"}})
+    if kind == "ties":  # half of all rows share one value in every column
+        for c in "abcdz":
+            pdf.loc[rng.random(n) < 0.5, c] = 0.95
+    if kind == "text keys":
+        pdf["id"] = pdf["id"].map(lambda i: f"k{i}")
+    if kind == "gaps":
+        pdf.loc[rng.random(n) < 0.3, "b"] = None
+    sizes = []
+    solve = sg._in_turn
+    monkeypatch.setattr(sg, "_in_turn", lambda rows, *rest: sizes.append(len(rows)) or solve(rows, *rest))
+    rows = spark.createDataFrame(pdf).withColumn("b", F.nanvl("b", F.lit(None)))
+    got = sg.quota_by_probability(rows, list("abcd"), "z", "id", held=6000).toPandas().set_index("id")["segment"]
+    free, want = pdf.fillna(-np.inf), {}
+    for name in "abcdz":
+        best = free.sort_values([name, "id"], ascending=[False, True]).head(n // 2 if name == "z" else n // 10)
+        want.update(dict.fromkeys(best["id"], name))
+        free = free[~free["id"].isin(best["id"])]
+    want.update(dict.fromkeys(free["id"], "q5"))
+    assert got.to_dict() == want
+    assert len(sizes) == 1 and sizes[0] <= 6000
+
+
+def test_sample_profile_draws_all_samples_at_once(spark):
+    pdf = pd.DataFrame({"id": range(3000), "c": ["hot" if i % 3 else f"c{i % 4}" for i in range(3000)]})
+    df = spark.createDataFrame(pdf)
+    for n in (40, 5000):  # more than there are: all rows in every sample
+        got = {r["c"]: r["mean_count"] for r in lk.sample_profile(df, "c", "id", n, samples=6).collect()}
+        want = {}
+        for i in range(6):
+            drawn = sorted((int(hashlib.md5(f"p{i}|{k}".encode()).hexdigest()[:8], 16), k) for k in pdf["id"])[:n]
+            for _, k in drawn:
+                want[pdf["c"][k]] = want.get(pdf["c"][k], 0) + 1 / 6
+        assert got == pytest.approx(want)
+
+
 @pytest.mark.parametrize("chunk", [50, 10_000])
 def test_packing_keeps_its_constraints(spark, chunk):
     rng = np.random.default_rng(8)
