@@ -8,6 +8,7 @@ from tallyloom.functions.columns import date_lit, rounded
 from tallyloom.operators import causal as ce
 from tallyloom.operators import labels as lb
 from tallyloom.operators import ltv
+from tallyloom.operators import state_space as sp
 from tallyloom.operators.history import purchase_days
 from tallyloom.operators.moments import collect_moments, ols
 from tallyloom.operators.sampling import unit_hash
@@ -214,8 +215,33 @@ _SER = "se AS (SELECT channel, created AS day, count(*)::DOUBLE AS y, sum(amount
     WITH {_SER}, f AS (SELECT channel, regr_slope(y, x) b, regr_intercept(y, x) a FROM se WHERE day <= DATE '2000-12-31' GROUP BY 1), p AS (SELECT se.*, a + b * x AS e FROM se JOIN f USING (channel) WHERE day >= DATE '2001-01-15')
     SELECT channel, day::VARCHAR AS day, y, round(e, 6) AS expected, round(y - e, 6) AS effect, round(sum(y - e) OVER (PARTITION BY channel ORDER BY day), 6) AS cumulative FROM p""")
 def _(t):
-    series = t.orders.groupBy("channel", F.col("created").alias("day")).agg(F.count("*").cast("double").alias("y"), F.sum("amount").cast("double").alias("x"))
-    return r6(ce.series_impact(series, "channel", "day", "y", "x", date_lit("2000-12-31"), date_lit("2001-01-15")))
+    return r6(ce.series_impact(daily_series(t), "channel", "day", "y", "x", date_lit("2000-12-31"), date_lit("2001-01-15")))
+
+
+_LEVEL = f"""
+    WITH RECURSIVE {_SER}, st AS (SELECT channel, avg(x) AS mx, COALESCE(nullif(stddev_pop(x), 0), 1) AS sx, avg(y) AS my, COALESCE(nullif(stddev_pop(y), 0), 1) AS sy, max(day) AS last_day, count(*) AS n FROM se WHERE day <= DATE '2000-12-31' GROUP BY 1),
+    pre AS (SELECT channel, (x - mx) / sx AS z, (y - my) / sy AS v, row_number() OVER (PARTITION BY channel ORDER BY day) AS rn, COALESCE(day - lag(day) OVER (PARTITION BY channel ORDER BY day), 0)::DOUBLE AS gap FROM se JOIN st USING (channel) WHERE day <= DATE '2000-12-31'),
+    kf(channel, q, rn, a1, a2, p11, p12, p22, ss, ld) AS (
+      SELECT channel, q, 0::BIGINT, 0::DOUBLE, 0::DOUBLE, {sp.PRIOR}::DOUBLE, 0::DOUBLE, {sp.PRIOR}::DOUBLE, 0::DOUBLE, 0::DOUBLE FROM st, unnest([{", ".join(f"{r}::DOUBLE" for r in sp.RATIOS)}]) r(q)
+      UNION ALL
+      SELECT channel, q, rn, a1 + (r11 + z * p12) / f * e, a2 + (p12 + z * p22) / f * e, r11 - (r11 + z * p12) * (r11 + z * p12) / f, p12 - (r11 + z * p12) * (p12 + z * p22) / f, p22 - (p12 + z * p22) * (p12 + z * p22) / f, ss + e * e / f, ld + ln(f)
+      FROM (SELECT *, r11 + 2 * z * p12 + z * z * p22 + 1 AS f, v - a1 - a2 * z AS e FROM (SELECT kf.channel, q, pre.rn, a1, a2, p11 + q * gap AS r11, p12, p22, ss, ld, z, v FROM kf JOIN pre ON pre.channel = kf.channel AND pre.rn = kf.rn + 1))),
+    best AS (SELECT * FROM kf JOIN st USING (channel) WHERE rn = n QUALIFY row_number() OVER (PARTITION BY channel ORDER BY -n / 2.0 * ln(ss / n) - ld / 2 DESC, q) = 1),
+    po AS (SELECT channel, day, y, (x - mx) / sx AS z, (day - last_day)::DOUBLE AS h, ss / n AS noise, b.* EXCLUDE (channel, n, rn), row_number() OVER w::DOUBLE AS j FROM se JOIN best b USING (channel) WHERE day >= DATE '2001-01-15' WINDOW w AS (PARTITION BY channel ORDER BY day)),
+    ef AS (SELECT *, my + sy * (a1 + a2 * z) AS expected, sy * sqrt(noise * (p11 + q * h + 2 * z * p12 + z * z * p22 + 1)) AS er FROM po),
+    cu AS (SELECT *, sum(y - expected) OVER w AS cumulative, sum(z) OVER w AS zs, sum(h) OVER w AS hs, sum(j * h) OVER w AS jhs FROM ef WINDOW w AS (PARTITION BY channel ORDER BY day)),
+    fi AS (SELECT *, sy * sqrt(noise * (j * j * p11 + q * ((2 * j + 1) * hs - 2 * jhs) + 2 * j * zs * p12 + zs * zs * p22 + j)) AS ce FROM cu)
+    SELECT channel, day::VARCHAR AS day, y, round(expected, 6) AS expected, round(expected - {sp.NORMAL_95}::DOUBLE * er, 6) AS expected_low, round(expected + {sp.NORMAL_95}::DOUBLE * er, 6) AS expected_high, round(y - expected, 6) AS effect,
+      round(cumulative, 6) AS cumulative, round(cumulative - {sp.NORMAL_95}::DOUBLE * ce, 6) AS cumulative_low, round(cumulative + {sp.NORMAL_95}::DOUBLE * ce, 6) AS cumulative_high FROM fi"""
+
+
+def daily_series(t):
+    return t.orders.groupBy("channel", F.col("created").alias("day")).agg(F.count("*").cast("double").alias("y"), F.sum("amount").cast("double").alias("x"))
+
+
+@query("ce_series_level", _LEVEL)
+def _(t):
+    return r6(sp.level_impact(daily_series(t), "channel", "day", "y", "x", date_lit("2000-12-31"), date_lit("2001-01-15")))
 
 
 _INC = "SELECT site, count(*) FILTER (status = 'paid') AS treated, sum(amount)::DOUBLE / count(*) AS a, avg(k) AS p, sum(amount)::DOUBLE AS spend FROM (SELECT site, status, amount, category_id AS k FROM r_purchases) GROUP BY 1"
