@@ -1,8 +1,8 @@
 """Local-level model of a daily series with a control series, for effects after a date.
 
 y = level + slope * control + noise, where the level is a random walk over days. Both series are standardised by the
-period before the date. The ratio of the walk's variance to the noise is the one of a grid with the largest likelihood.
-Only the recursions over the days of one series run in a grouped task, so its rows are bounded by the calendar;
+period before the date. The ratio of the walk's variance to the noise is not known, so every ratio of a grid counts with
+its likelihood; with the likeliest alone, intervals would hold the truth too seldom. Only the recursions over the days of one series run in a grouped task, so its rows are bounded by the calendar;
 forecasts, intervals and running sums are column expressions.
 """
 
@@ -74,40 +74,48 @@ def _standard(values: np.ndarray) -> tuple[np.ndarray, float, float]:
     return (values - center) / scale, center, scale
 
 
-def _fitted(rows: pd.DataFrame) -> tuple:
+def _filtered(rows: pd.DataFrame) -> tuple:
+    """Rows in order of days, days between them, the filter's results, and center and scale of both series."""
     rows = rows.sort_values("day")
     y, y_mean, y_scale = _standard(rows["y"].to_numpy())
     z, x_mean, x_scale = _standard(rows["x"].to_numpy())
     days = pd.to_datetime(rows["day"])
     gap = np.concatenate([[0.0], np.diff(days.to_numpy()) / np.timedelta64(1, "D")])
-    means, covariances, noise, loglik = level_filter(y, z, gap)
-    best = int(np.argmax(loglik))
-    return rows, gap, best, means[:, :, best], covariances[:, :, best], float(noise[best]), (y_mean, y_scale, x_mean, x_scale)
+    return rows, gap, level_filter(y, z, gap), (y_mean, y_scale, x_mean, x_scale)
+
+
+NUMBERS = ("ratio", "weight", "level", "slope", "p11", "p12", "p22", "noise", "y_mean", "y_scale", "x_mean", "x_scale")
 
 
 def fit_levels(series: DataFrame, name: str, day: str, y: str, control: str, pre_end: Column) -> DataFrame:
-    """One row per series: ratio, last level and slope with covariances, the noise's variance, and how the series were standardised."""
+    """One row per series and ratio: its weight, last level and slope with covariances, the noise's variance, and how
+    the series were standardised. Weights of a series add up to 1."""
 
     def fit(rows: pd.DataFrame) -> pd.DataFrame:
-        rows, _, best, means, covariances, noise, scales = _fitted(rows)
-        return pd.DataFrame(
-            [(rows["name"].iloc[0], rows["day"].iloc[-1], RATIOS[best], *means[-1], *covariances[-1], noise, *scales)],
-            columns=["name", "last_day", "ratio", "level", "slope", "p11", "p12", "p22", "noise", "y_mean", "y_scale", "x_mean", "x_scale"],
-        )
+        rows, _, (means, covariances, noise, loglik), scales = _filtered(rows)
+        # a series without noise has infinite likelihoods: all ratios that reach it count alike
+        gap = np.where(loglik == loglik.max(), 0.0, loglik - loglik.max())
+        weight = np.exp(gap) / np.exp(gap).sum()
+        values = np.column_stack([RATIOS, weight, means[-1].T, covariances[-1].T, noise, np.tile(scales, (len(RATIOS), 1))])
+        out = pd.DataFrame(values, columns=NUMBERS)
+        out.insert(0, "last_day", rows["day"].iloc[-1])
+        out.insert(0, "name", rows["name"].iloc[0])
+        return out
 
     before = _before(series, name, day, y, control, pre_end)
-    numbers = ", ".join(f"{c} double" for c in ("ratio", "level", "slope", "p11", "p12", "p22", "noise", "y_mean", "y_scale", "x_mean", "x_scale"))
     kind, date = before.schema["name"].dataType.simpleString(), before.schema["day"].dataType.simpleString()
-    return before.groupBy("name").applyInPandas(fit, f"name {kind}, last_day {date}, {numbers}").withColumnRenamed("name", name)
+    schema = f"name {kind}, last_day {date}, " + ", ".join(f"{c} double" for c in NUMBERS)
+    return before.groupBy("name").applyInPandas(fit, schema).withColumnRenamed("name", name)
 
 
 def smooth_levels(series: DataFrame, name: str, day: str, y: str, control: str, pre_end: Column) -> DataFrame:
-    """Level of every day before the date given all of them, and its standard error, in the units of y."""
+    """Level of every day before the date given all of them, and its standard error, in the units of y, for the likeliest ratio."""
 
     def smooth(rows: pd.DataFrame) -> pd.DataFrame:
-        rows, gap, best, means, covariances, noise, (y_mean, y_scale, _, _) = _fitted(rows)
-        level, variance = smoothed(means, covariances, gap, RATIOS[best])
-        errors = y_scale * np.sqrt(noise * np.maximum(variance, 0.0))
+        rows, gap, (means, covariances, noise, loglik), (y_mean, y_scale, _, _) = _filtered(rows)
+        best = int(np.argmax(loglik))
+        level, variance = smoothed(means[:, :, best], covariances[:, :, best], gap, RATIOS[best])
+        errors = y_scale * np.sqrt(noise[best] * np.maximum(variance, 0.0))
         return pd.DataFrame({"name": rows["name"], "day": rows["day"], "level": y_mean + y_scale * level, "std_error": errors})
 
     before = _before(series, name, day, y, control, pre_end)
@@ -116,6 +124,13 @@ def smooth_levels(series: DataFrame, name: str, day: str, y: str, control: str,
     return out.withColumnsRenamed({"name": name, "day": day})
 
 
+def _mixed(value: str, variance: str) -> tuple[Column, Column]:
+    """Mean and standard deviation over the ratios of a group."""
+    mean = F.sum(F.col("weight") * F.col(value))
+    spread = F.sum(F.col("weight") * (F.col(variance) + F.col(value) * F.col(value))) - mean * mean
+    return mean, F.sqrt(F.greatest(spread, F.lit(0.0)))
+
+
 def level_impact(series: DataFrame, name: str, day: str, y: str, control: str, pre_end: Column, post_start: Column) -> DataFrame:
     """Effect of every day from `post_start` on and its running sum, with 95% intervals.
 
@@ -128,24 +143,31 @@ def level_impact(series: DataFrame, name: str, day: str, y: str, control: str, p
     z, h = (F.col("__x") - F.col("x_mean")) / F.col("x_scale"), F.datediff(day, "last_day").cast("double")
     rows = rows.withColumns({"__z": z, "__h": h})
     z, h = F.col("__z"), F.col("__h")
-    error = F.col("y_scale") * F.sqrt(F.col("noise") * (F.col("p11") + F.col("ratio") * h + 2 * z * F.col("p12") + z * z * F.col("p22") + 1))
-    rows = rows.withColumns({"expected": F.col("y_mean") + F.col("y_scale") * (F.col("level") + F.col("slope") * z), "__error": error})
-    rows = rows.withColumn("effect", F.col(y) - F.col("expected"))
+    unit = F.col("y_scale") * F.col("y_scale") * F.col("noise")
+    rows = rows.withColumns({
+        "__effect": F.col(y) - (F.col("y_mean") + F.col("y_scale") * (F.col("level") + F.col("slope") * z)),
+        "__var": unit * (F.col("p11") + F.col("ratio") * h + 2 * z * F.col("p12") + z * z * F.col("p22") + 1),
+    })
 
-    order = Window.partitionBy(name).orderBy(day)
+    order = Window.partitionBy(name, "ratio").orderBy(day)
     upto = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     rows = rows.withColumn("__n", F.row_number().over(order).cast("double"))
     rows = rows.withColumns({
-        "cumulative": F.sum("effect").over(upto), "__zs": F.sum("__z").over(upto),
+        "__sum": F.sum("__effect").over(upto), "__zs": F.sum("__z").over(upto),
         "__hs": F.sum("__h").over(upto), "__nhs": F.sum(F.col("__n") * h).over(upto),
     })
     n, zs = F.col("__n"), F.col("__zs")
     # days j and k share the walk up to the earlier one: the sum of min(h_j, h_k) over all pairs of days
     shared = (2 * n + 1) * F.col("__hs") - 2 * F.col("__nhs")
     spread = n * n * F.col("p11") + F.col("ratio") * shared + 2 * n * zs * F.col("p12") + zs * zs * F.col("p22") + n
-    total = F.col("y_scale") * F.sqrt(F.col("noise") * spread)
-    return rows.select(
-        name, day, y, "expected", (F.col("expected") - NORMAL_95 * F.col("__error")).alias("expected_low"),
-        (F.col("expected") + NORMAL_95 * F.col("__error")).alias("expected_high"), "effect", "cumulative",
-        (F.col("cumulative") - NORMAL_95 * total).alias("cumulative_low"), (F.col("cumulative") + NORMAL_95 * total).alias("cumulative_high"),
+    rows = rows.withColumn("__sum_var", unit * spread)
+
+    (effect, error), (total, total_error) = _mixed("__effect", "__var"), _mixed("__sum", "__sum_var")
+    out = rows.groupBy(name, day).agg(
+        F.max(y).alias(y), effect.alias("effect"), error.alias("__error"), total.alias("cumulative"), total_error.alias("__total")
+    ).withColumn("expected", F.col(y) - F.col("effect"))
+    low, high = (lambda c, e: F.col(c) - NORMAL_95 * F.col(e)), (lambda c, e: F.col(c) + NORMAL_95 * F.col(e))
+    return out.select(
+        name, day, y, "expected", low("expected", "__error").alias("expected_low"), high("expected", "__error").alias("expected_high"),
+        "effect", "cumulative", low("cumulative", "__total").alias("cumulative_low"), high("cumulative", "__total").alias("cumulative_high"),
     )

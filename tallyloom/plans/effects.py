@@ -226,13 +226,15 @@ _LEVEL = f"""
       UNION ALL
       SELECT channel, q, rn, a1 + (r11 + z * p12) / f * e, a2 + (p12 + z * p22) / f * e, r11 - (r11 + z * p12) * (r11 + z * p12) / f, p12 - (r11 + z * p12) * (p12 + z * p22) / f, p22 - (p12 + z * p22) * (p12 + z * p22) / f, ss + e * e / f, ld + ln(f)
       FROM (SELECT *, r11 + 2 * z * p12 + z * z * p22 + 1 AS f, v - a1 - a2 * z AS e FROM (SELECT kf.channel, q, pre.rn, a1, a2, p11 + q * gap AS r11, p12, p22, ss, ld, z, v FROM kf JOIN pre ON pre.channel = kf.channel AND pre.rn = kf.rn + 1))),
-    best AS (SELECT * FROM kf JOIN st USING (channel) WHERE rn = n QUALIFY row_number() OVER (PARTITION BY channel ORDER BY -n / 2.0 * ln(ss / n) - ld / 2 DESC, q) = 1),
-    po AS (SELECT channel, day, y, (x - mx) / sx AS z, (day - last_day)::DOUBLE AS h, ss / n AS noise, b.* EXCLUDE (channel, n, rn), row_number() OVER w::DOUBLE AS j FROM se JOIN best b USING (channel) WHERE day >= DATE '2001-01-15' WINDOW w AS (PARTITION BY channel ORDER BY day)),
-    ef AS (SELECT *, my + sy * (a1 + a2 * z) AS expected, sy * sqrt(noise * (p11 + q * h + 2 * z * p12 + z * z * p22 + 1)) AS er FROM po),
-    cu AS (SELECT *, sum(y - expected) OVER w AS cumulative, sum(z) OVER w AS zs, sum(h) OVER w AS hs, sum(j * h) OVER w AS jhs FROM ef WINDOW w AS (PARTITION BY channel ORDER BY day)),
-    fi AS (SELECT *, sy * sqrt(noise * (j * j * p11 + q * ((2 * j + 1) * hs - 2 * jhs) + 2 * j * zs * p12 + zs * zs * p22 + j)) AS ce FROM cu)
-    SELECT channel, day::VARCHAR AS day, y, round(expected, 6) AS expected, round(expected - {sp.NORMAL_95}::DOUBLE * er, 6) AS expected_low, round(expected + {sp.NORMAL_95}::DOUBLE * er, 6) AS expected_high, round(y - expected, 6) AS effect,
-      round(cumulative, 6) AS cumulative, round(cumulative - {sp.NORMAL_95}::DOUBLE * ce, 6) AS cumulative_low, round(cumulative + {sp.NORMAL_95}::DOUBLE * ce, 6) AS cumulative_high FROM fi"""
+    lk AS (SELECT *, ss / n AS noise, -n / 2.0 * ln(ss / n) - ld / 2 AS ll FROM kf JOIN st USING (channel) WHERE rn = n),
+    ra AS (SELECT *, exp(ll - max(ll) OVER (PARTITION BY channel)) AS u FROM lk), we AS (SELECT * EXCLUDE (n, rn), u / sum(u) OVER (PARTITION BY channel) AS w FROM ra),
+    po AS (SELECT we.*, day, y, (x - mx) / sx AS z, (day - last_day)::DOUBLE AS h, row_number() OVER (PARTITION BY channel, q ORDER BY day)::DOUBLE AS j FROM se JOIN we USING (channel) WHERE day >= DATE '2001-01-15'),
+    ef AS (SELECT *, y - (my + sy * (a1 + a2 * z)) AS d, sy * sy * noise * (p11 + q * h + 2 * z * p12 + z * z * p22 + 1) AS dv FROM po),
+    cu AS (SELECT *, sum(d) OVER o AS c, sum(z) OVER o AS zs, sum(h) OVER o AS hs, sum(j * h) OVER o AS jhs FROM ef WINDOW o AS (PARTITION BY channel, q ORDER BY day)),
+    va AS (SELECT *, sy * sy * noise * (j * j * p11 + q * ((2 * j + 1) * hs - 2 * jhs) + 2 * j * zs * p12 + zs * zs * p22 + j) AS cv FROM cu),
+    mi AS (SELECT channel, day, any_value(y) AS y, sum(w * d) AS effect, sqrt(greatest(sum(w * (dv + d * d)) - sum(w * d) ** 2, 0)) * {sp.NORMAL_95}::DOUBLE AS de, sum(w * c) AS cumulative, sqrt(greatest(sum(w * (cv + c * c)) - sum(w * c) ** 2, 0)) * {sp.NORMAL_95}::DOUBLE AS ce FROM va GROUP BY 1, 2)
+    SELECT channel, day::VARCHAR AS day, y, round(y - effect, 4) AS expected, round(y - effect - de, 4) AS expected_low, round(y - effect + de, 4) AS expected_high, round(effect, 4) AS effect,
+      round(cumulative, 4) AS cumulative, round(cumulative - ce, 4) AS cumulative_low, round(cumulative + ce, 4) AS cumulative_high FROM mi"""
 
 
 def daily_series(t):
@@ -241,7 +243,7 @@ def daily_series(t):
 
 @query("ce_series_level", _LEVEL)
 def _(t):
-    return r6(sp.level_impact(daily_series(t), "channel", "day", "y", "x", date_lit("2000-12-31"), date_lit("2001-01-15")))
+    return r6(sp.level_impact(daily_series(t), "channel", "day", "y", "x", date_lit("2000-12-31"), date_lit("2001-01-15")), 4)
 
 
 _INC = "SELECT site, count(*) FILTER (status = 'paid') AS treated, sum(amount)::DOUBLE / count(*) AS a, avg(k) AS p, sum(amount)::DOUBLE AS spend FROM (SELECT site, status, amount, category_id AS k FROM r_purchases) GROUP BY 1"

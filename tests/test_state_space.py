@@ -9,6 +9,7 @@ from tallyloom.functions.columns import date_lit
 from tallyloom.operators import state_space as sp
 
 PRE, POST = "2024-04-29", "2024-05-05"
+SHORT_PRE, SHORT_POST = "2024-02-25", "2024-03-02"
 
 
 def simulated(series, days, ratio, shift=0.0, seed=0, skip=0.0):
@@ -25,38 +26,43 @@ def simulated(series, days, ratio, shift=0.0, seed=0, skip=0.0):
 
 
 def by_matrices(rows):
-    """Posterior of level and forecasts from the joint normal distribution of all days, for the likeliest ratio."""
-    pre = rows[rows.day <= pd.Timestamp("2024-04-29").date()]
-    post = rows[rows.day >= pd.Timestamp("2024-05-05").date()]
+    """Weights of the ratios, forecasts and levels from the joint normal distribution of all days."""
+    pre = rows[rows.day <= pd.Timestamp(SHORT_PRE).date()]
+    post = rows[rows.day >= pd.Timestamp(SHORT_POST).date()]
     t = lambda r: np.array([(d - pre.day.iloc[0]).days for d in r.day], dtype=float)
     my, sy, mx, sx = pre.y.mean(), pre.y.std(ddof=0), pre.x.mean(), pre.x.std(ddof=0)
     y, z, zp = (pre.y.to_numpy() - my) / sy, (pre.x.to_numpy() - mx) / sx, (post.x.to_numpy() - mx) / sx
-    best = None
+    found = []
     for q in sp.RATIOS:
         walk = lambda a, b: sp.PRIOR + q * np.minimum(a[:, None], b[None, :])  # noqa: B023, E731
         cov = walk(t(pre), t(pre)) + sp.PRIOR * np.outer(z, z) + np.eye(len(y))
         noise = y @ np.linalg.solve(cov, y) / len(y)
         loglik = -len(y) / 2 * np.log(noise) - np.linalg.slogdet(cov)[1] / 2
-        if best is None or loglik > best[0]:
-            cross = walk(t(post), t(pre)) + sp.PRIOR * np.outer(zp, z)
-            ahead = walk(t(post), t(post)) + sp.PRIOR * np.outer(zp, zp) + np.eye(len(zp)) - cross @ np.linalg.solve(cov, cross.T)
-            up = walk(t(pre), t(pre))
-            inside = up - up @ np.linalg.solve(cov, up.T)
-            best = (loglik, q, my + sy * cross @ np.linalg.solve(cov, y), sy**2 * noise * ahead, my + sy * up @ np.linalg.solve(cov, y), sy * np.sqrt(noise * np.diag(inside)))
-    return best[1:]
+        cross = walk(t(post), t(pre)) + sp.PRIOR * np.outer(zp, z)
+        ahead = walk(t(post), t(post)) + sp.PRIOR * np.outer(zp, zp) + np.eye(len(zp)) - cross @ np.linalg.solve(cov, cross.T)
+        up = walk(t(pre), t(pre))
+        inside = up - up @ np.linalg.solve(cov, up.T)
+        found.append((loglik, my + sy * cross @ np.linalg.solve(cov, y), sy**2 * noise * ahead, my + sy * up @ np.linalg.solve(cov, y), sy * np.sqrt(noise * np.diag(inside))))
+    logliks = np.array([f[0] for f in found])
+    weights = np.exp(logliks - logliks.max()) / np.exp(logliks - logliks.max()).sum()
+    expected = sum(w * f[1] for w, f in zip(weights, found, strict=True))
+    gaps = [f[1] - expected for f in found]
+    cov = sum(w * (f[2] + np.outer(g, g)) for w, f, g in zip(weights, found, gaps, strict=True))
+    best = found[int(np.argmax(logliks))]
+    return weights, expected, cov, best[3], best[4]
 
 
 @pytest.mark.parametrize("ratio,skip", [(0.05, 0.0), (0.0, 0.3), (1.0, 0.1)])
 def test_against_the_joint_distribution(spark, ratio, skip):
-    pdf = simulated(2, 150, ratio, seed=3, skip=skip)
+    pdf = simulated(2, 80, ratio, seed=3, skip=skip)
     df = spark.createDataFrame(pdf).repartition(5)
-    got = sp.level_impact(df, "s", "day", "y", "x", date_lit(PRE), date_lit(POST)).toPandas().sort_values(["s", "day"])
-    levels = sp.smooth_levels(df, "s", "day", "y", "x", date_lit(PRE)).toPandas().sort_values(["s", "day"])
-    ratios = {r["s"]: r["ratio"] for r in sp.fit_levels(df, "s", "day", "y", "x", date_lit(PRE)).collect()}
+    got = sp.level_impact(df, "s", "day", "y", "x", date_lit(SHORT_PRE), date_lit(SHORT_POST)).toPandas().sort_values(["s", "day"])
+    levels = sp.smooth_levels(df, "s", "day", "y", "x", date_lit(SHORT_PRE)).toPandas().sort_values(["s", "day"])
+    fits = sp.fit_levels(df, "s", "day", "y", "x", date_lit(SHORT_PRE)).toPandas().sort_values(["s", "ratio"])
     for name, rows in pdf.groupby("s"):
-        q, expected, cov, level, error = by_matrices(rows)
+        weights, expected, cov, level, error = by_matrices(rows)
         mine, inside = got[got.s == name], levels[levels.s == name]
-        assert ratios[name] == q
+        assert np.allclose(fits[fits.s == name].weight, weights, atol=1e-6)
         assert np.allclose(mine.expected, expected, atol=1e-5)
         assert np.allclose(mine.expected_high - mine.expected, sp.NORMAL_95 * np.sqrt(np.diag(cov)), rtol=1e-5)
         sums = [np.sqrt(cov[:k, :k].sum()) for k in range(1, len(cov) + 1)]
