@@ -1,8 +1,9 @@
 """Look-alike audiences: nearest seeds, scores from them, approximate neighbours, reductions.
 
 Distances come from block matrix products inside tasks; each block of rows meets a block
-of seeds and only k candidates per row leave the task, never all pairs. Blocks have a
-bounded size, also when one hash bucket holds a large part of the rows.
+of seeds and only k candidates per row leave the task, never all pairs. What moves between
+tasks are groups of many blocks, of a bounded size, also when one hash bucket holds a large
+part of the rows; a task goes through its blocks with one running list for each row.
 """
 
 from __future__ import annotations
@@ -22,48 +23,140 @@ from tallyloom.operators.sampling import HASH_RANGE, key_hash
 from tallyloom.session import cut_lineage
 
 BROADCAST_BYTES = 64 * 1024 * 1024
+GROUP_BYTES = 32 * 1024 * 1024
 BLOCK_ROWS = 20_000
+#: Rows and seeds compared at once inside a task, and pairs compared in full at once.
+TILE, PAIRS = 1024, 65_536
+NONE = np.iinfo(np.int64).max
 
 
 def distances(rows: np.ndarray, seeds: np.ndarray, metric: str) -> np.ndarray:
     """Distance matrix; `dot` is the negative inner product, so that small is near for all metrics."""
+    return _between(_prepared(rows, metric), _prepared(seeds, metric), metric)
+
+
+def _between(rows: np.ndarray, seeds: np.ndarray, metric: str) -> np.ndarray:
+    """Distance matrix of prepared vectors."""
     if metric == "cosine":
-        a = rows / np.maximum(np.linalg.norm(rows, axis=1, keepdims=True), 1e-300)
-        b = seeds / np.maximum(np.linalg.norm(seeds, axis=1, keepdims=True), 1e-300)
-        return 1 - a @ b.T
+        return 1 - rows @ seeds.T
     if metric == "dot":
         return -(rows @ seeds.T)
     if metric == "l2":
         square = (rows**2).sum(1)[:, None] + (seeds**2).sum(1)[None, :] - 2 * rows @ seeds.T
         return np.sqrt(np.maximum(square, 0))
     if metric == "l1":
-        out = np.zeros((len(rows), len(seeds)))
-        for j in range(rows.shape[1]):
-            out += np.abs(rows[:, j][:, None] - seeds[:, j][None, :])
-        return out
+        return _l1(rows, seeds)
     raise ValueError(f"unknown metric {metric}")
 
 
-def _nearest(ids, rows: np.ndarray, seed_ids, seeds: np.ndarray, k: int, metric: str) -> pd.DataFrame:
+def _prepared(x: np.ndarray, metric: str) -> np.ndarray:
+    """Vectors of length one for `cosine`, as they are for the other metrics."""
+    return x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-300) if metric == "cosine" else x
+
+
+def _pair_distances(x: np.ndarray, y: np.ndarray, row: np.ndarray, item: np.ndarray, metric: str) -> np.ndarray:
+    """Distances of single pairs of prepared vectors: the same numbers wherever a pair is met."""
+    out = np.empty(len(row))
+    for start in range(0, len(row), PAIRS):
+        a, b = x[row[start : start + PAIRS]], y[item[start : start + PAIRS]]
+        if metric in ("cosine", "dot"):
+            product = np.einsum("ij,ij->i", a, b)
+            out[start : start + PAIRS] = 1 - product if metric == "cosine" else -product
+        else:
+            out[start : start + PAIRS] = np.abs(a - b).sum(1) if metric == "l1" else np.linalg.norm(a - b, axis=1)
+    return np.where(np.isnan(out), np.inf, out)
+
+
+class _Lists:
+    """The k nearest items of some rows so far, by distance and then id."""
+
+    def __init__(self, n: int, k: int):
+        self.distance, self.item = np.full((n, k), np.inf), np.full((n, k), NONE)
+
+    def add(self, row: np.ndarray, item: np.ndarray, distance: np.ndarray) -> None:
+        last, k = self.distance[row, -1], self.distance.shape[1]
+        better = (distance < last) | ((distance == last) & (item < self.item[row, -1]))
+        row, item, distance = row[better], item[better], distance[better]
+        touched = np.unique(row)
+        rows = np.concatenate([np.repeat(touched, k), row])
+        items, values = np.concatenate([self.item[touched].ravel(), item]), np.concatenate([self.distance[touched].ravel(), distance])
+        order = np.lexsort((items, values, rows))
+        best = order[np.searchsorted(rows[order], touched)[:, None] + np.arange(k)]
+        self.item[touched], self.distance[touched] = items[best], values[best]
+
+
+def _l1(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Sums of absolute differences, in pieces that stay in the processor's cache."""
+    out, turned = np.empty((len(x), len(y)), x.dtype), np.ascontiguousarray(y.T)
+    part = np.empty((64, len(y)), x.dtype)
+    for start in range(0, len(x), 64):
+        some = x[start : start + 64]
+        for at in range(0, len(y), 1024):
+            p, t, columns = part[: len(some), at : at + 1024], out[start : start + 64, at : at + 1024], turned[:, at : at + 1024]
+            t[:] = 0
+            for j in range(x.shape[1]):
+                np.subtract(some[:, j, None], columns[j], out=p)
+                np.abs(p, out=p)
+                t += p
+    return out
+
+
+def _narrow(*arrays: np.ndarray) -> bool:
+    """Whether products of these vectors can be screened in single precision without overflow or underflow."""
+    for x in arrays:
+        size = np.abs(x).max(axis=1, initial=0)
+        size = size[size > 0]
+        if not (np.isfinite(size).all() and size.max(initial=1) < 1e15 and size.min(initial=1) > 1e-15):
+            return False
+    return True
+
+
+def _best(x: np.ndarray, y: np.ndarray, k: int, metric: str, tile: int = TILE) -> tuple[np.ndarray, np.ndarray]:
+    """k nearest y of each x, distances and places in y (n x k), by distance and then place.
+
+    Tiles of products are screened against each row's k-th distance so far; the error of the screening is bounded, and pairs that
+    pass are compared by themselves. Memory is that of a tile, whatever the number of vectors.
+    """
+    x, y = _prepared(x, metric), _prepared(y, metric)
+    first, wide = max(tile, 4 * k), max(4 * tile, 4 * k)  # a narrow tile gives the first marks
+    distance, place = np.empty((len(x), k)), np.empty((len(x), k), dtype=np.int64)
+    kind = np.float32 if _narrow(x, y) else np.float64
+    long_x, long_y = np.linalg.norm(x, axis=1), np.linalg.norm(y, axis=1)
+    u, v, half = x.astype(kind, copy=False), y.astype(kind, copy=False), (long_y**2 / 2).astype(kind, copy=False)
+    unit_error = 4 * (x.shape[1] + 8) * np.finfo(kind).eps
+    for start in range(0, len(x), tile):
+        rows = slice(start, start + tile)
+        lists, length = _Lists(len(x[rows]), k), long_x[rows]
+        for s in (0, *range(first, len(y), wide)):
+            items = slice(s, s + (wide if s else first))
+            most = long_y[items].max()
+            if metric == "l1":
+                value, slack = _l1(u[rows], v[items]), unit_error * np.sqrt(x.shape[1]) * (length + most)
+            else:
+                value = u[rows] @ -v[items].T
+                slack = unit_error * length * most
+                if metric == "l2":
+                    value += half[items]
+                    slack = slack + unit_error * most**2 + 1e-12 * length**2
+            last = lists.distance[:, -1]
+            mark = last - 1 if metric == "cosine" else (last**2 - length**2) / 2 if metric == "l2" else last
+            if value.shape[1] >= k and np.isinf(last).any():
+                mark = np.minimum(mark, np.partition(value, k - 1, axis=1)[:, k - 1])
+            mark = mark + 2 * slack
+            # The mark is rounded up, and what is not a number passes.
+            row, item = np.divmod(np.flatnonzero(~(value > np.nextafter(mark.astype(kind), kind(np.inf))[:, None])), value.shape[1])
+            lists.add(row, item + s, _pair_distances(x[rows], y[items], row, item, metric))
+        distance[rows], place[rows] = lists.distance, lists.item
+    return distance, place
+
+
+def _nearest(ids, rows: np.ndarray, seed_ids, seeds: np.ndarray, k: int, metric: str, tile: int = TILE) -> pd.DataFrame:
     """k nearest seeds of each row; equal distances go to the smaller seed id (seeds come sorted by id)."""
     k = min(k, len(seeds))
-    if not k:
-        return pd.DataFrame({"id": [], "seed_id": [], "distance": []}).astype({"id": "int64", "seed_id": "int64"})
-    parts = []
-    step = max(1, 4_000_000 // max(len(seeds), 1))
-    for start in range(0, len(rows), step):
-        d = distances(rows[start : start + step], seeds, metric)
-        # Columns up to the k-th distance, ties included, are few; only they are sorted.
-        row, column = np.nonzero(d <= np.partition(d, k - 1, axis=1)[:, k - 1 : k])
-        order = np.lexsort((column, d[row, column], row))
-        first = np.searchsorted(row[order], np.arange(len(d)))
-        near = column[order][first[:, None] + np.arange(k)]
-        parts.append(
-            pd.DataFrame(
-                {"id": np.repeat(ids[start : start + step], k), "seed_id": seed_ids[near.ravel()], "distance": np.take_along_axis(d, near, 1).ravel()}
-            )
-        )
-    return pd.concat(parts) if parts else pd.DataFrame({"id": [], "seed_id": [], "distance": []})
+    if not k or not len(rows):
+        return pd.DataFrame({"id": [], "seed_id": [], "distance": []}).astype({"id": "int64", "seed_id": "int64", "distance": "float64"})
+    distance, place = _best(rows, seeds, k, metric, tile)
+    return pd.DataFrame({"id": np.repeat(ids, k), "seed_id": seed_ids[place.ravel()], "distance": distance.ravel()})
 
 
 def _matrix(column: pd.Series) -> np.ndarray:
@@ -75,30 +168,46 @@ _OUT = "id long, seed_id long, distance double"
 
 def _merge(candidates: DataFrame, k: int) -> DataFrame:
     """k best of each row's candidates; a row has k of them per seed block."""
-    once = candidates.groupBy("id", "seed_id").agg(F.min("distance").alias("distance"))
+    # Laid out by id, the candidates move once for both the copies and the places.
+    once = candidates.repartition("id").groupBy("id", "seed_id").agg(F.min("distance").alias("distance"))
     place = Window.partitionBy("id").orderBy("distance", "seed_id")
     return once.withColumn("place", F.row_number().over(place)).where(F.col("place") <= k)
 
 
+def group_rows(df: DataFrame, vector: str = "vec") -> int:
+    """Vectors that make a group of about `GROUP_BYTES`."""
+    first = df.select(F.size(vector).alias("d")).first()
+    return max(1, GROUP_BYTES // (8 * (first["d"] + 2))) if first else 1
+
+
+def _spread(df: DataFrame, rows: int, seed_groups: int, group: int) -> int:
+    """Groups of `rows` rows: none larger than `group`, and together with the seeds' enough for all cores."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return max(1, -(-rows // group), min(rows, -(-2 * cores // seed_groups)))
+
+
 def blocked_nearest(
     rows: DataFrame, seeds: DataFrame, k: int, metric: str = "cosine", keys: Sequence[str] = (), block: int = BLOCK_ROWS
 ) -> DataFrame:
     """Nearest seeds among those with the same keys, for any number of rows and seeds.
 
-    `rows`: id, vec, keys; `seeds`: seed_id, vec, keys. Each key is cut into blocks of about
-    `block` rows and seeds by a hash; every row block meets every seed block of its key.
+    `rows`: id, vec, keys; `seeds`: seed_id, vec, keys. Each key is cut into groups of bounded bytes by a hash; every row group
+    meets every seed group of its key in one task, block by block of at most `block` rows and seeds. A row has k candidates
+    for each seed group, not for each block.
     """
     keys = list(keys)
+    group = max(block, group_rows(seeds))
     if keys:
 
-        def blocks(df: DataFrame, name: str) -> DataFrame:
-            return df.groupBy(*keys).agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias(name))
+        def groups(df: DataFrame, name: str) -> DataFrame:
+            return df.groupBy(*keys).agg(F.ceil(F.count(F.lit(1)) / group).cast("int").alias(name))
 
-        sizes = blocks(rows, "rb").join(blocks(seeds, "sb"), keys)
+        sizes = groups(rows, "rb").join(groups(seeds, "sb"), keys)
         rows, seeds = rows.join(sizes, keys), seeds.join(sizes, keys)
     else:
-        rb, sb = (F.lit(max(1, -(-df.count() // block))) for df in (rows, seeds))
-        rows, seeds = (df.withColumns({"rb": rb, "sb": sb}) for df in (rows, seeds))
+        sb = max(1, -(-seeds.count() // group))
+        rb = _spread(rows, rows.count(), sb, group)
+        rows, seeds = (df.withColumns({"rb": F.lit(rb), "sb": F.lit(sb)}) for df in (rows, seeds))
     left = rows.select(
         "id", "vec", *keys, F.pmod(F.xxhash64("id"), F.col("rb").cast("long")).alias("__r"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("sb").cast("long") - 1)).alias("__s")
     )
@@ -113,7 +222,7 @@ def blocked_nearest(
         if a.empty or b.empty:
             return pd.DataFrame({"id": pd.Series(dtype="int64"), "seed_id": pd.Series(dtype="int64"), "distance": pd.Series(dtype="float64")})
         b = b.sort_values("__seed")
-        return _nearest(a["id"].to_numpy(), _matrix(a["vec"]), b["__seed"].to_numpy(), _matrix(b["__seed_vec"]), k, metric)
+        return _nearest(a["id"].to_numpy(), _matrix(a["vec"]), b["__seed"].to_numpy(), _matrix(b["__seed_vec"]), k, metric, min(block, TILE))
 
     by_rows = left.groupBy(*keys, "__r", "__s")
     by_seeds = right.groupBy(*[f"__k_{c}" for c in keys], "__seed_r", "__seed_s")
@@ -177,13 +286,13 @@ def _as_products(x: np.ndarray, metric: str, query: bool) -> np.ndarray:
     raise ValueError(f"no index for metric {metric}")
 
 
-def _meet(rows: DataFrame, items: DataFrame, key: str, block: int, function, schema: str) -> DataFrame:
+def _meet(rows: DataFrame, items: DataFrame, key: str, block: int, function, schema: str, item_block: int | None = None) -> DataFrame:
     """`function` on every block of rows and block of items of a key; blocks have about `block` rows, however hot the key is."""
 
-    def sized(df: DataFrame, name: str) -> DataFrame:
-        return df.groupBy(key).agg(F.ceil(F.count(F.lit(1)) / block).cast("long").alias(name))
+    def sized(df: DataFrame, name: str, n: int) -> DataFrame:
+        return df.groupBy(key).agg(F.ceil(F.count(F.lit(1)) / n).cast("long").alias(name))
 
-    sizes = sized(rows, "__rb").join(sized(items, "__sb"), key)
+    sizes = sized(rows, "__rb", block).join(sized(items, "__sb", item_block or block), key)
     left = rows.join(sizes, key).select("*", F.pmod(F.xxhash64("id"), "__rb").alias("__r"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("__sb") - 1)).alias("__s"))
     right = items.join(sizes, key).select("*", F.pmod(F.xxhash64("seed_id"), "__sb").alias("__s"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("__rb") - 1)).alias("__r"))
     names = [key, "__r", "__s"]
@@ -199,9 +308,10 @@ class ProductIndex:
     one byte for each axis; the length e of what the code leaves out bounds the error of a product by |q| e.
 
     A row first looks at the cells of the largest bounds until they hold `pool` items; the k-th largest lower bound there is its
-    mark. It then looks at every other cell whose bound reaches the mark, so a probe stops only when no better item can follow.
-    Items whose upper bound reaches the k-th largest lower bound are compared by their full vectors. `reach` below 1 takes that
-    share of the radius: fewer cells, and a list that may miss items.
+    mark. It then meets the items in groups of whole cells and looks at every cell whose bound reaches the mark, so a probe stops
+    only when no better item can follow. Items whose upper bound reaches the k-th largest lower bound are compared by their full
+    vectors, in the same task, and raise the mark. A row moves once for each group of items, not for each cell. `reach` below 1
+    takes that share of the radius: fewer cells, and a list that may miss items.
 
     The driver holds the centres, radii and counts of at most `most_cells` cells.
     """
@@ -233,11 +343,11 @@ class ProductIndex:
                 code = np.rint(rest / scale).astype(np.int8)
                 left = np.linalg.norm(rest - scale * code, axis=1)
                 yield pd.DataFrame(
-                    {"seed_id": batch["seed_id"], "cell": band * n_points + near, "code": [c.tobytes() for c in code], "scale": scale[:, 0], "left": left,
+                    {"seed_id": batch["seed_id"], "vec": batch["vec"], "cell": band * n_points + near, "code": [c.tobytes() for c in code], "scale": scale[:, 0], "left": left,
                      "far": np.linalg.norm(rest, axis=1)}
                 )
 
-        codes = items.select("seed_id", "vec").mapInPandas(coded, "seed_id long, cell long, code binary, scale double, left double, far double")
+        codes = items.select("seed_id", "vec").mapInPandas(coded, "seed_id long, vec array<double>, cell long, code binary, scale double, left double, far double")
         self.codes = cut_lineage(codes)
         cells = self.codes.groupBy("cell").agg(F.max("far").alias("radius"), F.count(F.lit(1)).alias("n")).orderBy("cell").toPandas()
         self.cells = cells["cell"].to_numpy()
@@ -291,35 +401,107 @@ class ProductIndex:
 
         return _meet(probes, self.codes.select("seed_id", "cell", "code", "scale", "left"), "cell", block, meet, "id long, seed_id long, low double, high double")
 
-    def candidates(self, rows: DataFrame, k: int, pool: int | None = None, reach: float = 1.0, block: int = BLOCK_ROWS) -> DataFrame:
-        """(id, seed_id): the pairs whose full vectors must be compared. With `reach` 1 they hold every row's k nearest items."""
+    def _marks(self, rows: DataFrame, k: int, pool: int | None, reach: float, block: int) -> DataFrame:
+        """(id, mark): a lower bound of every row's k-th largest product, from its first cells."""
         best_low = Window.partitionBy("id").orderBy(F.desc("low"), "seed_id")
         first = self._bounds(self._probes(rows, k, max(k, pool or 2 * k), reach, None), k, block, True)
         kth = first.withColumn("nth", F.row_number().over(best_low)).where(F.col("nth") <= k).groupBy("id")
-        marks = cut_lineage(kth.agg(F.when(F.count(F.lit(1)) == k, F.min("low")).otherwise(F.lit(float("-inf"))).alias("mark")))
-        found = cut_lineage(self._bounds(self._probes(rows, k, 0, reach, marks), k, block, False))
-        last = found.withColumn("nth", F.row_number().over(best_low)).where(F.col("nth") == k).select("id", F.col("low").alias("least"))
-        return found.join(last, "id", "left").where(F.col("least").isNull() | (F.col("high") >= F.col("least"))).select("id", "seed_id")
+        return kth.agg(F.when(F.count(F.lit(1)) == k, F.min("low")).otherwise(F.lit(float("-inf"))).alias("mark"))
+
+    def _search(self, rows: DataFrame, k: int, pool: int | None, reach: float, block: int, compared: bool) -> DataFrame:
+        """(id, seed_id, distance): every row's k nearest items of each group of cells, or all pairs compared by their full vectors."""
+        cells, centres, radius, held, metric = self.cells, self.centres, self.radius, self.held, self.metric
+        group = group_rows(self.items)
+        n_groups = max(1, -(-int(held.sum()) // group))
+        rb = _spread(rows, rows.count(), n_groups, group)
+        # Whole cells lie in one group, unless a cell is larger than a group.
+        begin = np.cumsum(held) - held
+        places = rows.sparkSession.createDataFrame(
+            [(int(c), int(b) // group, -(-int(n) // group)) for c, b, n in zip(cells, begin, held)], "cell long, __first long, __parts long"
+        )
+        last = max(int(b) // group + -(-int(n) // group) for b, n in zip(begin, held))
+        left = rows.select("id", "vec").join(self._marks(rows, k, pool, reach, block), "id", "left").select(
+            "id", "vec", F.coalesce("mark", F.lit(float("-inf"))).alias("mark"), F.pmod(F.xxhash64("id"), F.lit(rb)).alias("__r"),
+            F.explode(F.sequence(F.lit(0).cast("long"), F.lit(last - 1).cast("long"))).alias("__s"),
+        )
+        right = self.codes.join(F.broadcast(places), "cell").select(
+            F.col("seed_id").alias("__seed"), F.col("vec").alias("__seed_vec"), "cell", "code", "scale", F.col("left").alias("rest"),
+            F.explode(F.sequence(F.lit(0).cast("long"), F.lit(rb - 1).cast("long"))).alias("__seed_r"),
+            (F.col("__first") + F.pmod(F.xxhash64("seed_id"), "__parts")).alias("__seed_s"),
+        )
+        step = min(block, TILE)
+
+        def products(distance: np.ndarray, length: np.ndarray) -> np.ndarray:
+            """The inner products of distances, a little less for their rounding."""
+            out = 1 - distance if metric == "cosine" else -distance if metric == "dot" else (length**2 - 1 - distance**2) / 2
+            return out - 1e-9 * length
+
+        def meet(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
+            out = [pd.DataFrame({"id": [], "seed_id": [], "distance": []}).astype({"id": "int64", "seed_id": "int64", "distance": "float64"})]
+            if a.empty or b.empty:
+                return out[0]
+            b = b.sort_values(["cell", "__seed"])
+            here, starts = np.unique(b["cell"].to_numpy(), return_index=True)
+            ends, at = [*starts[1:], len(b)], np.searchsorted(cells, here)
+            seed, full, left_out = b["__seed"].to_numpy(), _prepared(_matrix(b["__seed_vec"]), metric), b["rest"].to_numpy()
+            x = np.frombuffer(b"".join(b["code"]), np.int8).reshape(len(b), -1) * b["scale"].to_numpy()[:, None] + np.repeat(centres[at], np.diff([*starts, len(b)]), axis=0)
+            ids, vectors, first_mark = a["id"].to_numpy(), _matrix(a["vec"]), a["mark"].to_numpy()
+            for start in range(0, len(a), step):
+                raw, mark, name = vectors[start : start + step], first_mark[start : start + step].copy(), ids[start : start + step]
+                q, own = _as_products(raw, metric, True), _prepared(raw, metric)
+                length, every = np.linalg.norm(q, axis=1), np.arange(len(q))
+                bound = q @ centres[at].T + length[:, None] * radius[at] * reach
+                bound += 1e-9 * (1 + np.abs(bound))
+                lists, waiting, n_waiting = _Lists(len(q), k), [], 0
+
+                def compare(waiting=waiting, lists=lists, mark=mark, name=name, own=own, length=length, every=every) -> None:
+                    row, item, low, high = (np.concatenate(w) for w in zip(*waiting))
+                    waiting.clear()
+                    known = products(lists.distance, length[:, None])
+                    rows_, values = np.concatenate([np.repeat(every, k), row]), np.concatenate([known.ravel(), low])
+                    order = np.lexsort((-values, rows_))
+                    np.maximum(mark, values[order][np.searchsorted(rows_[order], every) + k - 1], out=mark)
+                    near = high >= mark[row]
+                    row, item = row[near], item[near]
+                    distance = _pair_distances(own, full, row, item, metric)
+                    lists.add(row, seed[item], distance)
+                    np.maximum(mark, products(lists.distance[:, -1], length), out=mark)
+                    if compared:
+                        out.append(pd.DataFrame({"id": name[row], "seed_id": seed[item], "distance": distance}))
+
+                for c in np.argsort(-bound.max(axis=0), kind="stable"):
+                    some = np.flatnonzero(bound[:, c] >= mark)
+                    for s in range(starts[c], ends[c], 4 * TILE) if len(some) else ():
+                        e = min(s + 4 * TILE, ends[c])
+                        value = q[some] @ x[s:e].T
+                        error = length[some, None] * (left_out[s:e] + 1e-9)
+                        row, item = np.divmod(np.flatnonzero(value + error >= mark[some, None]), value.shape[1])
+                        value, error = value[row, item], error[row, item]
+                        waiting.append((some[row], item + s, value - error, value + error))
+                        n_waiting += len(row)
+                        if n_waiting >= 4 * PAIRS:
+                            compare()
+                            n_waiting = 0
+                if n_waiting:
+                    compare()
+                if not compared:
+                    row, nth = np.nonzero(lists.item != NONE)
+                    out.append(pd.DataFrame({"id": name[row], "seed_id": lists.item[row, nth], "distance": lists.distance[row, nth]}))
+            return pd.concat(out)
+
+        return left.groupBy("__r", "__s").cogroup(right.groupBy("__seed_r", "__seed_s")).applyInPandas(meet, _OUT)
+
+    def candidates(self, rows: DataFrame, k: int, pool: int | None = None, reach: float = 1.0, block: int = BLOCK_ROWS) -> DataFrame:
+        """(id, seed_id): the pairs whose full vectors are compared. With `reach` 1 they hold every row's k nearest items."""
+        return self._search(rows, k, pool, reach, block, True).select("id", "seed_id")
 
     def nearest(self, rows: DataFrame, k: int, pool: int | None = None, reach: float = 1.0, block: int = BLOCK_ROWS) -> DataFrame:
         """k nearest items of every row: id, seed_id, distance, place. Rows and items have one row for each id."""
         if not self.size:
             return rows.sparkSession.createDataFrame([], _OUT + ", place int")
-        metric = self.metric
-
-        @F.pandas_udf("double")
-        def distance(a: pd.Series, b: pd.Series) -> pd.Series:
-            x, y = _matrix(a), _matrix(b)
-            if metric == "cosine":
-                x, y = _as_products(x, metric, True), _as_products(y, metric, False)
-            product = np.einsum("ij,ij->i", x, y)
-            return pd.Series(1 - product if metric == "cosine" else -product if metric == "dot" else np.linalg.norm(x - y, axis=1))
-
-        pairs = self.candidates(rows, k, pool, reach, block).join(rows.select("id", "vec"), "id")
-        items = self.items.select("seed_id", F.col("vec").alias("item"))
-        compared = pairs.join(items, "seed_id").select("id", "seed_id", distance("vec", "item").alias("distance"))
         place = Window.partitionBy("id").orderBy("distance", "seed_id")
-        return compared.withColumn("place", F.row_number().over(place)).where(F.col("place") <= k)
+        found = self._search(rows, k, pool, reach, block, False)
+        return found.withColumn("place", F.row_number().over(place)).where(F.col("place") <= k)
 
 
 def indexed_nearest(rows: DataFrame, seeds: DataFrame, k: int, metric: str = "cosine", pool: int | None = None, reach: float = 1.0, most_cells: int = 4096) -> DataFrame:
@@ -371,42 +553,33 @@ def random_axes(dim: int, n: int, seed: int = 1) -> np.ndarray:
     return np.random.default_rng(seed).standard_normal((dim, n)) / np.sqrt(n)
 
 
-def atoms(subsets: Sequence[Sequence[int]], dim: int) -> tuple[list[list[int]], np.ndarray]:
-    """Features that always come together, and the subsets as rows of bits over those groups."""
-    held = np.zeros((len(subsets), dim), dtype=bool)
-    for i, subset in enumerate(subsets):
-        held[i, list(subset)] = True
-    patterns, of = np.unique(held, axis=1, return_inverse=True)
-    groups = [np.flatnonzero(of == g).tolist() for g in range(patterns.shape[1])]
-    used = patterns.any(axis=0)
-    return [g for g, u in zip(groups, used) if u], patterns[:, used]
-
-
-def subset_distances(rows: np.ndarray, seeds: np.ndarray, groups: Sequence[Sequence[int]], bits: np.ndarray, metric: str) -> np.ndarray:
-    """Distances (subset, row, seed): products, squares and absolute differences of feature groups add up to those of a subset."""
-    weight = bits.astype(float)
-
-    def total(parts: list[np.ndarray]) -> np.ndarray:
-        return np.tensordot(weight, np.stack(parts), axes=1)
-
-    if metric == "l1":
-        return total([np.abs(rows[:, None, g] - seeds[None, :, g]).sum(2) for g in groups])
-    dot = total([rows[:, g] @ seeds[:, g].T for g in groups])
-    a, b = (total([(x[:, g] ** 2).sum(1) for g in groups]) for x in (rows, seeds))
-    if metric == "cosine":
-        return 1 - dot / np.maximum(np.sqrt(a)[:, :, None] * np.sqrt(b)[:, None, :], 1e-300)
-    if metric == "l2":
-        return np.sqrt(np.maximum(a[:, :, None] + b[:, None, :] - 2 * dot, 0))
-    return -dot
-
-
-def _means_of_nearest(rows: DataFrame, seeds: DataFrame, ks: Sequence[int], block: int, shortest) -> DataFrame:
+def _means_of_nearest(rows: DataFrame, seeds: DataFrame, ks: Sequence[int], block: int, shortest, limit_bytes: int) -> DataFrame:
     """(id, subset, k, mean): mean distance to the k nearest seeds for every k of a grid that the seeds can fill.
 
-    A block of rows meets a block of seeds; of each pair of blocks a row keeps its smallest distances, one array for each subset,
-    and the arrays of its blocks are merged and summed up once. `shortest(rows, seeds)` yields (row, subset, sorted distances).
+    Seeds of at most `limit_bytes` are sent to all tasks: a row's distances never leave its task, only its means do. More seeds
+    meet blocks of rows in groups of bounded bytes; of each pair a row keeps its smallest distances, one array for each subset,
+    and the arrays of its groups are merged and summed up once. `shortest(rows, seeds)` yields (subset, sorted distances by row).
     """
     grid = sorted(set(ks))
+    size = seeds.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("vec")).alias("d")).first()
+    if size["n"] * ((size["d"] or 0) + 1) * 8 <= limit_bytes:
+        shared = rows.sparkSession.sparkContext.broadcast(_matrix(seeds.select("vec").toPandas()["vec"]))
+
+        def part(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            y = shared.value
+            usable = [k for k in grid if k <= len(y)]
+            at = np.array(usable, dtype=int) - 1
+            for batch in batches:
+                for start in range(0, len(batch) if usable else 0, TILE):
+                    some = batch.iloc[start : start + TILE]
+                    found = [(subset, np.cumsum(near, axis=1)[:, at] / (at + 1)) for subset, near in shortest(_matrix(some["vec"]), y)]
+                    n = len(found) * len(usable)
+                    yield pd.DataFrame(
+                        {"id": np.tile(np.repeat(some["id"].to_numpy(), len(usable)), len(found)), "subset": np.repeat([s for s, _ in found], len(some) * len(usable)),
+                         "k": np.tile(usable, len(some) * n // len(usable)), "mean": np.concatenate([m.ravel() for _, m in found])}
+                    )
+
+        return rows.select("id", "vec").mapInPandas(part, "id long, subset int, k int, mean double")
     left = rows.select("id", "vec").withColumn("cell", F.lit(0).cast("long"))
     right = seeds.select("seed_id", "vec").withColumn("cell", F.lit(0).cast("long"))
     # Rows meet in small blocks: the arrays of many subsets are larger than what they come from.
@@ -414,15 +587,16 @@ def _means_of_nearest(rows: DataFrame, seeds: DataFrame, ks: Sequence[int], bloc
     def meet(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
         ids, subsets, found = [], [], []
         if len(a) and len(b):
-            x, y = _matrix(a["vec"]), _matrix(b["__i_vec"])
-            for start in range(0, len(x), 64):
-                for row, subset, values in shortest(x[start : start + 64], y):
-                    ids.append(a["id"].to_numpy()[start + row])
-                    subsets.append(subset)
-                    found.append(values)
+            x, y, names = _matrix(a["vec"]), _matrix(b["__i_vec"]), a["id"].to_numpy()
+            for start in range(0, len(x), TILE):
+                for subset, near in shortest(x[start : start + TILE], y):
+                    ids.append(names[start : start + TILE])
+                    subsets.append(np.full(len(near), subset))
+                    found.extend(near)
+        ids, subsets = (np.concatenate(c) if c else [] for c in (ids, subsets))
         return pd.DataFrame({"id": pd.Series(ids, dtype="int64"), "subset": pd.Series(subsets, dtype="int32"), "distances": found})
 
-    parts = _meet(left, right, "cell", block, meet, "id long, subset int, distances array<double>")
+    parts = _meet(left, right, "cell", block, meet, "id long, subset int, distances array<double>", max(block, group_rows(seeds)))
     merged = parts.groupBy("id", "subset").agg(F.flatten(F.collect_list("distances")).alias("distances"))
 
     @F.pandas_udf("array<struct<k:int,mean:double>>")
@@ -436,7 +610,9 @@ def _means_of_nearest(rows: DataFrame, seeds: DataFrame, ks: Sequence[int], bloc
     return merged.select("id", "subset", F.inline(means("distances")))
 
 
-def k_grid(rows: DataFrame, seeds: DataFrame, targets: DataFrame, ks: Sequence[int], metric: str = "cosine", block: int = 2000) -> DataFrame:
+def k_grid(
+    rows: DataFrame, seeds: DataFrame, targets: DataFrame, ks: Sequence[int], metric: str = "cosine", block: int = 2000, limit_bytes: int = BROADCAST_BYTES
+) -> DataFrame:
     """Mean average precision of the mean-distance score for every k of a grid that the seeds can fill, up to thousands.
 
     One row for each (id, k) leaves the tasks, not one for each neighbour.
@@ -444,35 +620,34 @@ def k_grid(rows: DataFrame, seeds: DataFrame, targets: DataFrame, ks: Sequence[i
     most = max(ks)
 
     def shortest(x: np.ndarray, y: np.ndarray):
-        d = distances(x, y, metric)
         k = min(most, len(y))
-        d = np.sort(np.partition(d, k - 1, axis=1)[:, :k], axis=1)
-        return ((i, 0, d[i]) for i in range(len(d)))
-
-    means = _means_of_nearest(rows, seeds, ks, block, shortest).join(targets, "id")
+        a, b, out, step = _prepared(x, metric), _prepared(y, metric), np.empty((len(x), k)), max(1, 2_000_000 // len(y))
+        for start in range(0, len(x), step):
+            d = _between(a[start : start + step], b, metric)
+            d.partition(k - 1, axis=1)
+            out[start : start + step] = np.sort(d[:, :k], axis=1)
+        yield 0, out
+
+    means = _means_of_nearest(rows, seeds, ks, block, shortest, limit_bytes).join(targets, "id")
     return mean_average_precision(cut_lineage(means.select("id", "k", F.round("mean", 9).alias("mean"), "target")), "mean", "target", "id", descending=False, group=["k"])
 
 
-def feature_search(rows: DataFrame, seeds: DataFrame, subsets: Sequence[Sequence[int]], k: int, metric: str = "cosine", block: int = 2000) -> DataFrame:
+def feature_search(
+    rows: DataFrame, seeds: DataFrame, subsets: Sequence[Sequence[int]], k: int, metric: str = "cosine", block: int = 2000, limit_bytes: int = BROADCAST_BYTES
+) -> DataFrame:
     """Mean average precision of the look-alike score for any number of feature subsets: subset, map.
 
-    `rows`: id, vec, target. Partial distances of groups of features are computed once for a block of rows and seeds; a subset is
-    a row of bits and its distances one product with those parts. Rows and seeds are read once for all subsets.
+    `rows`: id, vec, target. Rows and seeds are read once for all subsets; a subset's distances are products of its own features
+    only, screened tile by tile against each row's k-th distance so far.
     """
-    dim = seeds.select(F.size("vec").alias("d")).first()["d"]
-    groups, bits = atoms(subsets, dim)
-    step = max(1, 4_000_000 // (64 * block))
+    chosen = [np.array(sorted(set(s)), dtype=int) for s in subsets]
 
     def shortest(x: np.ndarray, y: np.ndarray):
         n = min(k, len(y))
-        for first in range(0, len(bits), step):
-            d = subset_distances(x, y, groups, bits[first : first + step], metric)
-            near = np.sort(np.partition(d, n - 1, axis=2)[:, :, :n], axis=2)
-            for s in range(near.shape[0]):
-                for i in range(near.shape[1]):
-                    yield i, first + s, near[s, i]
-
-    means = _means_of_nearest(rows, seeds, [k], block, shortest).join(rows.select("id", "target"), "id")
+        for i, features in enumerate(chosen):
+            yield i, _best(np.ascontiguousarray(x[:, features]), np.ascontiguousarray(y[:, features]), n, metric)[0]
+
+    means = _means_of_nearest(rows, seeds, [k], block, shortest, limit_bytes).join(rows.select("id", "target"), "id")
     scored = cut_lineage(means.select("id", "subset", F.round("mean", 9).alias("mean"), "target"))
     return mean_average_precision(scored, "mean", "target", "id", descending=False, group=["subset"])
 
