@@ -13,7 +13,6 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyloom.config import SAMPLE_SIZE
 from tallyloom.functions import text
 from tallyloom.functions.columns import count_when, date_lit, ratio, sum_when
 from tallyloom.operators import joins, orders, prepare, profile
@@ -55,13 +54,15 @@ def listed(rows: DataFrame, grid: Grid, *windows: tuple[str, int | None, int]) -
     return rows.withColumn("ref_date", F.explode(F.filter(F.array(*[date_lit(d) for d in grid.dates]), holds)))
 
 
-def population_at(lines: DataFrame, grid: Grid, sample: int = SAMPLE_SIZE, seed: str = "s") -> DataFrame:
-    """Buyers of the history of each date; where a date has more than `sample`, a repeatable draw of about that many.
+def population_at(lines: DataFrame, grid: Grid, sample: int | None = None, seed: str = "s") -> DataFrame:
+    """All buyers of the history of each date; with `sample`, a repeatable draw of about that many where a date has more.
 
     The draw is by a hash of date and customer, so every date has its own.
     """
     days = lines.select(F.col("buyer_id").alias("customer_id"), "closed").distinct()
     buyers = listed(days, grid, ("closed", -grid.lookback, 0)).select(*KEYS).distinct()
+    if sample is None:
+        return buyers
     share = buyers.groupBy("ref_date").agg((F.lit(float(sample)) / F.count(F.lit(1))).alias("__share"))  # one row per date
     place = unit_hash(F.concat_ws("|", F.col("ref_date").cast("string"), F.col("customer_id").cast("string")), seed)
     return buyers.join(F.broadcast(share), "ref_date").where(place < F.col("__share")).select(*KEYS)

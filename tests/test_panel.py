@@ -54,6 +54,12 @@ def test_scans_and_exchanges_do_not_grow_with_the_dates(spark):
     assert counts[0] == counts[1]
 
 
+def test_population_is_whole_unless_a_sample_is_asked_for(spark):
+    """More buyers than the default sample of a date had."""
+    lines = spark.range(310_000).select(F.col("id").alias("buyer_id"), F.lit("1998-10-01").cast("date").alias("closed"))
+    assert pn.population_at(lines, pn.Grid([END])).count() == 310_000
+
+
 def test_population_is_drawn_for_each_date(spark):
     days = [END - dt.timedelta(days=i) for i in (0, 30)]
     lines = spark.range(4000).select(F.col("id").alias("buyer_id"), F.lit("1998-10-01").cast("date").alias("closed"))
