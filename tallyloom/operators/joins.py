@@ -38,6 +38,22 @@ def join_blocks(population: DataFrame, blocks: Sequence[DataFrame], keys: Sequen
     return reduce(lambda master, block: master.join(block, list(keys), "left"), blocks, population)
 
 
+JOIN_ROWS = 1_000_000
+
+
+def spread_join(left: DataFrame, right: DataFrame, left_key: str, right_key: str, most: int = JOIN_ROWS) -> DataFrame:
+    """Inner join of two large tables on a key that spreads well, with about `most` rows of the left one in a task.
+
+    The session's shuffle parallelism is fixed, so a task's share of a sort-merge join grows with the tables. Above `most` rows a
+    task both sides are laid out in as many parts as the count asks for; below it the join is left to Catalyst. The count of a
+    plain scan reads no column.
+    """
+    parts = -(-left.count() // most)
+    if parts > int(left.sparkSession.conf.get("spark.sql.shuffle.partitions")):
+        left, right = left.repartition(parts, left_key), right.repartition(parts, right_key)
+    return left.join(right, left[left_key] == right[right_key])
+
+
 def bind_columns(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Put two frames side by side on a shared index; rows of either side stay."""
     return left.join(right, list(keys), "full")
