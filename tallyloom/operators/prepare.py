@@ -173,37 +173,45 @@ def forest_impute(df: DataFrame, columns: Sequence[str], key: str, rounds: int =
     stats = df.agg(*[F.avg(F.col(c).cast("double")).alias(f"m{i}") for i, c in enumerate(names)], *[F.count_if(F.col(c).isNull()).alias(f"g{i}") for i, c in enumerate(names)]).first()
     usable = [i for i in range(len(names)) if stats[f"m{i}"] is not None]
     gaps = sorted((i for i in usable if stats[f"g{i}"]), key=lambda i: (stats[f"g{i}"], names[i]))
-    rows = df.select(key, *[F.coalesce(F.col(names[i]).cast("double"), F.lit(stats[f"m{i}"])).alias(f"x{i}") for i in usable], *[F.col(names[i]).isNull().alias(f"gap{i}") for i in gaps])
-    rows = cut_lineage(rows)
     # Cumulative probabilities of a Poisson distribution of mean one: a hash below the first is out, below the second in once, ...
     border, weights = 0.0, []
     for n in range(5):
         border += math.exp(-1) / math.factorial(n)
         weights.append(border)
+
+    def times(i: int, tree: int) -> Column:
+        draw = unit_hash(key, f"{seed}:{i}:{tree}")
+        return sum((F.when(draw >= w, 1).otherwise(0) for w in weights), F.lit(0)).cast("byte")
+
+    # A draw is the same in every round: it is hashed once and kept with the row.
+    rows = df.select(
+        key, *[F.coalesce(F.col(names[i]).cast("double"), F.lit(stats[f"m{i}"])).alias(f"x{i}") for i in usable], *[F.col(names[i]).isNull().alias(f"gap{i}") for i in gaps],
+        *[times(i, tree).alias(f"times{i}_{tree}") for i in gaps for tree in range(trees if len(usable) > 1 else 0)],
+    )
+    rows = cut_lineage(rows)
     last = math.inf
     for turn in range(rounds if len(usable) > 1 else 0):
-        before, fitted = rows, rows
+        # The values of the round before stay beside the new ones, so that the change needs no join.
+        fitted = rows.withColumns({f"old{i}": F.col(f"x{i}") for i in gaps})
         for i in gaps:
             assembler = VectorAssembler(inputCols=[f"x{j}" for j in usable if j != i], outputCol="__features")
             seen = assembler.transform(fitted)
             forest = []
             for tree in range(trees):
-                draw = unit_hash(key, f"{seed}:{i}:{tree}")
-                times = sum((F.when(draw >= w, 1.0).otherwise(0.0) for w in weights), F.lit(0.0))
                 learner = DecisionTreeRegressor(featuresCol="__features", labelCol=f"x{i}", weightCol="__times", maxDepth=depth, predictionCol=f"__p{tree}", seed=17)
-                forest.append(learner.fit(seen.where(f"not gap{i}").withColumn("__times", times).where("__times > 0")))
+                drawn = seen.where(f"not gap{i} and times{i}_{tree} > 0").select("__features", f"x{i}", F.col(f"times{i}_{tree}").cast("double").alias("__times"))
+                forest.append(learner.fit(drawn))
             for model in forest:
                 seen = model.transform(seen)
             mean = sum((F.col(f"__p{t}") for t in range(trees)), F.lit(0.0)) / trees
-            fitted = cut_lineage(seen.withColumn(f"x{i}", F.when(F.col(f"gap{i}"), mean).otherwise(F.col(f"x{i}"))).select(*rows.columns))
-        pairs = fitted.join(before.select(key, *[F.col(f"x{i}").alias(f"old{i}") for i in gaps]), key)
-        change = pairs.agg(F.sum(sum((F.when(F.col(f"gap{i}"), (F.col(f"x{i}") - F.col(f"old{i}")) ** 2).otherwise(0.0) for i in gaps), F.lit(0.0))).alias("c"),
+            fitted = cut_lineage(seen.withColumn(f"x{i}", F.when(F.col(f"gap{i}"), mean).otherwise(F.col(f"x{i}"))).select(*fitted.columns))
+        change = fitted.agg(F.sum(sum((F.when(F.col(f"gap{i}"), (F.col(f"x{i}") - F.col(f"old{i}")) ** 2).otherwise(0.0) for i in gaps), F.lit(0.0))).alias("c"),
                            F.sum(sum((F.when(F.col(f"gap{i}"), F.col(f"x{i}") ** 2).otherwise(0.0) for i in gaps), F.lit(0.0))).alias("s")).first() if gaps else None
         if change is None or not change["s"]:
             break
         if change["c"] / change["s"] > last:
             break
-        last, rows = change["c"] / change["s"], fitted
+        last, rows = change["c"] / change["s"], fitted.drop(*[f"old{i}" for i in gaps])
         if not last:
             break
     filled = rows.select(key, *[F.col(f"x{i}").alias(f"__x{i}") for i in usable])

@@ -3,8 +3,10 @@
 import re
 
 from pyspark.sql import functions as F
+from test_scale import _shuffled
 
 from tallyloom.operators import joins as jn
+from tallyloom.operators import prepare as pp
 from tallyloom.plans import catalog, metrics  # noqa: F401  (registers the queries)
 from tallyloom.plans.registry import BUILDERS
 from tallyloom.sources.tables import Tables
@@ -34,3 +36,12 @@ def test_clipping_joins_the_lines_once(spark):
     """The passes for the quantiles and the result read a written table, not the join."""
     plan = _plan(BUILDERS["out_clip_quantile"](spark, FOLDER))
     assert "Join" not in plan and "lineitem" not in plan
+
+
+def test_forest_rounds_do_not_join_the_rows(spark):
+    """Only the last join moves rows; a join with the round before would move them twice more in each round."""
+    v = F.xxhash64("id") % 1000
+    df = spark.range(3000).select("id", F.when(F.col("id") % 7 != 0, v.cast("double")).alias("a"), (v * 2 + F.col("id") % 3).cast("double").alias("b")).cache()
+    before = _shuffled(spark)
+    assert pp.forest_impute(df, ["a", "b"], "id", rounds=3, trees=1, depth=2).where("a is null").count() == 0
+    assert _shuffled(spark) - before < 3 * 3000
