@@ -46,6 +46,7 @@ class Tables:
         self.spark = spark
         self.folder = folder.rstrip("/")
         self.shared_population: DataFrame | None = None
+        self.shared_lines: DataFrame | None = None
 
     def path(self, name: str) -> str:
         return f"{self.folder}/{name}.parquet"

@@ -45,3 +45,9 @@ def test_forest_rounds_do_not_join_the_rows(spark):
     before = _shuffled(spark)
     assert pp.forest_impute(df, ["a", "b"], "id", rounds=3, trees=1, depth=2).where("a is null").count() == 0
     assert _shuffled(spark) - before < 3 * 3000
+
+
+def test_master_table_joins_the_lines_once(spark):
+    """The blocks read the written valid lines; only payments, cards and the first sale, which take other lines, read the item lines."""
+    plan = _plan(BUILDERS["fb_master_at_date"](spark, FOLDER))
+    assert len(re.findall(r"FileScan parquet \[l_", plan)) == 3
