@@ -4,15 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml.feature import Word2Vec
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyloom.config import MAX_EVENTS
 from tallyloom.functions import arrays
+from tallyloom.operators import word_vectors as wv
 from tallyloom.operators.prepare import code_table
 from tallyloom.operators.trailing import Trailing, attach_trailing
+from tallyloom.session import written
 
 
 def view_level(views: Column) -> Column:
@@ -95,13 +95,17 @@ def encode_pad(docs: DataFrame, key: str, words: Column, vocab: DataFrame, lengt
 
 
 def document_vectors(docs: DataFrame, key: str, words: Column, size: int = 32, window: int = 5, min_count: int = 5, iterations: int = 1, seed: int = 1) -> DataFrame:
-    """Mean word vector of each token sequence."""
-    rows = docs.select(key, words.alias("__words"))
-    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    model = Word2Vec(
-        vectorSize=size, windowSize=window, minCount=min_count, maxIter=iterations, seed=seed, numPartitions=parts, inputCol="__words", outputCol="__vec"
-    ).fit(rows)
-    return model.transform(rows).select(key, vector_to_array("__vec").alias("vec"))
+    """Mean word vector of each token sequence.
+
+    Words are 64-bit hashes. The vocabulary and its vectors are broadcast; rows are encoded once and learnt from by many tasks.
+    """
+    sequence = F.coalesce(words, F.array().cast("array<string>"))
+    hashed = docs.select(key, F.transform(sequence, lambda w: F.xxhash64(w)).alias("__hashes"))
+    hashes, counts = wv.vocabulary_counts(hashed, min_count)
+    if not len(hashes):
+        return docs.select(key, F.array_repeat(F.lit(0.0), size).alias("vec"))
+    rows = written(wv.encoded(hashed, key, hashes), "encoded-words")
+    return wv.mean_vectors(rows, key, wv.train(rows, key, counts, size, window, iterations, seed))
 
 
 def vector_grid(docs: DataFrame, key: str, words: Column, sizes: Sequence[int], windows: Sequence[int]) -> dict[tuple[int, int], DataFrame]:
