@@ -79,12 +79,15 @@ class Learner:
         long = len(words) + w * len(sizes)
         stream = np.zeros(w + -(-long // tile) * tile + w, dtype=np.int32)
         stream[w + np.arange(len(words)) + np.repeat(np.arange(len(sizes)) * w, sizes)] = rows
-        for first in range(0, len(stream) - 2 * w, block):
+        firsts = range(0, len(stream) - 2 * w, block)
+        drawn = np.searchsorted(self.drawn, self.rng.random((len(firsts), NEGATIVES)) * self.drawn[-1], side="right")
+        others = self.rows_of(drawn.ravel()).reshape(drawn.shape)
+        for i, first in enumerate(firsts):
             near = stream[first : first + block + 2 * w]
-            self._block(near, np.float32(step(self.done)))
+            self._block(near, others[i], np.float32(step(self.done)))
             self.done += int(np.count_nonzero(near[w:-w]))
 
-    def _block(self, near: np.ndarray, step: np.float32) -> None:
+    def _block(self, near: np.ndarray, others: np.ndarray, step: np.float32) -> None:
         w, tile, size = self.window, self.tile, self.size
         n, tiles = len(near) - 2 * w, (len(near) - 2 * w) // tile
         held = self.model[near]
@@ -96,7 +99,6 @@ class Learner:
         for d in range(1, w + 1):
             pairs += (real[w - d : w - d + n] + real[w + d : w + d + n]) * np.float32((w + 1 - d) / w)
         pairs *= real[w:-w]
-        others = self.rows_of(np.searchsorted(self.drawn, self.rng.random(NEGATIVES) * self.drawn[-1], side="right"))
         far = self.model[others, size:]
         # Gaps are zero vectors, so pairs with them add nothing.
         pull, push = xs @ np.ascontiguousarray(ys.transpose(0, 2, 1)), x @ np.ascontiguousarray(-far.T)
