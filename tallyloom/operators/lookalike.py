@@ -27,6 +27,10 @@ GROUP_BYTES = 32 * 1024 * 1024
 BLOCK_ROWS = 20_000
 #: Rows and seeds compared at once inside a task, and pairs compared in full at once.
 TILE, PAIRS = 1024, 65_536
+#: Of the search for distances alone: rows and seeds multiplied at once, seeds that share a minimum and seeds whose products are held.
+ROWS, STEP, FOLD, HELD = 128, 1024, 16, 16_384
+#: Rows of a frame that leaves a task.
+FRAME_ROWS = 500_000
 NONE = np.iinfo(np.int64).max
 
 
@@ -150,6 +154,68 @@ def _best(x: np.ndarray, y: np.ndarray, k: int, metric: str, tile: int = TILE) -
     return distance, place
 
 
+def _least(x: np.ndarray, y: np.ndarray, k: int, metric: str) -> np.ndarray:
+    """Distances of the k nearest y of each x (n x k), ascending: those of `_best`, without their places.
+
+    Products of a block are folded into minima of `FOLD` seeds each, with one pass over them. The k-th smallest of these minima
+    bounds a row's k-th distance, so only pairs of the few groups below it are looked at, and those within the screening's error
+    of it are compared in full. Memory is that of a block of `ROWS` rows and `HELD` seeds.
+    """
+    if metric not in ("cosine", "dot", "l2") or len(y) < 4 * k * FOLD:
+        return _best(x, y, k, metric)[0]
+    a, b = _prepared(x, metric), _prepared(y, metric)
+    if not (np.isfinite(a).all() and np.isfinite(b).all() and _narrow(a, b)):
+        return _best(x, y, k, metric)[0]
+    long_a, long_b = np.linalg.norm(a, axis=1), np.linalg.norm(b, axis=1)
+    u, v, half = a.astype(np.float32), -b.astype(np.float32), (long_b**2 / 2).astype(np.float32)[:, None]
+    unit_error, most = 4 * (x.shape[1] + 8) * np.finfo(np.float32).eps, long_b.max()
+    part, room = STEP // FOLD, -(-min(len(b), HELD) // STEP) * STEP
+    products, minima = np.empty(room * ROWS, np.float32), np.empty(room // FOLD * ROWS, np.float32)
+    out = np.full((len(a), k), np.inf)
+    for start in range(0, len(a), ROWS):
+        own, turned, length = a[start : start + ROWS], np.ascontiguousarray(u[start : start + ROWS].T), long_a[start : start + ROWS]
+        n, best = len(own), out[start : start + ROWS]
+        slack = unit_error * length * most
+        if metric == "l2":
+            slack = slack + unit_error * most**2 + 1e-12 * length**2
+        for begin in range(0, len(b), HELD):
+            end = min(begin + HELD, len(b))
+            steps = -(-(end - begin) // STEP)
+            value, low = products[: steps * STEP * n].reshape(-1, n), minima[: steps * part * n].reshape(steps, part * n)
+            value[end - begin :] = np.inf
+            for i in range(steps):
+                at = begin + i * STEP
+                to = min(at + STEP, end)
+                here = value[i * STEP : i * STEP + to - at]
+                np.matmul(v[at:to], turned, out=here)
+                if metric == "l2":
+                    here += half[at:to]
+                # A group is every part-th seed of a step.
+                np.minimum.reduce(value[i * STEP : (i + 1) * STEP].reshape(FOLD, part * n), axis=0, out=low[i])
+            last = best[:, -1]
+            mark = last - 1 if metric == "cosine" else (last**2 - length**2) / 2 if metric == "l2" else last
+            low = low.reshape(-1, n)
+            few = max(1, len(low) // max(4 * k, 64))  # minima of some groups at a time are enough for a mark
+            wide = np.minimum.reduce(low[: len(low) // few * few].reshape(few, -1, n), axis=0).T
+            if wide.shape[1] >= k:
+                mark = np.minimum(mark, np.partition(wide, k - 1, axis=1)[:, k - 1])
+            mark = np.nextafter((mark + 2 * slack).astype(np.float32), np.float32(np.inf))
+            group, row = np.divmod(np.flatnonzero(low <= mark), n)
+            order = np.argsort(row.astype(np.uint16), kind="stable")
+            group, row = group[order], row[order]
+            first = group // part * STEP + group % part
+            near = np.flatnonzero(value.reshape(-1).take((first * n + row)[:, None] + np.arange(FOLD) * (part * n)) <= mark[row, None])
+            row, item = row[near // FOLD], begin + first[near // FOLD] + near % FOLD * part
+            known = item < end
+            row, item = row[known], item[known]
+            place = np.arange(len(row)) - np.searchsorted(row, np.arange(n))[row]
+            found = np.full((n, k + place.max(initial=-1) + 1), np.inf)
+            found[:, :k], found[row, k + place] = best, _pair_distances(own, b, row, item, metric)
+            found.sort(axis=1)
+            best[:] = found[:, :k]
+    return out
+
+
 def _nearest(ids, rows: np.ndarray, seed_ids, seeds: np.ndarray, k: int, metric: str, tile: int = TILE) -> pd.DataFrame:
     """k nearest seeds of each row; equal distances go to the smaller seed id (seeds come sorted by id)."""
     k = min(k, len(seeds))
@@ -553,33 +619,54 @@ def random_axes(dim: int, n: int, seed: int = 1) -> np.ndarray:
     return np.random.default_rng(seed).standard_normal((dim, n)) / np.sqrt(n)
 
 
-def _means_of_nearest(rows: DataFrame, seeds: DataFrame, ks: Sequence[int], block: int, shortest, limit_bytes: int) -> DataFrame:
-    """(id, subset, k, mean): mean distance to the k nearest seeds for every k of a grid that the seeds can fill.
+def _means_of_nearest(
+    rows: DataFrame, seeds: DataFrame, targets: DataFrame, ks: Sequence[int], block: int, shortest, limit_bytes: int, many: bool = False
+) -> DataFrame:
+    """(id, subset, k, mean, target): mean distance to the k nearest seeds for every k of a grid that the seeds can fill.
 
     Seeds of at most `limit_bytes` are sent to all tasks: a row's distances never leave its task, only its means do. More seeds
     meet blocks of rows in groups of bounded bytes; of each pair a row keeps its smallest distances, one array for each subset,
     and the arrays of its groups are merged and summed up once. `shortest(rows, seeds)` yields (subset, sorted distances by row).
+    With `many` subsets a row is much work and few bytes: rows are dealt out to all cores, meet their targets before the search
+    and not as many times after it, and go through a subset together.
     """
     grid = sorted(set(ks))
     size = seeds.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("vec")).alias("d")).first()
     if size["n"] * ((size["d"] or 0) + 1) * 8 <= limit_bytes:
-        shared = rows.sparkSession.sparkContext.broadcast(_matrix(seeds.select("vec").toPandas()["vec"]))
+        context = rows.sparkSession.sparkContext
+        shared = context.broadcast(_matrix(seeds.select("vec").toPandas()["vec"]))
+        plain, at_once = rows.select("id", "vec"), BLOCK_ROWS if many else TILE
+        if many:
+            plain = plain.join(targets, "id")
+            plain = plain.repartition(max(1, min(2 * context.defaultParallelism, -(-rows.count() // ROWS))))
+        kept = {c: kind for c, kind in plain.dtypes if c not in ("id", "vec")}
 
         def part(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             y = shared.value
             usable = [k for k in grid if k <= len(y)]
             at = np.array(usable, dtype=int) - 1
             for batch in batches:
-                for start in range(0, len(batch) if usable else 0, TILE):
-                    some = batch.iloc[start : start + TILE]
-                    found = [(subset, np.cumsum(near, axis=1)[:, at] / (at + 1)) for subset, near in shortest(_matrix(some["vec"]), y)]
-                    n = len(found) * len(usable)
-                    yield pd.DataFrame(
-                        {"id": np.tile(np.repeat(some["id"].to_numpy(), len(usable)), len(found)), "subset": np.repeat([s for s, _ in found], len(some) * len(usable)),
-                         "k": np.tile(usable, len(some) * n // len(usable)), "mean": np.concatenate([m.ravel() for _, m in found])}
-                    )
-
-        return rows.select("id", "vec").mapInPandas(part, "id long, subset int, k int, mean double")
+                for start in range(0, len(batch) if usable else 0, at_once):
+                    some = batch.iloc[start : start + at_once]
+                    found, most = [], max(1, FRAME_ROWS // (len(some) * len(usable)))
+
+                    def frame(some=some, found=found) -> pd.DataFrame:
+                        n = len(found) * len(usable)
+                        out = {c: np.tile(np.repeat(some[c].to_numpy(), len(usable)), len(found)) for c in ("id", *kept)}
+                        out |= {"subset": np.repeat([s for s, _ in found], len(some) * len(usable)), "k": np.tile(usable, len(some) * n // len(usable))}
+                        return pd.DataFrame(out | {"mean": np.concatenate([m.ravel() for _, m in found])})
+
+                    for subset, near in shortest(_matrix(some["vec"]), y):
+                        found.append((subset, np.cumsum(near, axis=1)[:, at] / (at + 1)))
+                        if len(found) == most:
+                            yield frame()
+                            found.clear()
+                    if found:
+                        yield frame()
+
+        kinds = ["id long", *[f"{c} {kind}" for c, kind in kept.items()], "subset int", "k int", "mean double"]
+        means = plain.mapInPandas(part, ", ".join(kinds))
+        return means if many else means.join(targets, "id")
     left = rows.select("id", "vec").withColumn("cell", F.lit(0).cast("long"))
     right = seeds.select("seed_id", "vec").withColumn("cell", F.lit(0).cast("long"))
     # Rows meet in small blocks: the arrays of many subsets are larger than what they come from.
@@ -607,7 +694,7 @@ def _means_of_nearest(rows: DataFrame, seeds: DataFrame, ks: Sequence[int], bloc
             out.append([{"k": k, "mean": upto[k - 1] / k} for k in grid if k <= len(upto)])
         return pd.Series(out)
 
-    return merged.select("id", "subset", F.inline(means("distances")))
+    return merged.select("id", "subset", F.inline(means("distances"))).join(targets, "id")
 
 
 def k_grid(
@@ -628,7 +715,7 @@ def k_grid(
             out[start : start + step] = np.sort(d[:, :k], axis=1)
         yield 0, out
 
-    means = _means_of_nearest(rows, seeds, ks, block, shortest, limit_bytes).join(targets, "id")
+    means = _means_of_nearest(rows, seeds, targets, ks, block, shortest, limit_bytes)
     return mean_average_precision(cut_lineage(means.select("id", "k", F.round("mean", 9).alias("mean"), "target")), "mean", "target", "id", descending=False, group=["k"])
 
 
@@ -638,16 +725,17 @@ def feature_search(
     """Mean average precision of the look-alike score for any number of feature subsets: subset, map.
 
     `rows`: id, vec, target. Rows and seeds are read once for all subsets; a subset's distances are products of its own features
-    only, screened tile by tile against each row's k-th distance so far.
+    only, screened in single precision against a bound of each row's k-th distance.
     """
     chosen = [np.array(sorted(set(s)), dtype=int) for s in subsets]
 
     def shortest(x: np.ndarray, y: np.ndarray):
         n = min(k, len(y))
         for i, features in enumerate(chosen):
-            yield i, _best(np.ascontiguousarray(x[:, features]), np.ascontiguousarray(y[:, features]), n, metric)[0]
+            yield i, _least(np.ascontiguousarray(x[:, features]), np.ascontiguousarray(y[:, features]), n, metric)
 
-    means = _means_of_nearest(rows, seeds, [k], block, shortest, limit_bytes).join(rows.select("id", "target"), "id")
+    targets = rows.select("id", (F.coalesce(F.col("target") == 1, F.lit(False))).cast("int").alias("target"))
+    means = _means_of_nearest(rows, seeds, targets, [k], block, shortest, limit_bytes, many=True)
     scored = cut_lineage(means.select("id", "subset", F.round("mean", 9).alias("mean"), "target"))
     return mean_average_precision(scored, "mean", "target", "id", descending=False, group=["subset"])
 

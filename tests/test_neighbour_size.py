@@ -87,3 +87,28 @@ def test_feature_search_is_the_same_with_many_seeds(spark, noise):
     subsets = [[0], [3, 1], list(range(0, 32, 2)), list(range(32))]
     sent, met = ({r["subset"]: r["map"] for r in lk.feature_search(rows, seeds, subsets, 5, "cosine", 100, n).collect()} for n in (1 << 20, 0))
     assert sent.keys() == met.keys() == {0, 1, 2, 3} and all(abs(sent[k] - met[k]) < 1e-9 for k in sent)
+
+
+@pytest.mark.parametrize("metric", ["cosine", "dot", "l2", "l1"])
+@pytest.mark.parametrize("scale", [1e-30, 1.0, 1e20])
+def test_least_distances_are_those_of_the_lists(metric, scale, monkeypatch):
+    """Parts of a step, several blocks of seeds, copies, near ties, vectors of zeros and what is not a number."""
+    rng = np.random.default_rng(8)
+    for held, n in ((1 << 14, 640), (1 << 14, 1025), (2048, 5000)):
+        monkeypatch.setattr(lk, "HELD", held)
+        y = rng.standard_normal((n, 6)) * scale
+        y[n // 2 :] = y[: n - n // 2] * (1 + 1e-9 * rng.standard_normal((n - n // 2, 1)))
+        y[-10:], y[5] = y[0], 0
+        x = np.vstack([y[::7], rng.standard_normal((300, 6)) * scale])
+        assert np.array_equal(lk._least(x, y, 9, metric), lk._best(x, y, 9, metric)[0])
+        y[3, 1] = np.nan
+        assert np.array_equal(lk._least(x, y, 9, metric), lk._best(x, y, 9, metric)[0])
+
+
+def test_feature_search_deals_its_rows_out(spark, noise):
+    """Rows of one file are searched in several tasks; copies of an id meet each of its targets, as in a join after the search."""
+    rows = noise.withColumn("target", (F.col("id") % 7 == 0).cast("int"))
+    twice = rows.unionAll(rows.where("id < 9")).coalesce(1)
+    seeds = noise.where("id < 250").withColumnRenamed("id", "seed_id")
+    means = lk._means_of_nearest(twice, seeds, twice.select("id", "target"), [5], 100, lambda x, y: [(0, lk._least(x, y, 5, "cosine"))], 1 << 20, many=True)
+    assert means.rdd.getNumPartitions() > 1 and means.count() == 591 + 9 * 4
