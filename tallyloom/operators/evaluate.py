@@ -8,6 +8,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -16,6 +18,10 @@ from tallyloom.functions.columns import as_column, count_when, ratio
 from tallyloom.operators.ranking import ntile, running_totals
 
 
+#: Rows of a group of packed arrays that one task may hold.
+PACKED_ROWS = 4_000_000
+
+
 class NoThreshold(ValueError):
     pass
 
@@ -42,12 +48,34 @@ def pr_curve(df: DataFrame, score: str, target: str) -> DataFrame:
 def mean_average_precision(
     df: DataFrame, score: str | Column, target: str, tie: str, descending: bool = True, group: Sequence[str] = ()
 ) -> DataFrame:
-    """Mean over the positives of (positives so far / rank)."""
+    """Mean over the positives of (positives so far / rank).
+
+    Rows may come packed, with arrays without nulls as score, target and tie: arrays of a group meet in one task while a group
+    has at most `PACKED_ROWS` rows, and are taken apart for the ranking of any number of rows above that.
+    """
+    if isinstance(score, str) and dict(df.dtypes)[score].startswith("array"):
+        sizes = df.groupBy(*group).agg(F.sum(F.size(score)).alias("n")).agg(F.max("n").alias("n"))
+        if (sizes.first()["n"] or 0) <= PACKED_ROWS:
+            return _packed_average_precision(df, score, target, tie, descending, group)
+        df = df.select(*group, F.inline(F.arrays_zip(score, target, tie)))
     hit = F.when(F.col(target) == 1, 1).otherwise(0)
     ranked = running_totals(df, score, tie, {"__hits": hit}, group=group, descending=descending, rank="__rank")
     return ranked.where(F.col(target) == 1).groupBy(*group).agg(F.avg(ratio("__hits", "__rank")).alias("map"))
 
 
+def _packed_average_precision(df: DataFrame, score: str, target: str, tie: str, descending: bool, group: Sequence[str]) -> DataFrame:
+    """The mean average precision of groups whose arrays are put together and ordered in one task each."""
+
+    def one(part: pd.DataFrame) -> pd.DataFrame:
+        values, hits, ties = (np.concatenate(part[c].to_list()) for c in (score, target, tie))
+        hits = hits[np.lexsort((ties, -values if descending else values))] == 1
+        found = (np.cumsum(hits) / np.arange(1, len(hits) + 1))[hits]
+        return pd.DataFrame({**{c: part[c].iloc[:1] for c in group}, "map": [found.mean()]}) if len(found) else pd.DataFrame({c: [] for c in (*group, "map")})
+
+    kinds = dict(df.dtypes)
+    return df.groupBy(*group).applyInPandas(one, ", ".join([*[f"`{c}` {kinds[c]}" for c in group], "map double"]))
+
+
 def threshold_sweep(df: DataFrame, score: str, target: str, start: float = 0.001, step: float = 0.01, n: int = 99) -> DataFrame:
     """Precision, recall and reach on a grid: one histogram of the scores, then sums over the grid."""
     grid = [start + step * i for i in range(n)]

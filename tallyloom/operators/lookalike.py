@@ -29,7 +29,7 @@ BLOCK_ROWS = 20_000
 TILE, PAIRS = 1024, 65_536
 #: Of the search for distances alone: rows and seeds multiplied at once, seeds that share a minimum and seeds whose products are held.
 ROWS, STEP, FOLD, HELD = 128, 1024, 16, 16_384
-#: Rows of a frame that leaves a task.
+#: Means in a frame that leaves a task.
 FRAME_ROWS = 500_000
 NONE = np.iinfo(np.int64).max
 
@@ -628,7 +628,8 @@ def _means_of_nearest(
     meet blocks of rows in groups of bounded bytes; of each pair a row keeps its smallest distances, one array for each subset,
     and the arrays of its groups are merged and summed up once. `shortest(rows, seeds)` yields (subset, sorted distances by row).
     With `many` subsets a row is much work and few bytes: rows are dealt out to all cores, meet their targets before the search
-    and not as many times after it, and go through a subset together.
+    and not as many times after it, and go through a subset together. What leaves a task is then packed: a row for each subset and
+    k, with arrays of id, target and mean.
     """
     grid = sorted(set(ks))
     size = seeds.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("vec")).alias("d")).first()
@@ -652,9 +653,13 @@ def _means_of_nearest(
 
                     def frame(some=some, found=found) -> pd.DataFrame:
                         n = len(found) * len(usable)
-                        out = {c: np.tile(np.repeat(some[c].to_numpy(), len(usable)), len(found)) for c in ("id", *kept)}
-                        out |= {"subset": np.repeat([s for s, _ in found], len(some) * len(usable)), "k": np.tile(usable, len(some) * n // len(usable))}
-                        return pd.DataFrame(out | {"mean": np.concatenate([m.ravel() for _, m in found])})
+                        if many:
+                            out = {c: [some[c].to_numpy()] * n for c in ("id", *kept)}
+                            return pd.DataFrame(out | {"subset": np.repeat([s for s, _ in found], len(usable)), "k": usable * len(found), "mean": [c for _, m in found for c in m.T]})
+                        return pd.DataFrame(
+                            {"id": np.tile(np.repeat(some["id"].to_numpy(), len(usable)), len(found)), "subset": np.repeat([s for s, _ in found], len(some) * len(usable)),
+                             "k": np.tile(usable, len(some) * n // len(usable)), "mean": np.concatenate([m.ravel() for _, m in found])}
+                        )
 
                     for subset, near in shortest(_matrix(some["vec"]), y):
                         found.append((subset, np.cumsum(near, axis=1)[:, at] / (at + 1)))
@@ -664,9 +669,10 @@ def _means_of_nearest(
                     if found:
                         yield frame()
 
-        kinds = ["id long", *[f"{c} {kind}" for c, kind in kept.items()], "subset int", "k int", "mean double"]
-        means = plain.mapInPandas(part, ", ".join(kinds))
-        return means if many else means.join(targets, "id")
+        if not many:
+            return plain.mapInPandas(part, "id long, subset int, k int, mean double").join(targets, "id")
+        arrays = ["id array<bigint>", *[f"{c} array<{kind}>" for c, kind in kept.items()], "mean array<double>"]
+        return plain.mapInPandas(part, ", ".join([*arrays, "subset int, k int"]))
     left = rows.select("id", "vec").withColumn("cell", F.lit(0).cast("long"))
     right = seeds.select("seed_id", "vec").withColumn("cell", F.lit(0).cast("long"))
     # Rows meet in small blocks: the arrays of many subsets are larger than what they come from.
@@ -734,9 +740,11 @@ def feature_search(
         for i, features in enumerate(chosen):
             yield i, _least(np.ascontiguousarray(x[:, features]), np.ascontiguousarray(y[:, features]), n, metric)
 
-    targets = rows.select("id", (F.coalesce(F.col("target") == 1, F.lit(False))).cast("int").alias("target"))
+    targets = rows.select("id", F.coalesce(F.col("target") == 1, F.lit(False)).cast("tinyint").alias("target"))
     means = _means_of_nearest(rows, seeds, targets, [k], block, shortest, limit_bytes, many=True)
-    scored = cut_lineage(means.select("id", "subset", F.round("mean", 9).alias("mean"), "target"))
+    packed = dict(means.dtypes)["mean"].startswith("array")
+    mean = F.transform("mean", lambda x: F.round(x, 9)) if packed else F.round("mean", 9)
+    scored = cut_lineage(means.select("id", "subset", mean.alias("mean"), "target"))
     return mean_average_precision(scored, "mean", "target", "id", descending=False, group=["subset"])
 
 

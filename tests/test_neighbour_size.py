@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 from test_scale import _shuffled
 
+from tallyloom.operators import evaluate as ev
 from tallyloom.operators import lookalike as lk
 
 
@@ -111,4 +112,29 @@ def test_feature_search_deals_its_rows_out(spark, noise):
     twice = rows.unionAll(rows.where("id < 9")).coalesce(1)
     seeds = noise.where("id < 250").withColumnRenamed("id", "seed_id")
     means = lk._means_of_nearest(twice, seeds, twice.select("id", "target"), [5], 100, lambda x, y: [(0, lk._least(x, y, 5, "cosine"))], 1 << 20, many=True)
-    assert means.rdd.getNumPartitions() > 1 and means.count() == 591 + 9 * 4
+    ids = [i for r in means.collect() for i in r["id"]]
+    assert means.rdd.getNumPartitions() > 1 and len(ids) == 591 + 9 * 4
+
+
+def test_feature_search_moves_no_row_for_each_subset(spark, noise):
+    """A task's means of a subset move together, not one by one."""
+    rows, seeds = noise.withColumn("target", (F.col("id") % 7 == 0).cast("int")), noise.where("id < 250").withColumnRenamed("id", "seed_id")
+    subsets = [[i, j] for i in range(8) for j in range(8, 16)]
+    before = _shuffled(spark)
+    assert lk.feature_search(rows, seeds, subsets, 5).count() == 64
+    assert _shuffled(spark) - before < 0.2 * 64 * 600
+
+
+def test_packed_precision_is_that_of_rows(spark, monkeypatch):
+    """Ties, groups without a positive, several arrays a group; groups above the limit are taken apart."""
+    draw = np.random.default_rng(9)
+    rows = [(g, float(draw.integers(0, 12)), int(g < 4 and draw.random() < 0.3), int(i)) for g in range(5) for i in range(90)]
+    df = spark.createDataFrame(rows, "g int, s double, y int, id long")
+    arrays = df.groupBy("g", (F.col("id") % 4).alias("part")).agg(*[F.collect_list(c).alias(c) for c in ("s", "y", "id")])
+    for descending in (True, False):
+        want = {r["g"]: r["map"] for r in ev.mean_average_precision(df, "s", "y", "id", descending, ["g"]).collect()}
+        for most in (4_000_000, 10):
+            monkeypatch.setattr(ev, "PACKED_ROWS", most)
+            got = {r["g"]: r["map"] for r in ev.mean_average_precision(arrays, "s", "y", "id", descending, ["g"]).collect()}
+            assert got.keys() == want.keys() == {0, 1, 2, 3} and all(abs(got[g] - want[g]) < 1e-12 for g in got)
+    assert ev.mean_average_precision(arrays.limit(0), "s", "y", "id", group=["g"]).count() == 0
