@@ -27,8 +27,10 @@ GROUP_BYTES = 32 * 1024 * 1024
 BLOCK_ROWS = 20_000
 #: Rows and seeds compared at once inside a task, and pairs compared in full at once.
 TILE, PAIRS = 1024, 65_536
-#: Of the search for distances alone: rows and seeds multiplied at once, seeds that share a minimum and seeds whose products are held.
+#: Of the search for distances alone: rows and seeds of a step, seeds that share a minimum and seeds whose products are held.
 ROWS, STEP, FOLD, HELD = 128, 1024, 16, 16_384
+#: Seeds of one product; small ones are multiplied without being copied first.
+SMALL = 128
 #: Means in a frame that leaves a task.
 FRAME_ROWS = 500_000
 NONE = np.iinfo(np.int64).max
@@ -187,7 +189,10 @@ def _least(x: np.ndarray, y: np.ndarray, k: int, metric: str) -> np.ndarray:
                 at = begin + i * STEP
                 to = min(at + STEP, end)
                 here = value[i * STEP : i * STEP + to - at]
-                np.matmul(v[at:to], turned, out=here)
+                if len(here) == STEP:
+                    np.matmul(v[at:to].reshape(-1, SMALL, v.shape[1]), turned, out=here.reshape(-1, SMALL, n))
+                else:
+                    np.matmul(v[at:to], turned, out=here)
                 if metric == "l2":
                     here += half[at:to]
                 # A group is every part-th seed of a step.
